@@ -40,3 +40,24 @@ def length_histogram(df: DataFrame, col: str = "length", bins: int = 30) -> Data
                     F.round(lo + (F.col("bin") - 1) * width, 4).alias("bin_lo"),
                     F.round(lo + F.col("bin") * width, 4).alias("bin_hi"),
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
+
+
+def sentiment_by_category(df: DataFrame, category: str = "normalized_category",
+                          sentiment: str = "sentiment") -> DataFrame:
+    """Counts on the full grid of observed categories x observed sentiments.
+
+    Rows with no sentiment are left out. ``category_total`` carries the order
+    of the categories (descending total, then name). The grid is built from two
+    aggregates joined on a constant-free key: every category row is paired with
+    every observed label through an exploded label array, never a cross join
+    of the data.
+    """
+    rows = df.where(F.col(sentiment).isNotNull())
+    counts = rows.groupBy(category, sentiment).agg(F.count("*").alias("n"))
+    labels = counts.select(F.sort_array(F.collect_set(sentiment))).scalar()
+    per_cat = counts.groupBy(category).agg(F.sum("n").alias("category_total"))
+    grid = per_cat.select(category, "category_total", F.explode(labels).alias(sentiment))
+    return (grid.join(counts, [category, sentiment], "left")
+                .select(category, sentiment, F.coalesce("n", F.lit(0)).alias("n"),
+                        "category_total")
+                .orderBy(F.desc("category_total"), category, sentiment))

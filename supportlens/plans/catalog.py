@@ -85,3 +85,72 @@ def q_query_length(spark, sf):
 @query("length_histogram")
 def q_length_histogram(spark, sf):
     return reports.length_histogram(q_query_length(spark, sf), "length", 30)
+
+
+# --- E1-E7 -------------------------------------------------------------------
+
+from ..functions import categories as cat  # noqa: E402
+from ..functions import entities as ent  # noqa: E402
+
+
+def _short(spark, sf):
+    return views.support_queries(spark, sf).select(
+        "row_id", ent.lowered("short_text").alias("s"))
+
+
+@query("entity_order_id")
+def q_entity_order_id(spark, sf):
+    return _short(spark, sf).select("row_id", ent.order_id(F.col("s")).alias("order_id"))
+
+
+@query("entity_amount")
+def q_entity_amount(spark, sf):
+    return _short(spark, sf).select("row_id", ent.amount(F.col("s")).alias("amount"))
+
+
+@query("entity_date")
+def q_entity_date(spark, sf):
+    return _short(spark, sf).select("row_id", ent.date_entity(F.col("s")).alias("date"))
+
+
+@query("entity_account_action")
+def q_entity_account_action(spark, sf):
+    return _short(spark, sf).select(
+        "row_id", F.posexplode(ent.account_actions(F.col("s"))).alias("pos", "action"))
+
+
+@query("entity_intent")
+def q_entity_intent(spark, sf):
+    return _short(spark, sf).select(
+        "row_id", F.posexplode(ent.intents(F.col("s"))).alias("pos", "intent"))
+
+
+def explode_entities(df: DataFrame, key: str, text_col: str) -> DataFrame:
+    return (df.select(key, F.posexplode(ent.extract_entities(text_col)).alias("pos", "e"))
+              .select(key, "pos", F.col("e.type").alias("type"), F.col("e.value").alias("value")))
+
+
+@query("extract_entities")
+def q_extract_entities(spark, sf):
+    return explode_entities(views.support_queries(spark, sf), "row_id", "short_text")
+
+
+@query("entities_on_raw")
+def q_entities_on_raw(spark, sf):
+    return explode_entities(_docs(spark, sf), "doc_id", "text")
+
+
+# --- C1-C3 -------------------------------------------------------------------
+
+@query("normalize_category")
+def q_normalize_category(spark, sf):
+    return views.support_queries(spark, sf).select(
+        "row_id", cat.normalize_category("category", "sub_category").alias("normalized_category"))
+
+
+@query("sentiment_by_category")
+def q_sentiment_by_category(spark, sf):
+    cats = q_normalize_category(spark, sf)
+    sents = views.support_responses(spark, sf).select(
+        "row_id", F.col("stub_sentiment").alias("sentiment"))
+    return reports.sentiment_by_category(cats.join(sents, "row_id"))

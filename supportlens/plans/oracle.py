@@ -119,3 +119,140 @@ FROM g CROSS JOIN st LEFT JOIN b ON b.bin = g.bin
 
 ORACLE["length_histogram"] = sq(HISTOGRAM_TEMPLATE.format(
     values=f"SELECT CAST({d_token_count(d_clean_nodict('query_text'))} AS DOUBLE) AS v FROM support_text"))
+
+
+# --- E1-E7 -------------------------------------------------------------------
+
+from ..functions import categories as cat  # noqa: E402
+from ..functions import entities as ent  # noqa: E402
+
+
+def d_lower(x: str) -> str:
+    return f"lower(coalesce(CAST({x} AS VARCHAR), ''))"
+
+
+def d_order_id(s: str) -> str:
+    return f"nullif(regexp_extract({s}, '{ent.ORDER_ID_RE}'), '')"
+
+
+def d_amount(s: str) -> str:
+    return f"nullif(regexp_extract({s}, '{ent.AMOUNT_RE}'), '')"
+
+
+def _d_month(m: str) -> str:
+    return ("CASE substr(" + m + ", 1, 3) " +
+            " ".join(f"WHEN '{m3}' THEN {i + 1}" for i, m3 in enumerate(ent.MONTHS3)) + " END")
+
+
+def _d_int(x: str) -> str:
+    return f"TRY_CAST(nullif({x}, '') AS INTEGER)"
+
+
+def _d_ymd(y: str, m: str, d: str) -> str:
+    return f"TRY_CAST(printf('%04d-%02d-%02d', {y}, {m}, {d}) AS DATE)"
+
+
+def d_date(s: str) -> str:
+    gate = " OR ".join(f"contains({s}, '{w}')" for w in ent.DATE_GATE_WORDS)
+    t = d_strip(s)
+    yr = str(ent.DEFAULT_REF_DATE.year)
+    rel = " ".join(f"WHEN '{k}' THEN DATE '{v.isoformat()}'"
+                   for k, v in ent.relative_dates(ent.DEFAULT_REF_DATE).items())
+
+    def g(p, i):
+        return f"regexp_extract({t}, '{p}', {i})"
+    dmy = _d_ymd(f"coalesce({_d_int(g(ent.DMY_RE, 3))}, {yr})", _d_month(g(ent.DMY_RE, 2)),
+                 _d_int(g(ent.DMY_RE, 1)))
+    mdy = _d_ymd(f"coalesce({_d_int(g(ent.MDY_RE, 3))}, {yr})", _d_month(g(ent.MDY_RE, 1)),
+                 _d_int(g(ent.MDY_RE, 2)))
+    my_y, my_m = _d_int(g(ent.MY_RE, 2)), _d_month(g(ent.MY_RE, 1))
+    my = _d_ymd(my_y, my_m,
+                f"least({ent.DEFAULT_REF_DATE.day}, day(last_day({_d_ymd(my_y, my_m, '1')})))")
+    parsed = (f"CASE WHEN regexp_matches({t}, '{ent.DMY_RE}') THEN {dmy} "
+              f"WHEN regexp_matches({t}, '{ent.MDY_RE}') THEN {mdy} "
+              f"WHEN regexp_matches({t}, '{ent.MY_RE}') THEN {my} "
+              f"ELSE CASE {t} {rel} END END")
+    return f"CASE WHEN {gate} THEN strftime({parsed}, '%Y-%m-%d') END"
+
+
+def d_actions(s: str) -> str:
+    return f"list_filter([{sql_list(ent.ACCOUNT_ACTIONS)}], lambda p: contains({s}, p))"
+
+
+def d_intents(s: str) -> str:
+    parts = []
+    for words, label in ent.INTENT_RULES:
+        cond = " OR ".join(f"contains({s}, '{w}')" for w in words)
+        parts.append(f"CASE WHEN {cond} THEN '{label}' END")
+    return f"list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL)"
+
+
+def d_entities(source: str, key: str, text: str) -> str:
+    """(key, pos, type, value) rows: each rule emits rows with an ordinal, ranked per key."""
+    s = d_lower(text)
+    return f"""
+WITH src AS (SELECT {key} AS k, {s} AS s FROM {source}),
+parts AS (
+  SELECT k, 0 AS ord, 'OrderID' AS type, {d_order_id('s')} AS value FROM src
+  UNION ALL SELECT k, 1, 'Amount', {d_amount('s')} FROM src
+  UNION ALL SELECT k, 2, 'Date', {d_date('s')} FROM src
+  UNION ALL SELECT k, 10 + generate_subscripts(a, 1), 'AccountAction', unnest(a)
+            FROM (SELECT k, {d_actions('s')} AS a FROM src)
+  UNION ALL SELECT k, 100 + generate_subscripts(a, 1), 'Intent', unnest(a)
+            FROM (SELECT k, {d_intents('s')} AS a FROM src))
+SELECT k AS {key}, CAST(row_number() OVER (PARTITION BY k ORDER BY ord) - 1 AS INTEGER) AS pos,
+       type, value
+FROM parts WHERE value IS NOT NULL"""
+
+
+SHORT = "(SELECT row_id, short_text FROM support_queries)"
+
+ORACLE["entity_order_id"] = with_views(
+    f"SELECT row_id, {d_order_id(d_lower('short_text'))} AS order_id FROM support_queries",
+    "support_queries")
+ORACLE["entity_amount"] = with_views(
+    f"SELECT row_id, {d_amount(d_lower('short_text'))} AS amount FROM support_queries",
+    "support_queries")
+ORACLE["entity_date"] = with_views(
+    f"SELECT row_id, {d_date(d_lower('short_text'))} AS date FROM support_queries",
+    "support_queries")
+ORACLE["entity_account_action"] = with_views(
+    explode_pos(f"(SELECT row_id, {d_lower('short_text')} AS s FROM support_queries)", "row_id",
+                d_actions("s"), "action"), "support_queries")
+ORACLE["entity_intent"] = with_views(
+    explode_pos(f"(SELECT row_id, {d_lower('short_text')} AS s FROM support_queries)", "row_id",
+                d_intents("s"), "intent"), "support_queries")
+ORACLE["extract_entities"] = with_views(
+    merge_with("q AS (SELECT row_id, short_text FROM support_queries)",
+               d_entities("q", "row_id", "short_text")), "support_queries")
+ORACLE["entities_on_raw"] = d_entities("documents", "doc_id", "text")
+
+
+# --- C1-C3 -------------------------------------------------------------------
+
+def d_normalize_category(category: str, sub: str) -> str:
+    s = f"lower(coalesce(CAST({sub} AS VARCHAR), ''))"
+    c = f"upper(coalesce(CAST({category} AS VARCHAR), ''))"
+    whens = []
+    for words, label in cat.CATEGORY_RULES:
+        cond = " OR ".join(f"contains({s}, '{w}')" for w in words)
+        whens.append(f"WHEN {cond} THEN '{label}'")
+    return f"CASE {' '.join(whens)} WHEN {c} <> '' THEN {c} ELSE 'OTHER' END"
+
+
+ORACLE["normalize_category"] = with_views(
+    f"SELECT row_id, {d_normalize_category('category', 'sub_category')} AS normalized_category "
+    "FROM support_queries", "support_queries")
+
+ORACLE["sentiment_by_category"] = with_views(f"""
+WITH j AS (SELECT {d_normalize_category('q.category', 'q.sub_category')} AS normalized_category,
+                  r.stub_sentiment AS sentiment
+           FROM support_queries q JOIN support_responses r ON r.row_id = q.row_id
+           WHERE r.stub_sentiment IS NOT NULL),
+c AS (SELECT normalized_category, sentiment, count(*) AS n FROM j GROUP BY ALL),
+cats AS (SELECT normalized_category, count(*) AS category_total FROM j GROUP BY ALL),
+labs AS (SELECT DISTINCT sentiment FROM j)
+SELECT cats.normalized_category, labs.sentiment, coalesce(c.n, 0) AS n, cats.category_total
+FROM cats CROSS JOIN labs
+LEFT JOIN c ON c.normalized_category = cats.normalized_category AND c.sentiment = labs.sentiment
+""", "support_queries", "support_responses")
