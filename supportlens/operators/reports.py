@@ -61,3 +61,42 @@ def sentiment_by_category(df: DataFrame, category: str = "normalized_category",
                 .select(category, sentiment, F.coalesce("n", F.lit(0)).alias("n"),
                         "category_total")
                 .orderBy(F.desc("category_total"), category, sentiment))
+
+
+def _score_col(m: str):
+    # An absent score counts as 0 in the aggregates (unlike the parser's defaults).
+    return F.coalesce(F.col(m).cast("int"), F.lit(0))
+
+
+def quality_averages(scores: DataFrame, metrics=SCORE_METRICS) -> DataFrame:
+    """A1: one row: n, and per metric its sum and sum / max(1, n) rounded to 3 places."""
+    n = F.count(F.lit(1))
+    aggs = [n.alias("n")]
+    for m in metrics:
+        s = F.sum(_score_col(m))
+        aggs.append(F.coalesce(s, F.lit(0)).cast("bigint").alias(f"sum_{m}"))
+        aggs.append(F.round(F.coalesce(s, F.lit(0)) / F.greatest(F.lit(1), n), 3).alias(f"avg_{m}"))
+    return scores.agg(*aggs)
+
+
+def quality_distributions(scores: DataFrame, metrics=SCORE_METRICS) -> DataFrame:
+    """A2: long rows (metric, score, n), partial-aggregated before the shuffle."""
+    long = scores.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), _score_col(m).alias("score")) for m in metrics])).alias("x"))
+    return (long.groupBy(F.col("x.metric").alias("metric"), F.col("x.score").alias("score"))
+                .agg(F.count(F.lit(1)).alias("n")))
+
+
+def quality_summary(scores: DataFrame, metrics=SCORE_METRICS) -> DataFrame:
+    """A3: one row, also for empty input: n, averages, and each distribution as
+    JSON text of a map with ascending keys. Distributions are tiny aggregates
+    brought in as scalar subqueries."""
+    avg = quality_averages(scores, metrics)
+    dist = quality_distributions(scores, metrics)
+    cols = [F.col("n")] + [F.col(f"avg_{m}") for m in metrics]
+    for m in metrics:
+        d = dist.where(F.col("metric") == m).select(
+            F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+                F.col("score").cast("string"), F.col("n"))))))).scalar()
+        cols.append(F.coalesce(d, F.lit("{}")).alias(f"dist_{m}"))
+    return avg.select(*cols)

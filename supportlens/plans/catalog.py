@@ -154,3 +154,61 @@ def q_sentiment_by_category(spark, sf):
     sents = views.support_responses(spark, sf).select(
         "row_id", F.col("stub_sentiment").alias("sentiment"))
     return reports.sentiment_by_category(cats.join(sents, "row_id"))
+
+
+# --- L1, L4, L5, L10, A1-A3 --------------------------------------------------
+
+from ..functions import judge as jg  # noqa: E402
+from ..functions import prompts as pr  # noqa: E402
+
+
+@query("build_prompts")
+def q_build_prompts(spark, sf):
+    r = views.support_responses(spark, sf)
+    tasks = F.array(
+        F.struct(F.lit("reply").alias("task"), pr.reply_prompt("query").alias("m")),
+        F.struct(F.lit("judge").alias("task"), pr.judge_prompt("query", "response").alias("m")),
+        F.struct(F.lit("classify").alias("task"), pr.classify_prompt("query").alias("m")))
+    return (r.select("row_id", F.explode(tasks).alias("t"))
+             .select("row_id", F.col("t.task").alias("task"),
+                     F.posexplode("t.m").alias("pos", "msg"))
+             .select("row_id", "task", "pos", F.col("msg.role").alias("role"),
+                     F.col("msg.content").alias("content")))
+
+
+@query("coerce_score")
+def q_coerce_score(spark, sf):
+    v = F.try_parse_json("raw")
+    return views.judge_raw(spark, sf).select(
+        "row_id", jg.coerce_score(F.try_variant_get(v, "$.helpfulness", "variant")).alias("score"))
+
+
+def judge_scores(spark, sf) -> DataFrame:
+    return views.judge_raw(spark, sf).select("row_id", jg.parse_judge("raw").alias("s")).select(
+        "row_id", "s.relevance", "s.helpfulness", "s.tone", "s.explanation")
+
+
+@query("parse_judge_scores")
+def q_parse_judge_scores(spark, sf):
+    return judge_scores(spark, sf)
+
+
+@query("parse_synthetic_queries")
+def q_parse_synthetic_queries(spark, sf):
+    return views.synthetic_raw(spark, sf).select(
+        "topic_id", "topic", F.posexplode(pr.parse_synthetic("raw")).alias("pos", "query"))
+
+
+@query("llm_quality_avg")
+def q_llm_quality_avg(spark, sf):
+    return reports.quality_averages(judge_scores(spark, sf))
+
+
+@query("llm_quality_dist")
+def q_llm_quality_dist(spark, sf):
+    return reports.quality_distributions(judge_scores(spark, sf))
+
+
+@query("llm_quality_summary")
+def q_llm_quality_summary(spark, sf):
+    return reports.quality_summary(judge_scores(spark, sf))

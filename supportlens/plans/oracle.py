@@ -256,3 +256,93 @@ SELECT cats.normalized_category, labs.sentiment, coalesce(c.n, 0) AS n, cats.cat
 FROM cats CROSS JOIN labs
 LEFT JOIN c ON c.normalized_category = cats.normalized_category AND c.sentiment = labs.sentiment
 """, "support_queries", "support_responses")
+
+
+# --- L1, L4, L5, L10, A1-A3 --------------------------------------------------
+
+from ..functions import judge as jg  # noqa: E402
+from ..functions import prompts as pr  # noqa: E402
+
+
+def d_msgs(system: str, user: str) -> str:
+    return f"[{{'role': 'system', 'content': {q(system)}}}, {{'role': 'user', 'content': {user}}}]"
+
+
+ORACLE["build_prompts"] = with_views(f"""
+WITH t AS (
+  SELECT row_id, 'reply' AS task, {d_msgs(pr.REPLY_SYSTEM, "'Customer message:' || chr(10) || coalesce(query, '')")} AS m
+  FROM support_responses
+  UNION ALL SELECT row_id, 'judge', {d_msgs(pr.JUDGE_SYSTEM, "CAST(to_json({'query': query, 'reply': response}) AS VARCHAR)")}
+  FROM support_responses
+  UNION ALL SELECT row_id, 'classify', {d_msgs(pr.CLASSIFY_SYSTEM, "coalesce(query, '')")} FROM support_responses),
+e AS (SELECT row_id, task, CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS pos, unnest(m) AS msg FROM t)
+SELECT row_id, task, pos, msg.role AS role, msg.content AS content FROM e
+""", "support_responses")
+
+
+def d_json_object(raw: str) -> str:
+    """Text of the JSON object in ``raw``, or '{}' (not JSON, not an object, NULL)."""
+    return f"CASE WHEN coalesce(try(json_type({raw})) = 'OBJECT', false) THEN {raw} ELSE '{{}}' END"
+
+
+def d_coerce(j: str, key: str) -> str:
+    p = f"'$.{key}'"
+    conv = (f"CASE json_type({j}, {p}) "
+            f"WHEN 'BIGINT' THEN TRY_CAST({j}->>{p} AS BIGINT) "
+            f"WHEN 'UBIGINT' THEN TRY_CAST({j}->>{p} AS BIGINT) "
+            f"WHEN 'DOUBLE' THEN TRY_CAST(trunc(CAST({j}->>{p} AS DOUBLE)) AS BIGINT) "
+            f"WHEN 'VARCHAR' THEN CASE WHEN regexp_full_match({j}->>{p}, '\\s*[+-]?[0-9]+\\s*') "
+            f"THEN TRY_CAST(trim({j}->>{p}) AS BIGINT) END "
+            f"WHEN 'BOOLEAN' THEN CASE WHEN {j}->>{p} = 'true' THEN 1 ELSE 0 END "
+            f"ELSE NULL END")
+    return f"CAST(greatest(1, least(5, coalesce({conv}, 1))) AS INTEGER)"
+
+
+def d_score(j: str, key: str, default: int) -> str:
+    return f"CASE WHEN json_type({j}, '$.{key}') IS NULL THEN {default} ELSE {d_coerce(j, key)} END"
+
+
+JUDGE_PARSED = f"""
+SELECT row_id, {d_score('j', 'relevance', jg.SCORE_DEFAULTS['relevance'])} AS relevance,
+       {d_score('j', 'helpfulness', jg.SCORE_DEFAULTS['helpfulness'])} AS helpfulness,
+       {d_score('j', 'tone', jg.SCORE_DEFAULTS['tone'])} AS tone,
+       coalesce(nullif(j->>'$.explanation', ''), {q(jg.DEFAULT_EXPLANATION)}) AS explanation
+FROM (SELECT row_id, {d_json_object('raw')} AS j FROM judge_raw)
+"""
+
+
+def jq(sql: str) -> str:
+    return with_views(merge_with(f"scores AS ({JUDGE_PARSED})", sql), "judge_raw")
+
+
+ORACLE["coerce_score"] = with_views(
+    f"SELECT row_id, {d_coerce('j', 'helpfulness')} AS score "
+    f"FROM (SELECT row_id, {d_json_object('raw')} AS j FROM judge_raw)", "judge_raw")
+
+ORACLE["parse_judge_scores"] = jq("SELECT * FROM scores")
+
+ORACLE["parse_synthetic_queries"] = with_views(explode_pos(
+    "synthetic_raw", "topic_id, topic",
+    f"list_transform(list_filter(string_split(coalesce(raw, ''), chr(10)), "
+    f"lambda l: {d_strip('l')} <> ''), lambda l: regexp_replace(l, '^[0-9. ]+|[0-9. ]+$', '', 'g'))",
+    "query"), "synthetic_raw")
+
+AVG_SQL = ("SELECT count(*) AS n, " + ", ".join(
+    f"CAST(coalesce(sum(coalesce({m}, 0)), 0) AS BIGINT) AS sum_{m}, "
+    f"round(coalesce(sum(coalesce({m}, 0)), 0) / greatest(1, count(*)), 3) AS avg_{m}"
+    for m in ("relevance", "helpfulness", "tone")) + " FROM scores")
+
+DIST_SQL = ("SELECT metric, score, count(*) AS n FROM (" + " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, CAST(coalesce({m}, 0) AS INTEGER) AS score FROM scores"
+    for m in ("relevance", "helpfulness", "tone")) + ") GROUP BY ALL")
+
+ORACLE["llm_quality_avg"] = jq(AVG_SQL)
+ORACLE["llm_quality_dist"] = jq(DIST_SQL)
+ORACLE["llm_quality_summary"] = jq(f"""
+WITH a AS ({AVG_SQL}), d AS ({DIST_SQL})
+SELECT n, avg_relevance, avg_helpfulness, avg_tone,
+""" + ",\n".join(
+    f"coalesce((SELECT CAST(to_json(map_from_entries(list({{'k': CAST(score AS VARCHAR), 'v': n}} "
+    f"ORDER BY score))) AS VARCHAR) "
+    f"FROM d WHERE metric = '{m}'), '{{}}') AS dist_{m}" for m in ("relevance", "helpfulness", "tone"))
+    + " FROM a")
