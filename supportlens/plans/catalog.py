@@ -212,3 +212,68 @@ def q_llm_quality_dist(spark, sf):
 @query("llm_quality_summary")
 def q_llm_quality_summary(spark, sf):
     return reports.quality_summary(judge_scores(spark, sf))
+
+
+# --- M3-M10 ------------------------------------------------------------------
+
+from ..operators import topics as tp  # noqa: E402
+from ..operators import vectors as vx  # noqa: E402
+
+
+def _emb(spark, sf):
+    return tables.read_table(spark, sf, "embeddings")
+
+
+@query("l2_normalize")
+def q_l2_normalize(spark, sf):
+    # Scale each component by its 1-based position so the input is not unit length.
+    scaled = F.transform(vx.as_double_array("embedding"), lambda x, i: x * (i + 1))
+    return (_emb(spark, sf).select("vec_id", F.posexplode(vx.l2_normalize(scaled)).alias("pos", "x"))
+            .select("vec_id", "pos", F.round("x", 4).alias("value")))
+
+
+def label_centroids(spark, sf):
+    return vx.centroid_means(_emb(spark, sf), "embedding", "label")
+
+
+def assigned(spark, sf):
+    return vx.assign_nearest(_emb(spark, sf), "embedding", label_centroids(spark, sf))
+
+
+@query("kmeans_assign")
+def q_kmeans_assign(spark, sf):
+    return assigned(spark, sf).select("vec_id", "topic")
+
+
+@query("kmeans_step")
+def q_kmeans_step(spark, sf):
+    step = vx.centroid_means(assigned(spark, sf), "embedding", "topic")
+    return (step.select("topic", "members", F.posexplode("centroid").alias("pos", "x"))
+                .select("topic", "pos", F.round("x", 4).alias("value"),
+                        F.col("members").cast("bigint").alias("members")))
+
+
+@query("kmeans_topics")
+def q_kmeans_topics(spark, sf):
+    _, labelled = vx.kmeans_fit(_emb(spark, sf), "embedding", k=10, seed=42)
+    return labelled.select("vec_id", "topic")
+
+
+@query("unique_clusters")
+def q_unique_clusters(spark, sf):
+    return tp.unique_clusters(assigned(spark, sf), "topic")
+
+
+@query("topic_samples")
+def q_topic_samples(spark, sf):
+    lab = tables.read_table(spark, sf, "labels")
+    docs = _docs(spark, sf).join(lab, "doc_id").select(
+        "doc_id", "text", (F.col("quality") * 2 + F.col("toxic")).alias("topic"))
+    s = tp.topic_samples(docs, "text", "topic", "doc_id", 5)
+    return s.select("topic", F.posexplode("samples").alias("pos", "sample"))
+
+
+@query("topic_head")
+def q_topic_head(spark, sf):
+    return tp.topic_head(_emb(spark, sf).select(F.col("label").alias("topic"), "vec_id"),
+                         "topic", "vec_id", 5)

@@ -346,3 +346,54 @@ SELECT n, avg_relevance, avg_helpfulness, avg_tone,
     f"ORDER BY score))) AS VARCHAR) "
     f"FROM d WHERE metric = '{m}'), '{{}}') AS dist_{m}" for m in ("relevance", "helpfulness", "tone"))
     + " FROM a")
+
+
+# --- M3-M10 ------------------------------------------------------------------
+
+ORACLE["l2_normalize"] = """
+WITH s AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x, i: x * i) AS v FROM embeddings),
+n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nrm FROM s)
+SELECT vec_id, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS pos,
+       round(CASE WHEN nrm > 0 THEN unnest(v) / nrm ELSE 0.0 END, 4) + 0.0 AS value
+FROM n
+"""
+
+CENTROIDS_SQL = """
+centroids AS (
+  SELECT topic, list(x ORDER BY pos) AS c FROM (
+    SELECT label AS topic, pos, avg(x) AS x FROM (
+      SELECT label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x
+      FROM embeddings) GROUP BY ALL) GROUP BY topic),
+assigned AS (
+  SELECT vec_id, embedding, topic FROM (
+    SELECT e.vec_id, e.embedding, c.topic,
+           row_number() OVER (PARTITION BY e.vec_id ORDER BY
+             list_sum(list_transform(list_zip(CAST(e.embedding AS DOUBLE[]), c.c),
+                                     lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.topic) AS rn
+    FROM embeddings e CROSS JOIN centroids c) WHERE rn = 1)
+"""
+
+ORACLE["kmeans_assign"] = f"WITH {CENTROIDS_SQL} SELECT vec_id, topic FROM assigned"
+
+ORACLE["kmeans_step"] = f"""
+WITH {CENTROIDS_SQL},
+m AS (SELECT topic, pos, avg(x) AS x, count(*) AS members FROM (
+  SELECT topic, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) AS x
+  FROM assigned) GROUP BY ALL)
+SELECT topic, CAST(pos AS INTEGER) AS pos, round(x, 4) + 0.0 AS value, members FROM m
+"""
+
+ORACLE["unique_clusters"] = f"WITH {CENTROIDS_SQL} SELECT count(DISTINCT topic) AS unique_clusters FROM assigned"
+
+ORACLE["topic_samples"] = """
+WITH d AS (SELECT d.doc_id, d.text, l.quality * 2 + l.toxic AS topic
+           FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+r AS (SELECT topic, doc_id, text, row_number() OVER (PARTITION BY topic ORDER BY doc_id) AS rk FROM d)
+SELECT topic, CAST(rk - 1 AS INTEGER) AS pos, text AS sample FROM r WHERE rk <= 5
+"""
+
+ORACLE["topic_head"] = """
+SELECT topic, vec_id, CAST(rk AS INTEGER) AS rank FROM (
+  SELECT label AS topic, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rk
+  FROM embeddings) WHERE rk <= 5
+"""
