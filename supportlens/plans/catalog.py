@@ -277,3 +277,57 @@ def q_topic_samples(spark, sf):
 def q_topic_head(spark, sf):
     return tp.topic_head(_emb(spark, sf).select(F.col("label").alias("topic"), "vec_id"),
                          "topic", "vec_id", 5)
+
+
+# --- T6, T8, T11, T12 --------------------------------------------------------
+
+from ..operators import cleaning, lemmas, spelling  # noqa: E402
+
+
+def lexicon(spark, sf):
+    """Dictionary learned from the whole ``documents`` corpus."""
+    return spelling.build_lexicon(_docs(spark, sf), "text", min_freq=20)
+
+
+@query("build_lexicon")
+def q_build_lexicon(spark, sf):
+    return lexicon(spark, sf)
+
+
+def _support_tokens(spark, sf):
+    return cleaning.explode_tokens(support_text(spark, sf), "row_id", "query_text")
+
+
+@query("spell_suggest")
+def q_spell_suggest(spark, sf):
+    return spelling.correction_table(_support_tokens(spark, sf), lexicon(spark, sf))
+
+
+@query("spell_correct")
+def q_spell_correct(spark, sf):
+    return cleaning.clean_texts(support_text(spark, sf), "row_id", "query_text", lexicon(spark, sf),
+                                correct=True, lemmatize=False, stop_words=()).select("row_id", "clean")
+
+
+@query("lemmatize")
+def q_lemmatize(spark, sf):
+    return lemmas.lemma_table(_support_tokens(spark, sf), lexicon(spark, sf))
+
+
+@query("clean_text")
+def q_clean_text(spark, sf):
+    return cleaning.clean_texts(support_text(spark, sf), "row_id", "query_text",
+                                lexicon(spark, sf)).select("row_id", "clean")
+
+
+@query("prepare_queries")
+def q_prepare_queries(spark, sf):
+    q = views.support_queries(spark, sf)
+    c = cleaning.clean_texts(q, "row_id", "short_text", lexicon(spark, sf))
+    return q.select("row_id", "short_text").join(c, "row_id")
+
+
+@query("clean_responses")
+def q_clean_responses(spark, sf):
+    r = views.support_responses(spark, sf)
+    return cleaning.clean_texts(r, "row_id", "response", lexicon(spark, sf)).select("row_id", "clean")

@@ -397,3 +397,101 @@ SELECT topic, vec_id, CAST(rk AS INTEGER) AS rank FROM (
   SELECT label AS topic, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rk
   FROM embeddings) WHERE rk <= 5
 """
+
+
+# --- T6, T8, T11, T12 --------------------------------------------------------
+
+from ..operators import lemmas as lm  # noqa: E402
+
+# DuckDB's edit distances count bytes; mapping the accented Latin-1 letters to
+# ASCII symbols that cannot occur in tokens (upper case, digits) makes them
+# count characters.
+ACCENTED = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+ASCII_SLOTS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456"
+
+LEXICON_CTE = """lex AS (
+  SELECT word, count(*) AS freq FROM (
+    SELECT unnest(regexp_extract_all(lower(text), '\\pL+')) AS word FROM documents)
+  GROUP BY word HAVING count(*) >= 20 AND length(word) >= 2)"""
+
+
+def d_ascii(x: str) -> str:
+    return f"translate({x}, '{ACCENTED}', '{ASCII_SLOTS}')"
+
+
+SPELL_CTES = f"""{LEXICON_CTE},
+vocab AS (SELECT DISTINCT token FROM toks WHERE token IS NOT NULL),
+unk AS (SELECT token FROM vocab WHERE length(token) > 1 AND token NOT IN (SELECT word FROM lex)),
+cand AS (SELECT u.token, l.word, l.freq,
+                damerau_levenshtein({d_ascii('u.token')}, {d_ascii('l.word')}) AS d
+         FROM unk u JOIN lex l ON abs(length(u.token) - length(l.word)) <= 2),
+best AS (SELECT token, word AS suggestion, CAST(d AS INTEGER) AS distance FROM (
+           SELECT *, row_number() OVER (PARTITION BY token ORDER BY d, freq DESC, word) AS rn
+           FROM cand WHERE d <= 2) WHERE rn = 1)"""
+
+
+def d_lemma_cands(w: str) -> str:
+    outs = [w]
+    for suf, rep in lm.NOUN_RULES:
+        outs.append(f"CASE WHEN ends_with({w}, '{suf}') AND length({w}) > {len(suf)} "
+                    f"THEN substring({w}, 1, length({w}) - {len(suf)}) || '{rep}' END")
+    return f"list_filter([{', '.join(outs)}], lambda x: x IS NOT NULL)"
+
+
+def lemma_ctes(src: str) -> str:
+    """CTE ``lem(w, lemma)`` for the distinct words in column w of ``src``."""
+    return f"""lc AS (SELECT w, unnest({d_lemma_cands('w')}) AS cand FROM (SELECT DISTINCT w FROM {src})),
+lem AS (SELECT w, arg_min(cand, (length(cand), cand)) AS lemma
+        FROM lc WHERE cand IN (SELECT word FROM lex) GROUP BY w)"""
+
+
+CLEAN_OR_EMPTY = "coalesce(a.clean, '')"
+
+
+def clean_sql(source: str, key: str, text: str, correct=True, lemmatize=True, stop=True,
+              extra_cols: str = "") -> str:
+    toks = explode_pos(source, key, d_basic_tokens(text))
+    ctes = [f"toks AS ({toks})", SPELL_CTES]
+    w_expr = "coalesce(b.suggestion, v.token)" if correct else "v.token"
+    ctes.append(f"corr AS (SELECT v.token, {w_expr} AS w FROM vocab v LEFT JOIN best b ON b.token = v.token)")
+    keep = f"w NOT IN ({STOP_IN})" if stop else "true"
+    ctes.append(f"kept AS (SELECT token, w FROM corr WHERE {keep})")
+    if lemmatize:
+        ctes.append(lemma_ctes("kept"))
+        ctes.append("fin AS (SELECT k.token, coalesce(l.lemma, k.w) AS out FROM kept k LEFT JOIN lem l ON l.w = k.w)")
+    else:
+        ctes.append("fin AS (SELECT token, w AS out FROM kept)")
+    ctes.append(f"""agg AS (SELECT t.{key} AS k, string_agg(f.out, ' ' ORDER BY t.pos) AS clean
+                FROM toks t JOIN fin f ON f.token = t.token GROUP BY t.{key})""")
+    body = (f"SELECT s.{key}{extra_cols}, coalesce(a.clean, '') AS clean, "
+            f"{d_token_count(CLEAN_OR_EMPTY)} AS length "
+            f"FROM {source} s LEFT JOIN agg a ON a.k = s.{key}")
+    return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def _drop_length(sql: str) -> str:
+    return f"SELECT * EXCLUDE (length) FROM ({sql})"
+
+
+ORACLE["build_lexicon"] = f"WITH {LEXICON_CTE} SELECT word, freq FROM lex"
+
+ORACLE["spell_suggest"] = sq(
+    f"WITH toks AS ({explode_pos('support_text', 'row_id', d_basic_tokens('query_text'))}),\n"
+    f"{SPELL_CTES}\nSELECT token, suggestion, distance FROM best")
+
+ORACLE["spell_correct"] = sq(_drop_length(
+    clean_sql("support_text", "row_id", "query_text", correct=True, lemmatize=False, stop=False)))
+
+ORACLE["lemmatize"] = sq(
+    f"WITH toks AS ({explode_pos('support_text', 'row_id', d_basic_tokens('query_text'))}),\n"
+    f"{LEXICON_CTE},\nv AS (SELECT DISTINCT token AS w FROM toks),\n{lemma_ctes('v')}\n"
+    "SELECT w AS token, lemma FROM lem WHERE lemma <> w")
+
+ORACLE["clean_text"] = sq(_drop_length(clean_sql("support_text", "row_id", "query_text")))
+
+ORACLE["prepare_queries"] = with_views(
+    clean_sql("support_queries", "row_id", "short_text", extra_cols=", s.short_text"),
+    "support_queries")
+
+ORACLE["clean_responses"] = with_views(
+    _drop_length(clean_sql("support_responses", "row_id", "response")), "support_responses")
