@@ -133,3 +133,8 @@ def basic_tokens(c, mapping: dict | None = None, split_expansions: bool = True)
 def clean_without_dictionary(c, stop_words=ENGLISH_STOP_WORDS) -> Column:
     """The cleaning recipe without the dictionary-backed steps."""
     return join_tokens(remove_stopwords(basic_tokens(c), stop_words))
+
+
+def truncate_tokens(c, max_tokens: int = 256) -> Column:
+    """The first ``max_tokens`` whitespace tokens (a model's input limit)."""
+    return join_tokens(F.slice(tokenize(as_text(c)), 1, max_tokens))

@@ -331,3 +331,121 @@ def q_prepare_queries(spark, sf):
 def q_clean_responses(spark, sf):
     r = views.support_responses(spark, sf)
     return cleaning.clean_texts(r, "row_id", "response", lexicon(spark, sf)).select("row_id", "clean")
+
+
+# --- L2, L3, L6, L7, L9, L10, M1, N1-N5 --------------------------------------
+
+from ..operators import models, sentiment, tfidf  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+
+
+@query("llm_batch")
+def q_llm_batch(spark, sf):
+    r = views.support_responses(spark, sf).select(
+        "row_id", pr.judge_prompt("query", "response").alias("m"))
+    return models.chat_batch(r, "row_id", "m", models.stub_chat_client, task="judge",
+                             on_error="null", partitions=8)
+
+
+@query("generate_replies")
+def q_generate_replies(spark, sf):
+    s = support_text(spark, sf).select("row_id", pr.reply_prompt("query_text").alias("m"))
+    return models.chat_batch(s, "row_id", "m", models.stub_chat_client, task="reply", out="response")
+
+
+def _judged(df: DataFrame, query_col: str, reply_col: str) -> DataFrame:
+    prompts = df.select("row_id", pr.judge_prompt(query_col, reply_col).alias("m"))
+    raw = models.chat_batch(prompts, "row_id", "m", models.stub_chat_client, task="judge", out="raw")
+    return raw.select("row_id", jg.parse_judge("raw").alias("s")).select(
+        "row_id", "s.relevance", "s.helpfulness", "s.tone", "s.explanation")
+
+
+@query("judge_replies")
+def q_judge_replies(spark, sf):
+    return _judged(views.support_responses(spark, sf), "query", "response")
+
+
+@query("generate_and_score")
+def q_generate_and_score(spark, sf):
+    ensure_checkpoint_dir(spark)
+    qs = support_text(spark, sf)
+    replies = q_generate_replies(spark, sf)
+    # Replies are paid for: write them out before the judge stage reads them,
+    # so a retried judge task never regenerates a reply.
+    replies = replies.checkpoint(eager=True)
+    pairs = qs.join(replies, "row_id")
+    return pairs.select("row_id", "response").join(_judged(pairs, "query_text", "response"), "row_id")
+
+
+@query("classify_queries")
+def q_classify_queries(spark, sf):
+    s = support_text(spark, sf).select("row_id", pr.classify_prompt("query_text").alias("m"))
+    out = models.chat_batch(s, "row_id", "m", models.stub_chat_client, task="classify", out="label")
+    return out.withColumn("label_in_taxonomy", cat.in_taxonomy("label"))
+
+
+@query("generate_synthetic")
+def q_generate_synthetic(spark, sf):
+    topics = tables.read_table(spark, sf, "events").select(F.col("event_type").alias("topic")).distinct()
+    prompts = topics.select("topic", pr.synthetic_prompt("topic", F.lit(5)).alias("m"))
+    raw = models.chat_batch(prompts, "topic", "m", models.stub_chat_client, task="synthetic", out="raw")
+    return raw.select("topic", F.posexplode(pr.parse_synthetic("raw")).alias("pos", "query"))
+
+
+@query("truncate_tokens")
+def q_truncate_tokens(spark, sf):
+    return _docs(spark, sf).select("doc_id", tx.truncate_tokens("text", 256).alias("truncated"))
+
+
+@query("add_sentiment")
+def q_add_sentiment(spark, sf):
+    r = views.support_responses(spark, sf)
+    return r.select("row_id", models.classify_batch(F.col("response"), models.stub_sentiment_model,
+                                                    batch_size=64, max_tokens=256).alias("sentiment"))
+
+
+@query("sentiment_lexicon")
+def q_sentiment_lexicon(spark, sf):
+    s = support_text(spark, sf)
+    return s.select("row_id", sentiment.lexicon_sentiment("query_text").alias("sentiment"),
+                    sentiment.lexicon_score(tx.basic_tokens("query_text")).alias("score"))
+
+
+@query("sentiment_model")
+def q_sentiment_model(spark, sf):
+    docs = _docs(spark, sf)
+    train = docs.join(tables.read_table(spark, sf, "labels"), "doc_id").select("doc_id", "text", "quality")
+    model = sentiment.train_text_classifier(train, "text", "quality")
+    return sentiment.predict_text_classifier(model, docs.select("doc_id", "text")).select(
+        "doc_id", "sentiment", F.round("p_positive", 4).alias("p_positive"))
+
+
+def _stub_sentiments(spark, sf):
+    return views.support_responses(spark, sf).select("row_id", F.col("stub_sentiment").alias("sentiment"))
+
+
+@query("sentiment_counts")
+def q_sentiment_counts(spark, sf):
+    return sentiment.sentiment_counts(_stub_sentiments(spark, sf))
+
+
+@query("sentiment_share")
+def q_sentiment_share(spark, sf):
+    return sentiment.sentiment_share(_stub_sentiments(spark, sf))
+
+
+@query("embed_tfidf")
+def q_embed_tfidf(spark, sf):
+    docs = _docs(spark, sf)
+    toks = docs.select("doc_id", F.explode(tx.remove_stopwords(tx.basic_tokens("text"))).alias("token"))
+    return tfidf.tfidf(toks, "doc_id", docs=docs).select(
+        "doc_id", "term", F.round("weight", 4).alias("weight"))
+
+
+@query("embed_batch_model")
+def q_embed_batch_model(spark, sf):
+    s = support_text(spark, sf)
+    emb = models.encode_batch(F.col("query_text"), models.stub_encoder(16), dim=16, batch_size=64)
+    return (s.select("row_id", emb.alias("e"))
+             .select("row_id", F.posexplode("e").alias("pos", "x"))
+             .select("row_id", "pos", F.round("x", 4).alias("value")))

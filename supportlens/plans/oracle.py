@@ -495,3 +495,113 @@ ORACLE["prepare_queries"] = with_views(
 
 ORACLE["clean_responses"] = with_views(
     _drop_length(clean_sql("support_responses", "row_id", "response")), "support_responses")
+
+
+# --- L2, L3, L6, L7, L9, L10, M1, N1-N5 --------------------------------------
+
+from ..operators import models as md  # noqa: E402
+from ..operators import sentiment as sn  # noqa: E402
+
+
+def d_stub_reply(content: str) -> str:
+    return f"'Thanks for writing. We read ' || CAST(length({content}) AS VARCHAR) || ' characters.'"
+
+
+def d_stub_judge(content: str) -> str:
+    n = f"length({content})"
+    return (f"'{{\"relevance\":' || CAST(1 + {n} % 5 AS VARCHAR) || ',\"helpfulness\":' || "
+            f"CAST(1 + {n} % 7 AS VARCHAR) || ',\"tone\":' || CAST(2 + {n} % 4 AS VARCHAR) || "
+            f"',\"explanation\":\"length ' || CAST({n} AS VARCHAR) || '\"}}'")
+
+
+def d_judge_content(query: str, reply: str) -> str:
+    return f"CAST(to_json({{'query': {query}, 'reply': {reply}}}) AS VARCHAR)"
+
+
+def d_parsed_from(raw_sql: str) -> str:
+    """Parse judge text column ``raw`` of ``raw_sql`` like JUDGE_PARSED does."""
+    return f"""
+SELECT row_id, {d_score('j', 'relevance', jg.SCORE_DEFAULTS['relevance'])} AS relevance,
+       {d_score('j', 'helpfulness', jg.SCORE_DEFAULTS['helpfulness'])} AS helpfulness,
+       {d_score('j', 'tone', jg.SCORE_DEFAULTS['tone'])} AS tone,
+       coalesce(nullif(j->>'$.explanation', ''), {q(jg.DEFAULT_EXPLANATION)}) AS explanation
+FROM (SELECT row_id, {d_json_object('raw')} AS j FROM ({raw_sql}))"""
+
+
+REPLY_CONTENT = "'Customer message:' || chr(10) || coalesce(query_text, '')"
+
+ORACLE["llm_batch"] = with_views(
+    f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS text, "
+    "CAST(NULL AS VARCHAR) AS error FROM support_responses", "support_responses")
+
+ORACLE["generate_replies"] = sq(f"SELECT row_id, {d_stub_reply(REPLY_CONTENT)} AS response FROM support_text")
+
+ORACLE["judge_replies"] = with_views(d_parsed_from(
+    f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM support_responses"),
+    "support_responses")
+
+ORACLE["generate_and_score"] = sq(f"""
+WITH g AS (SELECT row_id, query_text, {d_stub_reply(REPLY_CONTENT)} AS response FROM support_text),
+p AS ({d_parsed_from(f"SELECT row_id, {d_stub_judge(d_judge_content('query_text', 'response'))} AS raw FROM g")})
+SELECT g.row_id, g.response, p.relevance, p.helpfulness, p.tone, p.explanation
+FROM g JOIN p ON p.row_id = g.row_id""")
+
+ORACLE["classify_queries"] = sq(f"""
+SELECT row_id, label, label IN ({sql_list(cat.TOP_CATEGORIES)}) AS label_in_taxonomy FROM (
+  SELECT row_id, [{sql_list(md.STUB_LABELS)}][length(coalesce(query_text, '')) % 6 + 1] AS label
+  FROM support_text)""")
+
+_SYN_USER = "'Write 5 different customer messages about ' || topic || '.'"
+_SYN_RAW = ("'1. ' || u || ' #1' || chr(10) || '2. ' || u || ' #2' || chr(10) || "
+            "'3. ' || u || ' #3' || chr(10) || chr(10)")
+ORACLE["generate_synthetic"] = explode_pos(
+    f"(SELECT topic, {_SYN_RAW} AS raw FROM (SELECT topic, {_SYN_USER} AS u FROM "
+    "(SELECT DISTINCT event_type AS topic FROM events)))", "topic",
+    f"list_transform(list_filter(string_split(coalesce(raw, ''), chr(10)), "
+    f"lambda l: {d_strip('l')} <> ''), lambda l: regexp_replace(l, '^[0-9. ]+|[0-9. ]+$', '', 'g'))",
+    "query")
+
+
+def d_truncate(x: str, n: int = 256) -> str:
+    text = f"coalesce(CAST({x} AS VARCHAR), '')"
+    return f"array_to_string(list_slice({d_tokens(text)}, 1, {n}), ' ')"
+
+
+ORACLE["truncate_tokens"] = f"SELECT doc_id, {d_truncate('text')} AS truncated FROM documents"
+
+ORACLE["add_sentiment"] = with_views(
+    f"SELECT row_id, CASE WHEN length({d_truncate('response')}) % 2 = 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END "
+    "AS sentiment FROM support_responses", "support_responses")
+
+
+def d_lexicon_score(toks: str) -> str:
+    return (f"CAST(len(list_filter({toks}, lambda w: w IN ({sql_list(sn.POSITIVE_WORDS)}))) - "
+            f"len(list_filter({toks}, lambda w: w IN ({sql_list(sn.NEGATIVE_WORDS)}))) AS INTEGER)")
+
+
+ORACLE["sentiment_lexicon"] = sq(
+    f"SELECT row_id, CASE WHEN score >= 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS sentiment, score "
+    f"FROM (SELECT row_id, {d_lexicon_score(d_basic_tokens('query_text'))} AS score FROM support_text)")
+
+ORACLE["sentiment_counts"] = with_views("""
+WITH c AS (SELECT stub_sentiment AS sentiment, count(*) AS n FROM support_responses
+           WHERE stub_sentiment IN ('POSITIVE', 'NEGATIVE') GROUP BY 1),
+o AS (SELECT * FROM (VALUES ('POSITIVE', 0), ('NEGATIVE', 1)) t(sentiment, ord))
+SELECT o.sentiment, CAST(o.ord AS INTEGER) AS ord, coalesce(c.n, 0) AS n FROM o LEFT JOIN c USING (sentiment)
+""", "support_responses")
+
+ORACLE["sentiment_share"] = with_views("""
+WITH c AS (SELECT stub_sentiment AS sentiment, count(*) AS n FROM support_responses
+           WHERE stub_sentiment IS NOT NULL GROUP BY 1)
+SELECT sentiment, round(n * 100.0 / (SELECT sum(n) FROM c), 4) AS share FROM c
+""", "support_responses")
+
+ORACLE["embed_tfidf"] = f"""
+WITH toks AS (SELECT doc_id, unnest({d_remove_stop(d_basic_tokens('text'))}) AS token FROM documents),
+tf AS (SELECT doc_id, token AS term, count(*) AS tf FROM toks GROUP BY ALL),
+dfc AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n AS (SELECT count(*) AS n FROM documents),
+w AS (SELECT doc_id, term, tf * ln((n + 1) / (df + 1)) AS w FROM tf JOIN dfc USING (term) CROSS JOIN n),
+r AS (SELECT doc_id, term, w, sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS nrm FROM w)
+SELECT doc_id, term, round(CASE WHEN nrm > 0 THEN w / nrm ELSE 0.0 END, 4) + 0.0 AS weight FROM r
+"""

@@ -39,7 +39,7 @@ SCHEMAS = {
     "benchmark": T.StructType([
         T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType())]),
     "events": T.StructType([
-        T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
+        T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
         T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())]),
 }
