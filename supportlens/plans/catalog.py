@@ -449,3 +449,114 @@ def q_embed_batch_model(spark, sf):
     return (s.select("row_id", emb.alias("e"))
              .select("row_id", F.posexplode("e").alias("pos", "x"))
              .select("row_id", "pos", F.round("x", 4).alias("value")))
+
+
+# --- S4-S7, E7, P1-P3, A5, streaming -----------------------------------------
+
+import uuid  # noqa: E402
+
+from ..plans import flows  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import writers  # noqa: E402
+from ..streaming import live  # noqa: E402
+
+
+@query("sample_first_n")
+def q_sample_first_n(spark, sf):
+    return flows.first_n(views.support_queries(spark, sf).select("row_id", "short_text"), 5)
+
+
+@query("example_pairs")
+def q_example_pairs(spark, sf):
+    r = views.support_responses(spark, sf).select("row_id", "query", "response")
+    return flows.first_n(r.join(_judged(views.support_responses(spark, sf), "query", "response"),
+                                "row_id"), 3)
+
+
+@query("sentiment_sample")
+def q_sentiment_sample(spark, sf):
+    return flows.first_n(q_add_sentiment(spark, sf), 5)
+
+
+@query("pair_query_response")
+def q_pair_query_response(spark, sf):
+    qs = views.support_queries(spark, sf).select("row_id", "short_text")
+    rs = views.support_responses(spark, sf).select("row_id", "response")
+    return flows.pair_query_response(qs, rs)
+
+
+@query("entities_on_clean")
+def q_entities_on_clean(spark, sf):
+    c = cleaning.clean_texts(support_text(spark, sf), "row_id", "query_text", lexicon(spark, sf))
+    return explode_entities(c, "row_id", "clean")
+
+
+def _processed_queries(spark, sf):
+    q = views.support_queries(spark, sf).select("row_id", "short_text")
+    c = cleaning.clean_texts(q, "row_id", "short_text", lexicon(spark, sf))
+    return (q.join(c, "row_id")
+             .withColumn("entities", ent.extract_entities("short_text")))
+
+
+@query("export_csv_roundtrip")
+def q_export_csv_roundtrip(spark, sf):
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, f"export-csv-{uuid.uuid4().hex}")
+    writers.write_csv(_processed_queries(spark, sf), path)
+    return writers.read_csv(spark, path, "row_id bigint, short_text string, clean string, "
+                                         "length int, entities string")
+
+
+@query("export_json_roundtrip")
+def q_export_json_roundtrip(spark, sf):
+    ensure_checkpoint_dir(spark)
+    lab = tables.read_table(spark, sf, "labels")
+    docs = _docs(spark, sf).join(lab, "doc_id").select(
+        "doc_id", "text", (F.col("quality") * 2 + F.col("toxic")).alias("topic"))
+    path = scratch_path(spark, f"export-json-{uuid.uuid4().hex}")
+    writers.write_json(tp.topic_samples(docs, "text", "topic", "doc_id", 5), path)
+    back = writers.read_json(spark, path, "topic int, samples array<string>")
+    return back.select("topic", F.posexplode("samples").alias("pos", "sample"))
+
+
+@query("support_artifacts")
+def q_support_artifacts(spark, sf):
+    wide = flows.support_artifacts(
+        support_text(spark, sf), "query_text", lexicon(spark, sf), models.stub_chat_client,
+        models.stub_encoder(16), 16, models.stub_sentiment_model, with_topics=False)
+    return wide.select("row_id", "query", "response", "scores.relevance", "scores.helpfulness",
+                       "scores.tone", "scores.explanation", "clean_query", "clean_response",
+                       F.to_json("query_entities").alias("query_entities"), "response_sentiment")
+
+
+@query("support_topics")
+def q_support_topics(spark, sf):
+    wide = flows.support_artifacts(
+        support_text(spark, sf), "query_text", lexicon(spark, sf), models.stub_chat_client,
+        models.stub_encoder(16), 16, models.stub_sentiment_model, with_topics=True)
+    return wide.select("row_id", "topic")
+
+
+@query("flagship")
+def q_flagship(spark, sf):
+    qs = views.support_queries(spark, sf).select(
+        "row_id", F.concat_ws(" ", "short_text", "long_text").alias("query_text"),
+        "category", "sub_category")
+    rs = views.support_responses(spark, sf).select("row_id", "response")
+    out = flows.app_flow(qs, "query_text", lexicon(spark, sf), rs, models.stub_sentiment_model)
+    return out.select("row_id", "clean", "length", "entities", "normalized_category",
+                      "reply_sentiment")
+
+
+@query("stream_clean")
+def q_stream_clean(spark, sf):
+    ensure_checkpoint_dir(spark)
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    conv_schema = tables.SCHEMAS["conversations"]
+    stream = (live.support_text_stream(spark, f"{sf.rstrip('/')}/conversations*.parquet", conv_schema)
+                  .where(F.col("role") == "user")
+                  .select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), "text"))
+    q = live.clean_micro_batches(stream, "row_id", "text", lexicon(spark, sf),
+                                 f"{run}/sink", f"{run}/checkpoint")
+    q.awaitTermination()
+    return live.read_sink(spark, f"{run}/sink").select("row_id", "clean", "length", "entities")

@@ -605,3 +605,79 @@ w AS (SELECT doc_id, term, tf * ln((n + 1) / (df + 1)) AS w FROM tf JOIN dfc USI
 r AS (SELECT doc_id, term, w, sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS nrm FROM w)
 SELECT doc_id, term, round(CASE WHEN nrm > 0 THEN w / nrm ELSE 0.0 END, 4) + 0.0 AS weight FROM r
 """
+
+
+# --- S4-S7, E7, P1-P3, A5, streaming -----------------------------------------
+
+def d_entities_json(source: str, key: str, text: str) -> str:
+    """(key, entities) with entities the JSON text of the ordered entity list."""
+    return (f"SELECT {key}, CAST(to_json(list({{'type': type, 'value': value}} ORDER BY pos)) AS VARCHAR) "
+            f"AS entities FROM ({d_entities(source, key, text)}) GROUP BY {key}")
+
+
+def d_stub_sentiment(text: str) -> str:
+    return f"CASE WHEN length({d_truncate(text)}) % 2 = 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END"
+
+
+ORACLE["sample_first_n"] = with_views(
+    "SELECT row_id, short_text FROM support_queries ORDER BY row_id LIMIT 5", "support_queries")
+
+ORACLE["example_pairs"] = with_views(f"""
+WITH p AS ({d_parsed_from(f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM support_responses")})
+SELECT r.row_id, r.query, r.response, p.relevance, p.helpfulness, p.tone, p.explanation
+FROM support_responses r JOIN p ON p.row_id = r.row_id ORDER BY r.row_id LIMIT 3""", "support_responses")
+
+ORACLE["sentiment_sample"] = with_views(
+    f"SELECT row_id, {d_stub_sentiment('response')} AS sentiment FROM support_responses ORDER BY row_id LIMIT 5",
+    "support_responses")
+
+ORACLE["pair_query_response"] = with_views(
+    "SELECT q.row_id, q.short_text, r.response FROM support_queries q JOIN support_responses r "
+    "ON r.row_id = q.row_id", "support_queries", "support_responses")
+
+ORACLE["entities_on_clean"] = sq(
+    f"WITH c AS ({clean_sql('support_text', 'row_id', 'query_text')})\n"
+    + d_entities("c", "row_id", "clean").strip()[len("WITH"):].join(["SELECT * FROM (WITH", ")"]))
+
+ORACLE["export_csv_roundtrip"] = with_views(f"""
+WITH c AS ({clean_sql('support_queries', 'row_id', 'short_text', extra_cols=', s.short_text')}),
+e AS ({d_entities_json('support_queries', 'row_id', 'short_text')})
+SELECT c.row_id, c.short_text, c.clean, c.length, coalesce(e.entities, '[]') AS entities
+FROM c LEFT JOIN e ON e.row_id = c.row_id""", "support_queries")
+
+ORACLE["export_json_roundtrip"] = ORACLE["topic_samples"]
+
+_GEN = f"""g AS (SELECT row_id, query_text AS query, {d_stub_reply(REPLY_CONTENT)} AS response FROM support_text),
+p AS ({d_parsed_from(f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM g")}),
+cq AS ({clean_sql('(SELECT row_id, query FROM g)', 'row_id', 'query')}),
+cr AS ({clean_sql('(SELECT row_id, response FROM g)', 'row_id', 'response')}),
+e AS ({d_entities_json('cq', 'row_id', 'clean')})"""
+
+ORACLE["support_artifacts"] = sq(f"""
+WITH {_GEN}
+SELECT g.row_id, g.query, g.response, p.relevance, p.helpfulness, p.tone, p.explanation,
+       cq.clean AS clean_query, cr.clean AS clean_response, coalesce(e.entities, '[]') AS query_entities,
+       {d_stub_sentiment('cr.clean')} AS response_sentiment
+FROM g JOIN p ON p.row_id = g.row_id JOIN cq ON cq.row_id = g.row_id JOIN cr ON cr.row_id = g.row_id
+LEFT JOIN e ON e.row_id = g.row_id""")
+
+ORACLE["flagship"] = with_views(f"""
+WITH qs AS (SELECT row_id, concat_ws(' ', short_text, long_text) AS query_text, category, sub_category
+            FROM support_queries),
+c AS ({clean_sql('qs', 'row_id', 'query_text')}),
+e AS ({d_entities_json('c', 'row_id', 'clean')})
+SELECT qs.row_id, c.clean, c.length, coalesce(e.entities, '[]') AS entities,
+       {d_normalize_category('qs.category', 'qs.sub_category')} AS normalized_category,
+       {d_stub_sentiment('r.response')} AS reply_sentiment_raw, r.row_id IS NOT NULL AS has_reply
+FROM qs JOIN c ON c.row_id = qs.row_id LEFT JOIN e ON e.row_id = qs.row_id
+LEFT JOIN support_responses r ON r.row_id = qs.row_id""", "support_queries", "support_responses")
+ORACLE["flagship"] = (
+    "SELECT row_id, clean, length, entities, normalized_category, "
+    "CASE WHEN has_reply THEN reply_sentiment_raw END AS reply_sentiment FROM (" + ORACLE["flagship"] + ")")
+
+_USER_TURNS = "(SELECT conv_id * 1000 + turn AS row_id, text FROM conversations WHERE role = 'user')"
+ORACLE["stream_clean"] = f"""
+WITH c AS ({clean_sql(_USER_TURNS, 'row_id', 'text')}),
+e AS ({d_entities_json('c', 'row_id', 'clean')})
+SELECT c.row_id, c.clean, c.length, coalesce(e.entities, '[]') AS entities
+FROM c LEFT JOIN e ON e.row_id = c.row_id"""
