@@ -43,8 +43,10 @@ def rewrite_table(tokens: DataFrame, lexicon: DataFrame, correct: bool = True,
     drop = tx.is_stop_word(F.col("w"), stop_words) if stop_words else F.lit(False)
     step = step.withColumn("drop", drop)
     if lemmatize:
-        kept_words = step.where(~F.col("drop")).select(F.col("w").alias("token"))
-        lem = lemmas.lemma_table(kept_words, lexicon).select(F.col("token").alias("w"), "lemma")
+        # A corrected word is a vocabulary token or a dictionary word: lemmas of
+        # both sets, so this branch does not re-run the spelling join.
+        words = vocab.unionByName(lexicon.select(F.col("word").alias("token")))
+        lem = lemmas.lemma_table(words, lexicon).select(F.col("token").alias("w"), "lemma")
         step = (step.join(lem, "w", "left")
                     .select("token", "drop",
                             F.when(F.col("drop"), None).otherwise(F.coalesce("lemma", "w")).alias("w")))

@@ -68,20 +68,25 @@ def dl_distance_upto2(a: Column, b: Column) -> Column:
     (a != b assumed). Built from ``levenshtein`` and adjacent swaps:
       d <= 1  iff  lev(a, b) <= 1 or b is a swap of a
       d <= 2  iff  lev(a, b) <= 2, or lev(swap(a), b) <= 1, or lev(a, swap(b)) <= 1,
-                   or a and b share a swap."""
-    lev = F.levenshtein(a, b)
+                   or a and b share a swap.
+    A swap costs two Levenshtein edits, so d <= 2 implies lev(a, b) <= 4: the
+    banded ``levenshtein(a, b, 4)`` (-1 beyond 4) rejects most candidate pairs
+    cheaply and the swap tests run only for lev in {2, 3, 4}."""
+    lev = F.levenshtein(a, b, 4)
     sa, sb = swaps(a), swaps(b)
-    within1 = (lev <= 1) | F.array_contains(sa, b)
-    within2 = ((lev <= 2)
-               | F.exists(sa, lambda s: F.levenshtein(s, b) <= 1)
-               | F.exists(sb, lambda s: F.levenshtein(a, s) <= 1)
-               | F.arrays_overlap(sa, sb))
+    near = (lev >= 2) & (lev <= 4)
+    within1 = (lev == 1) | ((lev == 2) & F.array_contains(sa, b))
+    within2 = ((lev == 2)
+               | (near & (F.exists(sa, lambda s: F.levenshtein(s, b, 1) >= 0)
+                          | F.exists(sb, lambda s: F.levenshtein(a, s, 1) >= 0)
+                          | F.arrays_overlap(sa, sb))))
     return F.when(within1, F.lit(1)).when(within2, F.lit(2))
 
 
 def unknown_tokens(vocab: DataFrame, lexicon: DataFrame, token: str = "token") -> DataFrame:
-    """Distinct tokens longer than one character that are not dictionary words."""
-    return (vocab.select(token).where(F.length(token) > 1).distinct()
+    """Tokens of a *distinct* vocabulary longer than one character that are not
+    dictionary words (no second distinct: the vocabulary's shuffle is reused)."""
+    return (vocab.select(token).where(F.length(token) > 1)
                  .join(lexicon.select(F.col("word").alias(token)), token, "left_anti"))
 
 
@@ -95,19 +100,25 @@ def suggest(unknown: DataFrame, lexicon: DataFrame, token: str = "token") -> Dat
     u_keys = u.select(F.col(token).alias("t"), F.explode(delete_keys(F.col(token))).alias("key"))
     w_keys = lexicon.select(F.col("word").alias("w"), "freq",
                             F.explode(delete_keys(F.col("word"))).alias("key"))
-    # A close pair usually shares several keys: dedupe (partially map-side)
-    # before paying for verification.
+    # Cheap tests in the join condition (length gap, banded Levenshtein);
+    # the exact distance is computed once per surviving row in a projection.
+    # A close pair may share several keys; duplicates are harmless to the
+    # per-token min_by, so no dedupe shuffle is paid. Non-candidates get a NULL
+    # ordering, which min_by ignores (the filter cannot be pushed into the join).
     pairs = (u_keys.join(w_keys, "key")
-                   .where(F.abs(F.length("t") - F.length("w")) <= 2)
-                   .groupBy("t", "w").agg(F.max("freq").alias("freq")))
-    scored = pairs.withColumn("d", dl_distance_upto2(F.col("t"), F.col("w"))).where(F.col("d").isNotNull())
-    rank = F.struct(F.col("d"), (-F.col("freq")).alias("nf"), F.col("w"))
+                   .where((F.abs(F.length("t") - F.length("w")) <= 2)
+                          & (F.levenshtein("t", "w", 4) >= 1)))
+    scored = pairs.select("t", "w", "freq", dl_distance_upto2(F.col("t"), F.col("w")).alias("d"))
+    ok = F.col("d").isNotNull()
+    rank = F.when(ok, F.struct(F.col("d"), (-F.col("freq")).alias("nf"), F.col("w")))
     return (scored.groupBy("t")
-                  .agg(F.min_by(F.struct("w", "d"), rank).alias("best"))
+                  .agg(F.min_by(F.when(ok, F.struct("w", "d")), rank).alias("best"))
+                  .where(F.col("best").isNotNull())
                   .select(F.col("t").alias(token), F.col("best.w").alias("suggestion"),
                           F.col("best.d").alias("distance")))
 
 
 def correction_table(vocab: DataFrame, lexicon: DataFrame, token: str = "token") -> DataFrame:
-    """T6 for a vocabulary: ``(token, suggestion, distance)`` for corrected tokens only."""
+    """T6 for a *distinct* vocabulary: ``(token, suggestion, distance)`` for
+    corrected tokens only."""
     return suggest(unknown_tokens(vocab, lexicon, token), lexicon, token)

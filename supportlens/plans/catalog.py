@@ -300,7 +300,8 @@ def _support_tokens(spark, sf):
 
 @query("spell_suggest")
 def q_spell_suggest(spark, sf):
-    return spelling.correction_table(_support_tokens(spark, sf), lexicon(spark, sf))
+    vocab = _support_tokens(spark, sf).select("token").distinct()
+    return spelling.correction_table(vocab, lexicon(spark, sf))
 
 
 @query("spell_correct")

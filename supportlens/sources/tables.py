@@ -49,6 +49,41 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Tables whose rows carry long texts: every per-row operator on them is CPU
+# heavy (regex, tokenising), so their scans must use the whole cluster.
+TEXT_TABLES = ("documents", "conversations", "pages", "benchmark")
+
+
+def _row_groups(paths: list[str]) -> int | None:
+    """Row groups in a few local parquet files (footers only), None if unknown."""
+    try:
+        import pyarrow.parquet as pq
+
+        return sum(pq.ParquetFile(p.removeprefix("file:")).num_row_groups for p in paths)
+    except Exception:  # noqa: BLE001 - non-local filesystem: size is unknown
+        return None
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Guarantee scan parallelism for CPU-heavy per-row work.
+
+    A parquet row group is the smallest unit of scan parallelism. When the
+    input has fewer files than the cluster has task slots and its row groups
+    are also fewer (or unknown), the rows are round-robin repartitioned over
+    all slots right after the scan (filters and column pruning still reach the
+    parquet reader below). With many files, the common case at scale, the scan
+    already spreads and nothing is added.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if len(files) >= slots:
+        return df
+    groups = _row_groups(files)
+    if groups is not None and groups >= slots:
+        return df
+    return df.repartition(slots)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; verify declared column names and types."""
     df = spark.read.parquet(table_path(sf_dir, name))
@@ -60,14 +95,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
                 raise ValueError(f"{name}: missing column {f.name}")
             if have[f.name] != f.dataType:
                 raise ValueError(f"{name}.{f.name}: {have[f.name]} != {f.dataType}")
-    return df
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str,
                     names: Iterable[str] = TABLES) -> None:
     """Expose driver tables as temp views for ``spark.sql``."""
     for name in names:
-        spark.read.parquet(table_path(sf_dir, name)).createOrReplaceTempView(name)
+        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
 def trim_headers(df: DataFrame) -> DataFrame:
