@@ -22,7 +22,7 @@ NOUN_RULES = (
 def lemma_candidates(token):
     """array<string>: the token and every rule result that applies to it."""
     t = F.col(token) if isinstance(token, str) else token
-    outs = [F.when(t.endswith(suf) & (F.length(t) > len(suf)),
+    outs = [F.when(t.endswith(suf) & (F.length(t) >= len(suf)),
                    F.concat(F.substr(t, F.lit(1), F.length(t) - len(suf)), F.lit(rep)))
             for suf, rep in NOUN_RULES]
     return F.filter(F.array(t, *outs), lambda x: x.isNotNull())

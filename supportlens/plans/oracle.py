@@ -433,7 +433,7 @@ best AS (SELECT token, word AS suggestion, CAST(d AS INTEGER) AS distance FROM (
 def d_lemma_cands(w: str) -> str:
     outs = [w]
     for suf, rep in lm.NOUN_RULES:
-        outs.append(f"CASE WHEN ends_with({w}, '{suf}') AND length({w}) > {len(suf)} "
+        outs.append(f"CASE WHEN ends_with({w}, '{suf}') AND length({w}) >= {len(suf)} "
                     f"THEN substring({w}, 1, length({w}) - {len(suf)}) || '{rep}' END")
     return f"list_filter([{', '.join(outs)}], lambda x: x IS NOT NULL)"
 
