@@ -285,13 +285,15 @@ from ..operators import cleaning, lemmas, spelling  # noqa: E402
 
 
 def lexicon(spark, sf):
-    """Dictionary learned from the whole ``documents`` corpus."""
-    return spelling.build_lexicon(_docs(spark, sf), "text", min_freq=20)
+    """Dictionary learned from the whole ``documents`` corpus, materialised once:
+    the cleaning plan reads it in several branches."""
+    from ..session import materialize
+    return materialize(spelling.build_lexicon(_docs(spark, sf), "text", min_freq=20))
 
 
 @query("build_lexicon")
 def q_build_lexicon(spark, sf):
-    return lexicon(spark, sf)
+    return spelling.build_lexicon(_docs(spark, sf), "text", min_freq=20)
 
 
 def _support_tokens(spark, sf):

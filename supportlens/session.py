@@ -70,3 +70,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A location under the shared checkpoint folder for materialised tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df):
+    """Write a small, reused intermediate once to the shared checkpoint folder
+    and read it from there (lineage cut; survives executor loss, unlike a cache)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
