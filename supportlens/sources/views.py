@@ -9,9 +9,12 @@ SQL and on DuckDB (the oracle), so both engines see identical inputs.
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import register_tables
+from .tables import read_table
 
 # Query templates, one per branch of the entity and cleaning
 # rules; categories and sub-categories exercise every category rule.
@@ -98,9 +101,18 @@ _BASE = {
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Build one derived view as a DataFrame over the tables in ``sf_dir``."""
-    register_tables(spark, sf_dir, _BASE[name])
-    return spark.sql(VIEW_SQL[name])
+    """Build one derived view as a DataFrame over the tables in ``sf_dir``.
+
+    Base tables are registered under names private to ``sf_dir`` so that the
+    caller's own temp views of the same names are never replaced.
+    """
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    sql = VIEW_SQL[name]
+    for base in _BASE[name]:
+        private = f"_sl_{tag}_{base}"
+        read_table(spark, sf_dir, base).createOrReplaceTempView(private)
+        sql = re.sub(rf"\b(FROM|JOIN) {base}\b", rf"\1 {private}", sql)
+    return spark.sql(sql)
 
 
 def support_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
