@@ -12,6 +12,11 @@ Only tokens that change or are dropped are in the rewrite table; all others
 pass through unchanged. AQE splits the join partition of a hot token and
 switches to a broadcast join when the measured rewrite table is small. Rows
 without tokens survive the explode (``_outer``) and come out as ''.
+
+The distinct vocabulary and the rewrite table are materialised (reliable
+checkpoints in the shared folder): each is read by several plan branches, the
+text is then tokenised twice in total (vocabulary pass, rewrite pass), and a
+retried final stage never repeats the spelling join.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import materialize
 from . import lemmas, spelling
 
 
@@ -31,9 +37,12 @@ def explode_tokens(df: DataFrame, key: str, text: str, split_expansions: bool =
 
 
 def rewrite_table(tokens: DataFrame, lexicon: DataFrame, correct: bool = True,
-                  lemmatize: bool = True, stop_words=tx.ENGLISH_STOP_WORDS) -> DataFrame:
+                  lemmatize: bool = True, stop_words=tx.ENGLISH_STOP_WORDS,
+                  materialize_steps: bool = True) -> DataFrame:
     """``(token, out, drop)`` for every distinct token that changes or is dropped."""
     vocab = tokens.where(F.col("token").isNotNull()).select("token").distinct()
+    if materialize_steps:
+        vocab = materialize(vocab)
     if correct:
         corr = spelling.correction_table(vocab, lexicon)
         step = (vocab.join(corr, "token", "left")
@@ -50,8 +59,9 @@ def rewrite_table(tokens: DataFrame, lexicon: DataFrame, correct: bool = True,
         step = (step.join(lem, "w", "left")
                     .select("token", "drop",
                             F.when(F.col("drop"), None).otherwise(F.coalesce("lemma", "w")).alias("w")))
-    return (step.where(F.col("drop") | (F.col("w") != F.col("token")))
-                .select("token", F.col("w").alias("out"), "drop"))
+    out = (step.where(F.col("drop") | (F.col("w") != F.col("token")))
+               .select("token", F.col("w").alias("out"), "drop"))
+    return materialize(out) if materialize_steps else out
 
 
 def clean_tokens(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct: bool = True,

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 SCORE_METRICS = ("relevance", "helpfulness", "tone")
 
 
@@ -53,7 +55,8 @@ def sentiment_by_category(df: DataFrame, category: str = "normalized_category",
     of the data.
     """
     rows = df.where(F.col(sentiment).isNotNull())
-    counts = rows.groupBy(category, sentiment).agg(F.count("*").alias("n"))
+    # categories x labels counts: tiny, read by four branches -> written once.
+    counts = materialize(rows.groupBy(category, sentiment).agg(F.count("*").alias("n")))
     labels = counts.select(F.sort_array(F.collect_set(sentiment))).scalar()
     per_cat = counts.groupBy(category).agg(F.sum("n").alias("category_total"))
     grid = per_cat.select(category, "category_total", F.explode(labels).alias(sentiment))
@@ -92,7 +95,8 @@ def quality_summary(scores: DataFrame, metrics=SCORE_METRICS) -> DataFrame:
     JSON text of a map with ascending keys. Distributions are tiny aggregates
     brought in as scalar subqueries."""
     avg = quality_averages(scores, metrics)
-    dist = quality_distributions(scores, metrics)
+    # metrics x score values: tiny, read by one subquery per metric -> written once.
+    dist = materialize(quality_distributions(scores, metrics))
     cols = [F.col("n")] + [F.col(f"avg_{m}") for m in metrics]
     for m in metrics:
         d = dist.where(F.col("metric") == m).select(

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import materialize
 
 BINARY_LABELS = ("POSITIVE", "NEGATIVE")
 
@@ -52,7 +53,7 @@ def sentiment_counts(df: DataFrame, col: str = "sentiment", labels=BINARY_LABELS
 
 def sentiment_share(df: DataFrame, col: str = "sentiment") -> DataFrame:
     """Percentage per observed label (missing labels excluded), descending."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")))
     total = counts.select(F.sum("n")).scalar()
     return (counts.select(col, F.round(F.col("n") * 100.0 / total, 4).alias("share"))
                   .orderBy(F.desc("share"), col))

@@ -96,7 +96,12 @@ def suggest(unknown: DataFrame, lexicon: DataFrame, token: str = "token") -> Dat
     Tokens without a candidate are absent from the result.
     """
     max_word = lexicon.select(F.max(F.length("word"))).scalar()
-    u = unknown.where(F.length(token) <= max_word + 2)
+    # Key generation multiplies each row 50-200x and is CPU-bound, while its
+    # inputs are small distinct sets that AQE coalesces into few partitions:
+    # spread both over all task slots first (a shuffle of the small side only).
+    slots = unknown.sparkSession.sparkContext.defaultParallelism
+    u = unknown.where(F.length(token) <= max_word + 2).repartition(slots)
+    lexicon = lexicon.repartition(slots)
     u_keys = u.select(F.col(token).alias("t"), F.explode(delete_keys(F.col(token))).alias("key"))
     w_keys = lexicon.select(F.col("word").alias("w"), "freq",
                             F.explode(delete_keys(F.col("word"))).alias("key"))

@@ -339,7 +339,7 @@ def q_clean_responses(spark, sf):
 # --- L2, L3, L6, L7, L9, L10, M1, N1-N5 --------------------------------------
 
 from ..operators import models, sentiment, tfidf  # noqa: E402
-from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..session import ensure_checkpoint_dir, materialize  # noqa: E402
 
 
 @query("llm_batch")
@@ -375,7 +375,7 @@ def q_generate_and_score(spark, sf):
     replies = q_generate_replies(spark, sf)
     # Replies are paid for: write them out before the judge stage reads them,
     # so a retried judge task never regenerates a reply.
-    replies = replies.checkpoint(eager=True)
+    replies = materialize(replies)
     pairs = qs.join(replies, "row_id")
     return pairs.select("row_id", "response").join(_judged(pairs, "query_text", "response"), "row_id")
 

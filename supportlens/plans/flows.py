@@ -18,7 +18,7 @@ from ..functions import entities as ent
 from ..functions import judge as jg
 from ..functions import prompts as pr
 from ..operators import cleaning, models, reports, topics, vectors
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def pair_query_response(queries: DataFrame, responses: DataFrame, key: str = "row_id") -> DataFrame:
@@ -39,7 +39,8 @@ def generate_and_judge(queries: DataFrame, text: str, client_factory: Callable,
     ensure_checkpoint_dir(spark)
     prompts = queries.select(key, pr.reply_prompt(text).alias("m"))
     replies = models.chat_batch(prompts, key, "m", client_factory, task="reply", out="response",
-                                partitions=partitions).checkpoint(eager=True)
+                                partitions=partitions)
+    replies = materialize(replies)
     pairs = queries.select(key, F.col(text).alias("query")).join(replies, key)
     jprompts = pairs.select(key, pr.judge_prompt("query", "response").alias("m"))
     raw = models.chat_batch(jprompts, key, "m", client_factory, task="judge", out="raw",
@@ -67,7 +68,7 @@ def support_artifacts(queries: DataFrame, text: str, lexicon: DataFrame, client_
                                models.encode_batch(F.col("clean_query"), encoder_factory, dim))
         # k-means scans its input once per iteration: materialise the model
         # outputs first so no model runs again.
-        wide = wide.checkpoint(eager=True)
+        wide = materialize(wide)
         _, wide = vectors.kmeans_fit(wide, "query_embedding", k=k, seed=seed, out="topic")
     return wide
 

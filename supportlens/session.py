@@ -73,7 +73,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Write a small, reused intermediate once to the shared checkpoint folder
-    and read it from there (lineage cut; survives executor loss, unlike a cache)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write an intermediate once as Parquet under the shared checkpoint folder
+    and continue from that table.
+
+    One job computes and writes the data (``Dataset.checkpoint`` of an
+    unpersisted plan computes it twice: once to count, once to write), the
+    lineage is cut, the result survives executor loss (unlike a cache), and
+    AQE sees its real size when planning the next joins.
+    """
+    import uuid
+
+    from .sources.tables import spread
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    # A small result is often one file (AQE coalesces small partitions):
+    # spread it again so CPU-heavy consumers are not left with one task.
+    return spread(spark.read.parquet(path))
