@@ -27,3 +27,17 @@ def tfidf(tokens: DataFrame, key: str, token: str = "token", docs: DataFrame | N
            .withColumn("w", F.col("tf") * F.log((n + 1) / (F.col("df") + 1))))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return w.select(key, "term", F.when(norm > 0, F.col("w") / norm).otherwise(F.lit(0.0)).alias("weight"))
+
+
+def tfidf_from_texts(docs: DataFrame, key: str, tokens_expr) -> DataFrame:
+    """TF-IDF straight from a text table, with one shuffle of the text.
+
+    The texts are hash-partitioned by ``key`` once; the per-text term counts
+    and the per-text norm window then reuse that partitioning (a hash
+    partitioning on ``key`` satisfies grouping by (key, term)). Only the
+    document-frequency table is aggregated by term (map-side combined); AQE
+    broadcasts it when its measured size allows, else joins by term.
+    """
+    by_key = docs.repartition(key)
+    toks = by_key.select(key, F.explode(tokens_expr).alias("token"))
+    return tfidf(toks, key, docs=docs)

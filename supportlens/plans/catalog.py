@@ -440,9 +440,8 @@ def q_sentiment_share(spark, sf):
 @query("embed_tfidf")
 def q_embed_tfidf(spark, sf):
     docs = _docs(spark, sf)
-    toks = docs.select("doc_id", F.explode(tx.remove_stopwords(tx.basic_tokens("text"))).alias("token"))
-    return tfidf.tfidf(toks, "doc_id", docs=docs).select(
-        "doc_id", "term", F.round("weight", 4).alias("weight"))
+    w = tfidf.tfidf_from_texts(docs, "doc_id", tx.remove_stopwords(tx.basic_tokens("text")))
+    return w.select("doc_id", "term", F.round("weight", 4).alias("weight"))
 
 
 @query("embed_batch_model")
