@@ -389,10 +389,14 @@ def q_classify_queries(spark, sf):
 
 @query("generate_synthetic")
 def q_generate_synthetic(spark, sf):
-    topics = tables.read_table(spark, sf, "events").select(F.col("event_type").alias("topic")).distinct()
-    prompts = topics.select("topic", pr.synthetic_prompt("topic", F.lit(5)).alias("m"))
-    raw = models.chat_batch(prompts, "topic", "m", models.stub_chat_client, task="synthetic", out="raw")
-    return raw.select("topic", F.posexplode(pr.parse_synthetic("raw")).alias("pos", "query"))
+    # Every event row is one generation request for its topic (event type).
+    req = tables.read_table(spark, sf, "events").select(
+        F.col("event_id").alias("request_id"), F.col("event_type").alias("topic"))
+    prompts = req.select("request_id", pr.synthetic_prompt("topic", F.lit(5)).alias("m"))
+    raw = models.chat_batch(prompts, "request_id", "m", models.stub_chat_client, task="synthetic",
+                            out="raw")
+    return raw.join(req, "request_id").select(
+        "request_id", "topic", F.posexplode(pr.parse_synthetic("raw")).alias("pos", "query"))
 
 
 @query("truncate_tokens")

@@ -555,8 +555,8 @@ _SYN_USER = "'Write 5 different customer messages about ' || topic || '.'"
 _SYN_RAW = ("'1. ' || u || ' #1' || chr(10) || '2. ' || u || ' #2' || chr(10) || "
             "'3. ' || u || ' #3' || chr(10) || chr(10)")
 ORACLE["generate_synthetic"] = explode_pos(
-    f"(SELECT topic, {_SYN_RAW} AS raw FROM (SELECT topic, {_SYN_USER} AS u FROM "
-    "(SELECT DISTINCT event_type AS topic FROM events)))", "topic",
+    f"(SELECT request_id, topic, {_SYN_RAW} AS raw FROM (SELECT request_id, topic, {_SYN_USER} AS u FROM "
+    "(SELECT event_id AS request_id, event_type AS topic FROM events)))", "request_id, topic",
     f"list_transform(list_filter(string_split(coalesce(raw, ''), chr(10)), "
     f"lambda l: {d_strip('l')} <> ''), lambda l: regexp_replace(l, '^[0-9. ]+|[0-9. ]+$', '', 'g'))",
     "query")

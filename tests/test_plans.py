@@ -47,3 +47,45 @@ def test_partition_independence(spark, name):
         results.append(sorted(tuple(r) for r in Q[name](spark, SF_SMALL).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_hot_token_is_split_and_exact(spark):
+    """One token is a third of all token occurrences: the occurrence join must
+    stay exact while AQE splits the hot partition (thresholds lowered so the
+    split happens at test scale; broadcast off to force a shuffle join)."""
+    from supportlens.operators import cleaning
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 3000
+        def word(j):  # letters only: digits would be removed by cleaning
+            return "q" + chr(97 + j % 26) + chr(97 + (j // 26) % 26) + "z"
+        rows = [(i, ("the " * 40) + " ".join(word(j % 97) for j in range(i % 7, i % 7 + 80)))
+                for i in range(n)]
+        df = spark.createDataFrame(rows, "row_id long, text string")
+        lex = spark.createDataFrame([("the", 100)] + [(word(j), 30) for j in range(97)],
+                                    "word string, freq bigint")
+        toks = cleaning.clean_tokens(df, "row_id", "text", lex)
+        got = toks.collect()  # runs this very plan, so AQE's final plan is inspectable
+        kept, seen = {}, {}
+        for r in got:
+            seen[r["row_id"]] = seen.get(r["row_id"], 0) + 1
+            kept[r["row_id"]] = kept.get(r["row_id"], 0) + (r["out"] is not None)
+        assert len(seen) == n
+        assert set(seen.values()) == {120} and set(kept.values()) == {80}
+        final = toks._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final or "isSkew=true" in final, final[:3000]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

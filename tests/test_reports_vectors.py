@@ -73,3 +73,20 @@ def test_topic_samples_order_and_limit(spark):
                                "topic int, k int, text string")
     got = {r["topic"]: r["samples"] for r in topics.topic_samples(df, "text", "topic", "k", 4).collect()}
     assert got == {0: ["x0", "x3", "x6", "x9"], 1: ["x1", "x4", "x7", "x10"], 2: ["x2", "x5", "x8", "x11"]}
+
+
+def test_overall_report_parts(spark):
+    from supportlens.plans import flows
+
+    scores = spark.createDataFrame([(i, 1 + i % 5, 1 + i % 3, 2 + i % 4) for i in range(23)],
+                                   "row_id long, relevance int, helpfulness int, tone int")
+    topics_df = spark.createDataFrame([(i, i % 4) for i in range(23)], "row_id long, topic int")
+    sents = spark.createDataFrame([(i, "POSITIVE" if i % 2 else "NEGATIVE") for i in range(23)],
+                                  "row_id long, sentiment string")
+    triples = scores.withColumn("query", F.concat(F.lit("q"), F.col("row_id").cast("string")))
+    rep = flows.overall_report(scores, topics_df, sents, triples)
+    assert set(rep) == {"quality", "unique_clusters", "sentiment_sample", "example_pairs"}
+    assert rep["quality"].first()["n"] == 23
+    assert rep["unique_clusters"].first()["unique_clusters"] == 4
+    assert [r["row_id"] for r in rep["sentiment_sample"].collect()] == [0, 1, 2, 3, 4]
+    assert [r["row_id"] for r in rep["example_pairs"].collect()] == [0, 1, 2]
