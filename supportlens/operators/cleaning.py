@@ -86,3 +86,30 @@ def clean_texts(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct:
     words = F.filter(F.transform("s", lambda e: e["out"]), lambda w: w.isNotNull())
     return per_row.select(key, tx.join_tokens(words).alias("clean")).withColumn(
         "length", tx.token_count("clean"))
+
+
+def clean_columns(df: DataFrame, key: str, cols: list[str], lexicon: DataFrame,
+                  correct: bool = True, lemmatize: bool = True,
+                  stop_words=tx.ENGLISH_STOP_WORDS, split_expansions: bool = True,
+                  prefix: str = "clean_") -> DataFrame:
+    """T11 + T12 together: clean several text columns of one table with a
+    single vocabulary, one rewrite table, one occurrence join and one regroup
+    by key. Output: key and ``prefix + col`` for every column."""
+    parts = None
+    for i, c in enumerate(cols):
+        p = df.select(key, F.lit(i).alias("ci"),
+                      F.posexplode_outer(tx.basic_tokens(c, None, split_expansions)).alias("pos", "token"))
+        parts = p if parts is None else parts.unionByName(p)
+    rw = rewrite_table(parts, lexicon, correct, lemmatize, stop_words)
+    toks = (parts.join(rw, "token", "left")
+                 .select(key, "ci", "pos",
+                         F.when(F.coalesce("drop", F.lit(False)), None)
+                          .otherwise(F.coalesce("out", "token")).alias("out")))
+    per_row = toks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("ci", "pos", "out"))).alias("s"))
+    def words_of(i: int):
+        # (a two-argument lambda would be read as (element, index) by filter)
+        keep = lambda e: (e["ci"] == F.lit(i)) & e["out"].isNotNull()
+        return F.transform(F.filter("s", keep), lambda e: e["out"])
+
+    outs = [tx.join_tokens(words_of(i)).alias(prefix + c) for i, c in enumerate(cols)]
+    return per_row.select(key, *outs)

@@ -57,9 +57,9 @@ def support_artifacts(queries: DataFrame, text: str, lexicon: DataFrame, client_
     -> entities on cleaned queries -> sentiment on cleaned replies, one row per
     query that got a reply."""
     gen = generate_and_judge(queries, text, client_factory, key)
-    cq = cleaning.clean_texts(gen, key, "query", lexicon).select(key, F.col("clean").alias("clean_query"))
-    cr = cleaning.clean_texts(gen, key, "response", lexicon).select(key, F.col("clean").alias("clean_response"))
-    wide = (gen.join(cq, key).join(cr, key)
+    # Queries and replies share one vocabulary, rewrite table and regroup.
+    cleaned = cleaning.clean_columns(gen, key, ["query", "response"], lexicon)
+    wide = (gen.join(cleaned, key)
                .withColumn("query_entities", ent.extract_entities("clean_query"))
                .withColumn("response_sentiment",
                            models.classify_batch(F.col("clean_response"), sentiment_factory)))

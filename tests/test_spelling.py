@@ -101,3 +101,17 @@ def test_clean_texts_end_to_end(spark):
     got = {r["row_id"]: (r["clean"], r["length"]) for r in
            cleaning.clean_texts(df, "row_id", "text", lex).collect()}
     assert got == {1: ("shipping address order box", 4), 2: ("", 0), 3: ("", 0), 4: ("", 0)}
+
+
+def test_clean_columns_equals_per_column(spark):
+    from supportlens.plans import catalog
+    from supportlens.sources import views
+
+    sf = "/root/testdata/sf0.001"
+    r = views.support_responses(spark, sf)
+    lex = catalog.lexicon(spark, sf)
+    both = {x["row_id"]: (x["clean_query"], x["clean_response"]) for x in
+            cleaning.clean_columns(r, "row_id", ["query", "response"], lex).collect()}
+    q = {x["row_id"]: x["clean"] for x in cleaning.clean_texts(r, "row_id", "query", lex).collect()}
+    a = {x["row_id"]: x["clean"] for x in cleaning.clean_texts(r, "row_id", "response", lex).collect()}
+    assert both == {k: (q[k], a[k]) for k in q}
