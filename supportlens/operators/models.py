@@ -63,8 +63,14 @@ def chat_batch(df: DataFrame, key: str, messages: str, client_factory: Callable[
                task: str = "reply", out: str = "text", partitions: int | None = None,
                on_error: str = "fail", max_retries: int = MAX_RETRIES,
                base_delay: float = RETRY_BASE_DELAY,
-               sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """L2: one completion per row -> (key, out[, error])."""
+               sleep: Callable[[float], None] = time.sleep,
+               concurrency: int = 1) -> DataFrame:
+    """L2: one completion per row -> (key, out[, error]).
+
+    ``concurrency`` > 1 overlaps that many I/O-bound calls inside each task
+    (a thread pool; output order is kept). Cluster-wide concurrency is then
+    at most partitions x concurrency, which is how a rate limit is respected.
+    """
     settings = TASK_SETTINGS[task]
     key_type = df.schema[key].dataType
     fields = [T.StructField(key, key_type), T.StructField(out, T.StringType())]
@@ -73,26 +79,33 @@ def chat_batch(df: DataFrame, key: str, messages: str, client_factory: Callable[
     schema = T.StructType(fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from concurrent.futures import ThreadPoolExecutor
+
         client = client_factory()
+
+        def one(m):
+            msgs = _messages_to_py(m)
+            try:
+                return call_with_retry(
+                    lambda: client(msgs, temperature=settings["temperature"],
+                                   max_tokens=settings["max_tokens"], json=settings["json"]),
+                    max_retries, base_delay, sleep), None
+            except ModelCallError as e:
+                if on_error != "null":
+                    raise
+                return None, str(e)
+
+        pool = ThreadPoolExecutor(max_workers=concurrency) if concurrency > 1 else None
         for pdf in batches:
-            texts, errors = [], []
-            for m in pdf[messages]:
-                msgs = _messages_to_py(m)
-                try:
-                    texts.append(call_with_retry(
-                        lambda: client(msgs, temperature=settings["temperature"],
-                                       max_tokens=settings["max_tokens"], json=settings["json"]),
-                        max_retries, base_delay, sleep))
-                    errors.append(None)
-                except ModelCallError as e:
-                    if on_error != "null":
-                        raise
-                    texts.append(None)
-                    errors.append(str(e))
+            results = list(pool.map(one, pdf[messages]) if pool else map(one, pdf[messages]))
+            texts = [r[0] for r in results]
+            errors = [r[1] for r in results]
             res = pd.DataFrame({key: pdf[key].values, out: texts})
             if on_error == "null":
                 res["error"] = errors
             yield res
+        if pool:
+            pool.shutdown()
 
     src = df.select(key, messages)
     if partitions:

@@ -85,3 +85,11 @@ def test_stream_equals_batch(spark):
         (F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), "text")
     b = cleaning.clean_texts(conv, "row_id", "text", catalog.lexicon(spark, SF_SMALL))
     assert sorted(s.select("row_id", "clean").collect()) == sorted(b.select("row_id", "clean").collect())
+
+
+def test_chat_batch_concurrency_keeps_order(spark):
+    df = spark.createDataFrame([(i, "x" * i) for i in range(50)], "row_id long, q string")
+    p = df.select("row_id", pr.reply_prompt("q").alias("m"))
+    seq = sorted(models.chat_batch(p, "row_id", "m", models.stub_chat_client).collect())
+    par = sorted(models.chat_batch(p, "row_id", "m", models.stub_chat_client, concurrency=8).collect())
+    assert seq == par and len(par) == 50
