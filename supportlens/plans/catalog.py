@@ -427,6 +427,20 @@ def q_sentiment_model(spark, sf):
         "doc_id", "sentiment", F.round("p_positive", 4).alias("p_positive"))
 
 
+@query("sentiment_model_auc")
+def q_sentiment_model_auc(spark, sf):
+    """Held-out AUC of the trained classifier: deterministic 80/20 split of the
+    labelled documents by a hash of doc_id (the split is the feature here)."""
+    lab = _docs(spark, sf).join(tables.read_table(spark, sf, "labels"), "doc_id").select(
+        "doc_id", "text", "quality")
+    held_out = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    train, test = lab.where(~held_out), lab.where(held_out)
+    model = sentiment.train_text_classifier(train, "text", "quality")
+    value = sentiment.auc(model, test, "quality")
+    n = test.count()
+    return spark.createDataFrame([(float(value), int(n))], "auc double, test_rows bigint")
+
+
 def _stub_sentiments(spark, sf):
     return views.support_responses(spark, sf).select("row_id", F.col("stub_sentiment").alias("sentiment"))
 

@@ -115,3 +115,11 @@ def test_clean_columns_equals_per_column(spark):
     q = {x["row_id"]: x["clean"] for x in cleaning.clean_texts(r, "row_id", "query", lex).collect()}
     a = {x["row_id"]: x["clean"] for x in cleaning.clean_texts(r, "row_id", "response", lex).collect()}
     assert both == {k: (q[k], a[k]) for k in q}
+
+
+def test_lemma_exceptions_take_precedence(spark):
+    lex = spark.createDataFrame([("mouse", 30), ("mice", 30), ("child", 30)], "word string, freq bigint")
+    vocab = spark.createDataFrame([("mice",), ("children",)], "token string")
+    exc = spark.createDataFrame([("mice", "mouse"), ("children", "child")], "form string, lemma string")
+    got = {r["token"]: r["lemma"] for r in lemmas.lemma_table(vocab, lex, exceptions=exc).collect()}
+    assert got == {"mice": "mouse", "children": "child"}
