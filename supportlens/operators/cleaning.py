@@ -38,13 +38,14 @@ def explode_tokens(df: DataFrame, key: str, text: str, split_expansions: bool =
 
 def rewrite_table(tokens: DataFrame, lexicon: DataFrame, correct: bool = True,
                   lemmatize: bool = True, stop_words=tx.ENGLISH_STOP_WORDS,
-                  materialize_steps: bool = True) -> DataFrame:
+                  materialize_steps: bool = True,
+                  lexicon_keys: DataFrame | None = None) -> DataFrame:
     """``(token, out, drop)`` for every distinct token that changes or is dropped."""
     vocab = tokens.where(F.col("token").isNotNull()).select("token").distinct()
     if materialize_steps:
         vocab = materialize(vocab)
     if correct:
-        corr = spelling.correction_table(vocab, lexicon)
+        corr = spelling.correction_table(vocab, lexicon, lexicon_keys=lexicon_keys)
         step = (vocab.join(corr, "token", "left")
                      .select("token", F.coalesce("suggestion", "token").alias("w")))
     else:
@@ -66,10 +67,11 @@ def rewrite_table(tokens: DataFrame, lexicon: DataFrame, correct: bool = True,
 
 def clean_tokens(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct: bool = True,
                  lemmatize: bool = True, stop_words=tx.ENGLISH_STOP_WORDS,
-                 split_expansions: bool = True) -> DataFrame:
+                 split_expansions: bool = True,
+                 lexicon_keys: DataFrame | None = None) -> DataFrame:
     """(key, pos, token, out) with out NULL for dropped tokens and for rows without tokens."""
     toks = explode_tokens(df, key, text, split_expansions, outer=True)
-    rw = rewrite_table(toks, lexicon, correct, lemmatize, stop_words)
+    rw = rewrite_table(toks, lexicon, correct, lemmatize, stop_words, lexicon_keys=lexicon_keys)
     return (toks.join(rw, "token", "left")
                 .select(key, "pos", "token",
                         F.when(F.coalesce("drop", F.lit(False)), None)
@@ -78,9 +80,14 @@ def clean_tokens(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct
 
 def clean_texts(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct: bool = True,
                 lemmatize: bool = True, stop_words=tx.ENGLISH_STOP_WORDS,
-                split_expansions: bool = True) -> DataFrame:
-    """(key, clean, length) for every input row (no tokens -> '', 0)."""
-    toks = clean_tokens(df, key, text, lexicon, correct, lemmatize, stop_words, split_expansions)
+                split_expansions: bool = True,
+                lexicon_keys: DataFrame | None = None) -> DataFrame:
+    """(key, clean, length) for every input row (no tokens -> '', 0).
+
+    ``lexicon_keys``: a prebuilt ``spelling.dictionary_keys(lexicon)`` to share
+    across calls (e.g. stream micro-batches)."""
+    toks = clean_tokens(df, key, text, lexicon, correct, lemmatize, stop_words, split_expansions,
+                        lexicon_keys)
     per_row = toks.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("s"))
     words = F.filter(F.transform("s", lambda e: e["out"]), lambda w: w.isNotNull())
@@ -91,7 +98,7 @@ def clean_texts(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct:
 def clean_columns(df: DataFrame, key: str, cols: list[str], lexicon: DataFrame,
                   correct: bool = True, lemmatize: bool = True,
                   stop_words=tx.ENGLISH_STOP_WORDS, split_expansions: bool = True,
-                  prefix: str = "clean_") -> DataFrame:
+                  prefix: str = "clean_", lexicon_keys: DataFrame | None = None) -> DataFrame:
     """T11 + T12 together: clean several text columns of one table with a
     single vocabulary, one rewrite table, one occurrence join and one regroup
     by key. Output: key and ``prefix + col`` for every column."""
@@ -100,7 +107,7 @@ def clean_columns(df: DataFrame, key: str, cols: list[str], lexicon: DataFrame,
         p = df.select(key, F.lit(i).alias("ci"),
                       F.posexplode_outer(tx.basic_tokens(c, None, split_expansions)).alias("pos", "token"))
         parts = p if parts is None else parts.unionByName(p)
-    rw = rewrite_table(parts, lexicon, correct, lemmatize, stop_words)
+    rw = rewrite_table(parts, lexicon, correct, lemmatize, stop_words, lexicon_keys=lexicon_keys)
     toks = (parts.join(rw, "token", "left")
                  .select(key, "ci", "pos",
                          F.when(F.coalesce("drop", F.lit(False)), None)

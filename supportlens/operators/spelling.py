@@ -90,21 +90,32 @@ def unknown_tokens(vocab: DataFrame, lexicon: DataFrame, token: str = "token") -
                  .join(lexicon.select(F.col("word").alias(token)), token, "left_anti"))
 
 
-def suggest(unknown: DataFrame, lexicon: DataFrame, token: str = "token") -> DataFrame:
+def dictionary_keys(lexicon: DataFrame) -> DataFrame:
+    """The dictionary's delete-key index ``(w, freq, key)``.
+
+    It depends on the dictionary only: build it once (and materialise it) when
+    many cleaning runs or stream micro-batches share one dictionary.
+    """
+    # Key generation multiplies each row 50-200x and is CPU-bound, while the
+    # dictionary is small enough for AQE to coalesce it into few partitions:
+    # spread it over all task slots first.
+    slots = lexicon.sparkSession.sparkContext.defaultParallelism
+    return lexicon.repartition(slots).select(
+        F.col("word").alias("w"), "freq", F.explode(delete_keys(F.col("word"))).alias("key"))
+
+
+def suggest(unknown: DataFrame, lexicon: DataFrame, token: str = "token",
+            lexicon_keys: DataFrame | None = None) -> DataFrame:
     """Best dictionary word per unknown token: ``(token, suggestion, distance)``.
 
-    Tokens without a candidate are absent from the result.
+    Tokens without a candidate are absent from the result. ``lexicon_keys``
+    is a prebuilt ``dictionary_keys(lexicon)``.
     """
     max_word = lexicon.select(F.max(F.length("word"))).scalar()
-    # Key generation multiplies each row 50-200x and is CPU-bound, while its
-    # inputs are small distinct sets that AQE coalesces into few partitions:
-    # spread both over all task slots first (a shuffle of the small side only).
     slots = unknown.sparkSession.sparkContext.defaultParallelism
     u = unknown.where(F.length(token) <= max_word + 2).repartition(slots)
-    lexicon = lexicon.repartition(slots)
     u_keys = u.select(F.col(token).alias("t"), F.explode(delete_keys(F.col(token))).alias("key"))
-    w_keys = lexicon.select(F.col("word").alias("w"), "freq",
-                            F.explode(delete_keys(F.col("word"))).alias("key"))
+    w_keys = lexicon_keys if lexicon_keys is not None else dictionary_keys(lexicon)
     # Cheap tests in the join condition (length gap, banded Levenshtein);
     # the exact distance is computed once per surviving row in a projection.
     # A close pair may share several keys; duplicates are harmless to the
@@ -123,7 +134,8 @@ def suggest(unknown: DataFrame, lexicon: DataFrame, token: str = "token") -> Dat
                           F.col("best.d").alias("distance")))
 
 
-def correction_table(vocab: DataFrame, lexicon: DataFrame, token: str = "token") -> DataFrame:
+def correction_table(vocab: DataFrame, lexicon: DataFrame, token: str = "token",
+                     lexicon_keys: DataFrame | None = None) -> DataFrame:
     """T6 for a *distinct* vocabulary: ``(token, suggestion, distance)`` for
     corrected tokens only."""
-    return suggest(unknown_tokens(vocab, lexicon, token), lexicon, token)
+    return suggest(unknown_tokens(vocab, lexicon, token), lexicon, token, lexicon_keys)

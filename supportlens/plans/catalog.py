@@ -576,7 +576,7 @@ def q_stream_clean(spark, sf):
     stream = (live.support_text_stream(spark, f"{sf.rstrip('/')}/conversations*.parquet", conv_schema)
                   .where(F.col("role") == "user")
                   .select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), "text"))
-    q = live.clean_micro_batches(stream, "row_id", "text", lexicon(spark, sf),
-                                 f"{run}/sink", f"{run}/checkpoint")
+    lex = spelling.build_lexicon(_docs(spark, sf), "text", min_freq=20)  # materialised by the stream setup
+    q = live.clean_micro_batches(stream, "row_id", "text", lex, f"{run}/sink", f"{run}/checkpoint")
     q.awaitTermination()
     return live.read_sink(spark, f"{run}/sink").select("row_id", "clean", "length", "entities")

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import entities as ent
-from ..operators import cleaning
+from ..operators import cleaning, spelling
+from ..session import materialize
 
 
 def support_text_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -29,11 +30,16 @@ def support_text_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 def clean_micro_batches(stream: DataFrame, key: str, text: str, lexicon: DataFrame,
                         sink: str, checkpoint: str, available_now: bool = True):
-    """Run the full cleaning + entities on every micro-batch; returns the query."""
-    lex = lexicon  # a static table; each batch joins against it
+    """Run the full cleaning + entities on every micro-batch; returns the query.
+
+    The dictionary and its delete-key index are static: both are materialised
+    once, before the stream starts, and every micro-batch joins against them.
+    """
+    lex = materialize(lexicon)
+    lex_keys = materialize(spelling.dictionary_keys(lex))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        out = (cleaning.clean_texts(batch, key, text, lex)
+        out = (cleaning.clean_texts(batch, key, text, lex, lexicon_keys=lex_keys)
                        .withColumn("entities", F.to_json(ent.extract_entities("clean"))))
         out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
 
