@@ -62,5 +62,5 @@ def test_fixture_texts_avoid_case_mapping_traps(duck):
     sigma; the oracle comparison is only exact if the fixtures hold neither."""
     for table, col in [("documents", "text"), ("conversations", "text"), ("benchmark", "text")]:
         n = duck.sql(f"SELECT count(*) FROM {table} WHERE contains({col}, 'İ') OR contains({col}, 'Σ') "
-                     f"OR contains({col}, 'ς')").fetchone()[0]
+                     f"OR contains({col}, 'ς')").fetchall()[0][0]
         assert n == 0, table
