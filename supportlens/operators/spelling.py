@@ -71,16 +71,22 @@ def dl_distance_upto2(a: Column, b: Column) -> Column:
                    or a and b share a swap.
     A swap costs two Levenshtein edits, so d <= 2 implies lev(a, b) <= 4: the
     banded ``levenshtein(a, b, 4)`` (-1 beyond 4) rejects most candidate pairs
-    cheaply and the swap tests run only for lev in {2, 3, 4}."""
+    cheaply and the swap tests run only for lev in {2, 3, 4}, and for lev 4
+    only when both strings have the same letters."""
     lev = F.levenshtein(a, b, 4)
-    sa, sb = swaps(a), swaps(b)
-    near = (lev >= 2) & (lev <= 4)
-    within1 = (lev == 1) | ((lev == 2) & F.array_contains(sa, b))
-    within2 = ((lev == 2)
-               | (near & (F.exists(sa, lambda s: F.levenshtein(s, b, 1) >= 0)
-                          | F.exists(sb, lambda s: F.levenshtein(a, s, 1) >= 0)
-                          | F.arrays_overlap(sa, sb))))
-    return F.when(within1, F.lit(1)).when(within2, F.lit(2))
+    # lev 4 within Damerau 2 means two swaps, which keep the letter multiset:
+    # compare sorted letters before building any swap.
+    same_letters = F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))
+    # Swap arrays are built only inside the branches that need them (a
+    # subexpression used in some branches only is not hoisted by Catalyst).
+    swap_of_a = F.array_contains(swaps(a), b)
+    one_swap_then_edit = (F.exists(swaps(a), lambda s: F.levenshtein(s, b, 1) >= 0)
+                          | F.exists(swaps(b), lambda s: F.levenshtein(a, s, 1) >= 0)
+                          | F.arrays_overlap(swaps(a), swaps(b)))
+    return (F.when(lev == 1, F.lit(1))
+             .when(lev == 2, F.when(swap_of_a, F.lit(1)).otherwise(F.lit(2)))
+             .when((lev == 3) | ((lev == 4) & same_letters),
+                   F.when(one_swap_then_edit, F.lit(2))))
 
 
 def unknown_tokens(vocab: DataFrame, lexicon: DataFrame, token: str = "token") -> DataFrame:
