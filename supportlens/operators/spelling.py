@@ -79,7 +79,8 @@ def dl_distance_upto2(a: Column, b: Column) -> Column:
     same_letters = F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))
     # Swap arrays are built only inside the branches that need them (a
     # subexpression used in some branches only is not hoisted by Catalyst).
-    swap_of_a = F.array_contains(swaps(a), b)
+    # A single swap keeps length and letters: test those before building swaps.
+    swap_of_a = (F.length(a) == F.length(b)) & same_letters & F.array_contains(swaps(a), b)
     one_swap_then_edit = (F.exists(swaps(a), lambda s: F.levenshtein(s, b, 1) >= 0)
                           | F.exists(swaps(b), lambda s: F.levenshtein(a, s, 1) >= 0)
                           | F.arrays_overlap(swaps(a), swaps(b)))
