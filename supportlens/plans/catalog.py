@@ -78,8 +78,11 @@ def q_remove_stopwords(spark, sf):
 
 @query("query_length")
 def q_query_length(spark, sf):
-    return support_text(spark, sf).select(
-        "row_id", tx.token_count(tx.clean_without_dictionary("query_text")).alias("length"))
+    # T10 counts the tokens of the full clean text (spelling and lemmas included).
+    from ..operators import cleaning as _cleaning
+
+    c = _cleaning.clean_texts(support_text(spark, sf), "row_id", "query_text", lexicon(spark, sf))
+    return c.select("row_id", "length")
 
 
 @query("length_histogram")

@@ -102,8 +102,6 @@ ORACLE["expand_shorthand"] = sq(explode_pos("support_text", "row_id", d_basic_to
 
 ORACLE["remove_stopwords"] = sq(f"SELECT row_id, {d_clean_nodict('query_text')} AS clean FROM support_text")
 
-ORACLE["query_length"] = sq(
-    f"SELECT row_id, {d_token_count(d_clean_nodict('query_text'))} AS length FROM support_text")
 
 HISTOGRAM_TEMPLATE = """
 WITH x AS ({values}),
@@ -117,8 +115,7 @@ SELECT g.bin, round(lo + (g.bin - 1) * (hi - lo) / 30.0, 4) AS bin_lo,
 FROM g CROSS JOIN st LEFT JOIN b ON b.bin = g.bin
 """
 
-ORACLE["length_histogram"] = sq(HISTOGRAM_TEMPLATE.format(
-    values=f"SELECT CAST({d_token_count(d_clean_nodict('query_text'))} AS DOUBLE) AS v FROM support_text"))
+
 
 
 # --- E1-E7 -------------------------------------------------------------------
@@ -681,3 +678,11 @@ WITH c AS ({clean_sql(_USER_TURNS, 'row_id', 'text')}),
 e AS ({d_entities_json('c', 'row_id', 'clean')})
 SELECT c.row_id, c.clean, c.length, coalesce(e.entities, '[]') AS entities
 FROM c LEFT JOIN e ON e.row_id = c.row_id"""
+
+
+# T10 / A4 on the full clean text (defined after the cleaning SQL above).
+ORACLE["query_length"] = sq(
+    f"SELECT row_id, length FROM ({clean_sql('support_text', 'row_id', 'query_text')})")
+
+ORACLE["length_histogram"] = sq(HISTOGRAM_TEMPLATE.format(
+    values=f"SELECT CAST(length AS DOUBLE) AS v FROM ({clean_sql('support_text', 'row_id', 'query_text')})"))
