@@ -68,11 +68,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Guarantee scan parallelism for CPU-heavy per-row work.
 
     A parquet row group is the smallest unit of scan parallelism. When the
-    input has fewer files than the cluster has task slots and its row groups
-    are also fewer (or unknown), the rows are round-robin repartitioned over
-    all slots right after the scan (filters and column pruning still reach the
-    parquet reader below). With many files, the common case at scale, the scan
-    already spreads and nothing is added.
+    input has fewer files than the cluster has task slots, Spark's planned
+    scan splits are consulted, and for local files also the row groups; the
+    rows are round-robin repartitioned over all slots right after the scan
+    (filters and column pruning still reach the parquet reader below) only
+    when both say the scan alone would leave slots idle. With many files or
+    many large splits, the common case at scale, nothing is added.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     files = df.inputFiles()
@@ -81,6 +82,8 @@ def spread(df: DataFrame) -> DataFrame:
     groups = _row_groups(files)
     if groups is not None and groups >= slots:
         return df
+    if groups is None and df.rdd.getNumPartitions() >= slots:
+        return df  # footers unreadable here: trust Spark's byte-based splits
     return df.repartition(slots)
 
 
