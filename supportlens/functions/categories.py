@@ -41,3 +41,11 @@ def normalize_category(category, sub_category) -> Column:
 def in_taxonomy(label, taxonomy=TOP_CATEGORIES) -> Column:
     """C4: whether a (model) label is one of the configured categories."""
     return _col(label).isin(list(taxonomy))
+
+
+def add_normalized_category(df, category: str = "category", sub_category: str = "Sub Category",
+                            out: str = "normalized_category"):
+    """Add ``out``; a column absent from ``df`` counts as missing (plan-time check)."""
+    def pick(name):
+        return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")
+    return df.withColumn(out, normalize_category(pick(category), pick(sub_category)))

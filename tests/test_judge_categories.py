@@ -32,3 +32,11 @@ def test_normalize_category(spark):
     df = spark.createDataFrame(cases, "c string, s string, want string")
     out = df.select("want", cat.normalize_category("c", "s").alias("got")).collect()
     assert [r["got"] for r in out] == [r["want"] for r in out]
+
+
+def test_add_normalized_category_absent_columns(spark):
+    df = spark.createDataFrame([("Get refund",), ("",)], "`Sub Category` string")
+    got = [r["normalized_category"] for r in cat.add_normalized_category(df).collect()]
+    assert got == ["REFUND", "OTHER"]
+    df2 = spark.createDataFrame([("order",)], "category string")
+    assert cat.add_normalized_category(df2).first()["normalized_category"] == "ORDER"
