@@ -151,3 +151,9 @@ def extract_entities(text, ref_date: dt.date = DEFAULT_REF_DATE) -> Column:
     acts = F.transform(account_actions(s), lambda a: _ent("AccountAction", a))
     ints = F.transform(intents(s), lambda a: _ent("Intent", a))
     return F.filter(F.concat(singles, acts, ints), lambda e: e["value"].isNotNull())
+
+
+def add_entities_column(df, text_col: str = "clean", ref_date: dt.date = DEFAULT_REF_DATE,
+                        out: str = "entities"):
+    """Add the ordered entity list of ``text_col`` (cleaned text by default)."""
+    return df.withColumn(out, extract_entities(text_col, ref_date))

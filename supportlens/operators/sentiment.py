@@ -92,3 +92,13 @@ def auc(model, df: DataFrame, label: str) -> float:
 
     out = model.transform(df.withColumn(label, F.col(label).cast("double")))
     return BinaryClassificationEvaluator(rawPredictionCol="_raw", labelCol=label).evaluate(out)
+
+
+def add_sentiment_column(df: DataFrame, text_col: str, model_factory, batch_size: int = 64,
+                         max_length: int = 256, out: str = "sentiment") -> DataFrame:
+    """Add one label per row from a user model (batches of ``batch_size``,
+    inputs cut to ``max_length`` tokens), loaded once per Python worker."""
+    from .models import classify_batch
+
+    return df.withColumn(out, classify_batch(F.col(text_col).cast("string"), model_factory,
+                                             batch_size=batch_size, max_tokens=max_length))

@@ -104,3 +104,14 @@ def overall_report(scores: DataFrame, topics_df: DataFrame | None, sentiments: D
     if triples is not None:
         out["example_pairs"] = first_n(triples, 3, key)
     return out
+
+
+def prepare_queries(df: DataFrame, lexicon: DataFrame, key: str = "row_id",
+                    text_col: str | None = None) -> DataFrame:
+    """Every input column plus ``clean`` and ``length``; the text column is
+    ``Queries`` when present, else the first column (unless given)."""
+    from ..sources.tables import query_column
+
+    col = text_col or query_column(df)
+    c = cleaning.clean_texts(df, key, col, lexicon)
+    return df.join(c, key, "left")

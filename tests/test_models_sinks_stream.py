@@ -93,3 +93,20 @@ def test_chat_batch_concurrency_keeps_order(spark):
     seq = sorted(models.chat_batch(p, "row_id", "m", models.stub_chat_client).collect())
     par = sorted(models.chat_batch(p, "row_id", "m", models.stub_chat_client, concurrency=8).collect())
     assert seq == par and len(par) == 50
+
+
+def test_reference_shaped_helpers(spark):
+    from supportlens.functions.entities import add_entities_column
+    from supportlens.operators.sentiment import add_sentiment_column
+    from supportlens.plans.flows import prepare_queries
+
+    lex = spark.createDataFrame([("refund", 40), ("order", 40), ("please", 30)], "word string, freq bigint")
+    df = spark.createDataFrame([(1, "Refund my ordr pls!"), (2, None)], "row_id long, Queries string")
+    prep = prepare_queries(df, lex)
+    assert prep.columns == ["row_id", "Queries", "clean", "length"]
+    got = {r["row_id"]: (r["clean"], r["length"]) for r in prep.collect()}
+    assert got == {1: ("refund order please", 3), 2: ("", 0)}
+    ents = add_entities_column(prep).where("row_id = 1").first()["entities"]
+    assert [(e["type"], e["value"]) for e in ents] == [("Intent", "Refund"), ("Intent", "Order")]
+    s = add_sentiment_column(prep, "clean", models.stub_sentiment_model).orderBy("row_id").collect()
+    assert [r["sentiment"] for r in s] == ["NEGATIVE", "POSITIVE"]
