@@ -72,6 +72,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+class scratch_scope:
+    """Delete, on exit, the tables ``materialize`` wrote inside the block
+    (e.g. per stream micro-batch, once its output is written)."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self):
+        _SCOPES.append(self.paths)
+        return self
+
+    def __exit__(self, *exc):
+        _SCOPES.remove(self.paths)
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for p in self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+        return False
+
+
 def materialize(df):
     """Write an intermediate once as Parquet under the shared checkpoint folder
     and continue from that table.
@@ -88,6 +113,8 @@ def materialize(df):
     spark = df.sparkSession
     path = scratch_path(spark, f"mat-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     # A small result is often one file (AQE coalesces small partitions):
     # spread it again so CPU-heavy consumers are not left with one task.
     return spread(spark.read.parquet(path))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import entities as ent
 from ..operators import cleaning, spelling
-from ..session import materialize
+from ..session import materialize, scratch_scope
 
 
 def support_text_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -39,9 +39,12 @@ def clean_micro_batches(stream: DataFrame, key: str, text: str, lexicon: DataFra
     lex_keys = materialize(spelling.dictionary_keys(lex))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        out = (cleaning.clean_texts(batch, key, text, lex, lexicon_keys=lex_keys)
-                       .withColumn("entities", F.to_json(ent.extract_entities("clean"))))
-        out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
+        # Per-batch intermediates (vocabulary, rewrite table) are removed once
+        # the batch output is written, so a long-running stream leaves nothing.
+        with scratch_scope(batch.sparkSession):
+            out = (cleaning.clean_texts(batch, key, text, lex, lexicon_keys=lex_keys)
+                           .withColumn("entities", F.to_json(ent.extract_entities("clean"))))
+            out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

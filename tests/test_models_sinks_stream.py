@@ -110,3 +110,16 @@ def test_reference_shaped_helpers(spark):
     assert [(e["type"], e["value"]) for e in ents] == [("Intent", "Refund"), ("Intent", "Order")]
     s = add_sentiment_column(prep, "clean", models.stub_sentiment_model).orderBy("row_id").collect()
     assert [r["sentiment"] for r in s] == ["NEGATIVE", "POSITIVE"]
+
+
+def test_scratch_scope_removes_materialised_tables(spark):
+    import os
+
+    from supportlens.session import materialize, scratch_scope
+
+    with scratch_scope(spark) as scope:
+        m = materialize(spark.range(10))
+        assert m.count() == 10
+        path = scope.paths[0]
+        assert os.path.exists(path.removeprefix("file:"))
+    assert not os.path.exists(path.removeprefix("file:"))
