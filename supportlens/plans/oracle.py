@@ -418,10 +418,11 @@ def d_ascii(x: str) -> str:
 
 SPELL_CTES = f"""{LEXICON_CTE},
 vocab AS (SELECT DISTINCT token FROM toks WHERE token IS NOT NULL),
-unk AS (SELECT token FROM vocab WHERE length(token) > 1 AND token NOT IN (SELECT word FROM lex)),
-cand AS (SELECT u.token, l.word, l.freq,
-                damerau_levenshtein({d_ascii('u.token')}, {d_ascii('l.word')}) AS d
-         FROM unk u JOIN lex l ON abs(length(u.token) - length(l.word)) <= 2),
+unk AS (SELECT token, {d_ascii('token')} AS ta, length(token) AS tl
+        FROM vocab WHERE length(token) > 1 AND token NOT IN (SELECT word FROM lex)),
+lexa AS (SELECT word, freq, {d_ascii('word')} AS wa, length(word) AS wl FROM lex),
+cand AS (SELECT u.token, l.word, l.freq, damerau_levenshtein(u.ta, l.wa) AS d
+         FROM unk u JOIN lexa l ON l.wl BETWEEN u.tl - 2 AND u.tl + 2),
 best AS (SELECT token, word AS suggestion, CAST(d AS INTEGER) AS distance FROM (
            SELECT *, row_number() OVER (PARTITION BY token ORDER BY d, freq DESC, word) AS rn
            FROM cand WHERE d <= 2) WHERE rn = 1)"""
