@@ -378,7 +378,7 @@ def q_generate_and_score(spark, sf):
     replies = q_generate_replies(spark, sf)
     # Replies are paid for: write them out before the judge stage reads them,
     # so a retried judge task never regenerates a reply.
-    replies = materialize(replies)
+    replies = materialize(replies, spread_out=True)
     pairs = qs.join(replies, "row_id")
     return pairs.select("row_id", "response").join(_judged(pairs, "query_text", "response"), "row_id")
 

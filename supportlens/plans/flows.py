@@ -40,7 +40,7 @@ def generate_and_judge(queries: DataFrame, text: str, client_factory: Callable,
     prompts = queries.select(key, pr.reply_prompt(text).alias("m"))
     replies = models.chat_batch(prompts, key, "m", client_factory, task="reply", out="response",
                                 partitions=partitions)
-    replies = materialize(replies)
+    replies = materialize(replies, spread_out=True)
     pairs = queries.select(key, F.col(text).alias("query")).join(replies, key)
     jprompts = pairs.select(key, pr.judge_prompt("query", "response").alias("m"))
     raw = models.chat_batch(jprompts, key, "m", client_factory, task="judge", out="raw",
@@ -68,7 +68,7 @@ def support_artifacts(queries: DataFrame, text: str, lexicon: DataFrame, client_
                                models.encode_batch(F.col("clean_query"), encoder_factory, dim))
         # k-means scans its input once per iteration: materialise the model
         # outputs first so no model runs again.
-        wide = materialize(wide)
+        wide = materialize(wide, spread_out=True)
         _, wide = vectors.kmeans_fit(wide, "query_embedding", k=k, seed=seed, out="topic")
     return wide
 

@@ -97,14 +97,15 @@ class scratch_scope:
         return False
 
 
-def materialize(df):
+def materialize(df, spread_out: bool = False):
     """Write an intermediate once as Parquet under the shared checkpoint folder
     and continue from that table.
 
     One job computes and writes the data (``Dataset.checkpoint`` of an
     unpersisted plan computes it twice: once to count, once to write), the
     lineage is cut, the result survives executor loss (unlike a cache), and
-    AQE sees its real size when planning the next joins.
+    AQE sees its real size when planning the next joins. ``spread_out``: see
+    below.
     """
     import uuid
 
@@ -115,6 +116,8 @@ def materialize(df):
     df.write.parquet(path)
     if _SCOPES:
         _SCOPES[-1].append(path)
-    # A small result is often one file (AQE coalesces small partitions):
-    # spread it again so CPU-heavy consumers are not left with one task.
-    return spread(spark.read.parquet(path))
+    back = spark.read.parquet(path)
+    # A small result is often one file (AQE coalesces small partitions); a
+    # consumer doing heavy per-row work (model calls, k-means) asks for it to
+    # be spread over all task slots again.
+    return spread(back) if spread_out else back
