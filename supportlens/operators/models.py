@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.prompts import TASK_SETTINGS
 from ..functions.text import truncate_tokens
+from ..session import ship_package
 
 MAX_RETRIES = 5
 RETRY_BASE_DELAY = 1.25
@@ -107,6 +108,7 @@ def chat_batch(df: DataFrame, key: str, messages: str, client_factory: Callable[
         if pool:
             pool.shutdown()
 
+    ship_package(df.sparkSession)
     src = df.select(key, messages)
     if partitions:
         src = src.repartition(partitions)
@@ -120,6 +122,9 @@ def encode_batch(texts: Column, encoder_factory: Callable[[], Callable], dim: in
     ``encoder_factory()`` returns ``encode(list[str]) -> array-like (n, dim)``.
     """
     import numpy as np
+    from pyspark.sql import SparkSession
+
+    ship_package(SparkSession.getActiveSession())
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _encode(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -141,6 +146,9 @@ def classify_batch(texts: Column, model_factory: Callable[[], Callable],
                    batch_size: int = 64, max_tokens: int | None = 256) -> Column:
     """One label per text; texts are cut to ``max_tokens`` whitespace tokens
     (the model's input limit) before they are sent."""
+    from pyspark.sql import SparkSession
+
+    ship_package(SparkSession.getActiveSession())
     if max_tokens:
         texts = truncate_tokens(texts, max_tokens)
 

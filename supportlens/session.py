@@ -121,3 +121,35 @@ def materialize(df, spread_out: bool = False):
     # consumer doing heavy per-row work (model calls, k-means) asks for it to
     # be spread over all task slots again.
     return spread(back) if spread_out else back
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor Python workers.
+
+    Pandas UDFs and ``mapInPandas`` functions refer to this package's
+    functions, so the workers must import it. The package is zipped once per
+    application and registered with ``SparkContext.addPyFile`` (what
+    ``--py-files`` does); Spark ships it to every executor.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    archive = os.path.join(tempfile.mkdtemp(prefix="supportlens-pyfiles-"), "supportlens.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, dirnames, filenames in os.walk(pkg):
+            dirnames[:] = [d for d in dirnames if d != "__pycache__"]
+            for f in filenames:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
