@@ -123,3 +123,26 @@ def test_scratch_scope_removes_materialised_tables(spark):
         path = scope.paths[0]
         assert os.path.exists(path.removeprefix("file:"))
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_runs_from_another_working_directory(tmp_path):
+    """The correctness driver imports __spark_entry__ from elsewhere: Python
+    workers must still import the package (shipped with addPyFile)."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import importlib.util
+spec = importlib.util.spec_from_file_location("__spark_entry__", "{repo}/__spark_entry__.py")
+m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
+from pyspark.sql import SparkSession
+s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("COUNT", m.queries()["generate_replies"](s, "{SF_SMALL}").count(),
+      m.queries()["add_sentiment"](s, "{SF_SMALL}").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "COUNT" in out.stdout, out.stderr[-2000:]
