@@ -126,7 +126,7 @@ def materialize(df, spread_out: bool = False):
 _SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession | None) -> None:
     """Make this package importable in executor Python workers.
 
     Pandas UDFs and ``mapInPandas`` functions refer to this package's
@@ -137,6 +137,8 @@ def ship_package(spark: SparkSession) -> None:
     import os
     import zipfile
 
+    if spark is None:  # no session in this thread yet: nothing to ship to
+        return
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
