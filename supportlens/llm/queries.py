@@ -34,3 +34,97 @@ def op6_near_duplicates(spark, sf_dir):
     from . import near_dedup
 
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+def _digest(col):
+    return F.sha2(F.concat_ws(",", col), 256)
+
+
+@query
+def op3_decontamination(spark, sf_dir):
+    from . import decontamination
+
+    out = decontamination.contaminated_words(read(spark, sf_dir, "documents"),
+                                             read(spark, sf_dir, "benchmark"), width=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      _digest("items").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op5_license_scan(spark, sf_dir):
+    from . import licenses
+
+    out = licenses.licenses(read(spark, sf_dir, "documents"))
+    return (out.withColumn("base_labels", F.concat_ws(",", "base_labels"))
+               .withColumn("labels", F.concat_ws(",", "labels")))
+
+
+@query
+def op8_quality_rules(spark, sf_dir):
+    from . import quality_rules
+
+    out = quality_rules.score_texts(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", F.round("p_good", 6).alias("p_good"))
+
+
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+ORACLE["op3_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS g,
+               least(10, len(w)) AS k
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM win),
+grams AS (SELECT doc_id, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g
+          FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k)),
+hit AS (SELECT doc_id, i, k, item_id FROM grams JOIN win USING (g, k)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit)
+        GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(pos.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(it.n, 0) AS BIGINT) AS n_items, sha256(coalesce(it.ids, '')) AS items_sha256,
+       coalesce(pos.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+def _license_sql() -> str:
+    from .licenses import PERCENT, PHRASES, STRIDE, TEMPLATES, pattern_words
+
+    phrases = ", ".join(f"('{' '.join(pattern_words(p))}', '{label}', {len(pattern_words(p))})"
+                        for p, label in PHRASES.items())
+    words = [(label, list(dict.fromkeys(pattern_words(t)))) for label, t in TEMPLATES.items()]
+    templates = ", ".join(f"({i}, '{label}', '{w}', {len(ws)}, {-(-len(ws) * PERCENT // 100)})"
+                          for i, (label, ws) in enumerate(words) for w in ws)
+    return f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+p(phrase, label, k) AS (VALUES {phrases}),
+t(tid, label, word, m, need) AS (VALUES {templates}),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+base AS (SELECT doc_id, label, i - 1 AS start, 1.0 AS score FROM
+         (SELECT doc_id, w, phrase, label, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, p
+          WHERE contains(' ' || array_to_string(w, ' ') || ' ', ' ' || phrase || ' '))
+         WHERE array_to_string(list_slice(w, i, i + k - 1), ' ') = phrase),
+blocks AS (SELECT doc_id, pos // {STRIDE} AS block, word FROM x
+           UNION ALL SELECT doc_id, pos // {STRIDE} - 1, word FROM x WHERE pos >= {STRIDE}),
+method AS (SELECT doc_id, t.label, NULL AS start, count(DISTINCT word) / CAST(any_value(m) AS DOUBLE) AS score
+           FROM blocks JOIN t USING (word) GROUP BY doc_id, block, tid, t.label
+           HAVING count(DISTINCT word) >= any_value(need)),
+a AS (SELECT doc_id, label, start, score FROM base UNION ALL SELECT doc_id, label, start, score FROM method),
+r AS (SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (start IS NOT NULL) AS base_labels,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+      FROM a GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN r USING (doc_id)
+"""
+
+
+ORACLE["op5_license_scan"] = _license_sql()
