@@ -63,24 +63,20 @@ def prefix_table(scratch: Scratch, documents: DataFrame, windows: DataFrame,
     return windows.join(rarest, "wid").select("wid", "block", "r.word", "r.offset", "window", "r.n")
 
 
-def contaminated_words(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH,
-                       id_col: str = "doc_id", text_col: str = "text",
-                       item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per document row: id, ``n_words``, ``n_hit``, ``spans`` (merged word
-    ranges, end exclusive) and ``items`` (ids with occurring windows, as sorted
-    strings)."""
-    scratch = Scratch(documents.sparkSession, "decontamination")
+def occurrences(scratch: Scratch, documents: DataFrame, benchmark: DataFrame, width: int, id_col: str,
+                text_col: str, item_col: str, item_text: str) -> tuple[DataFrame, DataFrame]:
+    """Written tables: (``id``, ``h``, ``start``, ``end``, ``wid``) of every
+    window found, h being the hash of the text, and (``wid``, ``item_id``)."""
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_col).cast("string").alias("item_id"),
                              F.col(item_text).alias("text"))
-    of_item = scratch.write(_windows(items, width).distinct(), "of_item")
-    n = of_item.select("window").distinct().count()
-    blocks = max(1, -(-n // BLOCK))
     # Windows are numbered by their digest: the same in every attempt of a task.
     wid = F.md5(F.concat_ws(" ", "window"))
-    block = F.pmod(F.xxhash64("window"), F.lit(blocks)).alias("block")
-    windows = scratch.write(of_item.select("window").distinct().select(wid.alias("wid"), block, "window"),
-                            "windows")
+    of_item = scratch.write(_windows(items, width).distinct().select(wid.alias("wid"), "item_id", "window"),
+                            "of_item")
+    distinct = scratch.write(of_item.select("wid", "window").distinct(), "distinct")
+    blocks = max(1, -(-distinct.count() // BLOCK))
+    windows = distinct.select("wid", F.pmod(F.xxhash64("wid"), F.lit(blocks)).alias("block"), "window")
     words = alnum_words(F.col("text"))
     prefix = scratch.write(prefix_table(scratch, docs, windows, words).where("n > 0"), "prefix")
     hits = None
@@ -88,18 +84,30 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, width: int =
         some = _occurrences(docs, prefix.where(F.col("block") == i) if blocks > 1 else prefix, words)
         hits = some if hits is None else hits.union(some)
     hits = scratch.write(hits, "hits")
+    scratch.drop("prefix", "distinct", "counts", "vocabulary")
+    return hits, of_item.select("wid", "item_id")
+
 
+def contaminated_words(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH,
+                       id_col: str = "doc_id", text_col: str = "text",
+                       item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Per document row: id, ``n_words``, ``n_hit``, ``spans`` (merged word
+    ranges, end exclusive) and ``items`` (ids with occurring windows, as sorted
+    strings)."""
+    scratch = Scratch(documents.sparkSession, "decontamination")
+    hits, of_item = occurrences(scratch, documents, benchmark, width, id_col, text_col, item_col, item_text)
     span = F.struct(F.col("start"), F.col("end"))
     found = hits.groupBy("id", "h").agg(F.sort_array(F.collect_set(span)).alias("spans"))
-    named = (hits.select("id", "h", "wid").distinct()
-                 .join(of_item.select(wid.alias("wid"), "item_id"), "wid")
+    named = (hits.select("id", "h", "wid").distinct().join(of_item, "wid")
                  .groupBy("id", "h").agg(F.sort_array(F.collect_set("item_id")).alias("items")))
     same = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["h"] == b["h"])
     found = scratch.write(found.join(named, same(found, named)).select(
         found["id"], found["h"], _merged(F.col("spans")).alias("spans"), "items"), "found")
-    scratch.drop("hits", "prefix", "windows", "counts", "vocabulary")
+    scratch.drop("hits", "of_item")
 
-    base = docs.select("id", F.xxhash64("text").alias("h"), F.size(words).cast("long").alias("n_words"))
+    words = alnum_words(F.col("text"))
+    base = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select(
+        "id", F.xxhash64("text").alias("h"), F.size(words).cast("long").alias("n_words"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     spans = F.coalesce("spans", none)
     covered = F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
@@ -108,6 +116,18 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, width: int =
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH,
+                      id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                      item_text: str = "text") -> DataFrame:
+    """The rows, all columns as they are, in whose text no window occurs."""
+    scratch = Scratch(documents.sparkSession, "decontamination")
+    hits, _ = occurrences(scratch, documents, benchmark, width, id_col, text_col, item_col, item_text)
+    bad = scratch.write(hits.select("id", "h").distinct(), "bad").toDF("__bad_id", "__bad_h")
+    scratch.drop("hits", "of_item")
+    return documents.join(bad, documents[id_col].eqNullSafe(bad["__bad_id"])
+                          & (F.xxhash64(documents[text_col]) == bad["__bad_h"]), "left_anti")
+
+
 def _occurrences(docs: DataFrame, prefix: DataFrame, words: Column) -> DataFrame:
     """(``id``, ``h``, ``start``, ``end``, ``wid``) of every window found."""
     each = docs.select("id", "text", words.alias("w")).select(

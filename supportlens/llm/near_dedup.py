@@ -239,3 +239,21 @@ def _rare_shingle_pairs(scratch: Scratch, sets: DataFrame, percent: int) -> Data
             & (room * (100 + percent) >= both * percent))
     found = left.join(right, "v").where(keep)
     return found.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+
+
+def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """The rows that stay, all columns as they are: of each group the one with
+    the smallest id (one of the rows that share that id), and rows with a null
+    id."""
+    scratch = Scratch(docs.sparkSession, "one-per-group")
+    found = scratch.write(near_duplicates(docs, width, percent, id_col, text_col)
+                          .select(id_col, "kept"), "found")
+    gone = found.where(~F.col("kept")).select(id_col).distinct()
+    stay = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    again = found.where("kept").where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
+    again = scratch.write(again.select(id_col), "again")
+    if again.isEmpty():
+        return stay
+    single = stay.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
+    return stay.join(again, id_col, "left_anti").select(*docs.columns).union(single)

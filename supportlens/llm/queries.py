@@ -68,6 +68,61 @@ def op8_quality_rules(spark, sf_dir):
                       "base_failed", "kept", F.round("p_good", 6).alias("p_good"))
 
 
+@query
+def op2_personal_data(spark, sf_dir):
+    from . import personal_data as pd
+    from . import spans as sp
+
+    out = pd.scan(read(spark, sf_dir, "documents"))
+    all_of = F.col("spans")
+    return out.select("doc_id", *[sp.count_of(all_of, k).alias(f"n_{k}") for k in pd.BASE_KINDS],
+                      F.sha2(sp.listed(sp.of_kinds(all_of, pd.BASE_KINDS)), 256).alias("base_sha256"),
+                      sp.listed(all_of).alias("spans"))
+
+
+@query
+def op9_secret_scan(spark, sf_dir):
+    from . import secret_scan
+    from . import spans as sp
+
+    out = secret_scan.scan(read(spark, sf_dir, "documents"))
+    all_of = F.col("spans")
+    base = sp.of_kinds(all_of, secret_scan.BASE_KINDS)
+    return out.select("doc_id", *[sp.count_of(all_of, k).alias(f"n_{k}") for k in secret_scan.BASE_KINDS],
+                      F.sha2(sp.listed(base), 256).alias("base_sha256"), sp.listed(all_of).alias("spans"))
+
+
+@query
+def op4_quality_model(spark, sf_dir):
+    from . import quality_model as qm
+
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    ratings = labels.select("doc_id", qm.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    out = qm.score_texts(docs, qm.fit(docs, ratings))
+    tail = F.element_at("p_at_least", -1)
+    return out.select("doc_id", F.round("expected_grade", 6).alias("expected_grade"),
+                      F.round(tail, 6).alias("p_top_grade"), "kept")
+
+
+@query
+def op7_warc_roundtrip(spark, sf_dir):
+    from . import warc
+    from .common import Scratch
+
+    pages = read(spark, sf_dir, "pages")
+    path = Scratch(spark, "warc-archives").path("archives")
+    warc.write_archives(pages, path)
+    return warc.records(warc.chunk_table(spark, path, data=False), pages.schema["page_id"].dataType.simpleString())
+
+
+@query
+def op10_source_mix(spark, sf_dir):
+    from . import mixing
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
+    return mixing.mix(docs)
+
+
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
@@ -128,3 +183,29 @@ FROM d LEFT JOIN r USING (doc_id)
 
 
 ORACLE["op5_license_scan"] = _license_sql()
+
+ORACLE["op7_warc_roundtrip"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+q AS (SELECT page_id, n, sha1(h) AS digest,
+             CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) ELSE page_id END AS target FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN target = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN target <> page_id THEN target END AS refers_to FROM q
+"""
+
+ORACLE["op6_near_duplicates"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g FROM
+      (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+      WHERE 100 * k >= 80 * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT r.x AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.y) AS component_id,
+       min(r.y) = r.x AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.x GROUP BY r.x
+"""
