@@ -31,6 +31,9 @@ from ..session import ship_package
 
 MAX_TRAIN = 20_000   # rated texts used to fit
 BUCKETS = 1 << 17    # hashed weights (0.5 MB)
+MIN_TEXTS = 5        # a bucket that fewer sample texts have gets no weight,
+MIN_Z = 3.0          # nor one whose texts' mean grade differs by less (standard errors)
+WORD_WEIGHT = 5.0    # all words of a text together, against each shape token
 WORD_CACHE = 200_000  # remembered per Python worker (memory bound only)
 
 _SYMBOLS = b"#*$%&|<>"
@@ -63,12 +66,12 @@ def text_tokens(text: bytes | None) -> tuple[set[bytes], list[bytes]]:
 
 
 def text_features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and values: each word 1/sqrt(number of words), each shape 1."""
+    """Buckets and values: each word WORD_WEIGHT/sqrt(number of words), each shape 1."""
     words, shape = text_tokens(text)
     idx = np.fromiter((_bucket(w) for w in [*words, *shape]), dtype=np.int32, count=len(words) + len(shape))
     val = np.ones(len(idx), dtype=np.float32)
     if words:
-        val[:len(words)] = 1 / math.sqrt(len(words))
+        val[:len(words)] = WORD_WEIGHT / math.sqrt(len(words))
     return idx, val
 
 
@@ -84,11 +87,14 @@ class OrdinalModel:
 
     @classmethod
     def fit(cls, idx: np.ndarray, val: np.ndarray, start: np.ndarray, grade: np.ndarray,
-            rounds: int = 150, rate: float = 0.1, decay: float = 2e-5) -> OrdinalModel:
+            rounds: int = 200, rate: float = 0.1, decay: float = 1e-4) -> OrdinalModel:
         """Maximum likelihood by Adam over rows ``idx[start[i]:start[i + 1]]``.
         Thresholds are a first one and positive gaps, so they stay ordered."""
         k = int(grade.max())
         rows = np.repeat(np.arange(len(grade)), np.diff(start))
+        seen = np.bincount(idx, minlength=BUCKETS)
+        off = np.bincount(idx, ((grade - grade.mean()) / max(grade.std(), 1e-9))[rows], BUCKETS)
+        used = (seen >= min(MIN_TEXTS, len(grade))) & (np.abs(off) >= MIN_Z * np.sqrt(seen))
         share = np.array([np.clip((grade >= g).mean(), 0.01, 0.99) for g in range(1, k + 1)])
         first = -np.log(share / (1 - share))
         gaps = np.log(np.maximum(np.diff(first), 0.1))
@@ -110,7 +116,7 @@ class OrdinalModel:
             np.add.at(g_cut, grade[grade < k], (d_over / p / n)[grade < k])
             tail = g_cut[::-1].cumsum()[::-1]
             g_th = np.concatenate([tail[:1], tail[1:] * np.exp(th[1:])])
-            grads = [np.bincount(idx, g_score[rows] * val, BUCKETS) - decay * w, g_th]
+            grads = [(np.bincount(idx, g_score[rows] * val, BUCKETS) - decay * w) * used, g_th]
             for i, g in enumerate(grads):
                 m[i] = 0.9 * m[i] + 0.1 * g
                 v[i] = 0.99 * v[i] + 0.01 * g * g
@@ -198,4 +204,4 @@ def _score(model: OrdinalModel | None, known: dict[bytes, float], text: bytes |
             if w not in known:
                 known[w] = float(model.weights[_bucket(w)])
         total = math.fsum([known[w] for w in words])
-    return total / math.sqrt(len(words) or 1) + math.fsum(float(model.weights[_bucket(s)]) for s in shape)
+    return total * WORD_WEIGHT / math.sqrt(len(words) or 1) + math.fsum(float(model.weights[_bucket(s)]) for s in shape)
