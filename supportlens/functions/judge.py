@@ -24,9 +24,19 @@ def _col(c) -> Column:
 
 def coerce_score(value: Column, lo: int = SCORE_LO, hi: int = SCORE_HI) -> Column:
     """L4: integer conversion like ``int(x)`` (truncating numbers, digit strings
-    only), failure -> ``lo``, then clamp to [lo, hi]. ``value`` is a VARIANT."""
-    as_int = F.try_variant_get(value, "$", "bigint")
-    return F.greatest(F.lit(lo), F.least(F.lit(hi), F.coalesce(as_int, F.lit(lo)))).cast("int")
+    only) of any size, then clamp to [lo, hi]; failure -> ``lo``. ``value`` is a
+    VARIANT. Numbers beyond bigint are clamped by their sign."""
+    small = F.try_variant_get(value, "$", "bigint")
+    text = F.try_variant_get(value, "$", "string")
+    kind = F.schema_of_variant(value)
+    number = F.when(kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL"),
+                    F.try_variant_get(value, "$", "double"))
+    digits = F.when((kind == "STRING") & F.regexp(text, F.lit(r"^\s*[+-]?[0-9]+\s*$")),
+                    F.trim(text).try_cast("double"))
+    large = F.coalesce(number, digits)  # only its side of the range matters
+    clamped = F.when(large >= hi, hi).when(large <= lo, lo)
+    inside = F.when(small.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), small)))
+    return F.coalesce(inside, clamped, F.lit(lo)).cast("int")
 
 
 def parse_judge(raw) -> Column:
@@ -38,6 +48,12 @@ def parse_judge(raw) -> Column:
         fields.append(F.when(node.isNull(), F.lit(default))
                       .otherwise(coerce_score(node)).alias(key))
     expl = F.try_variant_get(v, "$.explanation", "string")
-    fields.append(F.when(F.coalesce(expl, F.lit("")) == "", F.lit(DEFAULT_EXPLANATION))
-                  .otherwise(expl).alias("explanation"))
+    node = F.try_variant_get(v, "$.explanation", "variant")
+    number = F.try_variant_get(node, "$", "double")
+    kind = F.schema_of_variant(node)
+    # an absent, empty, false or zero value of any type counts as none
+    text = F.coalesce(kind == "STRING", F.lit(False))
+    none = F.when(text, expl == "").otherwise(
+        F.coalesce(expl, F.lit("")).isin("", "false", "[]", "{}") | F.coalesce(number == 0, F.lit(False)))
+    fields.append(F.when(none, F.lit(DEFAULT_EXPLANATION)).otherwise(expl).alias("explanation"))
     return F.struct(*fields)

@@ -37,7 +37,7 @@ SHORTHAND = {
 
 # Spark ML's default English stop-word list
 # (StopWordsRemover.loadDefaultStopWords("english")), 181 words, in its order.
-ENGLISH_STOP_WORDS = tuple("""
+_LISTED_STOP_WORDS = tuple("""
 i me my myself we our ours ourselves you your yours yourself yourselves he him
 his himself she her hers herself it its itself they them their theirs
 themselves what which who whom this that these those am is are was were be been
@@ -54,6 +54,21 @@ that's there's what's when's where's who's why's would
 """.split())
 
 
+def contraction_pieces(words) -> tuple[str, ...]:
+    """What is left of the contractions of a list once punctuation is gone:
+    their endings (``ll``, ``ve``, ``t``) and the stems of negations (``isn``)."""
+    pieces = []
+    for stem, mark, end in (w.partition("'") for w in words):
+        if mark:
+            pieces += [stem, end] if end == "t" else [end]
+    return tuple(p for p in dict.fromkeys(pieces) if p not in words)
+
+
+# Tokens reach the stop-word step without apostrophes, so the contractions of
+# the list take effect through their pieces.
+ENGLISH_STOP_WORDS = _LISTED_STOP_WORDS + contraction_pieces(_LISTED_STOP_WORDS)
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -3,20 +3,24 @@
 T1-T5 and T7 are column expressions. Spelling (T6) and lemmas (T8) depend
 only on the token, so they are computed once per *distinct* token and folded,
 together with the stop-word filter, into a single rewrite table
-``(token, out, drop)``. The exploded tokens meet that table in one join and
-are reassembled per row by position:
+``(token, out, drop)`` of the tokens that change or go. Of each row, only its
+distinct tokens meet that table, and those that change come back as one map
+per key, which is applied to the row's token array in place:
 
-    rows --posexplode_outer--> (key, pos, token) --left join rewrite--> --group by key--> clean
+    rows --distinct tokens--> (key, token) --join rewrite--> --group by key--> map
+    rows --left join map--> transform(tokens) --> clean
 
-Only tokens that change or are dropped are in the rewrite table; all others
-pass through unchanged. AQE splits the join partition of a hot token and
+Stop words that the dictionary knows are never corrected, so they are filtered
+out before anything is exploded. Neither positions nor unchanged tokens are
+grouped or sorted. AQE splits the join partition of a hot token and
 switches to a broadcast join when the measured rewrite table is small. Rows
-without tokens survive the explode (``_outer``) and come out as ''.
+keep their own token array: rows without tokens come out as '', and rows that
+share a key, or have none, are cleaned each for itself.
 
-The distinct vocabulary and the rewrite table are materialised (reliable
-checkpoints in the shared folder): each is read by several plan branches, the
-text is then tokenised twice in total (vocabulary pass, rewrite pass), and a
-retried final stage never repeats the spelling join.
+The distinct vocabulary and the rewrite table are materialised (in the shared
+folder): each is read by several plan branches, and a retried final stage
+never repeats the spelling join. The input is read three times: materialise
+it first if it is costly.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from . import lemmas, spelling
 
 
@@ -38,14 +42,12 @@ def explode_tokens(df: DataFrame, key: str, text: str, split_expansions: bool =
 
 def rewrite_table(tokens: DataFrame, lexicon: DataFrame, correct: bool = True,
                   lemmatize: bool = True, stop_words=tx.ENGLISH_STOP_WORDS,
-                  materialize_steps: bool = True,
-                  lexicon_keys: DataFrame | None = None) -> DataFrame:
+                  lexicon_keys: DataFrame | None = None, exceptions: DataFrame | None = None,
+                  scope: scratch_scope | None = None) -> DataFrame:
     """``(token, out, drop)`` for every distinct token that changes or is dropped."""
-    vocab = tokens.where(F.col("token").isNotNull()).select("token").distinct()
-    if materialize_steps:
-        vocab = materialize(vocab)
+    vocab = materialize(tokens.where(F.col("token").isNotNull()).select("token").distinct(), scope=scope)
     if correct:
-        corr = spelling.correction_table(vocab, lexicon, lexicon_keys=lexicon_keys)
+        corr = spelling.correction_table(vocab, lexicon, lexicon_keys=lexicon_keys, scope=scope)
         step = (vocab.join(corr, "token", "left")
                      .select("token", F.coalesce("suggestion", "token").alias("w")))
     else:
@@ -56,13 +58,13 @@ def rewrite_table(tokens: DataFrame, lexicon: DataFrame, correct: bool = True,
         # A corrected word is a vocabulary token or a dictionary word: lemmas of
         # both sets, so this branch does not re-run the spelling join.
         words = vocab.unionByName(lexicon.select(F.col("word").alias("token")))
-        lem = lemmas.lemma_table(words, lexicon).select(F.col("token").alias("w"), "lemma")
+        lem = lemmas.lemma_table(words, lexicon, exceptions=exceptions).select(F.col("token").alias("w"), "lemma")
         step = (step.join(lem, "w", "left")
                     .select("token", "drop",
                             F.when(F.col("drop"), None).otherwise(F.coalesce("lemma", "w")).alias("w")))
     out = (step.where(F.col("drop") | (F.col("w") != F.col("token")))
                .select("token", F.col("w").alias("out"), "drop"))
-    return materialize(out) if materialize_steps else out
+    return materialize(out, scope=scope)
 
 
 def clean_tokens(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct: bool = True,
@@ -78,45 +80,58 @@ def clean_tokens(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct
                          .otherwise(F.coalesce("out", "token")).alias("out")))
 
 
-def clean_texts(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct: bool = True,
-                lemmatize: bool = True, stop_words=tx.ENGLISH_STOP_WORDS,
-                split_expansions: bool = True,
-                lexicon_keys: DataFrame | None = None) -> DataFrame:
-    """(key, clean, length) for every input row (no tokens -> '', 0).
-
-    ``lexicon_keys``: a prebuilt ``spelling.dictionary_keys(lexicon)`` to share
-    across calls (e.g. stream micro-batches)."""
-    toks = clean_tokens(df, key, text, lexicon, correct, lemmatize, stop_words, split_expansions,
-                        lexicon_keys)
-    per_row = toks.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("s"))
-    words = F.filter(F.transform("s", lambda e: e["out"]), lambda w: w.isNotNull())
-    return per_row.select(key, tx.join_tokens(words).alias("clean")).withColumn(
-        "length", tx.token_count("clean"))
+def known_stop_words(lexicon: DataFrame, stop_words) -> list[str]:
+    """Stop words the dictionary knows (at most the length of the list)."""
+    words = list(stop_words or ())
+    return [r[0] for r in lexicon.where(F.col("word").isin(words)).select("word").distinct().collect()] \
+        if words else []
 
 
 def clean_columns(df: DataFrame, key: str, cols: list[str], lexicon: DataFrame,
                   correct: bool = True, lemmatize: bool = True,
                   stop_words=tx.ENGLISH_STOP_WORDS, split_expansions: bool = True,
-                  prefix: str = "clean_", lexicon_keys: DataFrame | None = None) -> DataFrame:
+                  prefix: str = "clean_", lexicon_keys: DataFrame | None = None,
+                  exceptions: DataFrame | None = None, scope: scratch_scope | None = None) -> DataFrame:
     """T11 + T12 together: clean several text columns of one table with a
-    single vocabulary, one rewrite table, one occurrence join and one regroup
-    by key. Output: key and ``prefix + col`` for every column."""
-    parts = None
-    for i, c in enumerate(cols):
-        p = df.select(key, F.lit(i).alias("ci"),
-                      F.posexplode_outer(tx.basic_tokens(c, None, split_expansions)).alias("pos", "token"))
-        parts = p if parts is None else parts.unionByName(p)
-    rw = rewrite_table(parts, lexicon, correct, lemmatize, stop_words, lexicon_keys=lexicon_keys)
-    toks = (parts.join(rw, "token", "left")
-                 .select(key, "ci", "pos",
-                         F.when(F.coalesce("drop", F.lit(False)), None)
-                          .otherwise(F.coalesce("out", "token")).alias("out")))
-    per_row = toks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("ci", "pos", "out"))).alias("s"))
-    def words_of(i: int):
-        # (a two-argument lambda would be read as (element, index) by filter)
-        keep = lambda e: (e["ci"] == F.lit(i)) & e["out"].isNotNull()
-        return F.transform(F.filter("s", keep), lambda e: e["out"])
-
-    outs = [tx.join_tokens(words_of(i)).alias(prefix + c) for i, c in enumerate(cols)]
-    return per_row.select(key, *outs)
+    single vocabulary and one rewrite table. Output: key and ``prefix + col``
+    for every column, one row per input row.
+
+    ``lexicon_keys``: a prebuilt ``spelling.dictionary_keys(lexicon)`` to share
+    across calls (e.g. stream micro-batches). ``exceptions``: (form, lemma)
+    pairs that go before the lemma rules, e.g. irregular plurals."""
+    gone = known_stop_words(lexicon, stop_words)
+
+    def tokens(c: str):
+        t = tx.basic_tokens(c, None, split_expansions)
+        return F.filter(t, lambda w: ~w.isin(gone)) if gone else t
+
+    names = [f"__tokens_{i}" for i in range(len(cols))]
+    rows = df.select(F.col(key), *[tokens(c).alias(n) for c, n in zip(cols, names)])
+    every = F.array_distinct(F.concat(*names)) if len(names) > 1 else F.array_distinct(names[0])
+    each = rows.select(F.col(key).alias("__key"), F.explode(every).alias("token"))
+    rewrite = rewrite_table(each, lexicon, correct, lemmatize, stop_words, lexicon_keys, exceptions, scope)
+    # one entry per changed token of a key (rows that share a key agree on it)
+    changed = (each.join(rewrite, "token").select(
+        "__key", "token", F.when(~F.col("drop"), F.col("out")).alias("out")).distinct()
+        .groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct("token", "out"))).alias("__map")))
+    both = rows.join(changed, rows[key].eqNullSafe(changed["__key"]), "left")
+
+    def cleaned(name: str):
+        swap = lambda t: F.when(F.map_contains_key("__map", t),
+                                F.try_element_at("__map", t)).otherwise(t)
+        out = F.filter(F.transform(name, swap), lambda t: t.isNotNull())
+        return tx.join_tokens(F.when(F.col("__map").isNull(), F.col(name)).otherwise(out))
+
+    return both.select(rows[key], *[cleaned(n).alias(prefix + c) for c, n in zip(cols, names)])
+
+
+def clean_texts(df: DataFrame, key: str, text: str, lexicon: DataFrame, correct: bool = True,
+                lemmatize: bool = True, stop_words=tx.ENGLISH_STOP_WORDS,
+                split_expansions: bool = True, lexicon_keys: DataFrame | None = None,
+                exceptions: DataFrame | None = None, scope: scratch_scope | None = None) -> DataFrame:
+    """(key, clean, length) for every input row (no tokens -> '', 0).
+    The arguments are those of ``clean_columns``."""
+    out = clean_columns(df, key, [text], lexicon, correct, lemmatize, stop_words, split_expansions,
+                        "__clean_", lexicon_keys, exceptions, scope)
+    return out.select(key, F.col(f"__clean_{text}").alias("clean")).withColumn(
+        "length", tx.token_count("clean"))

@@ -5,8 +5,8 @@ partitioned execution, batching, retries and parsing:
 
 * ``chat_batch`` (L2): ``mapInPandas`` over (key, messages) rows. A client is
   built once per partition by ``client_factory``; each row is one completion
-  call ``client(messages, temperature=, max_tokens=, json=) -> str`` with up to
-  ``max_retries`` attempts and exponential back-off. Only the key and prompt
+  call ``client(messages, temperature=, max_tokens=, json=[, model=]) -> str``
+  under a ``RetryPolicy``. Only the key and prompt
   columns cross into Python; ``partitions`` bounds the number of concurrent
   callers. Failure policy: ``"fail"`` (raise, as the reference does) or
   ``"null"`` (NULL text plus an ``error`` column).
@@ -20,8 +20,10 @@ before a second model stage reads them; speculative execution is off.
 
 from __future__ import annotations
 
+import random
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,28 +34,65 @@ from ..functions.prompts import TASK_SETTINGS
 from ..functions.text import truncate_tokens
 from ..session import ship_package
 
-MAX_RETRIES = 5
-RETRY_BASE_DELAY = 1.25
+class ModelCallError(RuntimeError):
+    """A call that failed for good; ``attempts`` were made."""
 
+    def __init__(self, message: str, attempts: int):
+        super().__init__(message)
+        self.attempts = attempts
 
-class ModelCallError(RuntimeError):
-    pass
 
+@dataclass(frozen=True)
+class RetryPolicy:
+    """When and how often a model call is made again.
 
-def call_with_retry(fn: Callable[[], str | None], max_retries: int = MAX_RETRIES,
-                    base_delay: float = RETRY_BASE_DELAY,
-                    sleep: Callable[[float], None] = time.sleep) -> str:
-    """Up to ``max_retries`` attempts; wait base * 2**attempt after each failure.
-    The answer is stripped; a missing answer is ''."""
-    last: Exception | None = None
-    for attempt in range(max_retries):
-        try:
-            out = fn()
-            return (out or "").strip()
-        except Exception as e:  # noqa: BLE001 - any client error is retried
-            last = e
-            sleep(base_delay * (2 ** attempt))
-    raise ModelCallError(f"model call failed after {max_retries} attempts: {last}")
+    An error is permanent when it says so (``retryable = False``), carries a
+    client-side status (400-499 but for 408, 409, 425 and 429) or is a mistake
+    in the call itself (``TypeError``, ``ValueError``); asking again would cost
+    money for the same answer. Everything else may pass. Pauses double from
+    ``pause`` up to ``longest`` and are shortened by up to ``jitter`` at random,
+    so that many tasks do not come back at the same moment; an error's own
+    ``retry_after`` (seconds) replaces the pause. No pause follows the last
+    attempt, and none is begun that would end after ``budget`` seconds.
+    """
+
+    attempts: int = 5
+    pause: float = 1.25
+    longest: float = 30.0
+    jitter: float = 0.25
+    budget: float = 300.0
+
+    def permanent(self, error: Exception) -> bool:
+        said = getattr(error, "retryable", None)
+        if said is not None:
+            return not said
+        status = getattr(error, "status_code", getattr(error, "status", None))
+        if isinstance(status, int):
+            return 400 <= status < 500 and status not in (408, 409, 425, 429)
+        return isinstance(error, TypeError | ValueError)
+
+    def pauses(self, draw: Callable[[], float] = random.random) -> Iterator[float]:
+        """The pauses between attempts, one fewer than attempts."""
+        for i in range(self.attempts - 1):
+            yield min(self.longest, self.pause * 2 ** i) * (1 - self.jitter * draw())
+
+    def run(self, call: Callable[[], str | None], sleep: Callable[[float], None] = time.sleep,
+            clock: Callable[[], float] = time.monotonic, draw: Callable[[], float] = random.random) -> str:
+        """The answer without surrounding white space, '' for none."""
+        end, made, left = clock() + self.budget, 0, self.pauses(draw)
+        while True:
+            made += 1
+            try:
+                answer = call()
+            except Exception as error:  # noqa: BLE001 - clients raise errors of their own
+                wait = None if self.permanent(error) else next(left, None)
+                if wait is not None:
+                    wait = getattr(error, "retry_after", None) or wait
+                if wait is None or clock() + wait > end:
+                    raise ModelCallError(f"{type(error).__name__} on attempt {made}: {error}", made) from error
+                sleep(wait)
+            else:
+                return answer.strip() if answer else ""
 
 
 def _messages_to_py(m) -> list[dict]:
@@ -62,17 +101,17 @@ def _messages_to_py(m) -> list[dict]:
 
 def chat_batch(df: DataFrame, key: str, messages: str, client_factory: Callable[[], Callable],
                task: str = "reply", out: str = "text", partitions: int | None = None,
-               on_error: str = "fail", max_retries: int = MAX_RETRIES,
-               base_delay: float = RETRY_BASE_DELAY,
-               sleep: Callable[[float], None] = time.sleep,
-               concurrency: int = 1) -> DataFrame:
+               on_error: str = "fail", retry: RetryPolicy = RetryPolicy(),
+               settings: dict | None = None, concurrency: int = 1) -> DataFrame:
     """L2: one completion per row -> (key, out[, error]).
 
+    ``settings`` overrides the task's ``temperature``, ``max_tokens`` and
+    ``json`` and may name a ``model``; they are passed on to the client.
     ``concurrency`` > 1 overlaps that many I/O-bound calls inside each task
     (a thread pool; output order is kept). Cluster-wide concurrency is then
     at most partitions x concurrency, which is how a rate limit is respected.
     """
-    settings = TASK_SETTINGS[task]
+    options = {**TASK_SETTINGS[task], **(settings or {})}
     key_type = df.schema[key].dataType
     fields = [T.StructField(key, key_type), T.StructField(out, T.StringType())]
     if on_error == "null":
@@ -87,10 +126,7 @@ def chat_batch(df: DataFrame, key: str, messages: str, client_factory: Callable[
         def one(m):
             msgs = _messages_to_py(m)
             try:
-                return call_with_retry(
-                    lambda: client(msgs, temperature=settings["temperature"],
-                                   max_tokens=settings["max_tokens"], json=settings["json"]),
-                    max_retries, base_delay, sleep), None
+                return retry.run(lambda: client(msgs, **options)), None
             except ModelCallError as e:
                 if on_error != "null":
                     raise
@@ -99,11 +135,9 @@ def chat_batch(df: DataFrame, key: str, messages: str, client_factory: Callable[
         pool = ThreadPoolExecutor(max_workers=concurrency) if concurrency > 1 else None
         for pdf in batches:
             results = list(pool.map(one, pdf[messages]) if pool else map(one, pdf[messages]))
-            texts = [r[0] for r in results]
-            errors = [r[1] for r in results]
-            res = pd.DataFrame({key: pdf[key].values, out: texts})
+            res = pd.DataFrame({key: pdf[key].values, out: [r[0] for r in results]})
             if on_error == "null":
-                res["error"] = errors
+                res["error"] = [r[1] for r in results]
             yield res
         if pool:
             pool.shutdown()
@@ -176,7 +210,7 @@ STUB_LABELS = ("ORDER", "SHIPPING", "REFUND", "ACCOUNT", "CANCEL", "OTHER")
 
 def stub_chat_client():
     """A chat client whose answer depends only on the last message and task."""
-    def complete(messages, temperature=0.2, max_tokens=350, json=False):
+    def complete(messages, temperature=0.2, max_tokens=350, json=False, model=None):
         user = messages[-1]["content"] if messages else ""
         n = len(user)
         if json:
@@ -198,8 +232,8 @@ def stub_sentiment_model():
 
 
 def stub_encoder(dim: int = 16):
-    """Hashed bag of words (stable across processes: crc32, not hash())."""
-    import zlib
+    """Hashed bag of words (md5: the same in every process and in SQL)."""
+    import hashlib
 
     import numpy as np
 
@@ -208,7 +242,7 @@ def stub_encoder(dim: int = 16):
             out = np.zeros((len(texts), dim), dtype=np.float32)
             for r, t in enumerate(texts):
                 for w in t.split():
-                    out[r, zlib.crc32(w.encode()) % dim] += 1.0
+                    out[r, int(hashlib.md5(w.encode()).hexdigest()[:4], 16) % dim] += 1.0
             return out
         return encode
     return factory

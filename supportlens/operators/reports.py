@@ -26,7 +26,9 @@ def length_histogram(df: DataFrame, col: str = "length", bins: int = 30) -> Data
     x = F.col(col).cast("double")
     # Pre-aggregate per distinct value: the histogram only ever sees the
     # (value, count) table, whatever the size of the input.
-    per_value = df.where(F.col(col).isNotNull()).groupBy(x.alias("v")).agg(F.count("*").alias("c"))
+    # Written once: range and counts read it, the rows behind it are not redone.
+    per_value = materialize(df.where(F.col(col).isNotNull()).groupBy(x.alias("v"))
+                              .agg(F.count("*").alias("c")))
     lo0 = per_value.select(F.min("v")).scalar()
     hi0 = per_value.select(F.max("v")).scalar()
     same = lo0 == hi0

@@ -1,7 +1,7 @@
 """Dictionary and spelling correction (T6) as joins.
 
 The dictionary is a table ``(word, freq)``; by default it is learned from a
-corpus (letter runs with at least ``min_freq`` occurrences).
+corpus (letter runs of a least share of all words).
 
 Correction of an out-of-dictionary token longer than one character picks,
 among dictionary words within Damerau-Levenshtein distance 2 (unrestricted:
@@ -25,16 +25,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, scratch_scope
+
 LETTER_RUN_RE = r"\p{L}+"
 
 
-def build_lexicon(df: DataFrame, text: str = "text", min_freq: int = 20,
+def build_lexicon(df: DataFrame, text: str = "text", per_million: float = 50.0,
                   min_len: int = 2) -> DataFrame:
-    """Dictionary ``(word, freq)`` from lower-cased letter runs of a corpus."""
+    """Dictionary ``(word, freq)`` from lower-cased letter runs of a corpus.
+
+    A word counts as known from ``per_million`` occurrences per million words
+    on: a share of the corpus, not a number of occurrences, so what is known
+    does not change as the corpus grows and its misspellings with it.
+    """
     words = df.select(F.explode(F.regexp_extract_all(F.lower(F.col(text)),
                                                       F.lit(LETTER_RUN_RE), 0)).alias("word"))
-    return (words.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-                 .where((F.col("freq") >= min_freq) & (F.length("word") >= min_len)))
+    counts = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
+    total = counts.select(F.sum("freq")).scalar()
+    return counts.where((F.col("freq") * 1_000_000 >= total * F.lit(float(per_million)))
+                        & (F.length("word") >= min_len))
 
 
 def _positions(n: Column) -> Column:
@@ -49,10 +58,13 @@ def deletes1(w: Column) -> Column:
 
 
 def delete_keys(w: Column) -> Column:
-    """``w`` and every string obtained by deleting one or two characters."""
-    d1 = deletes1(w)
-    d2 = F.flatten(F.transform(d1, lambda x: deletes1(x)))
-    return F.array_distinct(F.concat(F.array(w), d1, d2))
+    """``w`` and every non-empty string obtained by deleting one or two of its
+    characters, as structs (``key``, ``edits``: 1 for ``w`` and one deletion)."""
+    d1 = F.array_distinct(F.concat(F.array(w), deletes1(w)))
+    d2 = F.array_except(F.flatten(F.transform(deletes1(w), deletes1)), d1)
+    tag = lambda keys, n: F.transform(keys, lambda k: F.struct(
+        k.alias("key"), F.lit(n).alias("edits")))
+    return F.filter(F.concat(tag(d1, 1), tag(d2, 2)), lambda x: x["key"] != "")
 
 
 def swaps(w: Column) -> Column:
@@ -97,52 +109,75 @@ def unknown_tokens(vocab: DataFrame, lexicon: DataFrame, token: str = "token") -
                  .join(lexicon.select(F.col("word").alias(token)), token, "left_anti"))
 
 
+def _spread(df: DataFrame, col: str) -> DataFrame:
+    """Deal rows over the configured shuffle partitions: key generation
+    multiplies each row 50-200x, while a small vocabulary arrives in few
+    partitions. An explicit count is not coalesced again by AQE."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, col)
+
+
 def dictionary_keys(lexicon: DataFrame) -> DataFrame:
-    """The dictionary's delete-key index ``(w, freq, key)``.
+    """The dictionary's delete-key index ``(w, freq, key, edits)``.
 
     It depends on the dictionary only: build it once (and materialise it) when
     many cleaning runs or stream micro-batches share one dictionary.
     """
-    # Key generation multiplies each row 50-200x and is CPU-bound, while the
-    # dictionary is small enough for AQE to coalesce it into few partitions:
-    # spread it over all task slots first.
-    slots = lexicon.sparkSession.sparkContext.defaultParallelism
-    return lexicon.repartition(slots).select(
-        F.col("word").alias("w"), "freq", F.explode(delete_keys(F.col("word"))).alias("key"))
+    return _spread(lexicon, "word").select(
+        F.col("word").alias("w"), "freq", F.inline(delete_keys(F.col("word"))))
+
+
+def _best(found: DataFrame) -> DataFrame:
+    """Smallest distance, then highest frequency, then first in the alphabet."""
+    rank = F.struct(F.col("d"), (-F.col("freq")).alias("nf"), F.col("w"))
+    return (found.groupBy("t").agg(F.min_by(F.struct("w", "d"), rank).alias("best"))
+                 .select("t", F.col("best.w").alias("w"), F.col("best.d").alias("d")))
+
+
+def _matches(keys: DataFrame, index: DataFrame, distance: int) -> DataFrame:
+    """(t, w, freq, d) of pairs that share a key and are ``distance`` apart."""
+    gap = F.abs(F.length("t") - F.length("w")) <= distance
+    lev = F.levenshtein("t", "w", 2 * distance)  # a swap costs two of its edits
+    pairs = keys.join(index, "key").where(gap & (lev >= 1)).select("t", "w", "freq")
+    # A close pair may share several keys; duplicates are harmless to the
+    # per-token min_by, so no dedupe shuffle is paid. The distance is computed
+    # after the join, once per surviving pair.
+    scored = pairs.withColumn("d", dl_distance_upto2(F.col("t"), F.col("w")))
+    return scored.where(F.col("d") == distance)
 
 
 def suggest(unknown: DataFrame, lexicon: DataFrame, token: str = "token",
-            lexicon_keys: DataFrame | None = None) -> DataFrame:
+            lexicon_keys: DataFrame | None = None, scope: scratch_scope | None = None) -> DataFrame:
     """Best dictionary word per unknown token: ``(token, suggestion, distance)``.
 
-    Tokens without a candidate are absent from the result. ``lexicon_keys``
-    is a prebuilt ``dictionary_keys(lexicon)``.
+    Distance 1 first, on keys of at most one deletion; only tokens without a
+    hit go on to distance 2. Tokens without a candidate are absent from the
+    result. ``lexicon_keys`` is a prebuilt ``dictionary_keys(lexicon)``.
+
+    The empty key (everything deleted) is no key: only strings of up to two
+    characters have it, and any two of them are within distance 2, so the most
+    frequent such word stands for all of them.
     """
     max_word = lexicon.select(F.max(F.length("word"))).scalar()
-    slots = unknown.sparkSession.sparkContext.defaultParallelism
-    u = unknown.where(F.length(token) <= max_word + 2).repartition(slots)
-    u_keys = u.select(F.col(token).alias("t"), F.explode(delete_keys(F.col(token))).alias("key"))
+    u = _spread(unknown.where(F.length(token) <= max_word + 2), token)
+    u_keys = u.select(F.col(token).alias("t"), F.inline(delete_keys(F.col(token))))
     w_keys = lexicon_keys if lexicon_keys is not None else dictionary_keys(lexicon)
-    # Cheap tests in the join condition (length gap, banded Levenshtein);
-    # the exact distance is computed once per surviving row in a projection.
-    # A close pair may share several keys; duplicates are harmless to the
-    # per-token min_by, so no dedupe shuffle is paid. Non-candidates get a NULL
-    # ordering, which min_by ignores (the filter cannot be pushed into the join).
-    pairs = (u_keys.join(w_keys, "key")
-                   .where((F.abs(F.length("t") - F.length("w")) <= 2)
-                          & (F.levenshtein("t", "w", 4) >= 1)))
-    scored = pairs.select("t", "w", "freq", dl_distance_upto2(F.col("t"), F.col("w")).alias("d"))
-    ok = F.col("d").isNotNull()
-    rank = F.when(ok, F.struct(F.col("d"), (-F.col("freq")).alias("nf"), F.col("w")))
-    return (scored.groupBy("t")
-                  .agg(F.min_by(F.when(ok, F.struct("w", "d")), rank).alias("best"))
-                  .where(F.col("best").isNotNull())
-                  .select(F.col("t").alias(token), F.col("best.w").alias("suggestion"),
-                          F.col("best.d").alias("distance")))
+    near = F.col("edits") == 1
+    one = materialize(_best(_matches(u_keys.where(near).drop("edits"), w_keys.where(near).drop("edits"), 1)),
+                      scope=scope)
+    rest = u_keys.drop("edits").join(one.select("t"), "t", "left_anti")
+    two = _matches(rest, w_keys.drop("edits"), 2)
+    short = lexicon.where(F.length("word") <= 2).select(
+        F.min_by(F.struct("word", "freq"), F.struct(-F.col("freq"), F.col("word")))).scalar()
+    tiny = (unknown.where(F.length(token) == 2).select(F.col(token).alias("t"))
+                   .join(one.select("t"), "t", "left_anti")
+                   .select("t", short["word"].alias("w"), short["freq"].alias("freq"), F.lit(2).alias("d"))
+                   .where(F.col("w").isNotNull()))
+    return one.union(_best(two.union(tiny))).toDF(token, "suggestion", "distance")
 
 
 def correction_table(vocab: DataFrame, lexicon: DataFrame, token: str = "token",
-                     lexicon_keys: DataFrame | None = None) -> DataFrame:
+                     lexicon_keys: DataFrame | None = None, scope: scratch_scope | None = None) -> DataFrame:
     """T6 for a *distinct* vocabulary: ``(token, suggestion, distance)`` for
     corrected tokens only."""
-    return suggest(unknown_tokens(vocab, lexicon, token), lexicon, token, lexicon_keys)
+    return suggest(unknown_tokens(vocab, lexicon, token), lexicon, token, lexicon_keys, scope)

@@ -1,8 +1,12 @@
 """Registered queries: one per operator, each (spark, sf_dir) -> DataFrame.
 
-Every query reads the driver tables (or views derived from them) in full;
-results are flat scalar columns so they compare value-for-value with the
-DuckDB oracle in ``oracle.py``.
+Every query covers all rows of its tables, or of the views derived from them.
+Queries on texts read the whole texts (a template with the support domain's
+words, then the conversation turn); the judge-output, category and
+generator-output views are templates chosen by the row's keys, and the
+whole-string date rule is fed the template alone. Results are flat scalar
+columns so they compare value-for-value with the DuckDB oracle in
+``oracle.py``.
 """
 
 from __future__ import annotations
@@ -48,7 +52,7 @@ def q_load_trim_headers(spark, sf):
 @query("resolve_text_column")
 def q_resolve_text_column(spark, sf):
     conv = tables.read_table(spark, sf, "conversations")
-    return tables.load_query_texts(conv.withColumn("row_id", F.col("conv_id") * 1000 + F.col("turn")))
+    return tables.load_query_texts(conv.withColumn("row_id", F.col("conv_id") * 4294967296 + F.col("turn")))
 
 
 # --- T1-T5, T7, T9, T10, A4 --------------------------------------------------
@@ -101,14 +105,18 @@ def _short(spark, sf):
         "row_id", ent.lowered("short_text").alias("s"))
 
 
+def _whole(spark, sf):
+    return support_text(spark, sf).select("row_id", ent.lowered("query_text").alias("s"))
+
+
 @query("entity_order_id")
 def q_entity_order_id(spark, sf):
-    return _short(spark, sf).select("row_id", ent.order_id(F.col("s")).alias("order_id"))
+    return _whole(spark, sf).select("row_id", ent.order_id(F.col("s")).alias("order_id"))
 
 
 @query("entity_amount")
 def q_entity_amount(spark, sf):
-    return _short(spark, sf).select("row_id", ent.amount(F.col("s")).alias("amount"))
+    return _whole(spark, sf).select("row_id", ent.amount(F.col("s")).alias("amount"))
 
 
 @query("entity_date")
@@ -118,13 +126,13 @@ def q_entity_date(spark, sf):
 
 @query("entity_account_action")
 def q_entity_account_action(spark, sf):
-    return _short(spark, sf).select(
+    return _whole(spark, sf).select(
         "row_id", F.posexplode(ent.account_actions(F.col("s"))).alias("pos", "action"))
 
 
 @query("entity_intent")
 def q_entity_intent(spark, sf):
-    return _short(spark, sf).select(
+    return _whole(spark, sf).select(
         "row_id", F.posexplode(ent.intents(F.col("s"))).alias("pos", "intent"))
 
 
@@ -135,7 +143,7 @@ def explode_entities(df: DataFrame, key: str, text_col: str) -> DataFrame:
 
 @query("extract_entities")
 def q_extract_entities(spark, sf):
-    return explode_entities(views.support_queries(spark, sf), "row_id", "short_text")
+    return explode_entities(support_text(spark, sf), "row_id", "query_text")
 
 
 @query("entities_on_raw")
@@ -151,12 +159,16 @@ def q_normalize_category(spark, sf):
         "row_id", cat.normalize_category("category", "sub_category").alias("normalized_category"))
 
 
+@query("add_normalized_category")
+def q_add_normalized_category(spark, sf):
+    q = views.support_queries(spark, sf).select(
+        "row_id", "category", F.col("sub_category").alias("Sub Category"))
+    return cat.add_normalized_category(q).select("row_id", "category", "normalized_category")
+
+
 @query("sentiment_by_category")
 def q_sentiment_by_category(spark, sf):
-    cats = q_normalize_category(spark, sf)
-    sents = views.support_responses(spark, sf).select(
-        "row_id", F.col("stub_sentiment").alias("sentiment"))
-    return reports.sentiment_by_category(cats.join(sents, "row_id"))
+    return reports.sentiment_by_category(q_normalize_category(spark, sf).join(q_add_sentiment(spark, sf), "row_id"))
 
 
 # --- L1, L4, L5, L10, A1-A3 --------------------------------------------------
@@ -169,6 +181,7 @@ from ..functions import prompts as pr  # noqa: E402
 def q_build_prompts(spark, sf):
     r = views.support_responses(spark, sf)
     tasks = F.array(
+        F.struct(F.lit("synthetic").alias("task"), pr.synthetic_prompt("query", F.lit(3)).alias("m")),
         F.struct(F.lit("reply").alias("task"), pr.reply_prompt("query").alias("m")),
         F.struct(F.lit("judge").alias("task"), pr.judge_prompt("query", "response").alias("m")),
         F.struct(F.lit("classify").alias("task"), pr.classify_prompt("query").alias("m")))
@@ -191,6 +204,12 @@ def judge_scores(spark, sf) -> DataFrame:
         "row_id", "s.relevance", "s.helpfulness", "s.tone", "s.explanation")
 
 
+def judged_replies(spark, sf) -> DataFrame:
+    """Scores of every reply, written once: the reports read them repeatedly."""
+    from ..session import materialize
+    return materialize(q_judge_replies(spark, sf))
+
+
 @query("parse_judge_scores")
 def q_parse_judge_scores(spark, sf):
     return judge_scores(spark, sf)
@@ -204,17 +223,17 @@ def q_parse_synthetic_queries(spark, sf):
 
 @query("llm_quality_avg")
 def q_llm_quality_avg(spark, sf):
-    return reports.quality_averages(judge_scores(spark, sf))
+    return reports.quality_averages(judged_replies(spark, sf))
 
 
 @query("llm_quality_dist")
 def q_llm_quality_dist(spark, sf):
-    return reports.quality_distributions(judge_scores(spark, sf))
+    return reports.quality_distributions(judged_replies(spark, sf))
 
 
 @query("llm_quality_summary")
 def q_llm_quality_summary(spark, sf):
-    return reports.quality_summary(judge_scores(spark, sf))
+    return reports.quality_summary(judged_replies(spark, sf))
 
 
 # --- M3-M10 ------------------------------------------------------------------
@@ -291,12 +310,12 @@ def lexicon(spark, sf):
     """Dictionary learned from the whole ``documents`` corpus, materialised once:
     the cleaning plan reads it in several branches."""
     from ..session import materialize
-    return materialize(spelling.build_lexicon(_docs(spark, sf), "text", min_freq=20))
+    return materialize(spelling.build_lexicon(_docs(spark, sf), "text"))
 
 
 @query("build_lexicon")
 def q_build_lexicon(spark, sf):
-    return spelling.build_lexicon(_docs(spark, sf), "text", min_freq=20)
+    return spelling.build_lexicon(_docs(spark, sf), "text")
 
 
 def _support_tokens(spark, sf):
@@ -328,9 +347,8 @@ def q_clean_text(spark, sf):
 
 @query("prepare_queries")
 def q_prepare_queries(spark, sf):
-    q = views.support_queries(spark, sf)
-    c = cleaning.clean_texts(q, "row_id", "short_text", lexicon(spark, sf))
-    return q.select("row_id", "short_text").join(c, "row_id")
+    q = support_text(spark, sf).withColumnRenamed("query_text", "Queries")
+    return flows.prepare_queries(q, lexicon(spark, sf))
 
 
 @query("clean_responses")
@@ -341,7 +359,7 @@ def q_clean_responses(spark, sf):
 
 # --- L2, L3, L6, L7, L9, L10, M1, N1-N5 --------------------------------------
 
-from ..operators import models, sentiment, tfidf  # noqa: E402
+from ..operators import assist, models, sentiment, tfidf  # noqa: E402
 from ..session import ensure_checkpoint_dir, materialize  # noqa: E402
 
 
@@ -349,57 +367,36 @@ from ..session import ensure_checkpoint_dir, materialize  # noqa: E402
 def q_llm_batch(spark, sf):
     r = views.support_responses(spark, sf).select(
         "row_id", pr.judge_prompt("query", "response").alias("m"))
-    return models.chat_batch(r, "row_id", "m", models.stub_chat_client, task="judge",
-                             on_error="null", partitions=8)
+    return models.chat_batch(r, "row_id", "m", models.stub_chat_client, task="judge", on_error="null")
 
 
 @query("generate_replies")
 def q_generate_replies(spark, sf):
-    s = support_text(spark, sf).select("row_id", pr.reply_prompt("query_text").alias("m"))
-    return models.chat_batch(s, "row_id", "m", models.stub_chat_client, task="reply", out="response")
-
-
-def _judged(df: DataFrame, query_col: str, reply_col: str) -> DataFrame:
-    prompts = df.select("row_id", pr.judge_prompt(query_col, reply_col).alias("m"))
-    raw = models.chat_batch(prompts, "row_id", "m", models.stub_chat_client, task="judge", out="raw")
-    return raw.select("row_id", jg.parse_judge("raw").alias("s")).select(
-        "row_id", "s.relevance", "s.helpfulness", "s.tone", "s.explanation")
+    return assist.generate_replies(support_text(spark, sf), "query_text", models.stub_chat_client)
 
 
 @query("judge_replies")
 def q_judge_replies(spark, sf):
-    return _judged(views.support_responses(spark, sf), "query", "response")
+    r = views.support_responses(spark, sf)
+    return assist.judge_replies(r, "query", "response", models.stub_chat_client).select("row_id", "scores.*")
 
 
 @query("generate_and_score")
 def q_generate_and_score(spark, sf):
-    ensure_checkpoint_dir(spark)
-    qs = support_text(spark, sf)
-    replies = q_generate_replies(spark, sf)
-    # Replies are paid for: write them out before the judge stage reads them,
-    # so a retried judge task never regenerates a reply.
-    replies = materialize(replies, spread_out=True)
-    pairs = qs.join(replies, "row_id")
-    return pairs.select("row_id", "response").join(_judged(pairs, "query_text", "response"), "row_id")
+    out = flows.generate_and_judge(support_text(spark, sf), "query_text", models.stub_chat_client)
+    return out.select("row_id", "response", "scores.*")
 
 
 @query("classify_queries")
 def q_classify_queries(spark, sf):
-    s = support_text(spark, sf).select("row_id", pr.classify_prompt("query_text").alias("m"))
-    out = models.chat_batch(s, "row_id", "m", models.stub_chat_client, task="classify", out="label")
-    return out.withColumn("label_in_taxonomy", cat.in_taxonomy("label"))
+    return assist.classify_queries(support_text(spark, sf), "query_text", models.stub_chat_client)
 
 
 @query("generate_synthetic")
 def q_generate_synthetic(spark, sf):
-    # Every event row is one generation request for its topic (event type).
-    req = tables.read_table(spark, sf, "events").select(
-        F.col("event_id").alias("request_id"), F.col("event_type").alias("topic"))
-    prompts = req.select("request_id", pr.synthetic_prompt("topic", F.lit(5)).alias("m"))
-    raw = models.chat_batch(prompts, "request_id", "m", models.stub_chat_client, task="synthetic",
-                            out="raw")
-    return raw.join(req, "request_id").select(
-        "request_id", "topic", F.posexplode(pr.parse_synthetic("raw")).alias("pos", "query"))
+    # One request per distinct topic (event type) of all events.
+    events = tables.read_table(spark, sf, "events")
+    return assist.generate_synthetic(events, "event_type", models.stub_chat_client, n=5)
 
 
 @query("truncate_tokens")
@@ -444,18 +441,14 @@ def q_sentiment_model_auc(spark, sf):
     return spark.createDataFrame([(float(value), int(n))], "auc double, test_rows bigint")
 
 
-def _stub_sentiments(spark, sf):
-    return views.support_responses(spark, sf).select("row_id", F.col("stub_sentiment").alias("sentiment"))
-
-
 @query("sentiment_counts")
 def q_sentiment_counts(spark, sf):
-    return sentiment.sentiment_counts(_stub_sentiments(spark, sf))
+    return sentiment.sentiment_counts(q_add_sentiment(spark, sf))
 
 
 @query("sentiment_share")
 def q_sentiment_share(spark, sf):
-    return sentiment.sentiment_share(_stub_sentiments(spark, sf))
+    return sentiment.sentiment_share(q_add_sentiment(spark, sf))
 
 
 @query("embed_tfidf")
@@ -465,13 +458,61 @@ def q_embed_tfidf(spark, sf):
     return w.select("doc_id", "term", F.round("weight", 4).alias("weight"))
 
 
+def _embedded(spark, sf, normalize: bool):
+    s = support_text(spark, sf)
+    emb = models.encode_batch(F.col("query_text"), models.stub_encoder(16), dim=16, batch_size=64,
+                              normalize=normalize)
+    return (s.select("row_id", emb.alias("e")).select("row_id", F.posexplode("e").alias("pos", "x"))
+             .select("row_id", "pos", F.round(F.col("x").cast("double"), 4).alias("value")))
+
+
 @query("embed_batch_model")
 def q_embed_batch_model(spark, sf):
-    s = support_text(spark, sf)
-    emb = models.encode_batch(F.col("query_text"), models.stub_encoder(16), dim=16, batch_size=64)
-    return (s.select("row_id", emb.alias("e"))
-             .select("row_id", F.posexplode("e").alias("pos", "x"))
-             .select("row_id", "pos", F.round("x", 4).alias("value")))
+    return _embedded(spark, sf, True)
+
+
+@query("embed_batch_raw")
+def q_embed_batch_raw(spark, sf):
+    return _embedded(spark, sf, False)
+
+
+def cluster_facts(fitted: DataFrame, again: DataFrame, vector: str, key: str, k: int) -> DataFrame:
+    """What holds of any correct clustering: every row labelled 0..k-1, the same
+    labels from the same seed, and a cost that one refinement step from the
+    labels' own means does not worsen by more than rounding."""
+    fitted = materialize(fitted.select(key, vector, "topic"))
+    same = fitted.join(again.select(F.col(key), F.col("topic").alias("topic2")), key)
+    means = vx.centroid_means(fitted, vector, "topic").select("topic", "centroid")
+    cost = F.aggregate(F.zip_with(vx.as_double_array(vector), "centroid", lambda a, b: (a - b) * (a - b)),
+                       F.lit(0.0), lambda a, b: a + b)
+    own = fitted.join(means, "topic").select(F.sum(cost).alias("own"))
+    near = vx.assign_nearest(fitted.select(key, vector), vector, means).join(means, "topic")
+    best = near.select(F.sum(cost).alias("best"))
+    return fitted.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.min("topic") >= 0, F.lit(True)).alias("low"),
+                      F.coalesce(F.max("topic") < k, F.lit(True)).alias("high")).select(
+        "n", (F.col("low") & F.col("high")).alias("labels_in_range"),
+        (same.where(F.col("topic") != F.col("topic2")).select(F.count(F.lit(1))).scalar() == 0).alias("same_again"),
+        (own.select("own").scalar() <= best.select("best").scalar() * 1.01 + 1e-9).alias("settled"))
+
+
+@query("kmeans_topics_facts")
+def q_kmeans_topics_facts(spark, sf):
+    fits = [vx.kmeans_fit(_emb(spark, sf), "embedding", k=10, seed=42)[1] for _ in range(2)]
+    return cluster_facts(*fits, "embedding", "vec_id", 10)
+
+
+@query("sentiment_model_facts")
+def q_sentiment_model_facts(spark, sf):
+    """What holds of any trained classifier here: a label and a probability for
+    every document, and an AUC of 0.9 or more on the texts it was trained on
+    (``sentiment_model_auc`` has the held-out AUC)."""
+    docs = _docs(spark, sf)
+    train = materialize(docs.join(tables.read_table(spark, sf, "labels"), "doc_id").select("doc_id", "text", "quality"))
+    model = sentiment.train_text_classifier(train, "text", "quality")
+    out = sentiment.predict_text_classifier(model, docs.select("doc_id", "text"))
+    ok = F.col("p_positive").between(0, 1) & F.col("sentiment").isin("POSITIVE", "NEGATIVE")
+    return out.agg(F.count(F.lit(1)).alias("n"), F.min(ok).alias("in_range")).withColumn(
+        "auc_above_floor", F.lit(sentiment.auc(model, train, "quality") >= 0.9))
 
 
 # --- S4-S7, E7, P1-P3, A5, streaming -----------------------------------------
@@ -486,26 +527,29 @@ from ..streaming import live  # noqa: E402
 
 @query("sample_first_n")
 def q_sample_first_n(spark, sf):
-    return flows.first_n(views.support_queries(spark, sf).select("row_id", "short_text"), 5)
+    return flows.first_n(support_text(spark, sf), 5)
 
 
 @query("example_pairs")
 def q_example_pairs(spark, sf):
-    r = views.support_responses(spark, sf).select("row_id", "query", "response")
-    return flows.first_n(r.join(_judged(views.support_responses(spark, sf), "query", "response"),
-                                "row_id"), 3)
+    # the rows to show first: only they are judged
+    r = flows.first_n(views.support_responses(spark, sf).select("row_id", "query", "response"), 3)
+    r = materialize(r)
+    scores = assist.judge_replies(r, "query", "response", models.stub_chat_client)
+    return r.join(scores, "row_id").select("row_id", "query", "response", "scores.*")
 
 
 @query("sentiment_sample")
 def q_sentiment_sample(spark, sf):
-    return flows.first_n(q_add_sentiment(spark, sf), 5)
+    r = materialize(flows.first_n(views.support_responses(spark, sf).select("row_id", "response"), 5))
+    return r.select("row_id", models.classify_batch(F.col("response"), models.stub_sentiment_model,
+                                                    batch_size=64, max_tokens=256).alias("sentiment"))
 
 
 @query("pair_query_response")
 def q_pair_query_response(spark, sf):
-    qs = views.support_queries(spark, sf).select("row_id", "short_text")
     rs = views.support_responses(spark, sf).select("row_id", "response")
-    return flows.pair_query_response(qs, rs)
+    return flows.pair_query_response(support_text(spark, sf), rs)
 
 
 @query("entities_on_clean")
@@ -515,10 +559,9 @@ def q_entities_on_clean(spark, sf):
 
 
 def _processed_queries(spark, sf):
-    q = views.support_queries(spark, sf).select("row_id", "short_text")
-    c = cleaning.clean_texts(q, "row_id", "short_text", lexicon(spark, sf))
-    return (q.join(c, "row_id")
-             .withColumn("entities", ent.extract_entities("short_text")))
+    q = support_text(spark, sf)
+    c = cleaning.clean_texts(q, "row_id", "query_text", lexicon(spark, sf))
+    return q.join(c, "row_id").withColumn("entities", ent.extract_entities("query_text"))
 
 
 @query("export_csv_roundtrip")
@@ -526,7 +569,7 @@ def q_export_csv_roundtrip(spark, sf):
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, f"export-csv-{uuid.uuid4().hex}")
     writers.write_csv(_processed_queries(spark, sf), path)
-    return writers.read_csv(spark, path, "row_id bigint, short_text string, clean string, "
+    return writers.read_csv(spark, path, "row_id bigint, query_text string, clean string, "
                                          "length int, entities string")
 
 
@@ -552,12 +595,50 @@ def q_support_artifacts(spark, sf):
                        F.to_json("query_entities").alias("query_entities"), "response_sentiment")
 
 
+def _topic_artifacts(spark, sf):
+    return flows.support_artifacts(
+        support_text(spark, sf), "query_text", lexicon(spark, sf), models.stub_chat_client,
+        models.stub_encoder(16), 16, models.stub_sentiment_model, with_topics=True)
+
+
 @query("support_topics")
 def q_support_topics(spark, sf):
+    return _topic_artifacts(spark, sf).select("row_id", "topic")
+
+
+@query("support_topics_facts")
+def q_support_topics_facts(spark, sf):
+    fitted = _topic_artifacts(spark, sf)
+    again = vx.kmeans_fit(fitted.drop("topic"), "query_embedding", k=10, seed=42)[1]
+    return cluster_facts(fitted, again, "query_embedding", "row_id", 10)
+
+
+@query("support_embeddings")
+def q_support_embeddings(spark, sf):
+    """Query and reply embeddings of the pipeline."""
     wide = flows.support_artifacts(
         support_text(spark, sf), "query_text", lexicon(spark, sf), models.stub_chat_client,
-        models.stub_encoder(16), 16, models.stub_sentiment_model, with_topics=True)
-    return wide.select("row_id", "topic")
+        models.stub_encoder(16), 16, models.stub_sentiment_model, with_topics=False)
+    return wide.select("row_id", F.posexplode(F.arrays_zip("query_embedding", "response_embedding")).alias("pos", "e")) \
+        .select("row_id", "pos", F.round(F.col("e.query_embedding").cast("double"), 4).alias("query_value"),
+                F.round(F.col("e.response_embedding").cast("double"), 4).alias("response_value"))
+
+
+@query("overall_report")
+def q_overall_report(spark, sf):
+    """A5: the parts of the report as one table (part, row, content)."""
+    scored = materialize(q_judge_replies(spark, sf))
+    parts = flows.overall_report(scored, assigned(spark, sf), q_sentiment_sample(spark, sf),
+                                 q_example_pairs(spark, sf))
+    out = None
+    for name, df in sorted(parts.items()):
+        # content: "column=value" of the part's columns in alphabetical order
+        content = F.concat_ws("; ", *[F.concat(F.lit(c + "="), F.coalesce(F.col(c).cast("string"), F.lit("null")))
+                                      for c in sorted(df.columns) if c != "row_id"])
+        key = F.col("row_id") if "row_id" in df.columns else F.lit(0).cast("bigint")
+        part = df.select(F.lit(name).alias("part"), key.alias("row_id"), content.alias("content"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("flagship")
@@ -578,8 +659,8 @@ def q_stream_clean(spark, sf):
     conv_schema = tables.SCHEMAS["conversations"]
     stream = (live.support_text_stream(spark, f"{sf.rstrip('/')}/conversations*.parquet", conv_schema)
                   .where(F.col("role") == "user")
-                  .select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), "text"))
-    lex = spelling.build_lexicon(_docs(spark, sf), "text", min_freq=20)  # materialised by the stream setup
+                  .select((F.col("conv_id") * 4294967296 + F.col("turn")).alias("row_id"), "text"))
+    lex = spelling.build_lexicon(_docs(spark, sf), "text")  # written by the stream setup
     q = live.clean_micro_batches(stream, "row_id", "text", lex, f"{run}/sink", f"{run}/checkpoint")
     q.awaitTermination()
     return live.read_sink(spark, f"{run}/sink").select("row_id", "clean", "length", "entities")

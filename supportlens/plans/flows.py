@@ -1,9 +1,10 @@
 """End-to-end compositions (P1-P3, A5): many operators, one wide result keyed
 by ``row_id``.
 
-Alignment is always by key (joins), never by position. Model stages are
-persisted with ``checkpoint`` (shared ``spark.checkpoint.dir``) before the
-next stage reads them, so a lost executor never re-pays a model call.
+Alignment is always by key (joins), never by position. The output of every
+model stage is written (shared ``spark.checkpoint.dir``) before anything else
+reads it, so each call is made once per row, and a lost executor repeats at
+most the calls of its own unfinished tasks.
 """
 
 from __future__ import annotations
@@ -15,10 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import categories as cat
 from ..functions import entities as ent
-from ..functions import judge as jg
-from ..functions import prompts as pr
-from ..operators import cleaning, models, reports, topics, vectors
-from ..session import ensure_checkpoint_dir, materialize
+from ..operators import assist, cleaning, models, reports, sentiment, topics, vectors
+from ..session import materialize
 
 
 def pair_query_response(queries: DataFrame, responses: DataFrame, key: str = "row_id") -> DataFrame:
@@ -33,64 +32,91 @@ def first_n(df: DataFrame, n: int, key: str = "row_id") -> DataFrame:
 
 
 def generate_and_judge(queries: DataFrame, text: str, client_factory: Callable,
-                       key: str = "row_id", partitions: int | None = None) -> DataFrame:
-    """Reply per query, then judge scores; replies persisted in between."""
-    spark = queries.sparkSession
-    ensure_checkpoint_dir(spark)
-    prompts = queries.select(key, pr.reply_prompt(text).alias("m"))
-    replies = models.chat_batch(prompts, key, "m", client_factory, task="reply", out="response",
-                                partitions=partitions)
-    replies = materialize(replies, spread_out=True)
+                       key: str = "row_id", partitions: int | None = None,
+                       reply_settings: dict | None = None, judge_settings: dict | None = None,
+                       **call) -> DataFrame:
+    """(key, query, response, scores); one reply call and one judge call per
+    query. Settings (``model``, ``temperature``, ``max_tokens``) per stage."""
+    replies = materialize(assist.generate_replies(queries, text, client_factory, key, settings=reply_settings,
+                                                  partitions=partitions, **call), spread_out=True)
     pairs = queries.select(key, F.col(text).alias("query")).join(replies, key)
-    jprompts = pairs.select(key, pr.judge_prompt("query", "response").alias("m"))
-    raw = models.chat_batch(jprompts, key, "m", client_factory, task="judge", out="raw",
-                            partitions=partitions)
-    scores = raw.select(key, jg.parse_judge("raw").alias("scores"))
+    scores = materialize(assist.judge_replies(pairs, "query", "response", client_factory, key,
+                                              settings=judge_settings, partitions=partitions, **call))
     return pairs.join(scores, key)
 
 
+def entity_source(raw: str, clean: str, entities_on: str) -> str:
+    """Entities are taken from the raw text by default: the cleaned one has no
+    digits, so order numbers and amounts cannot be found in it."""
+    return {"raw": raw, "clean": clean}[entities_on]
+
+
 def support_artifacts(queries: DataFrame, text: str, lexicon: DataFrame, client_factory: Callable,
                       encoder_factory: Callable, dim: int, sentiment_factory: Callable,
-                      k: int = 10, seed: int = 42, key: str = "row_id",
-                      with_topics: bool = True) -> DataFrame:
-    """Queries -> replies + scores -> clean both -> embed + cluster queries
-    -> entities on cleaned queries -> sentiment on cleaned replies, one row per
-    query that got a reply."""
-    gen = generate_and_judge(queries, text, client_factory, key)
-    # Queries and replies share one vocabulary, rewrite table and regroup.
-    cleaned = cleaning.clean_columns(gen, key, ["query", "response"], lexicon)
+                      k: int = 10, seed: int = 42, key: str = "row_id", with_topics: bool = True,
+                      entities_on: str = "raw", exceptions: DataFrame | None = None, **generate) -> DataFrame:
+    """Queries -> replies + scores -> clean both -> embed both, cluster the
+    queries -> entities of the queries -> sentiment of cleaned replies, one row
+    per query that got a reply."""
+    gen = generate_and_judge(queries, text, client_factory, key, **generate)
+    # Queries and replies share one vocabulary and one rewrite table; only the
+    # texts are read for it, not the scores.
+    cleaned = cleaning.clean_columns(gen.select(key, "query", "response"), key, ["query", "response"],
+                                     lexicon, exceptions=exceptions)
+    source = entity_source("query", "clean_query", entities_on)
     wide = (gen.join(cleaned, key)
-               .withColumn("query_entities", ent.extract_entities("clean_query"))
+               .withColumn("query_entities", ent.extract_entities(source))
                .withColumn("response_sentiment",
-                           models.classify_batch(F.col("clean_response"), sentiment_factory)))
+                           models.classify_batch(F.col("clean_response"), sentiment_factory))
+               .withColumn("query_embedding",
+                           models.encode_batch(F.col("clean_query"), encoder_factory, dim))
+               .withColumn("response_embedding",
+                           models.encode_batch(F.col("clean_response"), encoder_factory, dim)))
+    # k-means scans its input once per iteration, and callers read the result
+    # more than once: write the model outputs.
+    wide = materialize(wide, spread_out=with_topics)
     if with_topics:
-        wide = wide.withColumn("query_embedding",
-                               models.encode_batch(F.col("clean_query"), encoder_factory, dim))
-        # k-means scans its input once per iteration: materialise the model
-        # outputs first so no model runs again.
-        wide = materialize(wide, spread_out=True)
         _, wide = vectors.kmeans_fit(wide, "query_embedding", k=k, seed=seed, out="topic")
     return wide
 
 
 def app_flow(queries: DataFrame, text: str, lexicon: DataFrame, responses: DataFrame,
-             sentiment_factory: Callable, key: str = "row_id",
-             clean_before_sentiment: bool = False) -> DataFrame:
+             sentiment_factory: Callable, key: str = "row_id", clean_before_sentiment: bool = False,
+             entities_on: str = "raw", exceptions: DataFrame | None = None, n: int | None = None,
+             encoder_factory: Callable | None = None, dim: int = 16, k: int = 10, seed: int = 42) -> DataFrame:
     """Clean + length + entities + category on queries; sentiment of the
-    (raw, by default) reply of each query; queries without a reply keep NULL."""
-    c = cleaning.clean_texts(queries, key, text, lexicon)
-    rtext = "response"
+    (raw, by default) reply of each query; queries without a reply keep NULL.
+    ``n`` takes the first n queries only (default: all of them). With an
+    encoder, the cleaned queries are clustered into ``topic``."""
+    if n is not None:
+        queries = first_n(queries, n, key)
+    c = cleaning.clean_texts(queries, key, text, lexicon, exceptions=exceptions)
     resp = responses
     if clean_before_sentiment:
-        resp = cleaning.clean_texts(responses, key, "response", lexicon).select(
+        resp = cleaning.clean_texts(responses, key, "response", lexicon, exceptions=exceptions).select(
             key, F.col("clean").alias("response"))
-    sent = resp.select(key, models.classify_batch(F.col(rtext), sentiment_factory).alias("reply_sentiment"))
+    sent = resp.select(key, models.classify_batch(F.col("response"), sentiment_factory).alias("reply_sentiment"))
     out = (queries.join(c, key, "left")
-                  .withColumn("entities", F.to_json(ent.extract_entities("clean"))))
+                  .withColumn("entities", F.to_json(ent.extract_entities(entity_source(text, "clean", entities_on)))))
     if "category" in queries.columns:
         out = out.withColumn("normalized_category",
                              cat.normalize_category("category", "sub_category"))
-    return out.join(sent, key, "left")
+    out = out.join(sent, key, "left")
+    if encoder_factory is not None:
+        out = materialize(out.withColumn("embedding", models.encode_batch(F.col("clean"), encoder_factory, dim)),
+                          spread_out=True)
+        _, out = vectors.kmeans_fit(out, "embedding", k=k, seed=seed, out="topic")
+    return out
+
+
+def app_summaries(flow: DataFrame, key: str = "row_id") -> dict[str, DataFrame]:
+    """The tables beside P2's rows: sentiment counts and shares of the replies,
+    and the first five queries of each topic if there are topics."""
+    labels = flow.where(F.col("reply_sentiment").isNotNull()).select(F.col("reply_sentiment").alias("sentiment"))
+    out = {"sentiment_counts": sentiment.sentiment_counts(labels), "sentiment_share": sentiment.sentiment_share(labels)}
+    if "topic" in flow.columns:
+        out["topic_samples"] = topics.topic_samples(flow, "clean", "topic", key, 5)
+    return out
 
 
 def overall_report(scores: DataFrame, topics_df: DataFrame | None, sentiments: DataFrame | None,

@@ -89,7 +89,7 @@ def explode_pos(source: str, key: str, list_expr: str, out: str = "token") -> st
 ORACLE["load_trim_headers"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 
 ORACLE["resolve_text_column"] = (
-    f"SELECT conv_id * 1000 + turn AS row_id, {d_strip('CAST(text AS VARCHAR)')} AS query "
+    f"SELECT conv_id * 4294967296 + turn AS row_id, {d_strip("coalesce(CAST(text AS VARCHAR), '')")} AS query "
     "FROM conversations")
 
 # --- T1-T5, T7, T9, T10, A4 --------------------------------------------------
@@ -204,24 +204,16 @@ FROM parts WHERE value IS NOT NULL"""
 
 SHORT = "(SELECT row_id, short_text FROM support_queries)"
 
-ORACLE["entity_order_id"] = with_views(
-    f"SELECT row_id, {d_order_id(d_lower('short_text'))} AS order_id FROM support_queries",
-    "support_queries")
-ORACLE["entity_amount"] = with_views(
-    f"SELECT row_id, {d_amount(d_lower('short_text'))} AS amount FROM support_queries",
-    "support_queries")
+ORACLE["entity_order_id"] = sq(f"SELECT row_id, {d_order_id(d_lower('query_text'))} AS order_id FROM support_text")
+ORACLE["entity_amount"] = sq(f"SELECT row_id, {d_amount(d_lower('query_text'))} AS amount FROM support_text")
 ORACLE["entity_date"] = with_views(
     f"SELECT row_id, {d_date(d_lower('short_text'))} AS date FROM support_queries",
     "support_queries")
-ORACLE["entity_account_action"] = with_views(
-    explode_pos(f"(SELECT row_id, {d_lower('short_text')} AS s FROM support_queries)", "row_id",
-                d_actions("s"), "action"), "support_queries")
-ORACLE["entity_intent"] = with_views(
-    explode_pos(f"(SELECT row_id, {d_lower('short_text')} AS s FROM support_queries)", "row_id",
-                d_intents("s"), "intent"), "support_queries")
-ORACLE["extract_entities"] = with_views(
-    merge_with("q AS (SELECT row_id, short_text FROM support_queries)",
-               d_entities("q", "row_id", "short_text")), "support_queries")
+ORACLE["entity_account_action"] = sq(explode_pos(
+    f"(SELECT row_id, {d_lower('query_text')} AS s FROM support_text)", "row_id", d_actions("s"), "action"))
+ORACLE["entity_intent"] = sq(explode_pos(
+    f"(SELECT row_id, {d_lower('query_text')} AS s FROM support_text)", "row_id", d_intents("s"), "intent"))
+ORACLE["extract_entities"] = sq(d_entities("support_text", "row_id", "query_text"))
 ORACLE["entities_on_raw"] = d_entities("documents", "doc_id", "text")
 
 
@@ -241,19 +233,9 @@ ORACLE["normalize_category"] = with_views(
     f"SELECT row_id, {d_normalize_category('category', 'sub_category')} AS normalized_category "
     "FROM support_queries", "support_queries")
 
-ORACLE["sentiment_by_category"] = with_views(f"""
-WITH j AS (SELECT {d_normalize_category('q.category', 'q.sub_category')} AS normalized_category,
-                  r.stub_sentiment AS sentiment
-           FROM support_queries q JOIN support_responses r ON r.row_id = q.row_id
-           WHERE r.stub_sentiment IS NOT NULL),
-c AS (SELECT normalized_category, sentiment, count(*) AS n FROM j GROUP BY ALL),
-cats AS (SELECT normalized_category, count(*) AS category_total FROM j GROUP BY ALL),
-labs AS (SELECT DISTINCT sentiment FROM j)
-SELECT cats.normalized_category, labs.sentiment, coalesce(c.n, 0) AS n, cats.category_total
-FROM cats CROSS JOIN labs
-LEFT JOIN c ON c.normalized_category = cats.normalized_category AND c.sentiment = labs.sentiment
-""", "support_queries", "support_responses")
-
+ORACLE["add_normalized_category"] = with_views(
+    f"SELECT row_id, category, {d_normalize_category('category', 'sub_category')} AS normalized_category "
+    "FROM support_queries", "support_queries")
 
 # --- L1, L4, L5, L10, A1-A3 --------------------------------------------------
 
@@ -267,7 +249,9 @@ def d_msgs(system: str, user: str) -> str:
 
 ORACLE["build_prompts"] = with_views(f"""
 WITH t AS (
-  SELECT row_id, 'reply' AS task, {d_msgs(pr.REPLY_SYSTEM, "'Customer message:' || chr(10) || coalesce(query, '')")} AS m
+  SELECT row_id, 'synthetic' AS task, {d_msgs(pr.SYNTHETIC_SYSTEM, "'Write 3 different customer messages about ' || coalesce(query, 'null') || '.'")} AS m
+  FROM support_responses
+  UNION ALL SELECT row_id, 'reply' AS task, {d_msgs(pr.REPLY_SYSTEM, "'Customer message:' || chr(10) || coalesce(query, '')")} AS m
   FROM support_responses
   UNION ALL SELECT row_id, 'judge', {d_msgs(pr.JUDGE_SYSTEM, "CAST(to_json({'query': query, 'reply': response}) AS VARCHAR)")}
   FROM support_responses
@@ -283,18 +267,28 @@ def d_json_object(raw: str) -> str:
 
 
 def d_coerce(j: str, key: str) -> str:
+    """Integer conversion of any size in DOUBLE, clamped to 1..5, else 1."""
     p = f"'$.{key}'"
     conv = (f"CASE json_type({j}, {p}) "
-            f"WHEN 'BIGINT' THEN TRY_CAST({j}->>{p} AS BIGINT) "
-            f"WHEN 'UBIGINT' THEN TRY_CAST({j}->>{p} AS BIGINT) "
-            f"WHEN 'DOUBLE' THEN TRY_CAST(trunc(CAST({j}->>{p} AS DOUBLE)) AS BIGINT) "
+            f"WHEN 'BIGINT' THEN CAST({j}->>{p} AS DOUBLE) "
+            f"WHEN 'UBIGINT' THEN CAST({j}->>{p} AS DOUBLE) "
+            f"WHEN 'HUGEINT' THEN CAST({j}->>{p} AS DOUBLE) "
+            f"WHEN 'DOUBLE' THEN trunc(CAST({j}->>{p} AS DOUBLE)) "
             f"WHEN 'VARCHAR' THEN CASE WHEN regexp_full_match({j}->>{p}, '\\s*[+-]?[0-9]+\\s*') "
-            f"THEN TRY_CAST(trim({j}->>{p}) AS BIGINT) END "
+            f"THEN TRY_CAST(trim({j}->>{p}) AS DOUBLE) END "
             f"WHEN 'BOOLEAN' THEN CASE WHEN {j}->>{p} = 'true' THEN 1 ELSE 0 END "
             f"ELSE NULL END")
     return f"CAST(greatest(1, least(5, coalesce({conv}, 1))) AS INTEGER)"
 
 
+def d_explanation(j: str) -> str:
+    """The text of an explanation; absent, null, empty, false and zero count as none."""
+    p, none = "'$.explanation'", q(jg.DEFAULT_EXPLANATION)
+    return (f"CASE WHEN json_type({j}, {p}) = 'VARCHAR' THEN coalesce(nullif({j}->>{p}, ''), {none}) "
+            f"WHEN coalesce({j}->>{p}, '') IN ('', 'false', '[]', '{{}}') THEN {none} "
+            f"WHEN TRY_CAST({j}->>{p} AS DOUBLE) = 0 THEN {none} ELSE {j}->>{p} END")
+
+
 def d_score(j: str, key: str, default: int) -> str:
     return f"CASE WHEN json_type({j}, '$.{key}') IS NULL THEN {default} ELSE {d_coerce(j, key)} END"
 
@@ -303,7 +297,7 @@ JUDGE_PARSED = f"""
 SELECT row_id, {d_score('j', 'relevance', jg.SCORE_DEFAULTS['relevance'])} AS relevance,
        {d_score('j', 'helpfulness', jg.SCORE_DEFAULTS['helpfulness'])} AS helpfulness,
        {d_score('j', 'tone', jg.SCORE_DEFAULTS['tone'])} AS tone,
-       coalesce(nullif(j->>'$.explanation', ''), {q(jg.DEFAULT_EXPLANATION)}) AS explanation
+       {d_explanation('j')} AS explanation
 FROM (SELECT row_id, {d_json_object('raw')} AS j FROM judge_raw)
 """
 
@@ -333,17 +327,6 @@ DIST_SQL = ("SELECT metric, score, count(*) AS n FROM (" + " UNION ALL ".join(
     f"SELECT '{m}' AS metric, CAST(coalesce({m}, 0) AS INTEGER) AS score FROM scores"
     for m in ("relevance", "helpfulness", "tone")) + ") GROUP BY ALL")
 
-ORACLE["llm_quality_avg"] = jq(AVG_SQL)
-ORACLE["llm_quality_dist"] = jq(DIST_SQL)
-ORACLE["llm_quality_summary"] = jq(f"""
-WITH a AS ({AVG_SQL}), d AS ({DIST_SQL})
-SELECT n, avg_relevance, avg_helpfulness, avg_tone,
-""" + ",\n".join(
-    f"coalesce((SELECT CAST(to_json(map_from_entries(list({{'k': CAST(score AS VARCHAR), 'v': n}} "
-    f"ORDER BY score))) AS VARCHAR) "
-    f"FROM d WHERE metric = '{m}'), '{{}}') AS dist_{m}" for m in ("relevance", "helpfulness", "tone"))
-    + " FROM a")
-
 
 # --- M3-M10 ------------------------------------------------------------------
 
@@ -409,7 +392,7 @@ ASCII_SLOTS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456"
 LEXICON_CTE = """lex AS (
   SELECT word, count(*) AS freq FROM (
     SELECT unnest(regexp_extract_all(lower(text), '\\pL+')) AS word FROM documents)
-  GROUP BY word HAVING count(*) >= 20 AND length(word) >= 2)"""
+  GROUP BY word QUALIFY count(*) * 1000000 >= sum(count(*)) OVER () * 50 AND length(word) >= 2)"""
 
 
 def d_ascii(x: str) -> str:
@@ -487,9 +470,8 @@ ORACLE["lemmatize"] = sq(
 
 ORACLE["clean_text"] = sq(_drop_length(clean_sql("support_text", "row_id", "query_text")))
 
-ORACLE["prepare_queries"] = with_views(
-    clean_sql("support_queries", "row_id", "short_text", extra_cols=", s.short_text"),
-    "support_queries")
+ORACLE["prepare_queries"] = sq(clean_sql("support_text", "row_id", "query_text",
+                                         extra_cols=', s.query_text AS "Queries"'))
 
 ORACLE["clean_responses"] = with_views(
     _drop_length(clean_sql("support_responses", "row_id", "response")), "support_responses")
@@ -522,7 +504,7 @@ def d_parsed_from(raw_sql: str) -> str:
 SELECT row_id, {d_score('j', 'relevance', jg.SCORE_DEFAULTS['relevance'])} AS relevance,
        {d_score('j', 'helpfulness', jg.SCORE_DEFAULTS['helpfulness'])} AS helpfulness,
        {d_score('j', 'tone', jg.SCORE_DEFAULTS['tone'])} AS tone,
-       coalesce(nullif(j->>'$.explanation', ''), {q(jg.DEFAULT_EXPLANATION)}) AS explanation
+       {d_explanation('j')} AS explanation
 FROM (SELECT row_id, {d_json_object('raw')} AS j FROM ({raw_sql}))"""
 
 
@@ -538,6 +520,27 @@ ORACLE["judge_replies"] = with_views(d_parsed_from(
     f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM support_responses"),
     "support_responses")
 
+_JUDGED = d_parsed_from(
+    f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM support_responses")
+
+
+def judged(sql: str) -> str:
+    """Wrap SQL that reads the ``scores`` of every judged reply."""
+    return with_views(merge_with(f"scores AS ({_JUDGED})", sql), "support_responses")
+
+
+ORACLE["llm_quality_avg"] = judged(AVG_SQL)
+ORACLE["llm_quality_dist"] = judged(DIST_SQL)
+QUALITY_SQL = (f"""
+WITH a AS ({AVG_SQL}), d AS ({DIST_SQL})
+SELECT n, avg_relevance, avg_helpfulness, avg_tone,
+""" + ",\n".join(
+    f"coalesce((SELECT CAST(to_json(map_from_entries(list({{'k': CAST(score AS VARCHAR), 'v': n}} "
+    f"ORDER BY score))) AS VARCHAR) "
+    f"FROM d WHERE metric = '{m}'), '{{}}') AS dist_{m}" for m in ("relevance", "helpfulness", "tone"))
+    + " FROM a")
+ORACLE["llm_quality_summary"] = judged(QUALITY_SQL)
+
 ORACLE["generate_and_score"] = sq(f"""
 WITH g AS (SELECT row_id, query_text, {d_stub_reply(REPLY_CONTENT)} AS response FROM support_text),
 p AS ({d_parsed_from(f"SELECT row_id, {d_stub_judge(d_judge_content('query_text', 'response'))} AS raw FROM g")})
@@ -553,8 +556,8 @@ _SYN_USER = "'Write 5 different customer messages about ' || topic || '.'"
 _SYN_RAW = ("'1. ' || u || ' #1' || chr(10) || '2. ' || u || ' #2' || chr(10) || "
             "'3. ' || u || ' #3' || chr(10) || chr(10)")
 ORACLE["generate_synthetic"] = explode_pos(
-    f"(SELECT request_id, topic, {_SYN_RAW} AS raw FROM (SELECT request_id, topic, {_SYN_USER} AS u FROM "
-    "(SELECT event_id AS request_id, event_type AS topic FROM events)))", "request_id, topic",
+    f"(SELECT topic, {_SYN_RAW} AS raw FROM (SELECT topic, {_SYN_USER} AS u FROM "
+    "(SELECT DISTINCT event_type AS topic FROM events WHERE event_type IS NOT NULL)))", "topic",
     f"list_transform(list_filter(string_split(coalesce(raw, ''), chr(10)), "
     f"lambda l: {d_strip('l')} <> ''), lambda l: regexp_replace(l, '^[0-9. ]+|[0-9. ]+$', '', 'g'))",
     "query")
@@ -581,19 +584,59 @@ ORACLE["sentiment_lexicon"] = sq(
     f"SELECT row_id, CASE WHEN score >= 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS sentiment, score "
     f"FROM (SELECT row_id, {d_lexicon_score(d_basic_tokens('query_text'))} AS score FROM support_text)")
 
-ORACLE["sentiment_counts"] = with_views("""
-WITH c AS (SELECT stub_sentiment AS sentiment, count(*) AS n FROM support_responses
-           WHERE stub_sentiment IN ('POSITIVE', 'NEGATIVE') GROUP BY 1),
+_SENTIMENTS = (f"SELECT row_id, CASE WHEN length({d_truncate('response')}) % 2 = 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END "
+               "AS sentiment FROM support_responses")
+
+ORACLE["sentiment_counts"] = with_views(f"""
+WITH c AS (SELECT sentiment, count(*) AS n FROM ({_SENTIMENTS}) GROUP BY 1),
 o AS (SELECT * FROM (VALUES ('POSITIVE', 0), ('NEGATIVE', 1)) t(sentiment, ord))
 SELECT o.sentiment, CAST(o.ord AS INTEGER) AS ord, coalesce(c.n, 0) AS n FROM o LEFT JOIN c USING (sentiment)
 """, "support_responses")
 
-ORACLE["sentiment_share"] = with_views("""
-WITH c AS (SELECT stub_sentiment AS sentiment, count(*) AS n FROM support_responses
-           WHERE stub_sentiment IS NOT NULL GROUP BY 1)
+ORACLE["sentiment_share"] = with_views(f"""
+WITH c AS (SELECT sentiment, count(*) AS n FROM ({_SENTIMENTS}) GROUP BY 1)
 SELECT sentiment, round(n * 100.0 / (SELECT sum(n) FROM c), 4) AS share FROM c
 """, "support_responses")
 
+ORACLE["sentiment_by_category"] = with_views(f"""
+WITH j AS (SELECT {d_normalize_category('q.category', 'q.sub_category')} AS normalized_category, r.sentiment
+           FROM support_queries q JOIN ({_SENTIMENTS}) r ON r.row_id = q.row_id),
+c AS (SELECT normalized_category, sentiment, count(*) AS n FROM j GROUP BY ALL),
+cats AS (SELECT normalized_category, count(*) AS category_total FROM j GROUP BY ALL),
+labs AS (SELECT DISTINCT sentiment FROM j)
+SELECT cats.normalized_category, labs.sentiment, coalesce(c.n, 0) AS n, cats.category_total
+FROM cats CROSS JOIN labs
+LEFT JOIN c ON c.normalized_category = cats.normalized_category AND c.sentiment = labs.sentiment
+""", "support_queries", "support_responses")
+
+
+def embed_ctes(name: str, source: str, key: str, text: str, dim: int = 16) -> str:
+    """CTE ``name(key, pos, raw, value)``: counts of words by md5 bucket, and
+    the same at unit length."""
+    bucket = f"CAST(CAST('0x' || substr(md5(word), 1, 4) AS INTEGER) % {dim} AS INTEGER)"
+    return f"""{name}_w AS (SELECT {key}, unnest({d_tokens(f"coalesce({text}, '')")}) AS word FROM {source}),
+{name}_c AS (SELECT {key}, {bucket} AS pos, count(*) AS c FROM {name}_w GROUP BY ALL),
+{name}_g AS (SELECT {key}, CAST(unnest(range({dim})) AS INTEGER) AS pos FROM {source}),
+{name}_v AS (SELECT g.{key}, g.pos, CAST(coalesce(c.c, 0) AS DOUBLE) AS raw
+             FROM {name}_g g LEFT JOIN {name}_c c ON c.{key} = g.{key} AND c.pos = g.pos),
+{name} AS (SELECT {key}, pos, raw, CASE WHEN sum(raw * raw) OVER w > 0
+             THEN raw / sqrt(sum(raw * raw) OVER w) ELSE 0.0 END AS value
+           FROM {name}_v WINDOW w AS (PARTITION BY {key}))"""
+
+
+ORACLE["embed_batch_model"] = sq(
+    f"WITH {embed_ctes('e', 'support_text', 'row_id', 'query_text')}\n"
+    "SELECT row_id, pos, round(value, 4) AS value FROM e")
+ORACLE["embed_batch_raw"] = sq(
+    f"WITH {embed_ctes('e', 'support_text', 'row_id', 'query_text')}\n"
+    "SELECT row_id, pos, raw AS value FROM e")
+
+ORACLE["kmeans_topics_facts"] = ("SELECT count(*) AS n, true AS labels_in_range, true AS same_again, "
+                                 "true AS settled FROM embeddings")
+ORACLE["sentiment_model_facts"] = ("SELECT count(*) AS n, true AS in_range, true AS auc_above_floor FROM documents")
+ORACLE["support_topics_facts"] = with_views("SELECT count(*) AS n, true AS labels_in_range, true AS same_again, "
+                                            "true AS settled FROM support_queries", "support_queries")
+
 ORACLE["embed_tfidf"] = f"""
 WITH toks AS (SELECT doc_id, unnest({d_remove_stop(d_basic_tokens('text'))}) AS token FROM documents),
 tf AS (SELECT doc_id, token AS term, count(*) AS tf FROM toks GROUP BY ALL),
@@ -618,7 +661,8 @@ def d_stub_sentiment(text: str) -> str:
 
 
 ORACLE["sample_first_n"] = with_views(
-    "SELECT row_id, short_text FROM support_queries ORDER BY row_id LIMIT 5", "support_queries")
+    "SELECT row_id, concat_ws(' ', short_text, long_text) AS query_text FROM support_queries "
+    "ORDER BY row_id LIMIT 5", "support_queries")
 
 ORACLE["example_pairs"] = with_views(f"""
 WITH p AS ({d_parsed_from(f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM support_responses")})
@@ -630,18 +674,18 @@ ORACLE["sentiment_sample"] = with_views(
     "support_responses")
 
 ORACLE["pair_query_response"] = with_views(
-    "SELECT q.row_id, q.short_text, r.response FROM support_queries q JOIN support_responses r "
+    "SELECT q.row_id, concat_ws(' ', q.short_text, q.long_text) AS query_text, r.response FROM support_queries q JOIN support_responses r "
     "ON r.row_id = q.row_id", "support_queries", "support_responses")
 
 ORACLE["entities_on_clean"] = sq(
     f"WITH c AS ({clean_sql('support_text', 'row_id', 'query_text')})\n"
     + d_entities("c", "row_id", "clean").strip()[len("WITH"):].join(["SELECT * FROM (WITH", ")"]))
 
-ORACLE["export_csv_roundtrip"] = with_views(f"""
-WITH c AS ({clean_sql('support_queries', 'row_id', 'short_text', extra_cols=', s.short_text')}),
-e AS ({d_entities_json('support_queries', 'row_id', 'short_text')})
-SELECT c.row_id, c.short_text, c.clean, c.length, coalesce(e.entities, '[]') AS entities
-FROM c LEFT JOIN e ON e.row_id = c.row_id""", "support_queries")
+ORACLE["export_csv_roundtrip"] = sq(f"""
+WITH c AS ({clean_sql('support_text', 'row_id', 'query_text', extra_cols=', s.query_text')}),
+e AS ({d_entities_json('support_text', 'row_id', 'query_text')})
+SELECT c.row_id, c.query_text, c.clean, c.length, coalesce(e.entities, '[]') AS entities
+FROM c LEFT JOIN e ON e.row_id = c.row_id""")
 
 ORACLE["export_json_roundtrip"] = ORACLE["topic_samples"]
 
@@ -649,7 +693,7 @@ _GEN = f"""g AS (SELECT row_id, query_text AS query, {d_stub_reply(REPLY_CONTENT
 p AS ({d_parsed_from(f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM g")}),
 cq AS ({clean_sql('(SELECT row_id, query FROM g)', 'row_id', 'query')}),
 cr AS ({clean_sql('(SELECT row_id, response FROM g)', 'row_id', 'response')}),
-e AS ({d_entities_json('cq', 'row_id', 'clean')})"""
+e AS ({d_entities_json('g', 'row_id', 'query')})"""
 
 ORACLE["support_artifacts"] = sq(f"""
 WITH {_GEN}
@@ -659,11 +703,37 @@ SELECT g.row_id, g.query, g.response, p.relevance, p.helpfulness, p.tone, p.expl
 FROM g JOIN p ON p.row_id = g.row_id JOIN cq ON cq.row_id = g.row_id JOIN cr ON cr.row_id = g.row_id
 LEFT JOIN e ON e.row_id = g.row_id""")
 
+ORACLE["support_embeddings"] = sq(f"""
+WITH {_GEN},
+{embed_ctes('a', 'cq', 'row_id', 'clean')},
+{embed_ctes('b', 'cr', 'row_id', 'clean')}
+SELECT a.row_id, a.pos, round(a.value, 4) AS query_value, round(b.value, 4) AS response_value
+FROM a JOIN b ON b.row_id = a.row_id AND b.pos = a.pos""")
+
+_PAIR_PARSED = d_parsed_from(
+    f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM support_responses")
+_QUALITY = " || '; ' || ".join(
+    f"'{c}=' || CAST({c} AS VARCHAR)" for c in (
+        "avg_helpfulness", "avg_relevance", "avg_tone", "dist_helpfulness", "dist_relevance", "dist_tone", "n"))
+ORACLE["overall_report"] = with_views(f"""
+WITH scores AS ({_JUDGED}),
+{CENTROIDS_SQL},
+quality AS ({QUALITY_SQL}),
+pairs AS (SELECT r.row_id, r.query, r.response, p.* EXCLUDE (row_id) FROM support_responses r
+          JOIN scores p ON p.row_id = r.row_id ORDER BY r.row_id LIMIT 3),
+sample AS (SELECT * FROM ({_SENTIMENTS}) ORDER BY row_id LIMIT 5)
+SELECT 'quality' AS part, CAST(0 AS BIGINT) AS row_id, {_QUALITY} AS content FROM quality
+UNION ALL SELECT 'unique_clusters', 0, 'unique_clusters=' || CAST(count(DISTINCT topic) AS VARCHAR) FROM assigned
+UNION ALL SELECT 'sentiment_sample', row_id, 'sentiment=' || sentiment FROM sample
+UNION ALL SELECT 'example_pairs', row_id, 'explanation=' || explanation || '; helpfulness=' || CAST(helpfulness AS VARCHAR)
+  || '; query=' || query || '; relevance=' || CAST(relevance AS VARCHAR) || '; response=' || response
+  || '; tone=' || CAST(tone AS VARCHAR) FROM pairs""", "support_responses")
+
 ORACLE["flagship"] = with_views(f"""
 WITH qs AS (SELECT row_id, concat_ws(' ', short_text, long_text) AS query_text, category, sub_category
             FROM support_queries),
 c AS ({clean_sql('qs', 'row_id', 'query_text')}),
-e AS ({d_entities_json('c', 'row_id', 'clean')})
+e AS ({d_entities_json('qs', 'row_id', 'query_text')})
 SELECT qs.row_id, c.clean, c.length, coalesce(e.entities, '[]') AS entities,
        {d_normalize_category('qs.category', 'qs.sub_category')} AS normalized_category,
        {d_stub_sentiment('r.response')} AS reply_sentiment_raw, r.row_id IS NOT NULL AS has_reply
@@ -673,7 +743,7 @@ ORACLE["flagship"] = (
     "SELECT row_id, clean, length, entities, normalized_category, "
     "CASE WHEN has_reply THEN reply_sentiment_raw END AS reply_sentiment FROM (" + ORACLE["flagship"] + ")")
 
-_USER_TURNS = "(SELECT conv_id * 1000 + turn AS row_id, text FROM conversations WHERE role = 'user')"
+_USER_TURNS = "(SELECT conv_id * 4294967296 + turn AS row_id, text FROM conversations WHERE role = 'user')"
 ORACLE["stream_clean"] = f"""
 WITH c AS ({clean_sql(_USER_TURNS, 'row_id', 'text')}),
 e AS ({d_entities_json('c', 'row_id', 'clean')})

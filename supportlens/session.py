@@ -32,10 +32,16 @@ def get_spark(app: str = "supportlens", master: str | None = None,
     if active is not None:
         return active
     builder = SparkSession.builder.appName(app)
-    builder = builder.master(master or os.environ.get("SPARK_MASTER", "local[8]"))
+    master = master or os.environ.get("SPARK_MASTER")
+    submitted = os.environ.get("PYSPARK_SUBMIT_ARGS", "") or os.environ.get("SPARK_ENV_LOADED")
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
+    if master or not submitted:  # else spark-submit's master and memory stand
+        builder = builder.master(master or "local[*]")
+        conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not submitted:
+        conf["spark.sql.shuffle.partitions"] = "8"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -72,32 +78,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-_SCOPES: list[list[str]] = []
-
-
 class scratch_scope:
-    """Delete, on exit, the tables ``materialize`` wrote inside the block
-    (e.g. per stream micro-batch, once its output is written)."""
+    """Collects the tables that ``materialize(..., scope=...)`` writes and
+    deletes them on exit (e.g. per stream micro-batch, once its output is
+    written). A scope only ever holds the tables written for it, so streams and
+    batch queries of one process cannot delete each other's."""
 
     def __init__(self, spark):
         self.spark = spark
         self.paths: list[str] = []
 
     def __enter__(self):
-        _SCOPES.append(self.paths)
         return self
 
     def __exit__(self, *exc):
-        _SCOPES.remove(self.paths)
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for p in self.paths:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
+        delete_paths(self.spark, self.paths)
+        self.paths.clear()
         return False
 
 
-def materialize(df, spread_out: bool = False):
+def delete_paths(spark: SparkSession, paths) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def materialize(df, spread_out: bool = False, scope: scratch_scope | None = None):
     """Write an intermediate once as Parquet under the shared checkpoint folder
     and continue from that table.
 
@@ -105,7 +113,8 @@ def materialize(df, spread_out: bool = False):
     unpersisted plan computes it twice: once to count, once to write), the
     lineage is cut, the result survives executor loss (unlike a cache), and
     AQE sees its real size when planning the next joins. ``spread_out``: see
-    below.
+    below. A table written for a ``scope`` goes with it; others stay until the
+    shared folder is cleared, since a lazy result may read them at any time.
     """
     import uuid
 
@@ -114,9 +123,9 @@ def materialize(df, spread_out: bool = False):
     spark = df.sparkSession
     path = scratch_path(spark, f"mat-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
-    back = spark.read.parquet(path)
+    if scope is not None:
+        scope.paths.append(path)
+    back = spark.read.schema(df.schema).parquet(path)
     # A small result is often one file (AQE coalesces small partitions); a
     # consumer doing heavy per-row work (model calls, k-means) asks for it to
     # be spread over all task slots again.

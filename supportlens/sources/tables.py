@@ -129,7 +129,7 @@ def resolve_text_column(df: DataFrame, preferred: str = "query",
     for c in candidates:
         if c in cols:
             return c
-    raise KeyError(f"no text column among {cols}; expected {preferred!r} or a common variant")
+    raise KeyError(f"which column holds the texts? none of {[preferred, *candidates]} is among {cols}")
 
 
 def query_column(df: DataFrame, preferred: str = "Queries") -> str:
@@ -150,9 +150,10 @@ def py_strip(col) -> "F.Column":
 
 def load_query_texts(df: DataFrame, preferred: str = "query",
                      key: str = "row_id") -> DataFrame:
-    """S2 as a DataFrame: (key, query) with the resolved column cast and stripped."""
+    """S2 as a DataFrame: (key, query) with the resolved column cast and
+    stripped; a missing text is empty (Q1)."""
     name = resolve_text_column(df, preferred)
-    return df.select(F.col(key), py_strip(F.col(name).cast("string")).alias("query"))
+    return df.select(F.col(key), py_strip(F.coalesce(F.col(name).cast("string"), F.lit(""))).alias("query"))
 
 
 def require_key(df: DataFrame, key: str = "row_id") -> DataFrame:
@@ -170,3 +171,25 @@ def assert_unique_key(df: DataFrame, key: str = "row_id") -> None:
     dup = df.groupBy(key).count().where("count > 1").limit(1).count()
     if dup:
         raise ValueError(f"{key} is not unique")
+
+
+def read_any(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """A table by its file type (Parquet, CSV with a header, JSON lines),
+    column names trimmed. CSV columns are strings unless a schema is given."""
+    kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    if kind in ("csv", "tsv"):
+        df = (reader.option("header", True).option("multiLine", True).option("escape", '"')
+                    .option("sep", "\t" if kind == "tsv" else ",").csv(path))
+    elif kind in ("json", "jsonl", "ndjson"):
+        df = reader.json(path)
+    elif kind == "parquet":
+        df = reader.parquet(path)
+    else:
+        raise ValueError(f"{path}: neither Parquet, CSV nor JSON")
+    return trim_headers(df)
+
+
+def load_two_tables(spark: SparkSession, queries_path: str, responses_path: str) -> tuple[DataFrame, DataFrame]:
+    """The query table and the response table, headers trimmed."""
+    return read_any(spark, queries_path), read_any(spark, responses_path)

@@ -19,7 +19,7 @@ from .tables import read_table
 # Query templates, one per branch of the entity and cleaning
 # rules; categories and sub-categories exercise every category rule.
 SUPPORT_QUERIES_SQL = """
-SELECT conv_id * 1000 + turn AS row_id, conv_id, turn,
+SELECT conv_id * 4294967296 + turn AS row_id, conv_id, turn,
   CASE (conv_id * 7 + turn) % 16
     WHEN 0  THEN 'I want a REFUND for order 123456, $45.50 charged twice!'
     WHEN 1  THEN 'plz help, i forgot password and cant open my account'
@@ -48,7 +48,7 @@ FROM conversations WHERE role = 'user'
 
 # A reply is the assistant turn right after a user turn.
 SUPPORT_RESPONSES_SQL = """
-SELECT q.conv_id * 1000 + q.turn AS row_id, q.text AS query, a.text AS response,
+SELECT q.conv_id * 4294967296 + q.turn AS row_id, q.text AS query, a.text AS response,
   CASE (q.conv_id * 7 + q.turn) % 5 WHEN 0 THEN 'POSITIVE' WHEN 1 THEN 'NEGATIVE' WHEN 2 THEN 'POSITIVE'
     WHEN 3 THEN 'NEUTRAL' ELSE NULL END AS stub_sentiment
 FROM conversations q JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1
@@ -57,8 +57,8 @@ WHERE q.role = 'user' AND a.role = 'assistant'
 
 # Judge outputs covering every parsing branch.
 JUDGE_RAW_SQL = """
-SELECT conv_id * 1000 + turn AS row_id,
-  CASE (conv_id * 11 + turn) % 13
+SELECT conv_id * 4294967296 + turn AS row_id,
+  CASE (conv_id * 11 + turn) % 19
     WHEN 0 THEN '{"relevance":5,"helpfulness":4,"tone":5,"explanation":"ok"}'
     WHEN 1 THEN '{"relevance":"4","helpfulness":"4.7","tone":4.7}'
     WHEN 2 THEN '{"relevance":null,"helpfulness":null,"tone":null,"explanation":null}'
@@ -71,6 +71,12 @@ SELECT conv_id * 1000 + turn AS row_id,
     WHEN 9 THEN '{"tone":2,"explanation":"short"}'
     WHEN 10 THEN ''
     WHEN 11 THEN NULL
+    WHEN 12 THEN '{"relevance":1e30,"helpfulness":99999999999999999999,"tone":"99999999999999999999","explanation":false}'
+    WHEN 13 THEN '{"relevance":-1e30,"helpfulness":"-99999999999999999999","tone":1e-3,"explanation":0}'
+    WHEN 14 THEN '{"relevance":4.999,"helpfulness":"+4","tone":false,"explanation":[]}'
+    WHEN 15 THEN '{"relevance":[5],"helpfulness":{"a":5},"tone":"1e1","explanation":{}}'
+    WHEN 16 THEN '{"explanation":"0"}'
+    WHEN 17 THEN '{"explanation":"false"}'
     ELSE '{"relevance":1,"helpfulness":2,"tone":3,"explanation":"x"}' END AS raw
 FROM conversations WHERE role = 'assistant'
 """

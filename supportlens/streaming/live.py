@@ -22,10 +22,13 @@ from ..session import materialize, scratch_scope
 
 
 def support_text_stream(spark: SparkSession, path: str, schema: T.StructType,
-                        files_per_batch: int = 1) -> DataFrame:
-    """Streaming DataFrame over parquet files under ``path`` (folder or glob)."""
-    return (spark.readStream.schema(schema)
-                 .option("maxFilesPerTrigger", files_per_batch).parquet(path))
+                        files_per_batch: int | None = None) -> DataFrame:
+    """Streaming DataFrame over parquet files under ``path`` (folder or glob).
+    ``files_per_batch`` bounds a micro-batch; by default it takes what is there."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def clean_micro_batches(stream: DataFrame, key: str, text: str, lexicon: DataFrame,
@@ -41,8 +44,8 @@ def clean_micro_batches(stream: DataFrame, key: str, text: str, lexicon: DataFra
     def run(batch: DataFrame, epoch_id: int) -> None:
         # Per-batch intermediates (vocabulary, rewrite table) are removed once
         # the batch output is written, so a long-running stream leaves nothing.
-        with scratch_scope(batch.sparkSession):
-            out = (cleaning.clean_texts(batch, key, text, lex, lexicon_keys=lex_keys)
+        with scratch_scope(batch.sparkSession) as scope:
+            out = (cleaning.clean_texts(batch, key, text, lex, lexicon_keys=lex_keys, scope=scope)
                            .withColumn("entities", F.to_json(ent.extract_entities("clean"))))
             out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
 

@@ -2,6 +2,7 @@
 same columns, row count and order-insensitive values."""
 
 import math
+import re
 
 import pytest
 
@@ -9,8 +10,9 @@ import __spark_entry__ as entry
 
 from .conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# The training-data queries have tests of their own, which may not be installed.
+QUERIES = {k: f for k, f in entry.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 
 
 def _norm(v):

@@ -123,3 +123,34 @@ def test_lemma_exceptions_take_precedence(spark):
     exc = spark.createDataFrame([("mice", "mouse"), ("children", "child")], "form string, lemma string")
     got = {r["token"]: r["lemma"] for r in lemmas.lemma_table(vocab, lex, exceptions=exc).collect()}
     assert got == {"mice": "mouse", "children": "child"}
+
+
+def test_corrections_do_not_depend_on_corpus_size(spark):
+    """The same corpus ten times over knows the same words."""
+    from pyspark.sql import functions as F
+
+    from supportlens.operators import spelling
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    ten = docs.crossJoin(F.broadcast(spark.range(10))).select("text")
+    one, many = (spelling.build_lexicon(d, "text") for d in (docs, ten))
+    assert {r.word: r.freq * 10 for r in one.collect()} == {r.word: r.freq for r in many.collect()}
+
+
+def test_short_tokens_without_the_empty_key(spark):
+    """Two-letter tokens: any word of up to two letters is within distance 2."""
+    from supportlens.operators import spelling
+
+    lex = spark.createDataFrame([("xy", 5), ("of", 9), ("q", 9), ("abc", 3), ("wxyz", 50)], "word string, freq bigint")
+    vocab = spark.createDataFrame([("ab",), ("zz",), ("xz",), ("yz",)], "token string")
+    got = {r.token: (r.suggestion, r.distance) for r in spelling.correction_table(vocab, lex).collect()}
+    assert got == {"ab": ("abc", 1), "zz": ("of", 2), "xz": ("xy", 1), "yz": ("wxyz", 2)}
+
+
+def test_rows_that_share_a_key_are_cleaned_each_for_itself(spark):
+    from supportlens.operators import cleaning
+
+    lex = spark.createDataFrame([("refund", 40), ("order", 40)], "word string, freq bigint")
+    df = spark.createDataFrame([(1, "refnud now"), (1, "ordr"), (None, "ordr refund"), (None, None)], "k long, t string")
+    got = sorted((r.k or 0, r.clean) for r in cleaning.clean_texts(df, "k", "t", lex).collect())
+    assert got == [(0, ""), (0, "order refund"), (1, "order"), (1, "refund")]
