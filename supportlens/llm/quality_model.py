@@ -30,14 +30,15 @@ from pyspark.sql import types as T
 from ..session import ship_package
 
 MAX_TRAIN = 20_000   # rated texts used to fit
-BUCKETS = 1 << 17    # hashed weights (0.5 MB)
+BUCKETS = 1 << 31    # of the hash; the model holds weights for those that pass:
 MIN_TEXTS = 5        # a bucket that fewer sample texts have gets no weight,
 MIN_Z = 3.0          # nor one whose texts' mean grade differs by less (standard errors)
-WORD_WEIGHT = 5.0    # all words of a text together, against each shape token
 WORD_CACHE = 200_000  # remembered per Python worker (memory bound only)
 
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
+# A-Z lower-cased, other ASCII but letters and digits to spaces
+_WORDS = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(256))
 
 
 def _bucket(token: bytes) -> int:
@@ -58,27 +59,24 @@ def shape_tokens(text: bytes, n: int, distinct: int) -> list[bytes]:
 
 
 def text_tokens(text: bytes | None) -> tuple[set[bytes], list[bytes]]:
-    """Distinct words (A-Z lower-cased) and shape tokens."""
+    """Distinct words (letters and digits, A-Z lower-cased) and shape tokens."""
     text = text or b""
-    words = text.lower().split()
+    words = text.translate(_WORDS).split()
     distinct = set(words)
     return distinct, shape_tokens(text, len(words), len(distinct))
 
 
-def text_features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and values: each word WORD_WEIGHT/sqrt(number of words), each shape 1."""
+def text_features(text: bytes | None) -> np.ndarray:
+    """Buckets of the words and shapes present; each counts once, so that a
+    telling word weighs as much in a long text as in a short one."""
     words, shape = text_tokens(text)
-    idx = np.fromiter((_bucket(w) for w in [*words, *shape]), dtype=np.int32, count=len(words) + len(shape))
-    val = np.ones(len(idx), dtype=np.float32)
-    if words:
-        val[:len(words)] = WORD_WEIGHT / math.sqrt(len(words))
-    return idx, val
+    return np.fromiter((_bucket(w) for w in [*words, *shape]), dtype=np.int32, count=len(words) + len(shape))
 
 
 class OrdinalModel:
-    """Shared weights and ordered thresholds."""
+    """Shared weights (bucket -> weight, 0 for all others) and ordered thresholds."""
 
-    def __init__(self, weights: np.ndarray, thresholds: np.ndarray):
+    def __init__(self, weights: dict[int, float], thresholds: np.ndarray):
         self.weights, self.thresholds = weights, thresholds
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
@@ -86,25 +84,30 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-(scores[:, None] - self.thresholds[None, :])))
 
     @classmethod
-    def fit(cls, idx: np.ndarray, val: np.ndarray, start: np.ndarray, grade: np.ndarray,
+    def fit(cls, idx: np.ndarray, start: np.ndarray, grade: np.ndarray,
             rounds: int = 200, rate: float = 0.1, decay: float = 1e-4) -> OrdinalModel:
         """Maximum likelihood by Adam over rows ``idx[start[i]:start[i + 1]]``.
         Thresholds are a first one and positive gaps, so they stay ordered."""
         k = int(grade.max())
         rows = np.repeat(np.arange(len(grade)), np.diff(start))
-        seen = np.bincount(idx, minlength=BUCKETS)
-        off = np.bincount(idx, ((grade - grade.mean()) / max(grade.std(), 1e-9))[rows], BUCKETS)
+        buckets, col = np.unique(idx, return_inverse=True)
+        seen = np.bincount(col)
+        off = np.bincount(col, ((grade - grade.mean()) / max(grade.std(), 1e-9))[rows])
         used = (seen >= min(MIN_TEXTS, len(grade))) & (np.abs(off) >= MIN_Z * np.sqrt(seen))
+        keep = used[col]  # entries of the buckets that get a weight, numbered anew
+        rows, col = rows[keep], (np.cumsum(used) - 1)[col[keep]]
+        buckets = buckets[used]
+        size = len(buckets)
         share = np.array([np.clip((grade >= g).mean(), 0.01, 0.99) for g in range(1, k + 1)])
         first = -np.log(share / (1 - share))
         gaps = np.log(np.maximum(np.diff(first), 0.1))
-        params = [np.zeros(BUCKETS), np.concatenate([first[:1], gaps])]
+        params = [np.zeros(size), np.concatenate([first[:1], gaps])]
         m, v = ([np.zeros_like(p) for p in params] for _ in range(2))
         n = len(grade)
         for step in range(1, rounds + 1):
             w, th = params
             cut = np.concatenate([th[:1], th[0] + np.cumsum(np.exp(th[1:]))])
-            score = np.bincount(rows, w[idx] * val, n)
+            score = np.bincount(rows, w[col], n)
             s = 1 / (1 + np.exp(-(score[:, None] - cut)))
             up = np.concatenate([np.ones((n, 1)), s], 1)[np.arange(n), grade]      # P(>= grade)
             over = np.concatenate([s, np.zeros((n, 1))], 1)[np.arange(n), grade]   # P(> grade)
@@ -116,7 +119,7 @@ class OrdinalModel:
             np.add.at(g_cut, grade[grade < k], (d_over / p / n)[grade < k])
             tail = g_cut[::-1].cumsum()[::-1]
             g_th = np.concatenate([tail[:1], tail[1:] * np.exp(th[1:])])
-            grads = [(np.bincount(idx, g_score[rows] * val, BUCKETS) - decay * w) * used, g_th]
+            grads = [np.bincount(col, g_score[rows], size) - decay * w, g_th]
             for i, g in enumerate(grads):
                 m[i] = 0.9 * m[i] + 0.1 * g
                 v[i] = 0.99 * v[i] + 0.01 * g * g
@@ -124,7 +127,7 @@ class OrdinalModel:
                     np.sqrt(v[i] / (1 - 0.99 ** step)) + 1e-8)
         w, th = params
         cut = np.concatenate([th[:1], th[0] + np.cumsum(np.exp(th[1:]))])
-        return cls(w.astype(np.float32), cut)
+        return cls(dict(zip(buckets.tolist(), w.tolist())), cut)
 
 
 def grade_of(quality: Column, toxic: Column) -> Column:
@@ -145,15 +148,14 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")) \
                .join(F.broadcast(rated), "id").select("id", "grade", "text")
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("grade", T.IntegerType()),
-                           T.StructField("idx", T.ArrayType(T.IntegerType())),
-                           T.StructField("val", T.ArrayType(T.FloatType()))])
+                           T.StructField("idx", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         for batch in batches:
             found = [text_features(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([i for i, _ in found], pa.list_(pa.int32())),
-                 pa.array([v for _, v in found], pa.list_(pa.float32()))], names=["id", "grade", "idx", "val"])
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))],
+                names=["id", "grade", "idx"])
 
     table = rows.select("id", F.col("grade").cast("int").alias("grade"), "text").mapInArrow(run, schema).toArrow()
     table = table.combine_chunks().sort_by("id")  # the same order, so the same sums, every time
@@ -162,9 +164,9 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     grade = table["grade"].to_numpy()
     if len(np.unique(grade)) < 2:
         raise ValueError("ratings of two grades at least are needed")
-    idx, val = (table[c].combine_chunks() for c in ("idx", "val"))
+    idx = table["idx"].combine_chunks()
     start = np.concatenate([[0], np.cumsum(np.diff(idx.offsets.to_numpy()))])
-    return OrdinalModel.fit(idx.flatten().to_numpy(), val.flatten().to_numpy(), start, grade)
+    return OrdinalModel.fit(idx.flatten().to_numpy(), start, grade)
 
 
 def score_texts(docs: DataFrame, model: OrdinalModel | None, id_col: str = "doc_id", text_col: str = "text",
@@ -202,6 +204,6 @@ def _score(model: OrdinalModel | None, known: dict[bytes, float], text: bytes |
     except KeyError:
         for w in words:
             if w not in known:
-                known[w] = float(model.weights[_bucket(w)])
+                known[w] = model.weights.get(_bucket(w), 0.0)
         total = math.fsum([known[w] for w in words])
-    return total * WORD_WEIGHT / math.sqrt(len(words) or 1) + math.fsum(float(model.weights[_bucket(s)]) for s in shape)
+    return total + math.fsum(model.weights.get(_bucket(s), 0.0) for s in shape)

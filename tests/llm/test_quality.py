@@ -97,7 +97,7 @@ def test_ordinal_model_on_held_out_texts(spark):
     assert mean[0] < mean[1] < mean[2]
     assert np.mean([r.kept for r in by(0)]) < 0.03
     assert np.mean([r.kept for r in by(2)]) > 0.97
-    assert np.mean([r.kept for r in by(1)]) < 0.6
+    assert np.mean([r.kept for r in by(1)]) < 0.5
     assert all(r.p_at_least[0] >= r.p_at_least[1] for r in scored)
 
 
@@ -109,9 +109,9 @@ def test_ordinal_recovers_its_own_thresholds():
     x = np.concatenate([x, np.ones((4000, 1))], axis=1)
     row, idx = np.nonzero(x)
     start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=4000))])
-    model = qm.OrdinalModel.fit(idx.astype(np.int32), np.ones(len(idx)), start, grade, rounds=600, rate=0.05, decay=0.0)
+    model = qm.OrdinalModel.fit(idx.astype(np.int32), start, grade, rounds=600, rate=0.05, decay=0.0)
     assert np.allclose(np.diff(model.thresholds), 2.0, atol=0.2)
-    assert np.allclose(model.weights[:3], [2.0, -1.0, 0.5], atol=0.2)
+    assert np.allclose([model.weights[i] for i in range(3)], [2.0, -1.0, 0.5], atol=0.2)
 
 
 def test_ordinal_cases(spark):
