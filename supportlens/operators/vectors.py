@@ -40,16 +40,18 @@ def squared_distance(a, b) -> Column:
 def centroid_means(df: DataFrame, vec: str, group: str, out_group: str = "topic") -> DataFrame:
     """M6: component-wise mean of the member vectors of each group.
 
-    Vectors are exploded to (group, pos, value) and averaged with a two-phase
-    aggregate, so a group holding a third of all rows is combined map-side
-    before the shuffle; only k x d partial sums cross the network.
+    MLlib's ``Summarizer`` keeps one running mean per group and task and merges
+    them after the shuffle, so a group holding a third of all rows sends one
+    vector per task; nothing is exploded. Rows without a vector do not count.
     """
-    long = df.select(F.col(group).alias(out_group), F.posexplode(as_double_array(vec)).alias("pos", "x"))
-    means = long.groupBy(out_group, "pos").agg(F.avg("x").alias("x"), F.count(F.lit(1)).alias("n"))
-    return (means.groupBy(out_group)
-                 .agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("c"),
-                      F.max("n").alias("members"))
-                 .select(out_group, F.transform("c", lambda e: e["x"]).alias("centroid"), "members"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    have = df.where(F.col(vec).isNotNull()).select(
+        F.col(group).alias(out_group), array_to_vector(as_double_array(vec)).alias("_v"))
+    return (have.groupBy(out_group)
+                .agg(Summarizer.mean(F.col("_v")).alias("_m"), F.count(F.lit(1)).alias("members"))
+                .select(out_group, vector_to_array("_m").alias("centroid"), "members"))
 
 
 def centroid_array(centroids: DataFrame, topic: str = "topic", vec: str = "centroid") -> Column:
