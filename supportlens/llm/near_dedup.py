@@ -19,9 +19,10 @@ threshold, and groups are the connected components of the links.
    length and positional bounds, members outside the leader's component
    against all. Pairs inside a component are never made.
 
-A sketch misses a link only if a pair at the threshold shares fewer than
-``_least_shared`` of k = 64 values, chance below 1e-10; every reported link is
-exact on the full sets.
+A sketch misses a link only if a pair at the threshold (0.8 or more) shares
+fewer than ``_least_shared`` of k = 64 values, chance below 1e-10, or if fewer
+than 0.4 of the union sketch agree, chance below 1e-10 as well; every reported
+link is exact on the full sets.
 
 Defined cases: null, empty or white-space texts have no shingles and link with
 nothing (``component_id`` = own id). Equal rows and rows that share an id are
@@ -127,8 +128,8 @@ def _verify(scratch: Scratch, pairs: DataFrame, known: DataFrame, sets: DataFram
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Per input row: id, ``n_shingles``, ``component_id``, ``kept``."""
-    if percent < 60:
-        raise ValueError("the sketch bounds are made for thresholds of 60 % and more")
+    if not 80 <= percent <= 100:
+        raise ValueError("the sketch bounds are made for thresholds of 80 % and more")
     spark = df.sparkSession
     scratch = Scratch(spark, "near-dedup")
     rows = scratch.write(sketches(df, width, SKETCH, id_col, text_col), "rows")
