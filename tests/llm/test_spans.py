@@ -93,6 +93,33 @@ def test_trees_find_other_forms(detector):
     assert detector.find(clean) == []
 
 
+def test_planted_accounts(spark, detector):
+    """Valid IBANs are found and redacted, ones with wrong check digits are not."""
+    good = ["DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "FR14 2004 1010 0505 0001 3M02 606",
+            "ES9121000418450200051332", "AT611904300234573201", "NL91 ABNA 0417 1643 00", "ES91 2100 0418 4502 0005 1332"]
+    texts = [f"tion onre {x} {end} et nisi" for x in good for end in ("erin", "CODE")]
+    texts += [f"IBAN: {x}, thanks" for x in good]
+    wrong = [t.replace("DE89", "DE88").replace("GB29", "GB30") for t in texts if "DE89" in t or "GB29" in t]
+    docs = cases.plain(spark, [(i, t, "", "a", 0) for i, t in enumerate(texts + wrong)])
+    spans = {r.doc_id: r.spans for r in pdx.scan(docs, detector=detector).collect()}
+    clean = {r.doc_id: r.text for r in pdx.redact(docs, detector=detector).collect()}
+    for i, t in enumerate(texts):
+        iban = max((x for x in good if x in t), key=len)
+        a = t.index(iban)
+        assert ("account", a, a + len(iban)) in [tuple(s) for s in spans[i]], t
+        assert clean[i] == t.replace(iban, "[ACCOUNT]")
+    for i in range(len(texts), len(texts + wrong)):
+        assert all(s.kind != "account" for s in spans[i])
+
+
+def test_account_holds_a_base_span(detector):
+    iban = next(x for n in range(2000) for c in range(2, 99)
+                if pdx._iban(x := f"AT{c:02d}19043{n:011d}") and pdx.luhn(x[2:]))
+    text = f"pay to {iban} now"
+    assert "card" in [k for k, *_ in pdx.base_spans(text)]
+    assert pdx.redacted(text, detector.find(text)) == "pay to [ACCOUNT] now"
+
+
 def test_boosting_learns_a_rule():
     import numpy as np
 
