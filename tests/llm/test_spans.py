@@ -93,6 +93,34 @@ def test_trees_find_other_forms(detector):
     assert detector.find(clean) == []
 
 
+def test_candidates_overlap():
+    for form in ("jane at example.com", "jane [at] example.com", "jane(at)example.com", "jane@example dot com",
+                 "JANE AT EXAMPLE.COM", "jane (At) example (Dot) com", "x1.y at mail.example.com"):
+        for before, after in (("", ""), ("write ", " now"), ("é ", ". Then")):
+            a = len(before)
+            assert ("written_email", a, a + len(form)) in pdx.candidates(before + form + after)
+    text = "n 555-123-4567 555-987-6543 (743) 555-3824 1234567890123456789012345 4111 1111 1111 1111 4222 2222 2222 2222"
+    spans = {(k, text[a:b]) for k, a, b in pdx.candidates(text)}
+    assert spans >= {("other_phone", x) for x in ("555-123-4567", "555-987-6543", "(743) 555-3824", "987-6543")}
+    assert spans >= {("other_card", x) for x in ("4111 1111 1111 1111", "4222 2222 2222 2222")}
+    groups = [(m.start(), m.end()) for m in re.finditer("[0-9]+", text)]
+    want = {(i, j) for i in range(len(groups)) for j in range(i, len(groups))
+            if 7 <= sum(b - a for a, b in groups[i:j + 1]) <= 19}
+    got = {(next(i for i, g in enumerate(groups) if a <= g[0]), next(i for i, g in enumerate(groups) if g[1] == b))
+           for _, a, b in pdx.candidates(text)}
+    assert got == want
+
+
+def test_neighbouring_numbers_are_found(spark, detector):
+    texts = ["tion onre 555-123-4567 555-987-6543 hein erat", "hein (743) 555-3824 (217) 555-7713 und enie",
+             "write jane at example.com und enie", "write jane(at)example.com und enie"]
+    want = [["555-123-4567", "555-987-6543"], ["(743) 555-3824", "(217) 555-7713"], ["jane at example.com"],
+            ["jane(at)example.com"]]
+    docs = cases.plain(spark, [(i, t, "", "a", 0) for i, t in enumerate(texts)])
+    for r in pdx.scan(docs, detector=detector).collect():
+        assert [texts[r.doc_id][s.start:s.end] for s in r.spans] == want[r.doc_id]
+
+
 def test_planted_accounts(spark, detector):
     """Valid IBANs are found and redacted, ones with wrong check digits are not."""
     good = ["DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "FR14 2004 1010 0505 0001 3M02 606",
