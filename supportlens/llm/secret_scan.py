@@ -2,10 +2,11 @@
 
 Patterns find assignments, access keys and hex strings. Beyond those,
 candidates that could encode a key are decoded and parsed before they are
-reported: base64 and hex runs as DER (every nested length must fit its
+reported: values inside base64 runs of either alphabet and hex runs of either
+case, as long as their header says, as DER (every nested length must fit its
 parent, and the fields must be those of a private key), OpenSSH private keys
-by their length-prefixed fields, PEM blocks by what they enclose, and signed
-tokens by the JSON of header and payload.
+by their length-prefixed fields, PEM blocks (also with escaped line ends) by what they
+enclose or, if encrypted, by their headers, and signed tokens by the JSON of header and payload.
 
 Whole texts, one pass in Arrow batches, no shuffle.
 
@@ -33,11 +34,21 @@ _ASSIGN = re.compile(r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=
 _ASSIGN_CUES = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a maximal run, as ``+`` would find it
+_HEX_ANY = re.compile(r"[0-9a-fA-F]{24,}")  # of either case, for DER only
+_HEX_START = re.compile(r"(?=30[0-9a-fA-F]{22})")
+# Maximal runs of both base64 alphabets; the value may start inside the run.
+_RUN64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 # DER sequences start with the byte 0x30, so with M in base64.
-_DER64 = re.compile(r"M[A-Za-z0-9+/]{39,}={0,2}|M[A-Za-z0-9_-]{39,}={0,2}")
+_DER64_START = re.compile(r"(?=M[A-Za-z0-9+/_-]{39})")
 _SSH64 = re.compile(r"b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/]+={0,2}")
 _SSH_MAGIC = b"openssh-key-v1\0"
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+# line ends may be escaped, as in JSON; headers as in encrypted PKCS 1 files
+_EOL = r"(?:\s|\\+[nr])"
+_PEM = re.compile(rf"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----"
+                  rf"({_EOL}*+(?:[A-Za-z0-9-]++:\x20[^\r\n\\]*+{_EOL}++)*+)"
+                  rf"((?:[A-Za-z0-9+/=]|{_EOL})++)-----END \1-----")
+_ENCRYPTED = re.compile(r"Proc-Type:\x204,ENCRYPTED")
+_DEK = re.compile(r"DEK-Info:\x20[A-Z0-9-]+,[0-9A-Fa-f]{16,}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 
 
@@ -98,6 +109,45 @@ def is_private_der(data: bytes | None) -> bool:
     return len(tags) == 2 and tags == [_SEQ, _OCTETS] and algorithm(inner[0][1])
 
 
+def der_size(data: bytes) -> int | None:
+    """Bytes of the DER sequence that ``data`` starts with, by its header."""
+    if len(data) < 2 or data[0] != _SEQ:
+        return None
+    if data[1] < 0x80:
+        return 2 + data[1]
+    n = data[1] & 0x7F
+    if not 1 <= n <= 4 or len(data) < 2 + n:
+        return None
+    return 2 + n + int.from_bytes(data[2:2 + n], "big")
+
+
+def key_size(head: bytes | None) -> int | None:
+    """``der_size`` of data whose first field may be that of a private key."""
+    size = der_size(head) if head else None
+    if size is None:
+        return None
+    at = 2 + (head[1] & 0x7F if head[1] & 0x80 else 0)
+    first = head[at:at + 3]
+    return size if first in (b"\2\1\0", b"\2\1\1") or first[:1] == bytes([_SEQ]) else None
+
+
+def der_spans(text: str, run: re.Pattern, start: re.Pattern, decode, part: int, size_of) -> list[Span]:
+    """Private keys that start anywhere in a run and are as long as their
+    header, the first ``part`` letters, says."""
+    found: list[Span] = []
+    for r in run.finditer(text):
+        letters = r[0].rstrip("=")
+        done = 0
+        for m in start.finditer(letters):
+            at = m.start()
+            size = key_size(decode(letters[at:at + part])) if at >= done else None
+            end = at + size_of(size) if size else len(letters) + 1
+            if end <= len(letters) and is_private_der(decode(letters[at:end])):
+                done = end
+                found.append(("der", r.start() + at, r.end() if end == len(letters) else r.start() + end))
+    return found
+
+
 def is_openssh(data: bytes | None) -> bool:
     """Cipher, derivation and options as length-prefixed strings, then keys."""
     if not data or not data.startswith(_SSH_MAGIC):
@@ -110,6 +160,11 @@ def is_openssh(data: bytes | None) -> bool:
     return at + 4 <= len(data) and 1 <= int.from_bytes(data[at:at + 4], "big") <= 64
 
 
+def is_encrypted(headers: str, body: bytes | None) -> bool:
+    """The headers of an encrypted key and whole cipher blocks of eight bytes."""
+    return bool(body) and len(body) % 8 == 0 and bool(_ENCRYPTED.search(headers) and _DEK.search(headers))
+
+
 def is_signed_token(s: str) -> bool:
     """Header and payload are JSON objects and the header names an algorithm."""
     try:
@@ -125,17 +180,15 @@ def find_secrets(text: str) -> list[Span]:
     if any(cue in low for cue in _ASSIGN_CUES):
         found += (("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[1]) >= 6)
     found += (("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= 20)
-    for m in _HEX.finditer(text):
-        found.append(("hex", *m.span()))
-        if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_private_der(bytes.fromhex(m[0])):
-            found.append(("der", *m.span()))
-    found += (("der", *m.span()) for m in _DER64.finditer(text) if is_private_der(decode64(m[0])))
+    found += (("hex", *m.span()) for m in _HEX.finditer(text))
+    found += der_spans(text, _HEX_ANY, _HEX_START, bytes.fromhex, 24, lambda n: 2 * n)
+    found += der_spans(text, _RUN64, _DER64_START, decode64, 16, lambda n: -(-n * 4 // 3))
     if "b3BlbnNzaC1rZXktdjE" in text:
         found += (("openssh", *m.span()) for m in _SSH64.finditer(text) if is_openssh(decode64(m[0])))
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            body = decode64("".join(m[2].split()))
-            if is_private_der(body) or is_openssh(body):
+            body = decode64(re.sub(_EOL, "", m[3]))
+            if is_private_der(body) or is_openssh(body) or is_encrypted(m[2], body):
                 found.append(("pem", *m.span()))
     if "eyJ" in text:
         found += (("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[0]))

@@ -47,6 +47,29 @@ def test_structures():
     assert ("der", 0, 2 * len(key)) in ss.find_secrets(key.hex())
 
 
+def test_keys_in_every_form():
+    key = next(k for i in range(256) if "-" in (u := base64.urlsafe_b64encode(
+        k := der(0x30, der(2, b"\0"), *(der(2, bytes([i, 0xFB, 0xEF]) * 12) for _ in range(8)))).decode())[41:]
+        and not {"-", "_"} & set(u[:41]))
+    std, url = base64.b64encode(key).decode(), base64.urlsafe_b64encode(key).decode()
+    for form in (std, url, std.rstrip("="), url.rstrip("="), key.hex(), key.hex().upper()):
+        for before, after in (("", ""), ("key ", " end"), ("x_", ";"), ('"\\n', '\\n"')):
+            found = ss.find_secrets(before + form + after)
+            assert ("der", len(before), len(before) + len(form)) in found
+    assert ("der", 3, 3 + len(std.rstrip("="))) in ss.find_secrets(f"k--{std.rstrip('=')}--tail_of_run")
+    assert ("der", 1, 1 + 2 * len(key)) in ss.find_secrets("A" + key.hex())
+    assert ss.find_secrets("M" + "A" * 60 + "-" + "B" * 60) == []
+    lines = base64.encodebytes(key).decode()
+    pem = lambda body, kind="RSA PRIVATE KEY": f"-----BEGIN {kind}-----\n{body}-----END {kind}-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    cipher = base64.encodebytes(bytes(range(160))).decode()
+    for block in (pem(lines), pem(lines).replace("\n", "\\n"), pem(lines).replace("\n", "\\r\\n"),
+                  pem(head + cipher), pem(head + cipher).replace("\n", "\\n"), pem("Comment: x\n\n" + lines)):
+        assert ("pem", 4, 4 + len(block)) in ss.find_secrets("x: \"" + block + "\"")
+    for block in (pem(cipher), pem(head), pem("Proc-Type: 4,ENCRYPTED\n\n" + cipher), pem(head + cipher[:9] + "\n")):
+        assert "pem" not in [k for k, *_ in ss.find_secrets(block)]
+
+
 def test_secret_base_patterns():
     plain = [("assign", r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
               lambda m: len(m[1]) >= 6),
