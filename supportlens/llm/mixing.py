@@ -6,21 +6,23 @@ per slot, of the released ones that with the earliest deadline. All blocks
 meet their deadlines, so after any number of slots t each source is less than
 one block off its share w * t.
 
-Weights are whole units out of ``period`` slots, and the schedule of one
-period repeats: the driver makes ``period`` slots, whatever the size of the
-table, and the place of block j follows by division. Rows are numbered within
+Weights are taken as they are, as exact fractions, and nothing repeats: one
+task plays the schedule block by block, holding a block per source, and writes
+it as a table of one row per ``block`` rows. Rows are numbered within
 their source without gathering it: by hash into buckets of about
 ``BUCKET`` rows, counted, the counts summed up over the buckets, and numbered
-inside the bucket. A source that holds a third of all rows is as many buckets.
+inside the bucket. A source that holds a third of all rows is as many buckets. The slots
+of a bucket's blocks join it as one array.
 
-No row is dropped or repeated. A source that runs out leaves its later slots
-empty; the bound holds up to the slot where the first one runs out
-(``on_target``).
+No row is dropped or repeated. The first source that runs out leaves its slot
+empty; the bound holds for all sources up to there (``on_target``). The others
+go on inside their windows, in slots that would be those of a source without
+rows too; slots in which no block is released stay empty.
 
 Defined cases: rows with a null source are a source of their own; null ids and
-repeated rows are rows like others; sources without a weight raise an error
-unless weights are left out (then in proportion to the square root of their
-size); an empty table gives an empty one; columns named like the added ones
+repeated rows are rows like others; sources without a weight or with a
+negative one raise an error unless weights are left out (then in proportion to
+the square root of their size); sources of weight 0 come after all others; an empty table gives an empty one; columns named like the added ones
 are replaced.
 """
 
@@ -28,16 +30,22 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator, Sequence
+from fractions import Fraction
+from itertools import islice
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .common import Scratch
 
 BLOCK = 64
 BUCKET = 4_096
 PERIOD = 1_000
-MAX_SOURCES = 10_000  # the weight table and one period are driver-side
+LAST = (1 << 63) - 1
+BATCH = 50_000  # schedule rows that the scheduling task holds
 
 
 def units(weights: dict, period: int) -> dict:
@@ -62,37 +70,87 @@ def windows(share: int, period: int) -> list[tuple[int, int]]:
     return [(j * period // share, -(-(j + 1) * period // share)) for j in range(share)]
 
 
-def schedule(shares: dict) -> list[tuple]:
-    """(source, block of the period, slot, release, deadline): earliest
-    deadline first among released blocks, equal ones by source."""
-    period = sum(shares.values())
-    names = sorted(shares, key=lambda s: (s is not None, str(s)))
-    waiting = sorted((r, d, i, j) for i, s in enumerate(names)
-                     for j, (r, d) in enumerate(windows(shares[s], period)))
+def play(parts: Sequence[int], blocks: Sequence[int]) -> Iterator[tuple]:
+    """(source, block, slot, release, deadline) of all blocks of sources with
+    ``parts`` of the sum as weight: earliest deadline first among released
+    blocks, equal ones by source. The slot in which a source first runs out
+    comes as source -1."""
+    total = sum(parts)
+    # the next block of each source waits for its release or is ready
+    waiting = [(0, i, 0) for i, p in enumerate(parts) if p]
     ready: list[tuple[int, int, int, int]] = []
-    out, at = [], 0
-    for slot in range(period):
-        while at < len(waiting) and waiting[at][0] <= slot:
-            r, d, i, j = waiting[at]
-            heapq.heappush(ready, (d, i, j, r))
-            at += 1
+    left = sum(b for p, b in zip(parts, blocks) if p)
+    slot, ended = 0, False
+    while left:
+        while waiting and waiting[0][0] <= slot:
+            r, i, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * total // parts[i]), i, j, r))
+        if not ready:
+            slot = waiting[0][0]
+            continue
         d, i, j, r = heapq.heappop(ready)
-        out.append((names[i], j, slot, r, d))
-    return out
+        if j == blocks[i]:
+            if not ended:
+                yield -1, 0, slot, r, min(d, LAST)
+                ended, slot = True, slot + 1
+            continue
+        yield i, j, slot, r, min(d, LAST)
+        left, slot = left - 1, slot + 1
+        heapq.heappush(waiting, ((j + 1) * total // parts[i], i, j + 1))
+    if not ended:
+        yield -1, 0, slot, slot, slot + 1
+    for i, p in enumerate(parts):
+        if not p:
+            for j in range(blocks[i]):
+                slot += 1
+                yield i, j, slot, slot, slot + 1
+
+
+def schedule(shares: dict) -> list[tuple]:
+    """(source, block of the period, slot, release, deadline) of one period of
+    whole shares."""
+    names = _ordered(shares)
+    parts = [shares[s] for s in names]
+    return [(names[i], *rest) for i, *rest in play(parts, parts) if i >= 0]
+
+
+def _ordered(names) -> list:
+    return sorted(names, key=lambda s: (s is not None, str(s)))
+
+
+def whole_parts(weights: Sequence) -> list[int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    exact = [Fraction(w) for w in weights]
+    if any(w < 0 for w in exact) or (exact and not any(exact)):
+        raise ValueError("weights are 0 or more, and one at least is above 0")
+    scale = math.lcm(*[w.denominator for w in exact])
+    return [int(w * scale) for w in exact]
+
+
+def slot_table(spark: SparkSession, parts: Sequence[int], blocks: Sequence[int]) -> DataFrame:
+    """``play`` as a table, made by one task in batches."""
+    ship_package(spark)
+
+    def run(batches):
+        for batch in batches:
+            plan = play(parts, blocks) if batch.num_rows else iter(())
+            while rows := list(islice(plan, BATCH)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
+                                                 names=["i", "blk", "slot", "r", "d"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(run, "i bigint, blk bigint, slot bigint, r bigint, d bigint")
 
 
 def source_sizes(docs: DataFrame, source_col: str) -> dict:
-    rows = docs.groupBy(source_col).count().limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: map them to fewer first")
-    return {r[0]: r[1] for r in rows}
+    return {r[0]: r[1] for r in docs.groupBy(source_col).count().collect()}
 
 
 def mix(docs: DataFrame, weights: dict | None = None, source_col: str = "source", block: int = BLOCK,
         period: int = PERIOD, seed: int = 17) -> DataFrame:
     """All rows with ``mix_slot``, ``mix_release``, ``mix_deadline`` (slots),
     ``mix_block`` (number within the source), ``mix_offset`` (place in the
-    block) and ``on_target``. Reading in order of (slot, offset) gives the mix."""
+    block) and ``on_target``. Reading in order of (slot, offset) gives the mix.
+    ``period`` is no longer used: the weights are exact."""
     added = ("mix_slot", "mix_release", "mix_deadline", "mix_block", "mix_offset", "on_target")
     spark = docs.sparkSession
     docs = docs.drop(*added)
@@ -101,43 +159,38 @@ def mix(docs: DataFrame, weights: dict | None = None, source_col: str = "source"
         weights = {s: math.sqrt(n) for s, n in sizes.items()}
     elif missing := sizes.keys() - weights.keys():
         raise ValueError(f"sources without a weight: {sorted(map(str, missing))}")
-    shares = units({s: weights[s] for s in sizes}, period) if sizes else {}
-    period = sum(shares.values())
-    plan = schedule(shares)
+    names = _ordered(sizes)
     source_type = docs.schema[source_col].dataType.simpleString()
-    slots = spark.createDataFrame(plan, f"s {source_type}, j bigint, slot bigint, r bigint, d bigint")
+    scratch = Scratch(spark, "mixing")
+    plan = scratch.write(slot_table(spark, whole_parts([weights[s] for s in names]),
+                                    [-(-sizes[s] // block) for s in names]), "slots")
     # the first slot that finds its source empty
-    ends = []
-    for s, j, slot, _, _ in plan:
-        blocks = -(-sizes[s] // block)
-        if blocks % shares[s] == j:
-            ends.append(blocks // shares[s] * period + slot)
-    facts = spark.createDataFrame([(s, max(1, -(-n // BUCKET)), shares[s]) for s, n in sizes.items()],
-                                  f"s {source_type}, buckets bigint, share bigint")
+    end = plan.where("i < 0").agg(F.min("slot")).collect()[0][0]
+    facts = spark.createDataFrame([(s, max(1, -(-sizes[s] // BUCKET)), i) for i, s in enumerate(names)],
+                                  f"s {source_type}, buckets bigint, i bigint")
 
     # one struct, so that no column of the table can clash with those below
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     h = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("row"), F.col(f"`{source_col}`").alias("src"), h.alias("h"))
     rows = rows.join(F.broadcast(facts), F.col("src").eqNullSafe(F.col("s"))).select(
-        "row", "src", "h", "share", F.pmod(F.col("h"), F.col("buckets")).alias("bucket"))
-    counts = rows.groupBy("src", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("src").orderBy("bucket")) - F.col("n")
-    # the bucket counts are one row per BUCKET rows
-    offsets = Scratch(spark, "mixing").write(counts.select(
-        F.col("src").alias("s"), F.col("bucket").alias("b"), before.alias("before")), "offsets")
-    number = F.row_number().over(Window.partitionBy("src", "bucket").orderBy("h")) - 1
-    placed = rows.withColumn("k", number).join(
-        offsets, F.col("src").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+        "row", "i", "h", F.pmod(F.col("h"), F.col("buckets")).alias("bucket"))
+    counts = rows.groupBy("i", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("i").orderBy("bucket")) - F.col("n")
+    # the bucket counts are one row per BUCKET rows; each gets the slots of its blocks
+    ranges = counts.withColumn("before", before).withColumn("first", F.floor(F.col("before") / block))
+    each = ranges.select("i", "bucket", "before", "first", F.explode(F.sequence(
+        "first", F.floor((F.col("before") + F.col("n") - 1) / block))).alias("blk"))
+    offsets = scratch.write(each.join(plan, ["i", "blk"]).groupBy("i", "bucket", "before", "first").agg(
+        F.sort_array(F.collect_list(F.struct("slot", "r", "d"))).alias("at")), "offsets")
+    number = F.row_number().over(Window.partitionBy("i", "bucket").orderBy("h")) - 1
+    placed = rows.withColumn("k", number).join(offsets, ["i", "bucket"])
     index = F.col("before") + F.col("k")
-    blocked = placed.select("row", "src", "share", F.floor(index / block).alias("blk"),
-                            F.pmod(index, F.lit(block)).alias("off"))
-    turn = F.floor(F.col("blk") / F.col("share")) * period
-    out = blocked.join(F.broadcast(slots), F.col("src").eqNullSafe(F.col("s"))
-                       & (F.pmod("blk", "share") == F.col("j")))
-    slot = turn + F.col("slot")
+    blk = F.floor(index / block)
+    out = placed.select("row", blk.alias("blk"), F.pmod(index, F.lit(block)).alias("off"),
+                        F.col("at")[(blk - F.col("first")).cast("int")].alias("x"))
     return out.select(*[F.col("row")[c].alias(c) for c in docs.columns],
-                      slot.alias("mix_slot"), (turn + F.col("r")).alias("mix_release"),
-                      (turn + F.col("d")).alias("mix_deadline"), F.col("blk").alias("mix_block"),
+                      F.col("x.slot").alias("mix_slot"), F.col("x.r").alias("mix_release"),
+                      F.col("x.d").alias("mix_deadline"), F.col("blk").alias("mix_block"),
                       F.col("off").alias("mix_offset"),
-                      (slot < F.lit(min(ends, default=0))).alias("on_target"))
+                      (F.col("x.slot") < F.lit(0 if end is None else end)).alias("on_target"))

@@ -149,6 +149,37 @@ def test_mix_places_every_row(spark):
             assert abs(ran - n * (t + 1) / period) < 1
 
 
+@pytest.mark.parametrize("sizes, weights", [
+    ({"a": 1000, "b": 1000, "c": 1000}, {"a": 1, "b": 1, "c": 1}), ({"a": 2999, "b": 1}, {"a": 1, "b": 1e-5}),
+    ({"a": 1500, "b": 800, "c": 100, None: 7}, None), ({"a": 9, "b": 1500, "c": 3}, {"a": 0, "b": 2, "c": 0.7})])
+def test_deviation_from_unrounded_weights(spark, sizes, weights):
+    from fractions import Fraction
+
+    names = [s for s, n in sizes.items() for _ in range(n)]
+    docs = cases.plain(spark, [(i, f"t{i}", "", s, 0) for i, s in enumerate(names)])
+    got = sorted(mixing.mix(docs, weights, block=1).collect(), key=lambda r: r.mix_slot)
+    assert sorted(r.doc_id for r in got) == list(range(len(names))) and len({r.mix_slot for r in got}) == len(names)
+    weights = weights or {s: n ** 0.5 for s, n in sizes.items()}
+    share = {s: Fraction(w) / sum(map(Fraction, weights.values())) for s, w in weights.items()}
+    ran, last = Counter(), -1
+    for r in got:
+        if r.on_target:
+            assert r.mix_slot == last + 1
+            last = r.mix_slot
+            ran[r.source] += 1
+            assert all(abs(ran[s] - w * (last + 1)) < 1 for s, w in share.items())
+        if share[r.source]:
+            assert r.mix_release == r.mix_block // share[r.source] <= r.mix_slot < r.mix_deadline
+    # a source has run out there
+    assert last + 1 >= min(n / share[s] for s, n in sizes.items() if share[s]) - len(sizes)
+
+
+def test_many_sources(spark):
+    docs = cases.plain(spark, [(i, "t", "", f"s{i}", 0) for i in range(10_050)])
+    got = mixing.mix(docs).select("doc_id", "mix_slot", "on_target").collect()
+    assert len({r.mix_slot for r in got}) == len(got) == 10_050 and all(r.on_target for r in got)
+
+
 def test_numbering_over_many_buckets(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET", 50)
     data = [(i, "same text", "", "hot" if i % 10 else "cold", 0) for i in range(2000)]
