@@ -2,9 +2,8 @@
 
 Two kinds of pattern are looked for: short phrases whose words stand
 consecutively, and licence templates as word sets that a text block contains
-to at least ``percent`` per cent. A block is ``2 * STRIDE`` words, one
-starting every ``STRIDE`` words, so any notice of up to ``STRIDE`` words lies
-whole in some block.
+to at least ``percent`` per cent. A block is any run of twice as many words
+as the template has, ``2 * STRIDE`` at least, wherever it starts.
 
 All pattern words are ordered by their frequency in all documents. A template
 of m words that is contained to k = ceil(percent m) words shares one of its
@@ -12,7 +11,8 @@ m - k + 1 rarest words with the block (prefix filter); a phrase shares its
 rarest. The documents' words are joined with these prefix words, blocks too
 short for k words are left out (length filter), a joined word must leave k
 template words from its place in the order on, a phrase must fit between the
-ends of the text (positional filter), and the shared words are then counted.
+ends of the text (positional filter), and the shared words are then counted in
+all blocks around the joined word that start with a template word.
 
 Only DataFrame functions; the pattern table is a parameter of a few hundred
 words and broadcast. Scan, join and verification are one stage; only found
@@ -60,6 +60,29 @@ TEMPLATES = {
                            "transmitted in any form without the prior written permission of the publisher",
 }
 
+# Whole licence texts, looked for besides the notices.
+FULL_TEXTS = {
+    "mit": TEMPLATES["mit"] + """, and to permit persons to whom the software is furnished to do so,
+        subject to the following conditions: The above copyright notice and this permission notice shall be
+        included in all copies or substantial portions of the Software. The software is provided "as is",
+        without warranty of any kind, express or implied, including but not limited to the warranties of
+        merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors
+        or copyright holders be liable for any claim, damages or other liability, whether in an action of
+        contract, tort or otherwise, arising from, out of or in connection with the software or the use or
+        other dealings in the software""",
+    "bsd": TEMPLATES["bsd"] + """: Redistributions of source code must retain the above copyright notice, this
+        list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above
+        copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. This software is provided by the copyright holders and
+        contributors "as is" and any express or implied warranties, including, but not limited to, the implied
+        warranties of merchantability and fitness for a particular purpose are disclaimed. In no event shall the
+        copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or
+        consequential damages (including, but not limited to, procurement of substitute goods or services; loss of
+        use, data, or profits; or business interruption) however caused and on any theory of liability, whether in
+        contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use
+        of this software, even if advised of the possibility of such damage""",
+}
+
 STRIDE = 64
 PERCENT = 80
 
@@ -69,17 +92,16 @@ def pattern_words(text: str) -> list[str]:
                       re.sub("[A-Z]", lambda m: m[0].lower(), text))
 
 
-def _pattern_table(spark, phrases: dict, templates: dict, percent: int) -> DataFrame:
-    """(``pid``, ``label``, ``phrase``, ``words``, ``need``)."""
-    rows = [(f"p{i}", label, True, ws, len(ws)) for i, (label, ws) in enumerate(
+def _pattern_table(spark, phrases: dict, templates: list[tuple[str, str]], percent: int) -> DataFrame:
+    """(``pid``, ``label``, ``phrase``, ``words``, ``need``, ``span``: words of a block)."""
+    rows = [(f"p{i}", label, True, ws, len(ws), len(ws)) for i, (label, ws) in enumerate(
         (lab, pattern_words(t)) for t, lab in phrases.items())]
-    for i, (label, text) in enumerate(templates.items()):
-        ws = list(dict.fromkeys(pattern_words(text)))
-        if len(ws) > STRIDE:
-            raise ValueError(f"template {label}: more than {STRIDE} distinct words")
-        rows.append((f"t{i}", label, False, ws, math.ceil(len(ws) * percent / 100)))
+    for i, (label, text) in enumerate(templates):
+        every = pattern_words(text)
+        ws = list(dict.fromkeys(every))
+        rows.append((f"t{i}", label, False, ws, math.ceil(len(ws) * percent / 100), 2 * max(STRIDE, len(every))))
     return spark.createDataFrame(rows, "pid string, label string, phrase boolean, "
-                                       "words array<string>, need int")
+                                       "words array<string>, need int, span int")
 
 
 def _prefixes(patterns: DataFrame, counts: DataFrame) -> DataFrame:
@@ -88,19 +110,23 @@ def _prefixes(patterns: DataFrame, counts: DataFrame) -> DataFrame:
     each = patterns.select("*", F.posexplode("words").alias("offset", "word"))
     known = each.join(F.broadcast(counts), "word", "left")
     entry = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("word"), F.col("offset"))
-    ordered = (known.groupBy("pid", "label", "phrase", "words", "need")
+    ordered = (known.groupBy("pid", "label", "phrase", "words", "need", "span")
                     .agg(F.sort_array(F.collect_list(entry)).alias("o")))
     # phrases: one word of whole containment (a repeated word counts once);
     # templates: m - k + 1
     upto = F.when(F.col("phrase"), F.lit(1)).otherwise(F.size("words") - F.col("need") + 1)
     return (ordered.select("*", F.posexplode(F.slice("o", F.lit(1), upto)).alias("ord", "e"))
-                   .select("e.word", "ord", "e.offset", "label", "phrase", "words", "need"))
+                   .select("e.word", "ord", "e.offset", "label", "phrase", "words", "need", "span"))
 
 
-def _block_overlap(words: Column, start: Column, tokens: Column, need: Column) -> Column:
-    block = F.slice(words, start + 1, 2 * STRIDE)
-    return F.when((start >= 0) & (F.size(words) - start >= need),
-                  F.size(F.array_intersect(tokens, block))).otherwise(F.lit(0))
+def _block_overlap(near: Column, at: Column, tokens: Column, span: Column) -> Column:
+    """The most template words in a block of ``span`` words with the word at
+    ``at`` in it; ``near`` are the words of all such blocks."""
+    shared = lambda start: F.size(F.array_intersect(tokens, F.slice(near, start + 1, span)))
+    starts = F.filter(F.sequence(F.lit(0), at), lambda s: F.array_contains(tokens, F.get(near, s)))
+    middle = F.greatest(at - (span / 2).cast("int"), F.lit(0))  # holds most notices whole
+    return (F.when(shared(middle) == F.size(tokens), F.size(tokens))
+             .otherwise(F.array_max(F.transform(starts, shared))))
 
 
 def licenses(df: DataFrame, phrases: dict | None = None, templates: dict | None = None,
@@ -113,8 +139,8 @@ def licenses(df: DataFrame, phrases: dict | None = None, templates: dict | None
     scratch = Scratch(spark, "licenses")
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     words = alnum_words(F.col("text"))
-    patterns = _pattern_table(spark, PHRASES if phrases is None else phrases,
-                              TEMPLATES if templates is None else templates, percent)
+    wanted = [*TEMPLATES.items(), *FULL_TEXTS.items()] if templates is None else list(templates.items())
+    patterns = _pattern_table(spark, PHRASES if phrases is None else phrases, wanted, percent)
     vocab = patterns.select(F.explode("words").alias("word")).distinct()
     counts = scratch.write(word_counts(docs, vocab, words), "counts")
     prefix = scratch.write(_prefixes(patterns, counts), "prefix")
@@ -124,17 +150,21 @@ def licenses(df: DataFrame, phrases: dict | None = None, templates: dict | None
     start = F.col("pos") - F.col("offset")
     same = ((start >= 0) & (start + F.size("words") <= F.size("w"))
             & (F.slice("w", start + 1, F.size("words")) == F.col("words")))
-    block = (F.floor(F.col("pos") / STRIDE) * STRIDE).cast("int")
-    one = _block_overlap(F.col("w"), block, F.col("words"), F.col("need"))
-    two = _block_overlap(F.col("w"), block - STRIDE, F.col("words"), F.col("need"))
     # a word so far on in the order that too few follow cannot be the first shared
     leaves = F.size("words") - F.col("ord") >= F.col("need")
-    shared = F.when(F.col("phrase"), F.when(same, F.size("words")).otherwise(0)).otherwise(
-        F.when(leaves, F.greatest(one, two)).otherwise(0))
-    found = (each.join(F.broadcast(prefix), "word")
-                 .select("id", F.xxhash64("text").alias("h"), "label", "phrase", start.alias("start"),
-                         "need", F.size("words").alias("m"), shared.alias("shared"))
-                 .where(F.col("shared") >= F.col("need")))
+    low = F.greatest(F.col("pos") - F.col("span") + 1, F.lit(0))
+    hits = each.join(F.broadcast(prefix), "word").where(
+        F.when(F.col("phrase"), same).otherwise(leaves & (F.size("w") >= F.col("need"))))
+    hits = hits.select(
+        "id", F.xxhash64("text").alias("h"), "label", "phrase", start.alias("start"), "words", "need", "span",
+        (F.col("pos") - low).alias("at"),
+        F.when(~F.col("phrase"), F.slice("w", low + 1, F.col("pos") - low + F.col("span"))).alias("near"))
+    hits = hits.where(F.col("phrase") | (F.size(F.array_intersect("words", "near")) >= F.col("need")))
+    shared = F.when(F.col("phrase"), F.size("words")).otherwise(
+        _block_overlap(F.col("near"), F.col("at"), F.col("words"), F.col("span")))
+    # exploded, so that the count is made once and not again for the filter
+    found = hits.select("id", "h", "label", "phrase", "start", F.size("words").alias("m"), F.explode(
+        F.filter(F.array(shared), lambda n: n >= F.col("need"))).alias("shared"))
     # rows with the same id and text would count their places twice
     found = scratch.write(found.groupBy("id", "h", "label", "phrase", F.when(
         F.col("phrase"), F.col("start")).alias("start")).agg(

@@ -91,6 +91,26 @@ def test_license_labels(spark):
     assert got[5].n_words == got[6].n_words == 0
 
 
+def test_long_and_spread_notices(spark):
+    full = lic.FULL_TEXTS["mit"]
+    long = " ".join(f"w{i}" for i in range(200))
+    bsd = lic.pattern_words(lic.TEMPLATES["bsd"])
+    spread = " ".join(f"{w} {'x y z z z'[:2 * (4 + (i % 2)) - 1]}" for i, w in enumerate(bsd))
+    assert 100 < len(spread.split()) <= 128
+    # the grant is changed, the rest of the licence is not
+    grant, rest = full[:len(lic.TEMPLATES["mit"])], full[len(lic.TEMPLATES["mit"]):]
+    data = [(i, "q " * i + spread, "", "", 0) for i in range(0, 64, 9)]
+    data += [(100, "q " * 70 + "rights to the software without restriction, granted free of charge " + rest, "", "", 0),
+             (101, "v " * 33 + full, "", "", 0), (102, grant.replace("software", "work"), "", "", 0)]
+    got = cases.by_id(lic.licenses(cases.plain(spark, data)))
+    assert all(got[i].labels == ["bsd"] and got[i].score == 1.0 for i in range(0, 64, 9))
+    assert got[100].labels == got[101].labels == ["mit"] and got[101].score == 1.0
+    own = lic.licenses(cases.plain(spark, [(1, "a b " + long + " c", "", "", 0), (2, long[:300], "", "", 0)]),
+                       templates={"long": long})
+    own = cases.by_id(own)
+    assert own[1].labels == ["long"] and own[1].score == 1.0 and own[2].labels == []
+
+
 def test_license_cases(spark):
     docs = cases.documents(spark)
     got = lic.licenses(docs).collect()
