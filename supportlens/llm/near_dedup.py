@@ -245,8 +245,20 @@ def _rare_shingle_pairs(scratch: Scratch, sets: DataFrame, percent: int) -> Data
 def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """The rows that stay, all columns as they are: of each group the one with
-    the smallest id (one of the rows that share that id), and rows with a null
-    id."""
+    the smallest id (one of the rows that share id and text), and rows with a
+    null id. Where rows of one id have different texts, a row is told by id
+    and text, so that an id does not join what its texts do not."""
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    several = (docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
+                   .agg(F.min(F.xxhash64(digest)).alias("a"), F.max(F.xxhash64(digest)).alias("z")).where("a != z"))
+    if not several.isEmpty():
+        key = "_".join(["key", *docs.columns])  # no column has that name
+        node = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), digest.alias("text")))
+        return _one_per_group(docs.withColumn(key, node), width, percent, key, text_col).drop(key)
+    return _one_per_group(docs, width, percent, id_col, text_col)
+
+
+def _one_per_group(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "one-per-group")
     found = scratch.write(near_duplicates(docs, width, percent, id_col, text_col)
                           .select(id_col, "kept"), "found")

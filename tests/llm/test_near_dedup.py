@@ -84,3 +84,14 @@ def test_texts_of_one_id_are_one_node(spark):
             (5, "one two three four five six seven", "", "", 0), (9, "one two three four five six seven", "", "", 0)]
     got = near_dedup.near_duplicates(cases.plain(spark, data), width=4)
     assert {r.component_id for r in got.collect()} == {1}
+
+
+def test_different_texts_of_one_id_stay(spark):
+    a, b = cases.PROSE, " ".join(reversed(cases.PROSE.split()))
+    data = [(1, a, "", "", 0), (5, a, "", "", 0), (5, b, "", "", 0), (9, b, "", "", 0), (9, b, "", "", 0),
+            (None, a, "", "", 0), (7, "short", "", "", 0), (7, None, "", "", 0)]
+    docs = cases.plain(spark, data)
+    got = near_dedup.one_per_group(docs)
+    assert got.columns == docs.columns
+    rows = sorted((r.doc_id or 0, r.text or "") for r in got.collect())
+    assert rows == sorted([(0, a), (1, a), (5, b), (7, "short"), (7, "")])
