@@ -47,8 +47,7 @@ def test_rows_only_queries_run(spark, name):
 
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
-    rows_only = {"kmeans_topics", "sentiment_model", "sentiment_model_auc", "embed_batch_model",
-                 "support_topics"}
+    rows_only = {"kmeans_topics", "sentiment_model", "sentiment_model_auc", "support_topics"}
     assert set(QUERIES) - set(ORACLE) == rows_only
 
 
