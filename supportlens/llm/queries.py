@@ -209,3 +209,67 @@ SELECT r.x AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles,
        min(r.y) = r.x AS kept
 FROM r LEFT JOIN n ON n.doc_id = r.x GROUP BY r.x
 """
+
+
+@query
+def op11_line_dedup(spark, sf_dir):
+    from . import line_dedup
+    from .common import Scratch
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scratch = Scratch(spark, "op11")
+    bitmaps = scratch.write(line_dedup.keep_bitmaps(docs, scratch=scratch), "bitmaps")
+    scratch.drop("gone")
+    out = line_dedup.kept_texts(docs, bitmaps)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op11_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM
+           (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (SELECT doc_id, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT *, length(key) < 10 OR doc_id = min(doc_id) OVER (PARTITION BY key) AS stays FROM k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
+FROM f GROUP BY doc_id
+"""
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    from . import filter_audit
+
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+ORACLE["op12_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic
+      FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+              100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+              coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails
+      FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f GROUP BY part, fails),
+x(a) AS (VALUES (1), (2), (3), (4), (5)),
+o AS (SELECT [p.a, q.a, r.a, s.a, u.a] AS seq FROM x p, x q, x r, x s, x u
+      WHERE len(list_distinct([p.a, q.a, r.a, s.a, u.a])) = 5),
+steps AS (SELECT seq, a AS step FROM o, x),
+j AS (SELECT c.*, seq, step, fails[seq[step]] AS own,
+             list_bool_or(list_transform(list_slice(seq, 1, step - 1), lambda i: fails[i])) IS TRUE AS gone,
+             len(list_filter(fails, lambda v: v)) = 1 AS alone
+      FROM c, steps),
+r AS (SELECT part, array_to_string(list_transform(seq, lambda i: 'ABCDE'[i]), '') AS filter_order, step,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND NOT own), 0) AS BIGINT) AS kept,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND own), 0) AS BIGINT) AS removed,
+             CAST(coalesce(sum(n) FILTER (gone AND own), 0) AS BIGINT) AS redundant,
+             CAST(coalesce(sum(n) FILTER (own AND alone), 0) AS BIGINT) AS unique_fails,
+             CAST(coalesce(sum(good) FILTER (NOT gone AND own), 0) AS BIGINT) AS good_lost,
+             CAST(coalesce(sum(toxic) FILTER (NOT gone AND own), 0) AS BIGINT) AS toxic_lost
+      FROM j GROUP BY part, seq, step)
+SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley FROM r
+"""
