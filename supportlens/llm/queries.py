@@ -273,3 +273,29 @@ r AS (SELECT part, array_to_string(list_transform(seq, lambda i: 'ABCDE'[i]), ''
       FROM j GROUP BY part, seq, step)
 SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley FROM r
 """
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    from . import lexical_search
+
+    return lexical_search.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLE["op13_lexical_search"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+lens AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+c AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM lens),
+b AS (SELECT item_id, unnest(list_distinct({_WORDS})) AS term FROM benchmark),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM b) GROUP BY doc_id, term),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+       FROM tf, c GROUP BY term),
+s AS (SELECT item_id, doc_id,
+             CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l)))) AS BIGINT) AS score
+      FROM b JOIN tf USING (term) JOIN wt USING (term) JOIN lens USING (doc_id), c GROUP BY item_id, doc_id),
+r AS (SELECT item_id, doc_id, score,
+             CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+      FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
