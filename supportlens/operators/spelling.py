@@ -30,13 +30,16 @@ from ..session import materialize, scratch_scope
 LETTER_RUN_RE = r"\p{L}+"
 
 
-def build_lexicon(df: DataFrame, text: str = "text", per_million: float = 50.0,
+def build_lexicon(df: DataFrame, text: str = "text", per_million: float = 1.0,
                   min_len: int = 2) -> DataFrame:
     """Dictionary ``(word, freq)`` from lower-cased letter runs of a corpus.
 
     A word counts as known from ``per_million`` occurrences per million words
     on: a share of the corpus, not a number of occurrences, so what is known
-    does not change as the corpus grows and its misspellings with it.
+    does not change as the corpus grows and its misspellings with it. The
+    default keeps ordinary rare words; a sparse dictionary (50 and more) makes
+    the correction rewrite them into frequent neighbours. ``noisy_channel``
+    corrects without any such limit.
     """
     words = df.select(F.explode(F.regexp_extract_all(F.lower(F.col(text)),
                                                       F.lit(LETTER_RUN_RE), 0)).alias("word"))

@@ -303,19 +303,19 @@ def q_topic_head(spark, sf):
 
 # --- T6, T8, T11, T12 --------------------------------------------------------
 
-from ..operators import cleaning, lemmas, spelling  # noqa: E402
+from ..operators import cleaning, lemmas, noisy_channel, spelling  # noqa: E402
 
 
 def lexicon(spark, sf):
     """Dictionary learned from the whole ``documents`` corpus, materialised once:
     the cleaning plan reads it in several branches."""
     from ..session import materialize
-    return materialize(spelling.build_lexicon(_docs(spark, sf), "text"))
+    return materialize(q_build_lexicon(spark, sf))
 
 
 @query("build_lexicon")
 def q_build_lexicon(spark, sf):
-    return spelling.build_lexicon(_docs(spark, sf), "text")
+    return spelling.build_lexicon(_docs(spark, sf), "text", per_million=50)
 
 
 def _support_tokens(spark, sf):
@@ -334,6 +334,25 @@ def q_spell_correct(spark, sf):
                                 correct=True, lemmatize=False, stop_words=()).select("row_id", "clean")
 
 
+def _noisy(spark, sf):
+    """Counts of the documents and of the queries themselves, which hold the
+    words of their domain."""
+    texts = support_text(spark, sf)
+    corpus = _docs(spark, sf).select("text").union(texts.select("query_text"))
+    return noisy_channel.correct_texts(texts, "row_id", "query_text", noisy_channel.Channel(corpus))
+
+
+@query("spell_noisy_channel")
+def q_spell_noisy_channel(spark, sf):
+    return _noisy(spark, sf).select("row_id", F.concat_ws(" ", "tokens").alias("written"),
+                                    F.concat_ws(" ", "corrected").alias("corrected"))
+
+
+@query("spell_rewrite_share")
+def q_spell_rewrite_share(spark, sf):
+    return noisy_channel.rewrite_share(_noisy(spark, sf))
+
+
 @query("lemmatize")
 def q_lemmatize(spark, sf):
     return lemmas.lemma_table(_support_tokens(spark, sf), lexicon(spark, sf))
@@ -660,7 +679,7 @@ def q_stream_clean(spark, sf):
     stream = (live.support_text_stream(spark, f"{sf.rstrip('/')}/conversations*.parquet", conv_schema)
                   .where(F.col("role") == "user")
                   .select((F.col("conv_id") * 4294967296 + F.col("turn")).alias("row_id"), "text"))
-    lex = spelling.build_lexicon(_docs(spark, sf), "text")  # written by the stream setup
+    lex = q_build_lexicon(spark, sf)  # written by the stream setup
     q = live.clean_micro_batches(stream, "row_id", "text", lex, f"{run}/sink", f"{run}/checkpoint")
     q.awaitTermination()
     return live.read_sink(spark, f"{run}/sink").select("row_id", "clean", "length", "entities")

@@ -463,6 +463,61 @@ ORACLE["spell_suggest"] = sq(
 ORACLE["spell_correct"] = sq(_drop_length(
     clean_sql("support_text", "row_id", "query_text", correct=True, lemmatize=False, stop=False)))
 
+def _noisy_ctes() -> str:
+    from ..operators import noisy_channel as nc
+
+    cost = lambda p: f"CAST(floor(-1000 * ln({p})) AS BIGINT)"
+    share = lambda f: f"(({f}) + {nc.SEEN}) / (SELECT mass FROM tot)"
+    return f"""toks AS ({explode_pos('support_text', 'row_id', d_basic_tokens('query_text'))}),
+runs AS (SELECT regexp_extract_all(lower(coalesce(text, '')), '\\pL+') AS w FROM
+         (SELECT text FROM documents UNION ALL SELECT query_text FROM support_text)),
+wf AS (SELECT word, count(*) AS freq FROM (SELECT unnest(w) AS word FROM runs) GROUP BY word),
+tot AS (SELECT sum(freq) + {nc.SEEN} * count(*) AS mass FROM wf),
+bi AS (SELECT a, b, count(*) AS n FROM (SELECT unnest(w[:-2]) AS a, unnest(w[2:]) AS b FROM runs WHERE len(w) > 1)
+       GROUP BY a, b),
+wc AS (SELECT word, freq, {cost(share('freq'))} AS cost, {d_ascii('word')} AS wa FROM wf),
+vc AS (SELECT token, {d_ascii('token')} AS ta, coalesce(cost, {cost(share('0'))}) AS cost
+       FROM (SELECT DISTINCT token FROM toks) LEFT JOIN wc ON word = token WHERE length(token) >= {nc.MIN_TOKEN}),
+near AS (SELECT token, word AS w, damerau_levenshtein(ta, wa) AS d, v.cost AS tc, c.cost AS cc FROM vc v JOIN wc c
+         ON c.cost + {nc.EDIT} < v.cost AND abs(length(wa) - length(ta)) <= 2 AND length(word) >= {nc.MIN_TOKEN}),
+fit AS (SELECT token, w, CAST(d * {nc.EDIT} AS BIGINT) AS e FROM near WHERE d BETWEEN 1 AND 2 AND cc + {nc.EDIT} * d < tc
+        AND (d = 1 OR greatest(length(token), length(w)) > 2)),
+opt AS (SELECT token, w, e FROM fit UNION ALL SELECT DISTINCT token, token, 0 FROM fit),
+node AS (SELECT row_id, pos, t.token, coalesce(w, t.token) AS w, coalesce(e, 0) AS e, w IS NOT NULL AS open
+         FROM toks t LEFT JOIN opt ON opt.token = t.token),
+pairs AS (SELECT DISTINCT coalesce(p.w, '') AS a, n.w AS b FROM node n LEFT JOIN node p
+          ON p.row_id = n.row_id AND p.pos = n.pos - 1 WHERE n.open OR coalesce(p.open, false)),
+pc AS (SELECT a, b, CASE WHEN a = '' THEN {cost(share('coalesce(fb.freq, 0)'))} ELSE
+       {cost(f"coalesce({nc.CONTEXT} * n / fa.freq, 0.0) + {1 - nc.CONTEXT} * (" + share('coalesce(fb.freq, 0)') + ")")} END AS c
+       FROM pairs LEFT JOIN bi USING (a, b) LEFT JOIN wf fa ON fa.word = a LEFT JOIN wf fb ON fb.word = b),
+path AS (SELECT row_id, CAST(-1 AS INTEGER) AS pos, '' AS w, CAST(0 AS BIGINT) AS cost, false AS open,
+                CAST([] AS VARCHAR[]) AS words FROM support_text
+         UNION ALL
+         SELECT n.row_id, n.pos, n.w, min(p.cost + CASE WHEN n.open OR p.open THEN c ELSE 0 END) + any_value(n.e),
+                any_value(n.open), list_append(arg_min(p.words, (p.cost + CASE WHEN n.open OR p.open THEN c ELSE 0 END, p.w)), n.w)
+         FROM path p JOIN node n ON n.row_id = p.row_id AND n.pos = p.pos + 1
+              LEFT JOIN pc ON pc.a = p.w AND pc.b = n.w GROUP BY n.row_id, n.pos, n.w),
+ends AS (SELECT row_id, max(pos) AS pos FROM path GROUP BY row_id),
+fixed AS (SELECT row_id, arg_min(words, (cost, w)) AS words FROM path JOIN ends USING (row_id, pos) GROUP BY row_id),
+written AS (SELECT row_id, {d_basic_tokens('query_text')} AS toks FROM support_text)"""
+
+
+def _recursive(sql: str) -> str:
+    assert sql.startswith("WITH ")
+    return "WITH RECURSIVE " + sql[5:]
+
+
+ORACLE["spell_noisy_channel"] = _recursive(sq(
+    f"WITH {_noisy_ctes()}\nSELECT row_id, array_to_string(toks, ' ') AS written, "
+    "array_to_string(words, ' ') AS corrected FROM fixed JOIN written USING (row_id)"))
+
+ORACLE["spell_rewrite_share"] = _recursive(sq(
+    f"WITH {_noisy_ctes()},\nr AS (SELECT CAST(sum(len(words)) AS BIGINT) AS tokens, "
+    "CAST(sum(len(list_filter(range(1, len(words) + 1), lambda i: words[i] <> toks[i]))) AS BIGINT) AS rewritten "
+    "FROM fixed JOIN written USING (row_id))\n"
+    "SELECT tokens, rewritten, round(rewritten / greatest(tokens, 1), 6) AS share FROM r"))
+
+
 ORACLE["lemmatize"] = sq(
     f"WITH toks AS ({explode_pos('support_text', 'row_id', d_basic_tokens('query_text'))}),\n"
     f"{LEXICON_CTE},\nv AS (SELECT DISTINCT token AS w FROM toks),\n{lemma_ctes('v')}\n"

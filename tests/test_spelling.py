@@ -133,7 +133,7 @@ def test_corrections_do_not_depend_on_corpus_size(spark):
 
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
     ten = docs.crossJoin(F.broadcast(spark.range(10))).select("text")
-    one, many = (spelling.build_lexicon(d, "text") for d in (docs, ten))
+    one, many = (spelling.build_lexicon(d, "text", per_million=50) for d in (docs, ten))
     assert {r.word: r.freq * 10 for r in one.collect()} == {r.word: r.freq for r in many.collect()}
 
 
