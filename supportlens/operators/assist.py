@@ -3,7 +3,9 @@
 Each takes a client factory and call settings (``model``, ``temperature``,
 ``max_tokens``; see ``models.chat_batch``) and makes exactly one call per row
 or topic. Results are lazy: write them (``session.materialize``) before more
-than one consumer reads them, or the calls are paid for again.
+than one consumer reads them, or the calls are paid for again. With ``ledger=``
+(a ``ledger.CallLedger``) answers are noted as tasks finish and calls that have
+one are not made again, by this run or a later one.
 """
 
 from __future__ import annotations
@@ -19,18 +21,25 @@ from ..functions import prompts as pr
 from . import models
 
 
+def _call(prompts: DataFrame, key: str, client_factory: Callable, task: str, out: str, ledger=None,
+          partitions: int | None = None, **call) -> DataFrame:
+    if ledger is not None:  # cuts its own tasks
+        return ledger.ask(prompts, key, "m", client_factory, task=task, out=out, **call)
+    return models.chat_batch(prompts, key, "m", client_factory, task=task, out=out, partitions=partitions, **call)
+
+
 def generate_replies(df: DataFrame, text: str, client_factory: Callable, key: str = "row_id",
                      out: str = "response", **call) -> DataFrame:
     """L3: (key, reply) for every query."""
     prompts = df.select(key, pr.reply_prompt(text).alias("m"))
-    return models.chat_batch(prompts, key, "m", client_factory, task="reply", out=out, **call)
+    return _call(prompts, key, client_factory, "reply", out, **call)
 
 
 def judge_replies(df: DataFrame, query: str, reply: str, client_factory: Callable,
                   key: str = "row_id", **call) -> DataFrame:
     """(key, ``scores``) with scores struct(relevance, helpfulness, tone, explanation)."""
     prompts = df.select(key, pr.judge_prompt(query, reply).alias("m"))
-    raw = models.chat_batch(prompts, key, "m", client_factory, task="judge", out="raw", **call)
+    raw = _call(prompts, key, client_factory, "judge", "raw", **call)
     return raw.select(key, jg.parse_judge("raw").alias("scores"))
 
 
@@ -38,7 +47,7 @@ def classify_queries(df: DataFrame, text: str, client_factory: Callable, key: st
                      **call) -> DataFrame:
     """(key, ``label``, ``label_in_taxonomy``)."""
     prompts = df.select(key, pr.classify_prompt(text).alias("m"))
-    labels = models.chat_batch(prompts, key, "m", client_factory, task="classify", out="label", **call)
+    labels = _call(prompts, key, client_factory, "classify", "label", **call)
     return labels.withColumn("label_in_taxonomy", cat.in_taxonomy("label"))
 
 
@@ -47,5 +56,5 @@ def generate_synthetic(df: DataFrame, topic: str, client_factory: Callable, n: i
     """(topic, ``pos``, ``query``), one call for ``n`` queries per distinct topic."""
     topics = df.where(F.col(topic).isNotNull()).select(F.col(topic).alias("topic")).distinct()
     prompts = topics.select("topic", pr.synthetic_prompt("topic", F.lit(n)).alias("m"))
-    raw = models.chat_batch(prompts, "topic", "m", client_factory, task="synthetic", out="raw", **call)
+    raw = _call(prompts, "topic", client_factory, "synthetic", "raw", **call)
     return raw.select("topic", F.posexplode(pr.parse_synthetic("raw")).alias("pos", "query"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import reports
-from ..sources import tables, views
+from ..sources import positions, tables, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -379,6 +379,7 @@ def q_clean_responses(spark, sf):
 # --- L2, L3, L6, L7, L9, L10, M1, N1-N5 --------------------------------------
 
 from ..operators import assist, models, sentiment, tfidf  # noqa: E402
+from ..operators.ledger import CallLedger  # noqa: E402
 from ..session import ensure_checkpoint_dir, materialize  # noqa: E402
 
 
@@ -394,6 +395,27 @@ def q_generate_replies(spark, sf):
     return assist.generate_replies(support_text(spark, sf), "query_text", models.stub_chat_client)
 
 
+def _ledger_runs(spark, sf):
+    """The replies of all queries asked for twice over one ledger."""
+    ledger = CallLedger(spark, scratch_path(spark, f"ledger-{uuid.uuid4().hex}"))
+    for _ in range(2):
+        replies = assist.generate_replies(support_text(spark, sf), "query_text", models.stub_chat_client, ledger=ledger)
+    return ledger, replies
+
+
+@query("llm_ledger")
+def q_llm_ledger(spark, sf):
+    return _ledger_runs(spark, sf)[1]
+
+
+@query("llm_ledger_facts")
+def q_llm_ledger_facts(spark, sf):
+    """What two runs paid for: one ledger row per different query."""
+    ledger, replies = _ledger_runs(spark, sf)
+    asked = replies.agg(F.count(F.lit(1)).alias("asked"), F.count("response").alias("answered"))
+    return asked.withColumn("paid", ledger.rows().agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
 @query("judge_replies")
 def q_judge_replies(spark, sf):
     r = views.support_responses(spark, sf)
@@ -571,6 +593,16 @@ def q_pair_query_response(spark, sf):
     return flows.pair_query_response(support_text(spark, sf), rs)
 
 
+@query("pair_by_position")
+def q_pair_by_position(spark, sf):
+    """The n-th user turn beside the n-th assistant turn, no key between them."""
+    turns = tables.read_table(spark, sf, "conversations")
+    side = lambda role, c, t: turns.where(F.col("role") == role).select(
+        F.col("conv_id").alias(f"{c}_conv"), F.col("turn").alias(f"{c}_turn"), F.col("text").alias(t))
+    return positions.pair_by_position(side("user", "query", "query"), side("assistant", "reply", "response"),
+                                      ["query_conv", "query_turn"], ["reply_conv", "reply_turn"])
+
+
 @query("entities_on_clean")
 def q_entities_on_clean(spark, sf):
     c = cleaning.clean_texts(support_text(spark, sf), "row_id", "query_text", lexicon(spark, sf))

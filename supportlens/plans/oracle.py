@@ -571,6 +571,18 @@ ORACLE["llm_batch"] = with_views(
 
 ORACLE["generate_replies"] = sq(f"SELECT row_id, {d_stub_reply(REPLY_CONTENT)} AS response FROM support_text")
 
+ORACLE["llm_ledger"] = ORACLE["generate_replies"]
+
+ORACLE["llm_ledger_facts"] = sq("SELECT count(*) AS asked, count(*) AS answered, "
+                                "count(DISTINCT coalesce(query_text, '')) AS paid FROM support_text")
+
+ORACLE["pair_by_position"] = """
+WITH n AS (SELECT *, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS position FROM conversations)
+SELECT position, u.conv_id AS query_conv, u.turn AS query_turn, u.text AS query,
+       a.conv_id AS reply_conv, a.turn AS reply_turn, a.text AS response
+FROM n u JOIN n a USING (position) WHERE u.role = 'user' AND a.role = 'assistant'
+"""
+
 ORACLE["judge_replies"] = with_views(d_parsed_from(
     f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM support_responses"),
     "support_responses")
