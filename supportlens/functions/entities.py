@@ -143,11 +143,17 @@ def _ent(kind: str, value: Column) -> Column:
     return F.struct(F.lit(kind).alias("type"), value.alias("value"))
 
 
-def extract_entities(text, ref_date: dt.date = DEFAULT_REF_DATE) -> Column:
-    """Ordered concatenation of E1-E5 on the lower-cased text."""
+def extract_entities(text, ref_date: dt.date = DEFAULT_REF_DATE, dates_anywhere: bool = False) -> Column:
+    """Ordered concatenation of E1-E5 on the lower-cased text. With
+    ``dates_anywhere`` every date in the text counts, not the whole text as one."""
     s = lowered(_col(text))
-    singles = F.array(_ent("OrderID", order_id(s)), _ent("Amount", amount(s)),
-                      _ent("Date", date_entity(s, ref_date)))
+    singles = F.array(_ent("OrderID", order_id(s)), _ent("Amount", amount(s)))
+    if dates_anywhere:
+        from .dates import date_mentions
+
+        singles = F.concat(singles, F.transform(date_mentions(text, ref_date), lambda m: _ent("Date", m["date"])))
+    else:
+        singles = F.concat(singles, F.array(_ent("Date", date_entity(s, ref_date))))
     acts = F.transform(account_actions(s), lambda a: _ent("AccountAction", a))
     ints = F.transform(intents(s), lambda a: _ent("Intent", a))
     return F.filter(F.concat(singles, acts, ints), lambda e: e["value"].isNotNull())

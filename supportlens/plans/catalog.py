@@ -97,6 +97,7 @@ def q_length_histogram(spark, sf):
 # --- E1-E7 -------------------------------------------------------------------
 
 from ..functions import categories as cat  # noqa: E402
+from ..functions import dates  # noqa: E402
 from ..functions import entities as ent  # noqa: E402
 
 
@@ -124,6 +125,13 @@ def q_entity_date(spark, sf):
     return _short(spark, sf).select("row_id", ent.date_entity(F.col("s")).alias("date"))
 
 
+@query("entity_date_mentions")
+def q_entity_date_mentions(spark, sf):
+    """E3 anywhere: every date in the whole queries, with its place."""
+    found = support_text(spark, sf).select("row_id", F.inline(dates.date_mentions("query_text")))
+    return found.select("row_id", "start", "end", "mention", "date")
+
+
 @query("entity_account_action")
 def q_entity_account_action(spark, sf):
     return _whole(spark, sf).select(
@@ -378,7 +386,7 @@ def q_clean_responses(spark, sf):
 
 # --- L2, L3, L6, L7, L9, L10, M1, N1-N5 --------------------------------------
 
-from ..operators import assist, models, sentiment, tfidf  # noqa: E402
+from ..operators import assist, models, sentiment, similarity, tfidf  # noqa: E402
 from ..operators.ledger import CallLedger  # noqa: E402
 from ..session import ensure_checkpoint_dir, materialize  # noqa: E402
 
@@ -593,6 +601,41 @@ def q_pair_query_response(spark, sf):
     return flows.pair_query_response(support_text(spark, sf), rs)
 
 
+def _nearest_embeddings(spark, sf, exact):
+    emb = tables.read_table(spark, sf, "embeddings")
+    index = similarity.VectorIndex(emb, "vec_id", "embedding")
+    return index.search(emb.where(F.col("vec_id") % 50 == 0), "vec_id", "embedding", k=10, exact=exact)
+
+
+@query("similar_exact")
+def q_similar_exact(spark, sf):
+    """The ten nearest vectors of every vector whose id is divisible by 50."""
+    out = _nearest_embeddings(spark, sf, exact=True)
+    return out.select("query_id", "rank", "id", F.round("similarity", 4).alias("similarity"))
+
+
+@query("similar_recall")
+def q_similar_recall(spark, sf):
+    """Whether the probed lists hold nine tenths of the true neighbours."""
+    emb = tables.read_table(spark, sf, "embeddings")
+    index = similarity.VectorIndex(emb, "vec_id", "embedding")
+    asked = emb.where(F.col("vec_id") % 50 == 0)
+    probes = index.probes_for(0.95, k=10)
+    near, truth = (materialize(index.search(asked, "vec_id", "embedding", k=10, probes=probes, exact=e))
+                   for e in (False, True))
+    return truth.agg(F.count(F.lit(1)).alias("neighbours")).withColumn(
+        "recall_reached", similarity.recall(near, truth) >= 0.9)
+
+
+@query("reply_similarity")
+def q_reply_similarity(spark, sf):
+    """How close each reply is to its query, from the embeddings of both."""
+    r = views.support_responses(spark, sf)
+    pair = r.select("row_id", *[models.encode_batch(F.col(c), models.stub_encoder(16), 16, normalize=False).alias(c)
+                              for c in ("query", "response")])
+    return pair.select("row_id", F.round(similarity.cosine("query", "response"), 4).alias("similarity"))
+
+
 @query("pair_by_position")
 def q_pair_by_position(spark, sf):
     """The n-th user turn beside the n-th assistant turn, no key between them."""

@@ -209,6 +209,49 @@ ORACLE["entity_amount"] = sq(f"SELECT row_id, {d_amount(d_lower('query_text'))}
 ORACLE["entity_date"] = with_views(
     f"SELECT row_id, {d_date(d_lower('short_text'))} AS date FROM support_queries",
     "support_queries")
+def _date_mentions_sql() -> str:
+    """Anchored matches at every word start, then the leftmost that do not
+    overlap; RE2 has no look-around, so what may follow is matched too."""
+    import datetime as dt
+
+    from ..functions import dates as dm
+    from ..functions.entities import DEFAULT_REF_DATE as ref
+
+    month_of = " ".join(f"WHEN {q(w)} THEN {i}" for i, g in enumerate(dm.MONTHS, 1) for w in g.split())
+    days = {w: n for n, g in dm.RELATIVE.items() for w in g.split()}
+    for i, g in enumerate(dm.DAYS):
+        days |= dict.fromkeys(g.split(), -((ref.weekday() - i - 1) % 7 + 1))
+    near = " ".join(f"WHEN {q(w)} THEN {q(str(ref + dt.timedelta(days=n)))}" for w, n in days.items())
+    forms = "|".join(dm.FORMS).replace("'", "''")
+    loose = f"'^({forms})(?:$|[^\\pL\\pN_./-]|[./-](?:$|[^0-9]))'"
+    starts = "regexp_matches(substr(s, i, 1), '[\\pL\\pN_]') AND NOT regexp_matches(substr(s, i - 1, 1), '[\\pL\\pN_]')"
+    day = "CAST(TRY_CAST({}||'-'||{}||'-'||{} AS DATE) AS VARCHAR)"
+    return f"""
+WITH t AS (SELECT row_id, lower(query_text) AS s FROM support_text),
+p AS (SELECT row_id, s, unnest(range(1, length(s) + 1)) AS i FROM t),
+c AS (SELECT row_id, i - 1 AS a, regexp_extract(substr(s, i), {loose}, 1) AS m FROM p
+      WHERE {starts.replace("substr(s, i - 1, 1)", "CASE WHEN i > 1 THEN substr(s, i - 1, 1) ELSE '' END")}
+        AND NOT regexp_matches(CASE WHEN i > 2 THEN substr(s, i - 2, 2) ELSE '' END, '^[0-9][./-]$')),
+l AS (SELECT row_id, list(struct_pack(a := a, m := m) ORDER BY a) AS c FROM c WHERE m <> '' GROUP BY row_id),
+g AS (SELECT row_id, unnest(list_reduce(list_transform(c, lambda x: [x]), lambda acc, x:
+        CASE WHEN x[1].a >= acc[-1].a + length(acc[-1].m) THEN list_concat(acc, x) ELSE acc END)) AS k FROM l),
+n AS (SELECT row_id, k.a AS a, k.m AS m, list_transform(regexp_extract_all(k.m, '[0-9]+'), lambda v: CAST(v AS INTEGER)) AS num,
+             len(regexp_extract(k.m, '[0-9]+')) AS w,
+             list_filter(list_transform(regexp_extract_all(k.m, '\\pL+'), lambda v: CASE v {month_of} END),
+                         lambda v: v IS NOT NULL)[1] AS mo FROM g),
+d AS (SELECT row_id, a, m, CASE
+        WHEN regexp_matches(m, '^[0-9]{{4}}-') THEN {day.format('num[1]', 'num[2]', 'num[3]')}
+        WHEN regexp_matches(m, '^[0-9]{{1,2}}[./][0-9]') THEN {day.format('num[3]', 'num[2]', 'num[1]')}
+        WHEN len(num) = 0 THEN CASE m {near} END
+        WHEN len(num) = 2 THEN {day.format('num[2]', 'mo', 'num[1]')}
+        WHEN w = 4 THEN {day.format('num[1]', 'mo', f"least({ref.day}, day(last_day(make_date(num[1], mo, 1))))")}
+        ELSE {day.format(str(ref.year), 'mo', 'num[1]')} END AS date FROM n)
+SELECT row_id, CAST(a AS INTEGER) AS start, CAST(a + length(m) AS INTEGER) AS "end", m AS mention, date
+FROM d WHERE date IS NOT NULL"""
+
+
+ORACLE["entity_date_mentions"] = sq(_date_mentions_sql())
+
 ORACLE["entity_account_action"] = sq(explode_pos(
     f"(SELECT row_id, {d_lower('query_text')} AS s FROM support_text)", "row_id", d_actions("s"), "action"))
 ORACLE["entity_intent"] = sq(explode_pos(
@@ -698,6 +741,22 @@ ORACLE["embed_batch_raw"] = sq(
     f"WITH {embed_ctes('e', 'support_text', 'row_id', 'query_text')}\n"
     "SELECT row_id, pos, raw AS value FROM e")
 
+ORACLE["reply_similarity"] = with_views(f"""
+WITH {embed_ctes('a', 'support_responses', 'row_id', 'query')},
+{embed_ctes('b', 'support_responses', 'row_id', 'response')}
+SELECT row_id, round(sum(a.value * b.value), 4) AS similarity FROM a JOIN b USING (row_id, pos) GROUP BY row_id""",
+                                        "support_responses")
+
+ORACLE["similar_exact"] = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS id, round(list_cosine_similarity(a.v, b.v), 9) AS s
+      FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, id, round(s, 4) AS similarity FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY s DESC, id) QUALIFY row_number() OVER w <= 10
+"""
+ORACLE["similar_recall"] = ("SELECT sum(least(10, (SELECT count(*) FROM embeddings) - 1))::BIGINT AS neighbours, "
+                            "true AS recall_reached FROM embeddings WHERE vec_id % 50 = 0")
+
 ORACLE["kmeans_topics_facts"] = ("SELECT count(*) AS n, true AS labels_in_range, true AS same_again, "
                                  "true AS settled FROM embeddings")
 ORACLE["sentiment_model_facts"] = ("SELECT count(*) AS n, true AS in_range, true AS auc_above_floor FROM documents")
