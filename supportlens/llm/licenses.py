@@ -3,7 +3,9 @@
 Two kinds of pattern are looked for: short phrases whose words stand
 consecutively, and licence templates as word sets that a text block contains
 to at least ``percent`` per cent. A block is any run of twice as many words
-as the template has, ``2 * STRIDE`` at least, wherever it starts.
+as the template has, ``2 * STRIDE`` at least, wherever it starts. A template of
+fewer than ``SHORT`` words is found only whole, in blocks of its own length: its
+words would turn up apart in any long text.
 
 All pattern words are ordered by their frequency in all documents. A template
 of m words that is contained to k = ceil(percent m) words shares one of its
@@ -60,6 +62,11 @@ TEMPLATES = {
                            "transmitted in any form without the prior written permission of the publisher",
 }
 
+# Short notices that stand by themselves.
+NOTICES = {
+    "all-rights-reserved": "All rights reserved",
+}
+
 # Whole licence texts, looked for besides the notices.
 FULL_TEXTS = {
     "mit": TEMPLATES["mit"] + """, and to permit persons to whom the software is furnished to do so,
@@ -85,6 +92,7 @@ FULL_TEXTS = {
 
 STRIDE = 64
 PERCENT = 80
+SHORT = 6  # words: a shorter template has to stand together
 
 
 def pattern_words(text: str) -> list[str]:
@@ -99,7 +107,8 @@ def _pattern_table(spark, phrases: dict, templates: list[tuple[str, str]], perce
     for i, (label, text) in enumerate(templates):
         every = pattern_words(text)
         ws = list(dict.fromkeys(every))
-        rows.append((f"t{i}", label, False, ws, math.ceil(len(ws) * percent / 100), 2 * max(STRIDE, len(every))))
+        need, span = math.ceil(len(ws) * percent / 100), 2 * max(STRIDE, len(every))
+        rows.append((f"t{i}", label, False, ws, *((len(ws), len(every)) if len(every) < SHORT else (need, span))))
     return spark.createDataFrame(rows, "pid string, label string, phrase boolean, "
                                        "words array<string>, need int, span int")
 
@@ -139,7 +148,7 @@ def licenses(df: DataFrame, phrases: dict | None = None, templates: dict | None
     scratch = Scratch(spark, "licenses")
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     words = alnum_words(F.col("text"))
-    wanted = [*TEMPLATES.items(), *FULL_TEXTS.items()] if templates is None else list(templates.items())
+    wanted = [*TEMPLATES.items(), *NOTICES.items(), *FULL_TEXTS.items()] if templates is None else list(templates.items())
     patterns = _pattern_table(spark, PHRASES if phrases is None else phrases, wanted, percent)
     vocab = patterns.select(F.explode("words").alias("word")).distinct()
     counts = scratch.write(word_counts(docs, vocab, words), "counts")

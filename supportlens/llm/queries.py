@@ -119,8 +119,7 @@ def op7_warc_roundtrip(spark, sf_dir):
 def op10_source_mix(spark, sf_dir):
     from . import mixing
 
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
-    return mixing.mix(docs)
+    return mixing.mix(read(spark, sf_dir, "documents"))
 
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -148,15 +147,17 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 
 
 def _license_sql() -> str:
-    from .licenses import PERCENT, PHRASES, STRIDE, TEMPLATES, pattern_words
+    from .licenses import NOTICES, PERCENT, PHRASES, STRIDE, TEMPLATES, pattern_words
 
     phrases = ", ".join(f"('{' '.join(pattern_words(p))}', '{label}', {len(pattern_words(p))})"
                         for p, label in PHRASES.items())
     words = [(label, list(dict.fromkeys(pattern_words(t)))) for label, t in TEMPLATES.items()]
     templates = ", ".join(f"({i}, '{label}', '{w}', {len(ws)}, {-(-len(ws) * PERCENT // 100)})"
                           for i, (label, ws) in enumerate(words) for w in ws)
+    notices = ", ".join(f"('{label}', {pattern_words(t)}, {len(pattern_words(t))})" for label, t in NOTICES.items())
     return f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+nt(label, ws, k) AS (VALUES {notices}),
 p(phrase, label, k) AS (VALUES {phrases}),
 t(tid, label, word, m, need) AS (VALUES {templates}),
 x AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
@@ -169,7 +170,11 @@ blocks AS (SELECT doc_id, pos // {STRIDE} AS block, word FROM x
 method AS (SELECT doc_id, t.label, NULL AS start, count(DISTINCT word) / CAST(any_value(m) AS DOUBLE) AS score
            FROM blocks JOIN t USING (word) GROUP BY doc_id, block, tid, t.label
            HAVING count(DISTINCT word) >= any_value(need)),
-a AS (SELECT doc_id, label, start, score FROM base UNION ALL SELECT doc_id, label, start, score FROM method),
+notice AS (SELECT DISTINCT doc_id, label, NULL AS start, 1.0 AS score FROM
+           (SELECT doc_id, w, label, ws, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, nt WHERE list_has_all(w, ws))
+           WHERE list_has_all(list_slice(w, i, i + k - 1), ws)),
+a AS (SELECT doc_id, label, start, score FROM base UNION ALL SELECT doc_id, label, start, score FROM method
+      UNION ALL SELECT doc_id, label, start, score FROM notice),
 r AS (SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word,
              string_agg(DISTINCT label, ',' ORDER BY label) FILTER (start IS NOT NULL) AS base_labels,
              string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score

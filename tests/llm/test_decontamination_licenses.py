@@ -111,6 +111,16 @@ def test_long_and_spread_notices(spark):
     assert own[1].labels == ["long"] and own[1].score == 1.0 and own[2].labels == []
 
 
+def test_short_notices_stand_together(spark):
+    data = [(1, "x " * 70 + "(c) 2020 Someone. ALL RIGHTS RESERVED." + " y" * 70, "", "", 0), (2, "All rights reserved", "", "", 0),
+            (3, "all of the rights were reserved", "", "", 0), (4, "all rights", "", "", 0),
+            (5, "under the MIT license, all rights reserved", "", "", 0)]
+    got = cases.by_id(lic.licenses(cases.plain(spark, data)))
+    assert {i: r.labels for i, r in got.items()} == {
+        1: ["all-rights-reserved"], 2: ["all-rights-reserved"], 3: [], 4: [], 5: ["all-rights-reserved", "mit"]}
+    assert got[1].n_base == 0 and got[1].score == 1.0 and got[5].base_labels == ["mit"]
+
+
 def test_license_cases(spark):
     docs = cases.documents(spark)
     got = lic.licenses(docs).collect()
