@@ -386,7 +386,7 @@ def q_clean_responses(spark, sf):
 
 # --- L2, L3, L6, L7, L9, L10, M1, N1-N5 --------------------------------------
 
-from ..operators import assist, models, sentiment, similarity, tfidf  # noqa: E402
+from ..operators import asof, assist, models, sentiment, similarity, tfidf  # noqa: E402
 from ..operators.ledger import CallLedger  # noqa: E402
 from ..session import ensure_checkpoint_dir, materialize  # noqa: E402
 
@@ -636,6 +636,16 @@ def q_reply_similarity(spark, sf):
     return pair.select("row_id", F.round(similarity.cosine("query", "response"), 4).alias("similarity"))
 
 
+@query("asof_events")
+def q_asof_events(spark, sf):
+    """Each purchase with its user's latest click before it."""
+    events = tables.read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    out = asof.asof_join(events.where("event_type = 'purchase'"), events.where("event_type = 'click'"), ["user_id"],
+                         "ts", "ts", prefix="click_", strict=True, tie=["event_id"])
+    return out.select("event_id", "user_id", "click_event_id", F.round("click_value", 4).alias("click_value"),
+                      F.date_format("click_ts", "yyyy-MM-dd HH:mm:ss").alias("click_at"))
+
+
 @query("pair_by_position")
 def q_pair_by_position(spark, sf):
     """The n-th user turn beside the n-th assistant turn, no key between them."""

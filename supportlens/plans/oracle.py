@@ -626,6 +626,13 @@ SELECT position, u.conv_id AS query_conv, u.turn AS query_turn, u.text AS query,
 FROM n u JOIN n a USING (position) WHERE u.role = 'user' AND a.role = 'assistant'
 """
 
+ORACLE["asof_events"] = """
+SELECT p.event_id, p.user_id, c.event_id AS click_event_id, round(c.value, 4) AS click_value,
+       strftime(c.ts, '%Y-%m-%d %H:%M:%S') AS click_at
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c ON p.user_id = c.user_id AND p.ts > c.ts
+"""
+
 ORACLE["judge_replies"] = with_views(d_parsed_from(
     f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM support_responses"),
     "support_responses")
