@@ -571,7 +571,7 @@ import uuid  # noqa: E402
 from ..plans import flows  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sources import writers  # noqa: E402
-from ..streaming import live  # noqa: E402
+from ..streaming import events, live  # noqa: E402
 
 
 @query("sample_first_n")
@@ -768,3 +768,50 @@ def q_stream_clean(spark, sf):
     q = live.clean_micro_batches(stream, "row_id", "text", lex, f"{run}/sink", f"{run}/checkpoint")
     q.awaitTermination()
     return live.read_sink(spark, f"{run}/sink").select("row_id", "clean", "length", "entities")
+
+
+def _event_times(spark, sf):
+    return tables.read_table(spark, sf, "events").select(
+        "event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+
+
+@query("stream_window_counts")
+def q_stream_window_counts(spark, sf):
+    """Events per hour and type, counted as they arrive in several micro-batches."""
+    ensure_checkpoint_dir(spark)
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    rows = _event_times(spark, sf)
+    files = events.replay(rows, "ts", f"{run}/arrivals")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{run}/arrivals")
+    # arrivals are cut by time: a delay of two of them loses nothing
+    counts = events.windowed_counts(stream, "ts", "event_type", "1 hour", "20 days",
+                                    {"largest": F.max("value"), "last_event": F.max("event_id")})
+    events.write_updates(counts, f"{run}/sink", f"{run}/checkpoint").awaitTermination()
+    out = events.latest(spark, f"{run}/sink", ["window_start", "event_type"])
+    return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")).withColumn(
+        "largest", F.round("largest", 4))
+
+
+@query("stream_pairing")
+def q_stream_pairing(spark, sf):
+    """User turns with the assistant turns that follow, two streams joined as
+    they arrive. A turn's time is made of its conversation and number."""
+    ensure_checkpoint_dir(spark)
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    at = F.timestamp_seconds(1_700_000_000 + F.col("conv_id") * 3600 + F.col("turn"))
+    turns = tables.read_table(spark, sf, "conversations").withColumn("at", at)
+    files = events.replay(turns, "at", f"{run}/arrivals")
+    # turns far ahead on both sides settle all queries before them: the first
+    # moves the watermark, the second is a micro-batch that sees it moved (with
+    # a key: rows that cannot join are filtered before they are seen)
+    for seconds in (1 << 40, (1 << 40) + 1):
+        spark.createDataFrame([(-1, None, r, None) for r in ("user", "assistant")], turns.drop("at").schema).withColumn(
+            "at", F.timestamp_seconds(F.lit(seconds))).repartition(files).write.mode("append").parquet(f"{run}/arrivals")
+    side = lambda role: (spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", files)
+                         .parquet(f"{run}/arrivals").where(F.col("role") == role))
+    asked = side("user").select("conv_id", "turn", F.col("text").alias("query"), F.col("at").alias("asked_at"))
+    given = side("assistant").select("conv_id", F.col("text").alias("response"), F.col("at").alias("replied_at"))
+    pairs = events.pair_stream(asked, given, "conv_id", "asked_at", "replied_at", "1 second", "1 day")
+    events.write_pairs(pairs, f"{run}/sink", f"{run}/checkpoint").awaitTermination()
+    done = spark.read.parquet(f"{run}/sink").where("turn IS NOT NULL")
+    return done.select("conv_id", "turn", "query", "response")

@@ -633,6 +633,15 @@ FROM (SELECT * FROM events WHERE event_type = 'purchase') p
 ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c ON p.user_id = c.user_id AND p.ts > c.ts
 """
 
+ORACLE["stream_window_counts"] = """
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n,
+       round(max(value), 4) AS largest, max(event_id) AS last_event FROM events GROUP BY ALL
+"""
+ORACLE["stream_pairing"] = """
+SELECT u.conv_id, u.turn, u.text AS query, a.text AS response FROM (SELECT * FROM conversations WHERE role = 'user') u
+LEFT JOIN (SELECT * FROM conversations WHERE role = 'assistant') a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+"""
+
 ORACLE["judge_replies"] = with_views(d_parsed_from(
     f"SELECT row_id, {d_stub_judge(d_judge_content('query', 'response'))} AS raw FROM support_responses"),
     "support_responses")
