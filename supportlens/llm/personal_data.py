@@ -53,7 +53,9 @@ SCORED = 10_000  # candidates of one text that are scored at a time
 PRECISION = 0.95  # calibrated probability from which a candidate is added
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
+# A match that fails at the start of a run of digits fails at all its digits.
+_IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]+)")
+_LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -71,11 +73,28 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _emails(text: str) -> Iterator[re.Match]:
+    """The matches of ``_EMAIL`` from left to right. Each starts at the run of
+    local-part characters before an '@', or where the last match ended in it,
+    so that a long run without an '@' is not tried at every character."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL_CHARS:
+            start -= 1
+        m = _EMAIL.match(text, start) if start < at else None
+        if m:
+            yield m
+        done = m.end() if m else at + 1
+        at = text.find("@", done)
+
+
 def base_spans(text: str) -> list[Span]:
     """Leftmost non-overlapping matches of each kind that pass its test."""
     found: list[Span] = []
     if "@" in text:
-        found += (("email", *m.span()) for m in _EMAIL.finditer(text))
+        found += (("email", *m.span()) for m in _emails(text))
     if _DIGIT.search(text):
         found += (("ip", *m.span()) for m in _IP.finditer(text)
                   if all(len(p := x.lstrip("0")) < 4 and int(p or 0) <= 255 for x in m.groups()))

@@ -21,6 +21,7 @@ import base64
 import binascii
 import json
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
@@ -49,7 +50,8 @@ _PEM = re.compile(rf"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----"
                   rf"((?:[A-Za-z0-9+/=]|{_EOL})++)-----END \1-----")
 _ENCRYPTED = re.compile(r"Proc-Type:\x204,ENCRYPTED")
 _DEK = re.compile(r"DEK-Info:\x20[A-Z0-9-]+,[0-9A-Fa-f]{16,}")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+_JWT = re.compile(r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*")
+_TOKEN_RUN = re.compile(r"[A-Za-z0-9_-]+")
 
 
 def decode64(s: str) -> bytes | None:
@@ -174,6 +176,17 @@ def is_signed_token(s: str) -> bool:
     return isinstance(header, dict) and isinstance(payload, dict) and isinstance(header.get("alg"), str)
 
 
+def _tokens(text: str) -> Iterator[re.Match]:
+    """The matches of ``_JWT`` from left to right. What follows a run decides
+    for all its 'eyJ', so after a failure the rest of the run is skipped."""
+    at = text.find("eyJ")
+    while at >= 0:
+        m = _JWT.match(text, at)
+        if m:
+            yield m
+        at = text.find("eyJ", (m or _TOKEN_RUN.match(text, at)).end())
+
+
 def find_secrets(text: str) -> list[Span]:
     found: list[Span] = []
     low = text.lower()
@@ -191,7 +204,7 @@ def find_secrets(text: str) -> list[Span]:
             if is_private_der(body) or is_openssh(body) or is_encrypted(m[2], body):
                 found.append(("pem", *m.span()))
     if "eyJ" in text:
-        found += (("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[0]))
+        found += (("jwt", *m.span()) for m in _tokens(text) if is_signed_token(m[0]))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

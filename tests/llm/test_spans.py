@@ -1,6 +1,8 @@
 import base64
 import json
+import random
 import re
+import time
 
 import pytest
 
@@ -204,3 +206,29 @@ def test_query_digests(spark):
         q = got[r.doc_id]
         assert q.base_sha256 == digest
         assert [q.n_email, q.n_ip, q.n_card, q.n_phone] == [sum(k == x for k, *_ in spans) for x in pdx.BASE_KINDS]
+
+
+PLAIN = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)"),
+    "jwt": re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*"),
+}
+
+
+def test_skipped_starts_lose_no_match():
+    rnd = random.Random(6)
+    pieces = ["a", "b.c", "@", "@x.de", "_", "-", ".", " ", "1", "22", "1.2.3.4", "255", "eyJ", "eyJa", "eyJ.", "é", "%", "x@y.z"]
+    for _ in range(20_000):
+        text = "".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 12)))
+        for name, got in (("email", pdx._emails(text)), ("ip", pdx._IP.finditer(text)), ("jwt", ss._tokens(text))):
+            assert [m.span() for m in got] == [m.span() for m in PLAIN[name].finditer(text)], (name, text)
+
+
+@pytest.mark.parametrize("text", [
+    "7" * 1_000_000, "a" * 1_000_000 + " @", "f0" * 500_000 + "@", "a@" * 300_000, "1.2." * 250_000, "eyJ" * 330_000,
+    "eyJa." * 200_000, "a.b-" * 250_000 + "@x"], ids=lambda t: t[:6])
+def test_long_unbroken_runs_take_linear_time(text):
+    for find in (pdx.base_spans, ss.find_secrets):
+        began = time.perf_counter()
+        find(text)
+        assert time.perf_counter() - began < 2, find.__name__
