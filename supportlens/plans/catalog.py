@@ -378,6 +378,13 @@ def q_prepare_queries(spark, sf):
     return flows.prepare_queries(q, lexicon(spark, sf))
 
 
+@query("prepare_first_column")
+def q_prepare_first_column(spark, sf):
+    """S3: no column is called ``Queries``, so the first one holds the texts."""
+    q = support_text(spark, sf).select(F.col("query_text").alias("message"), "row_id")
+    return flows.prepare_queries(q, lexicon(spark, sf))
+
+
 @query("clean_responses")
 def q_clean_responses(spark, sf):
     r = views.support_responses(spark, sf)
@@ -756,8 +763,7 @@ def q_flagship(spark, sf):
                       "reply_sentiment")
 
 
-@query("stream_clean")
-def q_stream_clean(spark, sf):
+def _cleaned_stream(spark, sf, entities_on):
     ensure_checkpoint_dir(spark)
     run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     conv_schema = tables.SCHEMAS["conversations"]
@@ -765,11 +771,16 @@ def q_stream_clean(spark, sf):
                   .where(F.col("role") == "user")
                   .select((F.col("conv_id") * 4294967296 + F.col("turn")).alias("row_id"), "text"))
     lex = q_build_lexicon(spark, sf)  # written by the stream setup
-    q = live.clean_micro_batches(stream, "row_id", "text", lex, f"{run}/sink", f"{run}/checkpoint")
+    q = live.clean_micro_batches(stream, "row_id", "text", lex, f"{run}/sink", f"{run}/checkpoint", entities_on=entities_on)
     q.awaitTermination()
     return live.read_sink(spark, f"{run}/sink").select("row_id", "clean", "length", "entities")
 
 
+@query("stream_clean")
+def q_stream_clean(spark, sf):
+    return _cleaned_stream(spark, sf, "clean")
+
+
 def _event_times(spark, sf):
     return tables.read_table(spark, sf, "events").select(
         "event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))

@@ -571,6 +571,8 @@ ORACLE["clean_text"] = sq(_drop_length(clean_sql("support_text", "row_id", "quer
 ORACLE["prepare_queries"] = sq(clean_sql("support_text", "row_id", "query_text",
                                          extra_cols=', s.query_text AS "Queries"'))
 
+ORACLE["prepare_first_column"] = sq(clean_sql("support_text", "row_id", "query_text", extra_cols=", s.query_text AS message"))
+
 ORACLE["clean_responses"] = with_views(
     _drop_length(clean_sql("support_responses", "row_id", "response")), "support_responses")
 

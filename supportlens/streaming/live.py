@@ -32,9 +32,12 @@ def support_text_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def clean_micro_batches(stream: DataFrame, key: str, text: str, lexicon: DataFrame,
-                        sink: str, checkpoint: str, available_now: bool = True):
+                        sink: str, checkpoint: str, available_now: bool = True, entities_on: str = "raw"):
     """Run the full cleaning + entities on every micro-batch; returns the query.
 
+    Entities come from the text as written (``entities_on="clean"``: from the
+    cleaned one, which has no digits, so neither order numbers nor amounts).
+
     The dictionary and its delete-key index are static: both are materialised
     once, before the stream starts, and every micro-batch joins against them.
     """
@@ -45,8 +48,15 @@ def clean_micro_batches(stream: DataFrame, key: str, text: str, lexicon: DataFra
         # Per-batch intermediates (vocabulary, rewrite table) are removed once
         # the batch output is written, so a long-running stream leaves nothing.
         with scratch_scope(batch.sparkSession) as scope:
-            out = (cleaning.clean_texts(batch, key, text, lex, lexicon_keys=lex_keys, scope=scope)
-                           .withColumn("entities", F.to_json(ent.extract_entities("clean"))))
+            if entities_on == "clean":
+                out = (cleaning.clean_texts(batch, key, text, lex, lexicon_keys=lex_keys, scope=scope)
+                               .withColumn("entities", F.to_json(ent.extract_entities("clean"))))
+            else:  # rows that share a key are told apart by their texts
+                rows = batch.withColumn("__row", F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("h")))
+                found = rows.select("__row", F.to_json(ent.extract_entities(text)).alias("entities")).dropDuplicates(["__row"])
+                out = (cleaning.clean_texts(rows, "__row", text, lex, lexicon_keys=lex_keys, scope=scope)
+                               .join(found, "__row")
+                               .select(F.col("__row.key").alias(key), "clean", "length", "entities"))
             out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

@@ -62,3 +62,20 @@ def test_replay_arrives_in_order(spark, tmp_path):
     assert ev.replay(df, "at", path, batches=4, files=2) == 2
     assert spark.read.parquet(path).count() == 100
     ev.replay(df.limit(0), "at", str(tmp_path / "none"))
+
+
+def test_stream_entities_come_from_the_text_as_written(spark, tmp_path):
+    from supportlens.streaming import live
+
+    path, schema = str(tmp_path / "in"), "k long, t string"
+    arrive(spark, path, [(1, "refund order 123456, $45.50"), (1, "nothing"), (None, "pay 7")], schema)
+    lex = spark.createDataFrame([("refund", 9), ("order", 9)], "word string, freq bigint")
+    got = {}
+    for on in ("raw", "clean"):
+        stream = spark.readStream.schema(schema).parquet(path)
+        out = str(tmp_path / on)
+        live.clean_micro_batches(stream, "k", "t", lex, out, str(tmp_path / f"ck-{on}"), entities_on=on).awaitTermination()
+        got[on] = sorted((r.k or 0, r.clean, r.entities.count("OrderID") + r.entities.count("Amount"))
+                         for r in live.read_sink(spark, out).collect())
+    assert [r[:2] for r in got["raw"]] == [r[:2] for r in got["clean"]] == [(0, "pay"), (1, "nothing"), (1, "refund order")]
+    assert [r[2] for r in got["raw"]] == [1, 0, 2] and [r[2] for r in got["clean"]] == [0, 0, 0]
