@@ -5,6 +5,8 @@ from collections import Counter
 from glob import glob
 
 import pytest
+from hypothesis import assume, given, settings
+from hypothesis import strategies as st
 
 from supportlens.llm import mixing, warc
 from supportlens.llm.common import Scratch
@@ -101,42 +103,84 @@ def test_damage_is_noticed(spark):
 
 # -- mixing -------------------------------------------------------------------------
 
-def brute_schedule(shares):
-    """EDF slot by slot, looking at every source each time."""
-    period, done, out = sum(shares.values()), Counter(), []
-    names = sorted(shares, key=lambda s: (s is not None, str(s)))
-    for slot in range(period):
-        ready = [(mixing.windows(shares[s], period)[done[s]][1], i, s) for i, s in enumerate(names)
-                 if done[s] < shares[s] and mixing.windows(shares[s], period)[done[s]][0] <= slot]
-        _, _, s = min(ready)
-        out.append((s, done[s], slot))
-        done[s] += 1
-    return out
+def brute_schedule(parts, blocks):
+    """EDF slot by slot, looking at every source each time; the source that
+    runs out first leaves its slot empty."""
+    total, done, out, over, end, slot = sum(parts), [0] * len(parts), [], set(), None, 0
+    while any(p and d < n for p, d, n in zip(parts, done, blocks)):
+        ready = [(-(-(done[i] + 1) * total // p), i) for i, p in enumerate(parts)
+                 if p and i not in over and done[i] * total // p <= slot]
+        if ready:
+            _, i = min(ready)
+            if done[i] == blocks[i]:
+                over.add(i)
+                if end is not None:
+                    continue  # a slot is left empty once only
+                end = slot
+            else:
+                out.append((i, done[i], slot))
+                done[i] += 1
+        slot += 1
+    return out, slot if end is None else end
+
+
+def played(parts, blocks, size):
+    ends, end = mixing.first_end(parts, blocks)
+    jobs = [n + (i == ends) for i, n in enumerate(blocks)]
+    cuts = mixing.stretches(parts, jobs, size)
+    plan = [x for a, b in zip(cuts, [*cuts[1:], None]) for x in mixing.play(parts, jobs, a, b) if x[1] < blocks[x[0]]]
+    return plan, min(end, plan[-1][2] + 1), len(cuts)
+
+
+@given(st.lists(st.tuples(st.integers(0, 60) | st.sampled_from([333, 1000]), st.integers(1, 50)), min_size=1,
+                max_size=8), st.sampled_from([1, 2, 5, 30, 10_000]))
+@settings(max_examples=300, deadline=None)
+def test_segments_make_the_schedule(sources, size):
+    parts, blocks = [p for p, _ in sources], [n for _, n in sources]
+    assume(any(parts))
+    plan, end, _ = played(parts, blocks, size)
+    assert ([x[:3] for x in plan], end) == brute_schedule(parts, blocks)
+    assert all(r <= slot < d for _, _, slot, r, d in plan)
+
+
+def test_segments_of_very_unequal_weights():
+    """Light blocks are open over many segments, others run out early."""
+    parts, blocks = [1, 3, 40_000, 17, 9_000, 2_500], [2, 3, 30_000, 60, 500, 4_000]
+    plan, end, segments = played(parts, blocks, 1000)
+    assert segments > 30 and ([x[:3] for x in plan], end) == brute_schedule(parts, blocks)
 
 
 @pytest.mark.parametrize("weights", [{"a": 1}, {"a": 1, "b": 2, "c": 7}, {"a": 333, "b": 333, None: 334},
-                                     {f"s{i}": 1 + i * i for i in range(9)}])
-def test_schedule(weights):
-    shares = mixing.units(weights, 120)
-    plan = mixing.schedule(shares)
-    assert [(s, j, slot) for s, j, slot, _, _ in plan] == brute_schedule(shares)
-    assert all(r <= slot < d for _, _, slot, r, d in plan)
-    period, so_far = sum(shares.values()), Counter()
-    for s, _, slot, _, _ in plan:
-        so_far[s] += 1
-        for x, n in shares.items():
-            assert abs(so_far[x] - n * (slot + 1) / period) < 1
+                                     {f"s{i}": 1 + i * i for i in range(9)}, {"a": 2 ** 0.5, "b": 3 ** 0.5, "c": 1e-3}])
+def test_schedule_deviates_less_than_one_block(weights):
+    parts = mixing.whole_parts(list(weights.values()))
+    blocks = [200] * len(parts)
+    plan, end, _ = played(parts, blocks, 40)
+    assert ([x[:3] for x in plan], end) == brute_schedule(parts, blocks)
+    total, so_far = sum(parts), Counter()
+    for i, _, slot, _, _ in plan:
+        if slot < end:
+            so_far[i] += 1
+            assert all(abs(so_far[x] * total - p * (slot + 1)) < total for x, p in enumerate(parts))
+
+
+def test_segments_as_tasks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH", 50)
+    parts, blocks = [5, 0, 900, 95], [40, 3, 900, 300]
+    plan, end = mixing.slot_table(Scratch(spark, "mixing-test"), parts, blocks)
+    got = sorted((r.i, r.blk, r.slot) for r in plan.collect())
+    want, brute_end = brute_schedule([5, 0, 900, 95], blocks)
+    last = max(slot for *_, slot in want)
+    assert got == sorted([*want, *[(1, j, last + 2 + j) for j in range(3)]]) and end == brute_end
 
 
 def test_mix_places_every_row(spark):
     data = [(i, f"t{i}", "", "a" if i % 3 else ("b" if i % 2 else None), 0) for i in range(3000)]
     docs = cases.plain(spark, data)
     weights = {"a": 3, "b": 1, None: 1}
-    got = mixing.mix(docs, weights, block=8, period=50).collect()
+    got = mixing.mix(docs, weights, block=8).collect()
     assert sorted(r.doc_id for r in got) == list(range(3000))
     assert len({(r.mix_slot, r.mix_offset) for r in got}) == 3000
-    shares = mixing.units(weights, 50)
-    period = sum(shares.values())
     blocks = {(r.source, r.mix_block): (r.mix_slot, r.mix_release, r.mix_deadline) for r in got}
     assert all(r <= slot < d for slot, r, d in blocks.values())
     for s, n in Counter(r.source for r in got).items():  # blocks are full but for the last
@@ -144,9 +188,9 @@ def test_mix_places_every_row(spark):
         assert sorted(sizes) == list(range(-(-n // 8))) and all(sizes[b] == 8 for b in range(n // 8))
     end = max(r.mix_slot for r in got if r.on_target)
     for t in range(0, end, 7):
-        for s, n in shares.items():
+        for s, w in weights.items():
             ran = sum(slot <= t for (x, _), (slot, *_) in blocks.items() if x == s)
-            assert abs(ran - n * (t + 1) / period) < 1
+            assert abs(ran - w * (t + 1) / 5) < 1
 
 
 @pytest.mark.parametrize("sizes, weights", [
@@ -181,7 +225,7 @@ def test_many_sources(spark):
 
 
 def test_numbering_over_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "BUCKET", 50)
+    monkeypatch.setattr(mixing, "BUCKET", 20)
     data = [(i, "same text", "", "hot" if i % 10 else "cold", 0) for i in range(2000)]
     got = mixing.mix(cases.plain(spark, data), block=16).collect()
     assert len({(r.source, r.mix_block, r.mix_offset) for r in got}) == 2000
