@@ -1,8 +1,9 @@
 """WARC archives as a chunked record table (operator 7).
 
-Writing: one record per page, payloads of more than ``SEGMENT`` code points as
-a first record and continuation records (record segmentation of WARC 1.0), so
-that no piece of a large payload is held twice. Of records with equal payloads
+Writing: one record per page, payloads of more than ``SEGMENT`` bytes as a
+first record and continuation records (record segmentation of WARC 1.0), cut
+at byte offsets of the UTF-8 form, so that the pieces of a payload cost its
+length once; a segment may end inside a character. Of records with equal payloads
 of at least ``MIN_REVISIT`` bytes the one with the largest id is the response,
 the others are revisits that refer to it and store no payload. The archives
 are written by Spark's text writer (the blank lines between records are its
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .common import Scratch
 
-SEGMENT = 262_144          # code points of payload in one stored segment
+SEGMENT = 262_144          # bytes of payload in one stored segment
 CHUNK = 65_536             # bytes of payload in one row of the chunk table
 MIN_REVISIT = 1_000
 BROADCAST_GROUPS = 200_000  # repeated payloads broadcast (about 70 bytes each)
@@ -70,12 +71,13 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     typed = rows.join(repeated, "digest", "left").withColumn(
         "revisit", F.col("target").isNotNull() & ~F.col("id").eqNullSafe(F.col("target")))
     pieces = F.when(F.col("revisit"), 1).otherwise(
-        F.greatest(F.ceil(F.char_length("payload") / segment), F.lit(1)))
-    # the numbers are exploded, each row then cuts its own piece
-    each = typed.withColumn("pieces", pieces.cast("int")).select(
-        "*", F.explode(F.sequence(F.lit(1), F.col("pieces"))).alias("no"))
-    piece = F.when(F.col("revisit"), F.lit("")).otherwise(
-        F.substr("payload", (F.col("no") - 1) * segment + 1, F.lit(segment)))
+        F.greatest(F.ceil(F.col("bytes") / segment), F.lit(1)))
+    # the pieces are cut before they are exploded: no row carries the payload on
+    cut = F.transform(F.sequence(F.lit(1), F.col("pieces")), lambda no: F.struct(no.alias("no"), F.substring(
+        "payload", (no - 1) * segment + 1, segment).cast("string").alias("p")))
+    cut = F.when(F.col("revisit"), F.array(F.struct(F.lit(1).alias("no"), F.lit("").alias("p")))).otherwise(cut)
+    each = (typed.withColumn("pieces", pieces.cast("int")).withColumn("payload", F.encode("payload", "UTF-8"))
+                 .select("id", "url", "digest", "bytes", "target", "revisit", "pieces", F.inline(cut)))
     first, many = F.col("no") == 1, F.col("pieces") > 1
     kind = F.when(F.col("revisit"), "revisit").when(first, "response").otherwise("continuation")
     only = lambda when, value: F.when(when, value)
@@ -97,7 +99,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                                                  F.col("bytes").cast("string"))),
         F.lit("Content-Type: text/html\r\n"),
         _field("Content-Length", F.octet_length("p").cast("string")), F.lit("\r\n"), F.col("p"))
-    (each.withColumn("p", piece).select(record.alias("value"))
+    (each.select(record.alias("value"))
          .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path))
     scratch.drop("repeated")
 

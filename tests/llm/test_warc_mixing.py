@@ -55,6 +55,31 @@ def test_round_trip(spark, segment):
         assert sorted(map(tuple, got), key=str) == expected(PAGES)
 
 
+def test_payload_of_many_segments(spark):
+    """Characters of 1 to 4 bytes, so that segments end inside them."""
+    text = "".join(chr(c) for c in (97, 233, 26085, 128512)) * 90_000
+    rows = [(1, "u", text), (2, "u", text), (3, "u", "é" * warc.SEGMENT), (4, "u", "a" * warc.SEGMENT)]
+    got = warc.records(warc.chunk_table(spark, written(spark, pages(spark, rows)), data=False)).collect()
+    assert sorted(map(tuple, got), key=str) == expected(rows)
+
+
+def test_large_payload_is_written_in_linear_time(spark):
+    import time
+
+    def seconds(mb):
+        df = spark.range(1).selectExpr("id as page_id", "'u' as url", 
+                                        f"repeat(if(id < 0, '', '0123456789abcdeé'), {mb << 16}) as html")
+        start = time.monotonic()
+        path = written(spark, df)
+        took = time.monotonic() - start
+        (row,) = warc.records(warc.chunk_table(spark, path, data=False)).collect()
+        assert row.payload_bytes == mb * (17 << 16)
+        return took
+
+    seconds(1)
+    assert seconds(70) < 20
+
+
 def test_chunks_hold_the_payload(spark):
     rows = [(i, u, h) for i, u, h in PAGES if i is not None and i not in (1, 2, 11)]
     path = written(spark, pages(spark, rows), segment=700)
