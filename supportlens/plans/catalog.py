@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import reports
-from ..sources import positions, tables, views
+from ..session import materialize
+from ..sources import positions, tables, views, workbooks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -663,6 +664,14 @@ def q_pair_by_position(spark, sf):
                                       ["query_conv", "query_turn"], ["reply_conv", "reply_turn"])
 
 
+@query("workbook_roundtrip")
+def q_workbook_roundtrip(spark, sf):
+    """All conversation turns written as workbooks and read back."""
+    turns = tables.read_table(spark, sf, "conversations")
+    books = materialize(workbooks.to_workbooks(turns, "Queries"))
+    return workbooks.parse_workbooks(books, "Queries", turns.schema, name_col="name")
+
+
 @query("entities_on_clean")
 def q_entities_on_clean(spark, sf):
     c = cleaning.clean_texts(support_text(spark, sf), "row_id", "query_text", lexicon(spark, sf))

@@ -621,6 +621,8 @@ ORACLE["llm_ledger"] = ORACLE["generate_replies"]
 ORACLE["llm_ledger_facts"] = sq("SELECT count(*) AS asked, count(*) AS answered, "
                                 "count(DISTINCT coalesce(query_text, '')) AS paid FROM support_text")
 
+ORACLE["workbook_roundtrip"] = "SELECT conv_id, turn, role, text FROM conversations"
+
 ORACLE["pair_by_position"] = """
 WITH n AS (SELECT *, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS position FROM conversations)
 SELECT position, u.conv_id AS query_conv, u.turn AS query_turn, u.text AS query,

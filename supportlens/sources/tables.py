@@ -173,9 +173,10 @@ def assert_unique_key(df: DataFrame, key: str = "row_id") -> None:
         raise ValueError(f"{key} is not unique")
 
 
-def read_any(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """A table by its file type (Parquet, CSV with a header, JSON lines),
-    column names trimmed. CSV columns are strings unless a schema is given."""
+def read_any(spark: SparkSession, path: str, schema=None, sheet: str | None = None) -> DataFrame:
+    """A table by its file type (Parquet, CSV with a header, JSON lines,
+    workbook), column names trimmed. CSV and workbook columns are strings
+    unless a schema is given; ``sheet`` names a workbook's sheet, the first by default."""
     kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind in ("csv", "tsv"):
@@ -185,8 +186,12 @@ def read_any(spark: SparkSession, path: str, schema=None) -> DataFrame:
         df = reader.json(path)
     elif kind == "parquet":
         df = reader.parquet(path)
+    elif kind == "xlsx":
+        from .workbooks import read_workbooks
+
+        df = read_workbooks(spark, path, sheet, schema)
     else:
-        raise ValueError(f"{path}: neither Parquet, CSV nor JSON")
+        raise ValueError(f"{path}: neither Parquet, CSV, JSON nor a workbook")
     return trim_headers(df)
 
 
