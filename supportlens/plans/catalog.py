@@ -11,6 +11,7 @@ columns so they compare value-for-value with the DuckDB oracle in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import reports
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources import positions, tables, views, workbooks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -664,6 +665,50 @@ def q_pair_by_position(spark, sf):
                                       ["query_conv", "query_turn"], ["reply_conv", "reply_turn"])
 
 
+# --- cubes with distinct counts, exact and sketched ----------------------------
+
+from ..operators import cubes  # noqa: E402
+
+
+def dated_events(spark, sf) -> DataFrame:
+    return tables.read_table(spark, sf, "events").select(
+        F.to_date("ts").alias("day"), "event_type", "user_id", "props")
+
+
+@query("activity_cube")
+def q_activity_cube(spark, sf):
+    """Events and distinct users by day and type, with all totals."""
+    return cubes.distinct_cube(dated_events(spark, sf), ["day", "event_type"], "user_id", "users")
+
+
+@query("text_cube")
+def q_text_cube(spark, sf):
+    """Documents and distinct texts by language and source, with all totals."""
+    return cubes.distinct_cube(_docs(spark, sf), ["lang", "source"], "text", "texts")
+
+
+@query("activity_sketches_facts")
+def q_activity_sketches_facts(spark, sf):
+    """Sketches stored in three runs, the last of which repeats a day, against
+    the exact cube and against sketches made in one pass."""
+    events, dims = dated_events(spark, sf), ["day", "event_type"]
+    store = cubes.SketchStore(spark, scratch_path(spark, f"sketches-{uuid.uuid4().hex}"), "day", ["event_type"])
+    odd = F.pmod(F.dayofmonth("day"), F.lit(2)) == 1
+    for part in (events.where(odd), events.where(~odd), events.where(F.dayofmonth("day") == 3)):
+        store.add(part, "user_id")
+    merged = store.cube(dims, "merged").select(*dims, "level", "n", "sketch", "merged")
+    once = events.cube(*dims).agg(F.grouping_id().cast("int").alias("level"),
+                                  F.hll_sketch_agg("user_id", cubes.LG_K).alias("whole"))
+    exact = cubes.distinct_cube(events, dims, "user_id", "users").drop("n")
+    both = [F.col(f"m.{d}").eqNullSafe(F.col(f"o.{d}")) for d in (*dims, "level")]
+    rows = merged.alias("m").join(once.alias("o"), both).select("m.*", "o.whole").alias("m").join(exact.alias("o"), both)
+    # a sketch merged with itself has the same registers and no history
+    settled = lambda c: F.hll_sketch_estimate(F.hll_union(c, c))
+    near = F.abs(F.col("merged") - F.col("users")) <= 1 + 0.08 * F.col("users")  # five standard errors
+    return rows.select("m.day", "m.event_type", "m.level", "m.n", "users",
+                       (settled("sketch") == settled("whole")).alias("same_as_one_pass"), near.alias("near_exact"))
+
+
 @query("workbook_roundtrip")
 def q_workbook_roundtrip(spark, sf):
     """All conversation turns written as workbooks and read back."""

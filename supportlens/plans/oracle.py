@@ -621,6 +621,19 @@ ORACLE["llm_ledger"] = ORACLE["generate_replies"]
 ORACLE["llm_ledger_facts"] = sq("SELECT count(*) AS asked, count(*) AS answered, "
                                 "count(DISTINCT coalesce(query_text, '')) AS paid FROM support_text")
 
+ACTIVITY_SQL = """
+SELECT CAST(ts AS DATE) AS day, event_type, CAST(grouping(CAST(ts AS DATE), event_type) AS INTEGER) AS level,
+       count(*) AS n, count(DISTINCT user_id) AS users{more}
+FROM events GROUP BY CUBE (CAST(ts AS DATE), event_type)
+"""
+ORACLE["activity_cube"] = ACTIVITY_SQL.format(more="")
+ORACLE["activity_sketches_facts"] = ACTIVITY_SQL.format(more=", true AS same_as_one_pass, true AS near_exact")
+
+ORACLE["text_cube"] = """
+SELECT lang, source, CAST(grouping(lang, source) AS INTEGER) AS level, count(*) AS n, count(DISTINCT text) AS texts
+FROM documents GROUP BY CUBE (lang, source)
+"""
+
 ORACLE["workbook_roundtrip"] = "SELECT conv_id, turn, role, text FROM conversations"
 
 ORACLE["pair_by_position"] = """
