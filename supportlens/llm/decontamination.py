@@ -13,7 +13,9 @@ occurrences is shuffled. The windows are broadcast in blocks of at most
 ``BLOCK`` rows, one pass over the documents for each block.
 
 Defined cases: null and empty texts have no words; items without words are
-never found; equal items are all reported; rows with the same id and text, and
+never found; equal items are all reported; the windows of an item with a null
+id are looked for and hit, but the item, having no name, is neither listed nor
+counted; rows with the same id and text, and
 null ids, get a result row each; empty tables give empty results or documents
 without hits. Other columns are not read.
 """

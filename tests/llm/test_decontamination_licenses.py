@@ -52,6 +52,17 @@ def test_hits_equal_brute_force(spark):
             assert sum(s.end - s.start for s in r.spans) == r.n_hit
 
 
+def test_items_without_an_id_hit_and_are_not_listed(spark):
+    words = [f"w{i}" for i in range(30)]
+    docs = cases.plain(spark, [(1, " ".join(words[:12]), "", "", 0), (2, " ".join(words[12:]), "", "", 0),
+                               (3, "clean " * 12, "", "", 0)])
+    bench = spark.createDataFrame([(None, " ".join(words[:10])), (None, " ".join(words[12:23])), (7, " ".join(words[13:23]))],
+                                  "item_id bigint, text string")
+    got = {i: (r.n_hit, r["items"]) for i, r in cases.by_id(dc.contaminated_words(docs, bench)).items()}
+    assert got == {1: (10, []), 2: (11, ["7"]), 3: (0, [])}
+    assert [r.doc_id for r in dc.drop_contaminated(docs, bench).collect()] == [3]
+
+
 def test_blocks_of_windows_give_the_same(spark, monkeypatch):
     docs, items = data(4)
     bench = spark.createDataFrame(items[:-1], "item_id bigint, text string")

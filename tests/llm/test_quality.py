@@ -1,13 +1,16 @@
+import math
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from supportlens.llm import quality_model as qm
 from supportlens.llm import quality_rules as qr
 from supportlens.llm.common import read
+from supportlens.llm.queries import QUERIES
 
 from . import cases
 
@@ -101,6 +104,46 @@ def test_ordinal_model_on_held_out_texts(spark):
     assert all(r.p_at_least[0] >= r.p_at_least[1] for r in scored)
 
 
+def brute_tokens(text):
+    """Words and shapes of a text, from its characters."""
+    text = text or ""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    size = max(1, len(text.encode()))
+    share = lambda chars: sum(c in chars for c in text) / size
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    shapes = {"size": math.log2(len(words) + 1), "new": 10 * len(set(words)) / max(1, len(words)),
+              "sym": 4 * math.log2(1 + 100 * share("#*$%&|<>")), "cap": 10 * share(upper),
+              "exc": 4 * math.log2(1 + 100 * share("!"))}
+    return set(words), [f"\x00{k}{min(12, int(v))}" for k, v in shapes.items()] + ["\x00one"]
+
+
+@pytest.mark.parametrize("sf", [SMALL, MID])
+def test_query_equals_plain_scores_of_the_fitted_weights(spark, sf):
+    docs = read(spark, sf, "documents")
+    model = qm.fit(docs, ratings(spark, sf))
+    got = cases.by_id(QUERIES["op4_quality_model"](spark, sf))
+    assert len(got) == docs.count()
+    weight = lambda t: model.weights.get(xxhash.xxh64_intdigest(t.encode()) % (1 << 31), 0.0)
+    cut = [float(x) for x in model.thresholds]
+    assert cut == sorted(cut) and len(cut) == 2
+    for r in docs.collect():
+        words, shapes = brute_tokens(r.text)
+        score = sum(map(weight, words)) + sum(map(weight, shapes))
+        tails = [1 / (1 + math.exp(-(score - t))) for t in cut]
+        row = got[r.doc_id]
+        assert abs(row.expected_grade - sum(tails)) < 2e-6 and abs(row.p_top_grade - tails[-1]) < 2e-6
+        assert row.kept == (tails[-1] >= 0.5) or abs(tails[-1] - 0.5) < 1e-9
+
+
+def test_ratings_with_columns_of_clashing_names(spark):
+    docs = cases.documents(spark)
+    rated = spark.createDataFrame([(1, 2, "x", 5), (5, 2, "y", 5), (9, 0, "z", 5), (10, 1, "", 5)],
+                                  "doc_id bigint, grade int, text string, id bigint")
+    plain, other = qm.fit(docs, rated.select("doc_id", "grade")), qm.fit(docs, rated)
+    assert plain.weights == other.weights and list(plain.thresholds) == list(other.thresholds)
+
+
 def test_ordinal_recovers_its_own_thresholds():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 2, (4000, 3)).astype(float)
