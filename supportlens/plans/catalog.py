@@ -665,6 +665,32 @@ def q_pair_by_position(spark, sf):
                                       ["query_conv", "query_turn"], ["reply_conv", "reply_turn"])
 
 
+# --- topics that keep their numbers --------------------------------------------
+
+from ..operators import stable_topics as st  # noqa: E402
+
+
+@query("topics_absorb")
+def q_topics_absorb(spark, sf):
+    """The embeddings taken into the label centroids in two batches: members of
+    each topic, and whether the means cost no more than the centroids."""
+    emb, state = _emb(spark, sf), st.start(label_centroids(spark, sf))
+    before = st.cost(emb, "embedding", state.select("topic", "centroid")).scalar()
+    for half in (0, 1):
+        state = st.absorb(state, emb.where(F.pmod("vec_id", F.lit(2)) == half), "embedding")
+    after = st.cost(emb, "embedding", st.served(state)).scalar()
+    return state.where("members > 0").select("topic", "members", (after <= before * (1 + 1e-9)).alias("cost_not_worse"))
+
+
+@query("topics_matched")
+def q_topics_matched(spark, sf):
+    """The nearest centroid of every embedding after the same centroids came
+    back from a fit under other numbers."""
+    old = st.start(label_centroids(spark, sf)).select("topic", "centroid")
+    again = old.select((F.lit(1000) - F.col("topic")).alias("topic"), "centroid")
+    return vx.assign_nearest(_emb(spark, sf), "embedding", st.match_topics(old, again)).select("vec_id", "topic")
+
+
 # --- cubes with distinct counts, exact and sketched ----------------------------
 
 from ..operators import cubes  # noqa: E402

@@ -621,6 +621,10 @@ ORACLE["llm_ledger"] = ORACLE["generate_replies"]
 ORACLE["llm_ledger_facts"] = sq("SELECT count(*) AS asked, count(*) AS answered, "
                                 "count(DISTINCT coalesce(query_text, '')) AS paid FROM support_text")
 
+ORACLE["topics_absorb"] = (f"WITH {CENTROIDS_SQL} SELECT topic, count(*) AS members, true AS cost_not_worse "
+                           "FROM assigned GROUP BY topic")
+ORACLE["topics_matched"] = ORACLE["kmeans_assign"]
+
 ACTIVITY_SQL = """
 SELECT CAST(ts AS DATE) AS day, event_type, CAST(grouping(CAST(ts AS DATE), event_type) AS INTEGER) AS level,
        count(*) AS n, count(DISTINCT user_id) AS users{more}
