@@ -17,7 +17,8 @@ threshold, and groups are the connected components of the links.
 4. Lists whose members are still in several components are settled exactly:
    the full sets of their members are joined on their rarest shingles with
    length and positional bounds, members outside the leader's component
-   against all. Pairs inside a component are never made.
+   against all. The bounds are compared per (length, position) of a shingle
+   before its texts meet. Pairs inside a component are never made.
 
 A sketch misses a link only if a pair at the threshold (0.8 or more) shares
 fewer than ``_least_shared`` of k = 64 values, chance below 1e-10, or if fewer
@@ -198,7 +199,8 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
 
     edges = links.union(late).union(same_id)
     comp = connected_components(scratch, edges, "final")
-    scratch.drop("sets", "lists", "leaders", "star", "placed", "mixed", "open", "more", "known")
+    scratch.drop("sets", "lists", "leaders", "star", "placed", "mixed", "open", "more", "known", "rare", "main", "side",
+                 "open-places")
 
     # every row with its class and component
     of_class = scratch.write(
@@ -230,15 +232,25 @@ def _rare_shingle_pairs(scratch: Scratch, sets: DataFrame, percent: int) -> Data
                              .select("v", F.col("l.component").alias("main")), "main")
     side = scratch.write(rare.join(main, "v"), "side")
     left = side.where(F.col("component") != F.col("main"))
-    right = rare.toDF("v", "id2", "component2", "n2", "pos2")
-    both = F.col("n") + F.col("n2")
+    # The length and position of a shingle bound the overlap, so they are
+    # compared first, once for all sets that share them: sets that meet on a
+    # common passage but cannot reach the threshold are never paired.
+    place = ["v", "n", "pos"]
+    mine = left.groupBy(*place).agg(F.min("component").alias("first"), F.max("component").alias("last"))
+    theirs = rare.groupBy(*place).agg(F.min("component").alias("first2"), F.max("component").alias("last2"))
+    theirs = theirs.toDF("v", "n2", "pos2", "first2", "last2")
     # overlap needed: |A n B| >= t/(1+t) (|A| + |B|), in integers
     room = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + 1
+    several = ((F.col("first") != F.col("first2")) | (F.col("last") != F.col("last2"))
+               | (F.col("first") != F.col("last")))  # not all of one component
+    open_ = scratch.write(
+        mine.join(theirs, "v").where((F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
+                                     & (room * (100 + percent) >= (F.col("n") + F.col("n2")) * percent) & several)
+            .select("v", "n", "pos", "n2", "pos2"), "open-places")
+    right = rare.toDF("v", "id2", "component2", "n2", "pos2")
     keep = ((F.col("component") != F.col("component2"))
-            & ((F.col("id") < F.col("id2")) | (F.col("component2") == F.col("main")))
-            & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
-            & (room * (100 + percent) >= both * percent))
-    found = left.join(right, "v").where(keep)
+            & ((F.col("id") < F.col("id2")) | (F.col("component2") == F.col("main"))))
+    found = left.join(open_, place).join(right, ["v", "n2", "pos2"]).where(keep)
     return found.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
 

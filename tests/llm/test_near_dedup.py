@@ -95,3 +95,31 @@ def test_different_texts_of_one_id_stay(spark):
     assert got.columns == docs.columns
     rows = sorted((r.doc_id or 0, r.text or "") for r in got.collect())
     assert rows == sorted([(0, a), (1, a), (5, b), (7, "short"), (7, "")])
+
+
+def test_texts_that_share_a_passage_below_the_threshold_are_not_paired(spark, monkeypatch):
+    """Texts of 100 shingles, 85 of them in all: similarity 85 / 115. None are
+    linked, and the exact step does not join their rows."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(89))  # 85 shingles of 5 words
+    own = lambda: " ".join(f"o{rng.randrange(10 ** 9)}" for _ in range(15))
+    texts = [f"{passage} {own()}" for _ in range(400)]
+    pair = f"{passage} {own()}"
+    texts += [pair, pair[:pair.rindex(" ")] + " changed"]
+    joined, write = [], near_dedup.Scratch.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        if name == "open-places":
+            rare = self.spark.read.parquet(self.path("rare")).groupBy("v", "n", "pos").count()
+            a = out.join(rare, ["v", "n", "pos"]).withColumnRenamed("count", "c")
+            b = a.join(rare.toDF("v", "n2", "pos2", "c2"), ["v", "n2", "pos2"])
+            joined.append((b.selectExpr("sum(c * c2)").first()[0] or 0, rare.agg({"count": "max"}).first()[0]))
+        return out
+
+    monkeypatch.setattr(near_dedup.Scratch, "write", counted)
+    docs = cases.plain(spark, [(i, t, "", "", 0) for i, t in enumerate(texts)])
+    got = cases.by_id(near_dedup.near_duplicates(docs, 5, 80))
+    assert all(got[i].component_id == i for i in range(401)) and got[401].component_id == 400
+    (rows, largest), = joined
+    assert largest > 300 and rows < 2000  # one place of a shingle that all share has 400 texts
