@@ -1,26 +1,31 @@
 """Quality rules combined by weak supervision (operator 8).
 
-Each rule votes good (1), bad (-1) or abstains (0) on a text. How far a rule
-can be trusted is not set by hand: expectation-maximisation over the vote
-patterns of all texts estimates, for each rule, how often it is right on good
-and on bad texts, and the share of good texts. A text is kept when its
-posterior probability of being good reaches one half, unless it fails one of
-two hard limits (too few words, too many repeated ones).
+Each rule votes good (1), bad (-1) or abstains (0) on a text; an abstention
+says nothing. How far a rule can be trusted is not set by hand: expectation-
+maximisation over the vote patterns of all texts estimates how often each rule
+votes bad on good texts and on bad ones, and the share of good texts. Bad texts
+come in kinds that trip different rules (``KINDS``), so they are a mixture: one
+binary class would take a text that trips a single rule for a good one, since
+all other rules vote for it. A text is kept when its posterior probability of
+being good reaches one half, unless it fails one of two hard limits (too few
+words, too many repeated ones); texts that fail one are known to be bad when
+the rules are fitted.
 
 Only DataFrame functions. All measures of a text are taken within its row: no
 shuffle, no explosion into words. Texts are then grouped by their vote
-pattern, at most ``3 ** len(RULES)`` rows whatever the input, and these counts
-are all that reaches the driver.
+pattern and hard limit, at most ``2 * 3 ** len(RULES)`` rows whatever the input,
+and these counts are all that reaches the driver.
 
 Defined cases: null and empty texts have no words and are not kept; repeated
 rows and null ids get a result row each; an empty table gives an empty one
-(the rules then keep their starting accuracies). Other columns are not read.
+(the rules then keep their starting rates). Other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,24 +97,36 @@ def _share(a: str, b: str) -> Column:
     return F.col(a) / F.greatest(F.col(b), F.lit(1))
 
 
-def _vote(bad: Column, good: Column | None) -> Column:
-    vote = F.when(bad, -1)
-    return (vote if good is None else vote.when(good, 1)).otherwise(0)
+def _vote(bad: Column, good: Column) -> Column:
+    return F.when(bad, -1).when(good, 1).otherwise(0)
 
 
-# name -> vote over the measures. A rule whose silence says little about a
-# text abstains instead of voting good.
+def _between(a: str, b: str, low: float, high: float) -> Column:
+    return (_share(a, b) >= low) & (_share(a, b) <= high)
+
+
+# Rules that each kind of bad text is expected to trip; where the fit starts,
+# not what it is held to.
+KINDS = {
+    "noise": ("symbols",),
+    "gibberish": ("common_words", "word_length"),
+    "repetition": ("repeats", "lines", "variety"),
+    "shouting": ("capitals", "exclamations"),
+    "fragment": ("length",),
+}
+
+# name -> vote over the measures: bad at one end, good at the other, silent
+# between them.
 RULES = {
     "symbols": lambda: _vote(_share("n_symbols", "n_words") > 0.25, _share("n_symbols", "n_words") < 0.05),
     "repeats": lambda: _vote(_share("n_repeat_words", "n_words") > 0.2, F.col("n_repeat_words") == 0),
-    "lines": lambda: _vote(_share("n_dup_lines", "n_lines") > 0.3, None),
-    "word_length": lambda: _vote((_share("word_chars", "n_words") < 2)
-                                 | (_share("word_chars", "n_words") > 15), None),
-    "capitals": lambda: _vote(_share("n_upper", "word_chars") > 0.3, None),
+    "lines": lambda: _vote(_share("n_dup_lines", "n_lines") > 0.3, F.col("n_dup_lines") == 0),
+    "word_length": lambda: _vote(~_between("word_chars", "n_words", 2, 15), _between("word_chars", "n_words", 3, 12)),
+    "capitals": lambda: _vote(_share("n_upper", "word_chars") > 0.3, _share("n_upper", "word_chars") < 0.1),
     "variety": lambda: _vote(_share("n_distinct", "n_words") < 0.1, _share("n_distinct", "n_words") > 0.3),
     "common_words": lambda: _vote((F.col("n_common") == 0) & (F.col("n_words") >= 50), F.col("n_common") >= 3),
-    "exclamations": lambda: _vote(_share("n_exclaim", "n_words") > 0.1, None),
-    "length": lambda: _vote(F.col("n_words") < 10, None),
+    "exclamations": lambda: _vote(_share("n_exclaim", "n_words") > 0.1, _share("n_exclaim", "n_words") < 0.02),
+    "length": lambda: _vote(F.col("n_words") < 10, F.col("n_words") >= 50),
 }
 
 MIN_WORDS = 10
@@ -125,59 +142,68 @@ def votes() -> list[Column]:
     return [rule().cast("int").alias(f"vote_{name}") for name, rule in RULES.items()]
 
 
-def fit(measured: DataFrame, rounds: int = 100) -> dict:
-    """Accuracies of the rules and share of good texts by EM.
-
-    ``measured`` has the measures as columns. The thresholds of the rules are
-    such that a good text rarely trips one, so accuracies on good texts are
-    held to 0.99 and more; on bad texts, of which there are many kinds, a rule
-    may miss most (0.2 and more). The share of good texts is held to 0.5..0.95.
-    """
-    names = [f"vote_{n}" for n in RULES]
-    patterns = measured.select(*votes()).groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()
-    table = [([r[c] for c in names], r["n"]) for r in sorted(patterns, key=lambda r: [r[c] for c in names])]
-    good = {n: 0.99 for n in names}
-    bad = {n: 0.5 for n in names}
-    share = 0.9
-    clip = lambda x, lo, hi: min(hi, max(lo, x))
-    for _ in range(rounds if table else 0):
-        model = {"share": share, "good": good, "bad": bad}
-        p = [_sigmoid(_log_odds(model, dict(zip(names, v)))) for v, _ in table]
-        share = clip(sum(q * n for q, (_, n) in zip(p, table)) / sum(n for _, n in table), 0.5, 0.95)
-        good, bad = dict(good), dict(bad)
-        for i, name in enumerate(names):
-            g = [(q * n, v[i]) for q, (v, n) in zip(p, table) if v[i]]
-            b = [((1 - q) * n, v[i]) for q, (v, n) in zip(p, table) if v[i]]
-            good[name] = clip((sum(w for w, x in g if x > 0) + 99) / (sum(w for w, _ in g) + 100), 0.99, 0.9999)
-            bad[name] = clip((sum(w for w, x in b if x < 0) + 1) / (sum(w for w, _ in b) + 2), 0.2, 0.99)
-    return {"share": share, "good": good, "bad": bad}
-
+# Shares and rates of bad votes that the fit starts from. The thresholds of the
+# rules are such that a good text rarely trips one: ``GOOD_TRIPS`` is the prior
+# of that rate and weighs as much as all texts together, at every size. The
+# other priors weigh as much as one text.
+GOOD_SHARE = 0.9
+GOOD_TRIPS = 0.002
+KIND_TRIPS, OTHER_TRIPS = 0.9, 0.1
 
-def _sigmoid(x: float) -> float:
-    return 1 / (1 + math.exp(-max(-500.0, min(500.0, x))))
 
+def _start() -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the classes (good first, then the kinds) and, per class and
+    rule, the share of bad votes among its votes."""
+    share = np.array([GOOD_SHARE, *[(1 - GOOD_SHARE) / len(KINDS)] * len(KINDS)])
+    trips = [[GOOD_TRIPS] * len(RULES)]
+    trips += [[KIND_TRIPS if r in own else OTHER_TRIPS for r in RULES] for own in KINDS.values()]
+    return share, np.array(trips)
 
-def _weights(model: dict, name: str) -> tuple[float, float]:
-    """Log odds that a good and a bad vote of a rule add."""
-    g, b = model["good"][name], model["bad"][name]
-    return math.log(g / (1 - b)), math.log((1 - g) / b)
 
+def fit(measured: DataFrame, rounds: int = 100) -> dict:
+    """Rates of the rules and shares of the classes by EM.
 
-def _log_odds(model: dict, vote: dict) -> float:
-    odds = math.log(model["share"] / (1 - model["share"]))
-    for name, v in vote.items():
-        up, down = _weights(model, name)
-        odds += up if v > 0 else down if v < 0 else 0.0
-    return odds
+    ``measured`` has the measures as columns. Returns ``share`` (of good
+    texts), ``good`` and ``bad`` (per vote column, how often it is right on good
+    and on bad texts, of those it votes on), and what ``posterior`` needs:
+    ``shares`` per class and ``trips``, the rates of bad votes per class and rule.
+    """
+    names = [f"vote_{n}" for n in RULES]
+    table = (measured.select(*votes(), base_failed().alias("failed"))
+                     .groupBy(*names, "failed").agg(F.count(F.lit(1)).alias("n")).collect())
+    table.sort(key=lambda r: [*(r[c] for c in names), r["failed"]])
+    vote = np.array([[r[c] for c in names] for r in table]).reshape(len(table), len(names))
+    n = np.array([r["n"] for r in table], dtype=float)
+    failed = np.array([r["failed"] for r in table], dtype=bool)
+    against, voted = (vote < 0).astype(float), (vote != 0).astype(float)
+    first_share, first = share, trips = _start()
+    weight = np.array([n.sum(), *[1.0] * len(KINDS)])[:, None]
+    part = np.zeros((len(table), len(share)))
+    for _ in range(rounds if table else 0):
+        odds = np.log(share) + against @ np.log(trips).T + (voted - against) @ np.log(1 - trips).T
+        odds[failed, 0] = -np.inf
+        part = np.exp(odds - odds.max(axis=1, keepdims=True))
+        part *= (n / part.sum(axis=1))[:, None]
+        share = (part.sum(axis=0) + first_share) / (n.sum() + 1)
+        trips = (part.T @ against + weight * first) / (part.T @ voted + weight)
+    bad = part[:, 1:].sum(axis=1)
+    wrong = (bad @ against + first[1:].mean(axis=0)) / (bad @ voted + 1)
+    return {"share": float(share[0]), "good": dict(zip(names, (1 - trips[0]).tolist())),
+            "bad": dict(zip(names, wrong.tolist())),
+            "shares": share.tolist(), "trips": trips.tolist()}
 
 
 def posterior(model: dict) -> Column:
-    """Probability of a good text from the measures."""
-    odds = F.lit(math.log(model["share"] / (1 - model["share"])))
-    for rule, name in zip(votes(), (f"vote_{n}" for n in RULES)):
-        up, down = _weights(model, name)
-        odds = odds + F.when(rule > 0, F.lit(up)).when(rule < 0, F.lit(down)).otherwise(F.lit(0.0))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
+    """Probability of a good text from the vote columns."""
+    against_good = F.lit(0.0)
+    for share, trips in zip(model["shares"][1:], model["trips"][1:]):
+        odds = F.lit(math.log(share / model["shares"][0]))
+        for name, kind, good in zip(RULES, trips, model["trips"][0]):
+            vote = F.col(f"vote_{name}")
+            odds = odds + (F.when(vote < 0, math.log(kind / good))
+                            .when(vote > 0, math.log((1 - kind) / (1 - good))).otherwise(0.0))
+        against_good = against_good + F.exp(odds)
+    return F.lit(1.0) / (F.lit(1.0) + against_good)
 
 
 def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -189,8 +215,8 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if model is None:
         measured = Scratch(df.sparkSession, "quality-rules").write(measured, "measures")
         model = fit(measured)
-    scored = measured.select("*", *votes(), posterior(model).alias("p_good"),
-                             base_failed().alias("base_failed"))
+    voted = measured.select("*", *votes(), base_failed().alias("base_failed"))
+    scored = voted.withColumn("p_good", posterior(model))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5))
 
 
@@ -198,10 +224,7 @@ def keep_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows whose text is kept, all columns as they are. The texts are read
     twice (fit, filter), never shuffled."""
     model = fit(docs.select(measures(F.col(text_col)).alias("__m")).select("__m.*"))
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words",
-             "n_distinct", "n_common", "n_upper", "n_exclaim")
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
-                       measures(F.col(text_col)).alias("__m"))
-    verdict = held.select("__row", *[F.col("__m")[n].alias(n) for n in names]).where(
-        ~base_failed() & (posterior(model) >= 0.5))
+                       measures(F.col(text_col)).alias("__m")).select("__row", "__m.*")
+    verdict = held.where(~base_failed()).select("__row", *votes()).where(posterior(model) >= 0.5)
     return verdict.select(*[F.col("__row")[c].alias(c) for c in docs.columns])

@@ -87,6 +87,60 @@ def test_em_learns_accuracies(spark):
     assert abs(model["share"] - 0.82) < 0.05
 
 
+def plain_em(table, rounds=100):
+    """EM over [votes, failed, n], number by number: shares and rates of bad votes."""
+    kinds = [None, *qr.KINDS.values()]
+    first = [[0.002 if own is None else 0.9 if r in own else 0.1 for r in qr.RULES] for own in kinds]
+    first_share = [0.9, *[0.1 / len(qr.KINDS)] * len(qr.KINDS)]
+    total = sum(n for *_, n in table)
+
+    def chances(share, trips, votes, failed):
+        out = []
+        for c in range(len(kinds)):
+            p = 0.0 if c == 0 and failed else share[c]
+            for t, v in zip(trips[c], votes):
+                p *= t if v < 0 else 1 - t if v > 0 else 1.0
+            out.append(p)
+        return [p / sum(out) for p in out]
+
+    share, trips = first_share, first
+    for _ in range(rounds):
+        parts = [(votes, [p * n for p in chances(share, trips, votes, failed)]) for votes, failed, n in table]
+        share = [(sum(p[c] for _, p in parts) + first_share[c]) / (total + 1) for c in range(len(kinds))]
+        trips = [[(sum(p[c] for v, p in parts if v[i] < 0) + (1 if c else total) * first[c][i])
+                  / (sum(p[c] for v, p in parts if v[i]) + (1 if c else total))
+                  for i in range(len(qr.RULES))] for c in range(len(kinds))]
+    return share, trips, lambda votes: chances(share, trips, votes, False)[0]
+
+
+@pytest.mark.parametrize("sf", [SMALL, MID])
+def test_fit_and_verdicts_equal_plain_em(spark, sf):
+    docs = read(spark, sf, "documents")
+    measures = docs.select(qr.measures(F.col("text")).alias("m")).select("m.*")
+    model, scored = qr.fit(measures), qr.score_texts(docs).collect()
+    names = [f"vote_{n}" for n in qr.RULES]
+    table = Counter((tuple(r[c] for c in names), r.base_failed) for r in scored)
+    share, trips, p_good = plain_em([(v, failed, n) for (v, failed), n in table.items()])
+    assert np.allclose(model["shares"], share, atol=1e-9) and np.allclose(model["trips"], trips, atol=1e-9)
+    for r in scored:
+        p = p_good([r[c] for c in names])
+        assert abs(r.p_good - p) < 1e-9 and r.kept == (not r.base_failed and p >= 0.5)
+    # free estimates: no rate stands where it started or on an end of its range
+    assert all(abs(t - s) > 1e-9 and 0 < t < 1 for row, first in zip(trips, qr._start()[1]) for t, s in zip(row, first))
+
+
+def test_one_bad_vote_against_many_good_ones(spark):
+    """A text that trips only the symbol rule is bad where symbols go along with
+    otherwise bad texts; one that few rules vote on at all is not."""
+    scored = qr.score_texts(read(spark, "/root/testdata/sf0.1", "documents"))
+    rows = scored.join(read(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where("not base_failed").collect()
+    good, bad = [r for r in rows if r.quality == 1], [r for r in rows if r.quality == 0]
+    assert sum(r.kept for r in good) >= 0.995 * len(good)
+    assert sum(r.kept for r in bad) <= 0.05 * len(bad)
+    single = [r for r in bad if r.vote_symbols < 0 and min(r[f"vote_{n}"] for n in qr.RULES if n != "symbols") >= 0]
+    assert single and not any(r.kept for r in single)
+
+
 def ratings(spark, sf):
     return read(spark, sf, "labels").select("doc_id", qm.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
 
