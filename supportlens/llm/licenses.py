@@ -10,11 +10,14 @@ words would turn up apart in any long text.
 All pattern words are ordered by their frequency in all documents. A template
 of m words that is contained to k = ceil(percent m) words shares one of its
 m - k + 1 rarest words with the block (prefix filter); a phrase shares its
-rarest. The documents' words are joined with these prefix words, blocks too
-short for k words are left out (length filter), a joined word must leave k
-template words from its place in the order on, a phrase must fit between the
-ends of the text (positional filter), and the shared words are then counted in
-all blocks around the joined word that start with a template word.
+rarest. The documents' words are joined with these prefix words, and blocks too
+short for k words are left out (length filter). A block belongs to the first
+place of the rarest template word in it, so a joined word answers for blocks
+without rarer template words and without an earlier place of its own: they lie
+between the nearest such words on both sides, and the words from its place in
+the order on must come to k there (positional filter); a phrase must fit between
+the ends of the text. The shared words are then counted in the blocks that are
+left, each block for one joined word only.
 
 Only DataFrame functions; the pattern table is a parameter of a few hundred
 words and broadcast. Scan, join and verification are one stage; only found
@@ -115,7 +118,8 @@ def _pattern_table(spark, phrases: dict, templates: list[tuple[str, str]], perce
 
 def _prefixes(patterns: DataFrame, counts: DataFrame) -> DataFrame:
     """Prefix words of each pattern in the global order, the rarest first, with
-    their place ``ord`` in it and their ``offset`` in the pattern."""
+    their ``offset`` in the pattern, the ``rarer`` pattern words before them in
+    the order and the ``rest`` from them on."""
     each = patterns.select("*", F.posexplode("words").alias("offset", "word"))
     known = each.join(F.broadcast(counts), "word", "left")
     entry = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("word"), F.col("offset"))
@@ -124,15 +128,60 @@ def _prefixes(patterns: DataFrame, counts: DataFrame) -> DataFrame:
     # phrases: one word of whole containment (a repeated word counts once);
     # templates: m - k + 1
     upto = F.when(F.col("phrase"), F.lit(1)).otherwise(F.size("words") - F.col("need") + 1)
-    return (ordered.select("*", F.posexplode(F.slice("o", F.lit(1), upto)).alias("ord", "e"))
-                   .select("e.word", "ord", "e.offset", "label", "phrase", "words", "need", "span"))
+    place = ordered.withColumn("inorder", F.transform("o", lambda e: e["word"])).select(
+        "*", F.posexplode(F.slice("o", F.lit(1), upto)).alias("ord", "e"))
+    return place.select("e.word", "e.offset", "label", "phrase", "words", "need", "span",
+                        F.slice("inorder", F.lit(1), F.col("ord")).alias("rarer"),
+                        F.slice("inorder", F.col("ord") + 1, F.size("inorder")).alias("rest"))
+
+
+def _joined(docs: DataFrame, words: Column, prefix: DataFrame) -> DataFrame:
+    """Places of prefix words that a pattern can reach: the whole phrase, or
+    ``near``, all words of the blocks that hold the word, which stands ``at``."""
+    each = docs.select("id", "text", words.alias("w")).select(
+        "id", "text", "w", F.posexplode("w").alias("pos", "word"))
+    start = F.col("pos") - F.col("offset")
+    same = ((start >= 0) & (start + F.size("words") <= F.size("w"))
+            & (F.slice("w", start + 1, F.size("words")) == F.col("words")))
+    low = F.greatest(F.col("pos") - F.col("span") + 1, F.lit(0))
+    hits = each.join(F.broadcast(prefix), "word").where(
+        F.when(F.col("phrase"), same).otherwise(F.size("w") >= F.col("need")))
+    return hits.select(
+        "id", F.xxhash64("text").alias("h"), "word", "label", "phrase", start.alias("start"), "words", "need",
+        "span", "rarer", "rest", (F.col("pos") - low).alias("at"),
+        F.when(~F.col("phrase"), F.slice("w", low + 1, F.col("pos") - low + F.col("span"))).alias("near"))
+
+
+def _enough() -> Column:
+    return F.col("phrase") | (F.size(F.array_intersect("rest", "near")) >= F.col("need"))
+
+
+def _left_open(hits: DataFrame) -> DataFrame:
+    """The positional filter: ``near`` cut to the words between the last rarer
+    word, or place of the same word, before ``at`` and the first rarer one
+    after it, if enough of the words that may follow in the order are there."""
+    at, near, rarer = F.col("at"), F.col("near"), F.col("rarer")
+    is_rarer = lambda i: F.array_contains(rarer, F.get(near, i))
+    before = F.filter(F.when(at > 0, F.sequence(F.lit(0), at - 1)),
+                      lambda i: (F.get(near, i) == F.col("word")) | is_rarer(i))
+    after = F.filter(F.when(at + 1 < F.size(near), F.sequence(at + 1, F.size(near) - 1)), is_rarer)
+    first = F.coalesce(F.array_max(before) + 1, F.lit(0))
+    last = F.coalesce(F.get(after, F.lit(0)), F.size(near))
+    cut = F.struct(first.alias("first"), F.slice(near, first + 1, last - first).alias("near"))
+    enough = lambda b: F.size(F.array_intersect("rest", b["near"])) >= F.col("need")
+    # exploded, so that this filter does not join the one before it: places
+    # that fail that one must go before their rows are made
+    blocks = F.when(F.col("phrase"), F.array(F.lit(None))).otherwise(F.filter(F.array(cut), enough))
+    return hits.where(_enough()).withColumn("block", F.explode(blocks)).withColumn(
+        "near", F.col("block")["near"]).withColumn("at", at - F.col("block")["first"]).drop("block")
 
 
 def _block_overlap(near: Column, at: Column, tokens: Column, span: Column) -> Column:
-    """The most template words in a block of ``span`` words with the word at
-    ``at`` in it; ``near`` are the words of all such blocks."""
+    """The most of ``tokens`` in a block of ``span`` words of ``near`` with the
+    word at ``at`` in it; the blocks that matter start with one of them."""
     shared = lambda start: F.size(F.array_intersect(tokens, F.slice(near, start + 1, span)))
-    starts = F.filter(F.sequence(F.lit(0), at), lambda s: F.array_contains(tokens, F.get(near, s)))
+    starts = F.filter(F.sequence(F.greatest(at - span + 1, F.lit(0)), at),
+                      lambda s: F.array_contains(tokens, F.get(near, s)))
     middle = F.greatest(at - (span / 2).cast("int"), F.lit(0))  # holds most notices whole
     return (F.when(shared(middle) == F.size(tokens), F.size(tokens))
              .otherwise(F.array_max(F.transform(starts, shared))))
@@ -154,23 +203,9 @@ def licenses(df: DataFrame, phrases: dict | None = None, templates: dict | None
     counts = scratch.write(word_counts(docs, vocab, words), "counts")
     prefix = scratch.write(_prefixes(patterns, counts), "prefix")
 
-    each = docs.select("id", "text", words.alias("w")).select(
-        "id", "text", "w", F.posexplode("w").alias("pos", "word"))
-    start = F.col("pos") - F.col("offset")
-    same = ((start >= 0) & (start + F.size("words") <= F.size("w"))
-            & (F.slice("w", start + 1, F.size("words")) == F.col("words")))
-    # a word so far on in the order that too few follow cannot be the first shared
-    leaves = F.size("words") - F.col("ord") >= F.col("need")
-    low = F.greatest(F.col("pos") - F.col("span") + 1, F.lit(0))
-    hits = each.join(F.broadcast(prefix), "word").where(
-        F.when(F.col("phrase"), same).otherwise(leaves & (F.size("w") >= F.col("need"))))
-    hits = hits.select(
-        "id", F.xxhash64("text").alias("h"), "label", "phrase", start.alias("start"), "words", "need", "span",
-        (F.col("pos") - low).alias("at"),
-        F.when(~F.col("phrase"), F.slice("w", low + 1, F.col("pos") - low + F.col("span"))).alias("near"))
-    hits = hits.where(F.col("phrase") | (F.size(F.array_intersect("words", "near")) >= F.col("need")))
+    hits = _left_open(_joined(docs, words, prefix))
     shared = F.when(F.col("phrase"), F.size("words")).otherwise(
-        _block_overlap(F.col("near"), F.col("at"), F.col("words"), F.col("span")))
+        _block_overlap(F.col("near"), F.col("at"), F.col("rest"), F.col("span")))
     # exploded, so that the count is made once and not again for the filter
     found = hits.select("id", "h", "label", "phrase", "start", F.size("words").alias("m"), F.explode(
         F.filter(F.array(shared), lambda n: n >= F.col("need"))).alias("shared"))

@@ -1,8 +1,11 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from supportlens.llm import decontamination as dc
 from supportlens.llm import licenses as lic
+from supportlens.llm.common import read
 
 from . import cases
 
@@ -132,6 +135,69 @@ def test_short_notices_stand_together(spark):
     assert got[1].n_base == 0 and got[1].score == 1.0 and got[5].base_labels == ["mit"]
 
 
+def brute_blocks(text, templates):
+    """Labels and best share, from every block of every template."""
+    w, labels, best = words(text), set(), 0.0
+    for label, template in templates:
+        every = words(template)
+        own = set(every)
+        short = len(every) < lic.SHORT
+        need = len(own) if short else -(-len(own) * lic.PERCENT // 100)
+        span = len(every) if short else 2 * max(lic.STRIDE, len(every))
+        most = max((len(own & set(w[s:s + span])) for s in range(len(w))), default=0)
+        if most >= need:
+            labels.add(label)
+            best = max(best, most / len(own))
+    return sorted(labels), best
+
+
+def shuffled_notices(seed):
+    """Texts of template words in any order, density and repetition."""
+    rnd = random.Random(seed)
+    templates = {"one": " ".join(f"a{i}" for i in range(12)) + " the of a0",
+                 "two": " ".join(f"b{i}" for i in range(9)) + " the of and a3 a4", "short": "all b1 a1"}
+    docs = []
+    for i in range(120):
+        pool = rnd.choice(list(templates.values())).split()
+        dense = rnd.choice([0.04, 0.08, 0.12, 0.3])
+        text = [rnd.choice(pool) if rnd.random() < dense else f"x{rnd.randint(0, 9)}" for _ in range(rnd.randint(0, 500))]
+        if i % 3 == 0:
+            at = rnd.randint(0, len(text))
+            some = [x for x in pool if rnd.random() < 0.9]
+            rnd.shuffle(some)
+            text[at:at] = [y for x in some for y in [x, *["x"] * rnd.randint(0, 14)]]
+        docs.append((i, " ".join(text), "", "", 0))
+    return docs, templates
+
+
+def test_blocks_equal_brute_force(spark):
+    for seed in (1, 2):
+        docs, templates = shuffled_notices(seed)
+        got = cases.by_id(lic.licenses(cases.plain(spark, docs), phrases={}, templates=templates))
+        want = {i: brute_blocks(t, templates.items()) for i, t, *_ in docs}
+        assert {i: (r.labels, r.score) for i, r in got.items()} == want
+        assert 20 < sum(bool(labels) for labels, _ in want.values()) < 110
+
+
+def test_documents_equal_brute_force(spark):
+    every = [*lic.TEMPLATES.items(), *lic.NOTICES.items(), *lic.FULL_TEXTS.items()]
+    docs = read(spark, "/root/testdata/sf0.001", "documents")
+    got = cases.by_id(lic.licenses(docs, phrases={}))
+    assert {i: (r.labels, r.score) for i, r in got.items()} == {
+        r.doc_id: brute_blocks(r.text, every) for r in docs.collect()}
+
+
+def test_positional_filter_removes_joined_words(spark):
+    docs, templates = shuffled_notices(3)
+    docs = cases.plain(spark, docs).selectExpr("doc_id id", "text")
+    split = lic.alnum_words(F.col("text"))
+    patterns = lic._pattern_table(spark, {}, list(templates.items()), lic.PERCENT)
+    counts = lic.word_counts(docs, patterns.selectExpr("explode(words) word").distinct(), split)
+    joined = lic._joined(docs, split, lic._prefixes(patterns, counts))
+    near = joined.where(F.size(F.array_intersect("words", "near")) >= F.col("need"))
+    assert lic._left_open(joined).count() < 0.7 * near.count()
+
+
 def test_license_cases(spark):
     docs = cases.documents(spark)
     got = lic.licenses(docs).collect()
