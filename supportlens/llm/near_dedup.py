@@ -144,10 +144,14 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     classes = scratch.write(member.select("id", F.coalesce("rep", "id").alias("rep"), "n", F.when(
         F.coalesce("rep", "id") == F.col("id"), F.col("sketch")).alias("sketch")), "classes")
     reps = classes.where(F.col("sketch").isNotNull())
+    # the sketches are the larger part: what comes later reads tables without
+    sizes = scratch.write(rows.select("id", "n"), "sizes")
+    members = scratch.write(classes.select("id", "rep"), "members")
+    scratch.drop("rows", "groups")
     # an id of several texts joins their classes
-    mixed = (classes.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
+    mixed = (members.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
                     .where("a != z").select("id", "a"))
-    same_id = classes.select("id", F.col("rep").alias("b")).join(mixed, "id").select("a", "b")
+    same_id = members.select("id", F.col("rep").alias("b")).join(mixed, "id").select("a", "b")
 
     # 2. inverted lists of retained values
     lists = reps.select("id", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("v"))
@@ -168,6 +172,7 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     scratch.drop("shared")
     ids = scratch.write(lists.select("id").distinct(), "ids")
     known = scratch.write(reps.select("id", "sketch").join(ids, "id", "left_semi"), "known")
+    scratch.drop("classes")
     small = ids.count() <= BROADCAST_IDS
     wanted = F.broadcast(ids) if small else ids
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -204,10 +209,11 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
 
     # every row with its class and component
     of_class = scratch.write(
-        classes.select("id", "rep").join(comp, F.col("rep") == F.col("node"), "left")
+        members.join(comp, F.col("rep") == F.col("node"), "left")
                .groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component_id")),
         "components")
-    out = rows.select("id", "n").join(of_class, "id", "left")
+    scratch.drop("members", "ids", "links", "late")
+    out = sizes.join(of_class, "id", "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       component.alias("component_id"),
