@@ -7,7 +7,9 @@ prefix dynamic programme: the BPE encoding of ``s[:i]`` ends in the one token
 so ``count[i] = count[i - |t|] + 1`` costs a few look-ups per prefix and no
 prefix is ever encoded twice. Words add up, so one pass over a text gives the
 exact count at each prefix; truncation and budget questions are answered from
-the stored counts.
+the stored counts. Of a whole word only the prefixes are settled that lead to
+its end, longest tokens first: a prefix has one encoding, so a prefix from
+which the end was not reached is never looked at again.
 
 Prefix positions are code points of the normalised text (``normalise``).
 
@@ -22,7 +24,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
@@ -38,6 +40,20 @@ CHUNK = 4096          # prefixes per row of the prefix table
 END = "</w>"
 
 
+class _Remembered(dict):
+    """Values of a function, at most ``most`` at a time."""
+
+    def __init__(self, fn, most: int):
+        super().__init__()
+        self.fn, self.most = fn, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        value = self[key] = self.fn(key)
+        return value
+
+
 def _byte_alphabet() -> list[str]:
     """Printable stand-ins of the 256 byte values: printable Latin-1 bytes
     stand for themselves, the others for code points from 256 on."""
@@ -64,15 +80,23 @@ class PrefixCounter:
             raise ValueError(f"{path}: a BPE vocabulary with word ends is needed")
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.rank = {(a, b): i for i, (a, b) in enumerate(pairs)}
+        self.right: dict[str, dict[str, int]] = {}  # the same by the left piece
+        for (a, b), i in self.rank.items():
+            self.right.setdefault(a, {})[b] = i
         # The merge that makes a token, of those its vocabulary lists first.
         self.made: dict[str, tuple[int, str, str]] = {}
         for (a, b), i in self.rank.items():
             self.made.setdefault(a + b, (i, a, b))
         self.edges: dict[tuple[str, bool], list] = {}
         self.vocab = frozenset(model["vocab"])
-        opening = [t for t in self.vocab if not t.endswith(END)]
-        self.starts = {t[:i]: False for t in opening for i in range(1, len(t))}
-        self.starts.update(dict.fromkeys(opening, True))  # beginnings of tokens: whole or not
+        opening = frozenset(t for t in self.vocab if not t.endswith(END))
+        self.starts: dict[str, str] = {}  # beginnings of open tokens: the longest whole token in each
+        for t in opening:
+            whole = ""
+            for i in range(1, len(t) + 1):
+                whole = t[:i] if t[:i] in opening else whole
+                self.starts.setdefault(t[:i], whole)
+        self.closing = {t.removesuffix(END): t for t in self.vocab if t.endswith(END)}
         self.longest = max(len(t.removesuffix(END)) for t in self.vocab)
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))))
@@ -80,12 +104,13 @@ class PrefixCounter:
         # spelled out for the simple range.
         by = {k: "".join(re.escape(chr(c)) for c in range(_SIMPLE_LIMIT + 0x100)
                          if unicodedata.category(chr(c))[0] == k) for k in "LN"}
-        contractions = "|".join("'" + x for x in ("s", "t", "re", "ve", "m", "ll", "d"))
-        self.words = re.compile(f"{contractions}|[{by['L']}]+|[{by['N']}]|"
+        # (contractions, which begin with neither, stand after them here)
+        contractions = "|".join(("s", "t", "re", "ve", "m", "ll", "d"))
+        self.words = re.compile(f"[{by['L']}]+|[{by['N']}]|'(?:{contractions})|"
                                 f"[^\\t-\\r \x85\xa0{by['L']}{by['N']}]+")
         self.beyond = re.compile(f"[^\\x00-{chr(_SIMPLE_LIMIT - 1)}]")
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.cache: dict[str, int] = {}
+        self.cache = _Remembered(self.word, WORD_CACHE)
 
     # -- the programme inside a word ---------------------------------------
 
@@ -112,17 +137,19 @@ class PrefixCounter:
         if ok is None:
             if len(self.pairs) >= PAIR_CACHE:
                 self.pairs.clear()
-            ok = True
-            if a:
-                rank = self.rank
-                for x, made_x, used_x in self._edge(a, True):
-                    for y, made_y, used_y in self._edge(b, False):
-                        if (r := rank.get((x, y))) is not None \
-                                and made_x < r < used_x and made_y < r <= used_y:
-                            ok = False
-            self.pairs[a, b] = ok
+            ok = self.pairs[a, b] = not a or self._apart(a, b)
         return ok
 
+    def _apart(self, a: str, b: str) -> bool:
+        left = self._edge(b, False)
+        for x, made_x, used_x in self._edge(a, True):
+            if ranks := self.right.get(x):
+                for y, made_y, used_y in left:
+                    r = ranks.get(y)
+                    if r is not None and made_x < r < used_x and made_y < r <= used_y:
+                        return False
+        return True
+
     def _table(self, s: str) -> tuple[list, list[int]]:
         """Last token and token count of each proper prefix that goes on.
 
@@ -135,10 +162,10 @@ class PrefixCounter:
             before, ended = last[j], count[j] + 1
             for i in range(j + 1, n):
                 t = s[j:i]
-                token = starts.get(t)
-                if token is None:
+                whole = starts.get(t)
+                if whole is None:
                     break
-                if token and last[i] is None:
+                if whole == t and last[i] is None:
                     ok = pairs.get((before, t))
                     if self._pair(before, t) if ok is None else ok:
                         last[i], count[i] = t, ended
@@ -162,8 +189,48 @@ class PrefixCounter:
         s = self._bytes(word)
         if not s.isprintable() or " " in s:  # control bytes have stand-ins too
             s = "".join([BYTES[b] for b in word.encode()])
-        last, count = self._table(s)
-        return self._closed(s, len(s), last, count)
+        return 1 if s in self.closing else self._whole(s)
+
+    def _whole(self, s: str) -> int:
+        """Token count of a whole word: the recurrence of ``_table``, of which
+        only the prefixes on the way to the end are worked out."""
+        n, starts, pairs, closing = len(s), self.starts, self.pairs, self.closing
+        seen = set()
+        way = []  # per settled prefix: its end, its last token, the longest token not tried after it
+        at, before = 0, ""
+        while True:
+            t = closing.get(s[at:])
+            if t is not None:
+                ok = pairs.get((before, t))
+                if self._pair(before, t) if ok is None else ok:
+                    return len(way) + 1
+            # Beginnings of tokens have no gaps: from a usual length up or down.
+            i = at + 4 if at + 4 < n else n - 1
+            t = starts.get(s[at:i])
+            if t is None:
+                while t is None and i > at + 1:
+                    i -= 1
+                    t = starts.get(s[at:i])
+            else:
+                while i + 1 < n and (more := starts.get(s[at:i + 1])) is not None:
+                    t, i = more, i + 1
+            way.append((at, before, t))
+            while True:  # the longest token that can follow; else back to the prefix before
+                at, before, t = way.pop()
+                while t:
+                    end = at + len(t)
+                    if end not in seen:
+                        ok = pairs.get((before, t))
+                        if self._pair(before, t) if ok is None else ok:
+                            break
+                    t = starts.get(t[:-1])
+                if t:
+                    break
+                if not way:
+                    raise ValueError(f"no encoding of {s!r}")
+            way.append((at, before, starts.get(t[:-1])))
+            seen.add(end)
+            at, before = end, t
 
     def word_prefixes(self, word: str) -> list[int]:
         """Tokens of each non-empty prefix of a word, taken as a text."""
@@ -187,9 +254,9 @@ class PrefixCounter:
             return self.words.findall(normal)
         return [normal[a:b] for a, b in self._spans(normal)]
 
-    def _spans(self, normal: str) -> list[tuple[int, int]]:
+    def _spans(self, normal: str) -> Iterable[tuple[int, int]]:
         if not self.beyond.search(normal):
-            return [m.span() for m in self.words.finditer(normal)]
+            return (m.span() for m in self.words.finditer(normal))
         # The library splits; a word longer than one code point per byte is
         # reported by its place in the text.
         return [span for _, span in self.library.pre_tokenizer.pre_tokenize_str(normal)]
@@ -206,37 +273,32 @@ class PrefixCounter:
             at = m.end()
         yield self.normalise(text[at:]), False
 
-    def _known(self, words: list[str]) -> list[int]:
-        cache = self.cache
-        try:
-            return [cache[w] for w in words]
-        except KeyError:
-            if len(cache) >= WORD_CACHE:
-                cache.clear()
-            out = []
-            for w in words:
-                n = cache.get(w)
-                if n is None:
-                    n = cache[w] = self.word(w)
-                out.append(n)
-            return out
-
     def count(self, text: str) -> int:
-        return sum(1 if special else sum(self._known(self.split(s)))
-                   for s, special in self.segments(text))
+        return self.count_and_fit(text)[0]
+
+    def count_and_fit(self, text: str, budget: int | None = None) -> tuple[int, int]:
+        """Tokens of a text, and the length of its longest prefix of at most
+        ``budget`` tokens (the whole text's without one)."""
+        parts, known = list(self.segments(text)), self.cache.__getitem__
+        n = sum(1 if special else sum(map(known, self.split(s))) for s, special in parts)
+        if budget is None or n <= budget:
+            return n, sum(len(s) for s, _ in parts)
+        return n, self._fitting(parts, budget)
 
     def fits(self, text: str, budget: int) -> int:
         """Length of the longest prefix of at most ``budget`` tokens."""
+        return self._fitting(self.segments(text), budget)
+
+    def _fitting(self, parts: Iterable[tuple[str, bool]], budget: int) -> int:
         done = at = 0
-        for s, special in self.segments(text):
+        for s, special in parts:
             if special:
                 if done + 1 > budget:
                     return at
                 done, at = done + 1, at + len(s)
                 continue
-            spans = self._spans(s)
-            counts = self._known([s[a:b] for a, b in spans])
-            for (a, b), n in zip(spans, counts):
+            for a, b in self._spans(s):
+                n = self.cache[s[a:b]]
                 if done + n > budget:
                     inside = self.word_prefixes(s[a:b])
                     return at + a + max((i for i, c in enumerate(inside, 1) if done + c <= budget),
@@ -293,10 +355,8 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         c = counter(path)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            tokens = [c.count(t) for t in texts]
-            fit = [c.fits(t, budget) if n > budget else sum(len(s) for s, _ in c.segments(t))
-                   for t, n in zip(texts, tokens)]
+            found = [c.count_and_fit(x or "", budget) for x in batch.column(1).to_pylist()]
+            tokens, fit = [n for n, _ in found], [n for _, n in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(tokens, pa.int64()),
                  pa.array(fit, pa.int64())], names=[id_col, "n_bytes", "n_tokens", "n_fit"])

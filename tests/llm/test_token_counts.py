@@ -43,6 +43,28 @@ def test_every_prefix_is_exact(library):
         assert list(c.prefixes(t)) == [size(library, normal[:i]) for i in range(1, len(normal) + 1)]
 
 
+def test_whole_words_settle_only_prefixes_on_their_way(library):
+    """As the table of all prefixes, with a fraction of its look-ups."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+    c = tc.PrefixCounter(PATH)
+    c.starts = Counted(c.starts)
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("aeinorstlhdéß") for _ in range(rnd.randint(1, 25))) for _ in range(800)]
+    words += ["".join(rnd.choice(("erin", "ther", "anand", "bleble", "ing")) for _ in range(5)) for _ in range(400)]
+    got = [c.word(w) for w in words]
+    whole, c.starts.asked = c.starts.asked, 0
+    for w, n in zip(words, got):
+        s = c._bytes(w)
+        assert n == c._closed(s, len(s), *c._table(s)) == size(library, w)
+    assert whole < 0.6 * c.starts.asked
+
+
 def test_fits_is_the_longest_prefix():
     c = tc.PrefixCounter(PATH)
     for t in texts(60, 40) + [cases.PROSE]:
