@@ -17,6 +17,8 @@ from ..sources.tables import WS_CLASS
 # the class is spelled out: letters, numbers, underscore, whitespace.
 PUNCT_RE = r"[^\p{L}\p{N}_" + WS_CLASS + "]"
 DIGITS_RE = r"\p{Nd}+"
+# What T2 and T3 leave between spaces: letters, numbers but decimal digits, underscore.
+WORD_RE = r"[\p{L}\p{Nl}\p{No}_]+"
 WS_RUN_RE = "[" + WS_CLASS + "]+"
 
 # Shorthand expansions applied to whole tokens.
@@ -103,21 +105,22 @@ def tokenize(c) -> Column:
     return F.filter(F.split(_col(c), WS_RUN_RE), lambda t: t != F.lit(""))
 
 
-def _map_literal(mapping: dict) -> Column:
-    return F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-
-
 def expand_shorthand(tokens, mapping: dict | None = None,
                      split_expansions: bool = True) -> Column:
     """T5: exact-token expansion; unmapped tokens pass through.
 
     With ``split_expansions`` (default, Q3) a two-word value becomes two tokens.
     """
-    m = _map_literal(mapping or SHORTHAND)
-    out = F.transform(_col(tokens), lambda t: F.coalesce(F.try_element_at(m, t), t))
-    if split_expansions:
-        out = F.flatten(F.transform(out, lambda t: F.split(t, " ")))
-    return out
+    mapping = mapping or SHORTHAND
+    known = list(mapping)
+    if not split_expansions:
+        m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+        return F.transform(_col(tokens), lambda t: F.when(t.isin(known), F.try_element_at(m, t)).otherwise(t))
+    # Only mapped tokens are looked up; ``isin`` becomes a hash set.
+    m = F.create_map(*[x for k, v in mapping.items()
+                       for x in (F.lit(k), F.array(*[F.lit(w) for w in v.split(" ")]))])
+    return F.flatten(F.transform(_col(tokens), lambda t: F.when(
+        t.isin(known), F.try_element_at(m, t)).otherwise(F.array(t))))
 
 
 def is_stop_word(t: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
@@ -141,8 +144,10 @@ def token_count(clean) -> Column:
 
 
 def basic_tokens(c, mapping: dict | None = None, split_expansions: bool = True) -> Column:
-    """Raw text -> expanded token array."""
-    return expand_shorthand(tokenize(clean_basic(c)), mapping, split_expansions)
+    """Raw text -> expanded token array. The tokens of T4 on a text
+    after T1-T3, found in one pass over the lower-cased text."""
+    tokens = F.regexp_extract_all(lower_text(c), F.lit(WORD_RE), F.lit(0))
+    return expand_shorthand(tokens, mapping, split_expansions)
 
 
 def clean_without_dictionary(c, stop_words=ENGLISH_STOP_WORDS) -> Column:
