@@ -14,10 +14,11 @@ then compete with their candidates along the whole text: a lattice with a node
 per candidate, solved by dynamic programming, of equal costs the
 alphabetically first.
 
-Plan. Word and bigram counts are tables. Candidates are joined on delete keys
-for distinct tokens; only words frequent enough to win against anything get
-keys (at two edits: the square of the ratio), and only tokens rare enough to
-lose. Of each row only its open tokens travel, edges are costed once per
+Plan. Word counts are a table; of the corpus' bigrams only those are counted
+that some lattice asks for, a small part of them all. Candidates are joined on
+delete keys for distinct tokens, dealt over all tasks before their keys are
+made; only words frequent enough to win against anything get keys (at two
+edits: the square of the ratio), and only tokens rare enough to lose. Of each row only its open tokens travel, edges are costed once per
 distinct pair of words, and the path is found row by row in Arrow batches.
 Rows meet their candidates by a hash of their tokens, which equal texts share
 and rows without a key too: no key holds a group of unlike rows together, and
@@ -35,12 +36,13 @@ from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..session import materialize, scratch_scope, ship_package
-from .spelling import LETTER_RUN_RE, delete_keys, dl_distance_upto2
+from .spelling import LETTER_RUN_RE, _spread, delete_keys, dl_distance_upto2
 
 EDIT = 5_300     # cost of an edit: an intended word is 200 times likelier written as it is
 SEEN = 0.25      # occurrences that every word is credited with
 CONTEXT = 0.7    # share of the bigram estimate; the rest goes by the word alone
 MIN_TOKEN = 2    # single characters are left alone
+ASKED = 2_000_000  # up to so many pairs of words are broadcast to the corpus; for more all its bigrams are counted
 
 
 def _letter_runs(text) -> Column:
@@ -53,23 +55,37 @@ def word_counts(corpus: DataFrame, text: str = "text") -> DataFrame:
                   .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
 
 
-def bigram_counts(corpus: DataFrame, text: str = "text") -> DataFrame:
-    """(``a``, ``b``, ``n``): letter runs that follow one another."""
+def bigram_counts(corpus: DataFrame, text: str = "text", asked: DataFrame | None = None) -> DataFrame:
+    """(``a``, ``b``, ``n``): letter runs that follow one another, all of them
+    or those in ``asked`` (``a``, ``b``, whose hashes are broadcast) and the
+    few that share a hash with one; counts are exact either way."""
     runs = corpus.select(_letter_runs(text).alias("w")).where(F.size("w") > 1)
     last = F.size("w") - 1
     pairs = F.arrays_zip(F.slice("w", F.lit(1), last).alias("a"), F.slice("w", F.lit(2), last).alias("b"))
-    return (runs.select(F.inline(pairs).alias("a", "b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
+    pairs = runs.select(F.inline(pairs).alias("a", "b"))
+    if asked is not None:
+        h = F.xxhash64("a", "b").alias("h")
+        pairs = pairs.select("a", "b", h).join(F.broadcast(asked.select(h).distinct()), "h", "left_semi")
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
 class Channel:
-    """Written counts of a corpus, for use on any number of texts."""
+    """Written word counts of a corpus, for use on any number of texts, and its
+    bigrams as far as they are asked for."""
 
     def __init__(self, corpus: DataFrame, text: str = "text", scope: scratch_scope | None = None):
+        self.corpus, self.text = corpus, text
         self.words = materialize(word_counts(corpus, text), scope=scope)
-        self.bigrams = materialize(bigram_counts(corpus, text), scope=scope)
         total, distinct, top = self.words.agg(F.sum("freq"), F.count("word"), F.max("freq")).first()
         self.mass, self.top = (total or 0) + SEEN * distinct, top or 0
 
+    def bigrams(self, asked: DataFrame, scope: scratch_scope | None = None) -> DataFrame:
+        """(``a``, ``b``, ``n``) of the corpus' bigrams, of those in ``asked`` at least."""
+        rows = asked.count()
+        if not rows:
+            return asked.select("a", "b", F.lit(0).cast("long").alias("n"))
+        return materialize(bigram_counts(self.corpus, self.text, asked if rows <= ASKED else None), scope=scope)
+
     def share(self, freq: Column) -> Column:
         return (freq + F.lit(SEEN)) / F.lit(self.mass)
 
@@ -87,7 +103,8 @@ def _least_freq(edits: int) -> int:
     return max(1, math.floor(SEEN * math.exp(EDIT * edits / 1000) - SEEN) - 1)
 
 
-def candidates(vocab: DataFrame, channel: Channel, token: str = "token") -> DataFrame:
+def candidates(vocab: DataFrame, channel: Channel, token: str = "token",
+               scope: scratch_scope | None = None) -> DataFrame:
     """(``token``, ``w``, ``e``): for distinct tokens that are open to
     correction every word that explains them better, and themselves; ``e`` is
     the cost of the edits."""
@@ -102,7 +119,8 @@ def candidates(vocab: DataFrame, channel: Channel, token: str = "token") -> Data
                    .where(F.col("cost") > channel.alone(F.lit(channel.top)) + EDIT))
     words = known.where((F.col("freq") >= _least_freq(1)) & (F.length("word") >= MIN_TOKEN)).select(
         F.col("word").alias("w"), F.col("freq").alias("f"), F.col("cost").alias("word_cost"))
-    keys = lambda df, c: df.select("*", F.inline(delete_keys(F.col(c))))
+    # A vocabulary is a small file that makes many keys: one task would make them all.
+    keys = lambda df, c: _spread(df, c).select("*", F.inline(delete_keys(F.col(c))))
     t_keys, w_keys = keys(tokens, "t"), keys(words, "w")
     found = None
     for d in (1, 2):
@@ -118,6 +136,7 @@ def candidates(vocab: DataFrame, channel: Channel, token: str = "token") -> Data
         here = (pairs.withColumn("d", dl_distance_upto2(F.col("t"), F.col("w"))).where(F.col("d") == d)
                      .select(F.col("t").alias("token"), "w", (F.col("d") * EDIT).cast("long").alias("e")))
         found = here if found is None else found.union(here)
+    found = materialize(found, scope=scope)
     itself = found.select("token").distinct().select("token", F.col("token").alias("w"), F.lit(0).cast("long").alias("e"))
     return found.union(itself)
 
@@ -173,7 +192,7 @@ def correct_tokens(rows: DataFrame, channel: Channel, tokens: str = "tokens",
                                    F.xxhash64(tokens).alias("rid")), scope=scope)
     each = base.select("rid", F.explode(F.array_distinct("t")).alias("token"))
     vocab = materialize(each.select("token").distinct(), scope=scope)
-    options = materialize(candidates(vocab, channel).groupBy("token").agg(
+    options = materialize(candidates(vocab, channel, scope=scope).groupBy("token").agg(
         F.sort_array(F.collect_list(F.struct("w", "e"))).alias("c")), scope=scope)
     marked = each.join(options.select("token"), "token").distinct().join(options, "token")
     lattice = materialize(marked.groupBy("rid").agg(F.collect_list(F.struct("token", "c")).alias("open")), scope=scope)
@@ -194,7 +213,8 @@ def correct_tokens(rows: DataFrame, channel: Channel, tokens: str = "tokens",
 
     edges = materialize(base.join(lattice, "rid").select("rid", "t", "open").mapInArrow(edges_of, pair).distinct(), scope=scope)
     side = lambda c: channel.words.select(F.col("word").alias(c), F.col("freq").alias(f"f_{c}"))
-    known = (edges.select("a", "b").distinct().join(channel.bigrams, ["a", "b"], "left")
+    asked = materialize(edges.select("a", "b").distinct(), scope=scope)
+    known = (asked.join(channel.bigrams(asked, scope), ["a", "b"], "left")
                   .join(side("a"), "a", "left").join(side("b"), "b", "left"))
     alone = channel.share(F.coalesce("f_b", F.lit(0)))
     follows = F.coalesce(F.lit(CONTEXT) * F.col("n") / F.col("f_a"), F.lit(0.0)) + F.lit(1 - CONTEXT) * alone

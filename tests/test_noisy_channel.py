@@ -79,6 +79,23 @@ def test_share_of_rewritten_occurrences_is_small(spark):
     assert r.tokens > 50_000 and r.share < 0.02
 
 
+def test_only_bigrams_that_are_asked_for_are_counted(spark, monkeypatch):
+    corpus = spark.createDataFrame([("The cat, the dog; the cat",), ("cat the",), ("the",), (None,), ("",)] * 3, "text string")
+    channel = nc.Channel(corpus)
+    asked = spark.createDataFrame([("the", "cat"), ("cat", "the"), ("dog", "cat"), ("", "the")], "a string, b string")
+    few = {(r.a, r.b): r.n for r in channel.bigrams(asked).collect()}
+    assert few == {("the", "cat"): 6, ("cat", "the"): 6}
+    assert channel.bigrams(asked.limit(0)).count() == 0
+    texts = _texts(spark, ["a fast xoat", "the red xoat", "teh red cota"])
+    told = spark.createDataFrame([("the red coat hung there and a fast boat sailed by",)] * 500, "text string")
+    got = [sorted((r.row_id, r.corrected) for r in nc.correct_texts(texts, "row_id", "t", nc.Channel(told)).collect())]
+    monkeypatch.setattr(nc, "ASKED", 0)  # more are asked for than are broadcast
+    every = {(r.a, r.b): r.n for r in channel.bigrams(asked).collect()}
+    assert every == few | {("the", "dog"): 3, ("dog", "the"): 3}
+    got.append(sorted((r.row_id, r.corrected) for r in nc.correct_texts(texts, "row_id", "t", nc.Channel(told)).collect()))
+    assert got[0] == got[1] == [(0, ["a", "fast", "boat"]), (1, ["the", "red", "coat"]), (2, ["the", "red", "coat"])]
+
+
 def test_rows_without_key_empty_texts_and_empty_tables(spark):
     channel = nc.Channel(_corpus(spark))
     df = spark.createDataFrame([(1, "teh order"), (1, "my ordre"), (None, "teh order"), (None, None), (2, "")], "k long, t string")
